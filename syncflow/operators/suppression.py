@@ -2,9 +2,9 @@
 
 Whether an alert is sent depends on the last one sent, so each type has to be walked in
 time order. Sent times are whole seconds, hence all that matters of a type is *which
-seconds* have an alert. These are packed into bitmaps of 32,768 seconds ahead of the
-shuffle: however many alerts a type has, a year of it is at most 963 bitmaps of 4 KB, and
-that is what one task walks.
+seconds* have an alert. Ahead of the shuffle these are reduced to sets of offsets within
+spans of 32,768 seconds. However many alerts a type has, one task walks at most the
+seconds of the calendar, two bytes each: some 60 MB for a year with an alert every second.
 """
 
 from __future__ import annotations
@@ -24,7 +24,8 @@ from syncflow.functions.times import epoch_seconds
 # Fixed value: seconds during which an alert of the same type is not repeated.
 QUIET_SECONDS = 1800
 
-_BITS = 32_768
+# Seconds of one span: as many as a SMALLINT has non-negative values.
+_SPAN = 32_768
 
 # The functions below travel with the job, so that executors need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -45,10 +46,9 @@ def first_after_quiet(seconds: np.ndarray, ready: int, quiet: int) -> tuple[list
 def _walker(key: str, quiet: int):
     def walk(group: pd.DataFrame) -> pd.DataFrame:
         sent, ready = [], np.iinfo(np.int64).min
-        for row in group.sort_values("bucket").itertuples(index=False):
-            bits = np.unpackbits(np.frombuffer(row.bits, np.uint8), bitorder="little")
-            start = (row.bucket - 1) * _BITS + 1
-            more, ready = first_after_quiet(np.flatnonzero(bits) + start, ready, quiet)
+        for row in group.sort_values("span").itertuples(index=False):
+            seconds = np.sort(np.asarray(row.offsets, np.int64)) + row.span * _SPAN
+            more, ready = first_after_quiet(seconds, ready, quiet)
             sent += more
         return pd.DataFrame({key: [group[key].iloc[0]] * len(sent), "_second": sent})
 
@@ -64,9 +64,9 @@ def suppress_repeats(
 ) -> DataFrame:
     """The alerts that are sent; of several in the same second, the first by ``ts`` and ``tie``."""
     timed = alerts.withColumn("_second", epoch_seconds(alerts, ts))
-    seconds = timed.groupBy(
-        key, F.bitmap_bucket_number("_second").alias("bucket")
-    ).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_second")).alias("bits"))
+    seconds = timed.groupBy(key, F.floor(F.col("_second") / _SPAN).alias("span")).agg(
+        F.collect_set(F.pmod("_second", F.lit(_SPAN)).cast("smallint")).alias("offsets")
+    )
     schema = T.StructType(
         [T.StructField(key, alerts.schema[key].dataType), T.StructField("_second", T.LongType())]
     )

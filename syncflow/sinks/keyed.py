@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from syncflow import storage
@@ -68,27 +68,38 @@ class KeyedTable:
             changes = changes.withColumn(_KIND, F.lit(UPSERT))
         if not enable_delete:
             changes = changes.where(F.col(_KIND) != DELETE)
-        batch = latest_per_key(changes, self.keys, self.order).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            bucket = bucket_of(self.keys, self.buckets).alias(_BUCKET)
-            # At most one number per bucket comes to the driver.
-            touched = sorted(r[0] for r in batch.select(bucket).distinct().collect())
-            current = self.log.buckets()
-            stored = self._stored({b: current[b] for b in touched if b in current})
-            merged = batch if stored is None else self._merge(stored, batch)
-            version = self.log.next_version()
-            (
-                merged.withColumn(_BUCKET, bucket)
-                .hint("rebalance", _BUCKET)
-                .write.partitionBy(_BUCKET)
-                .mode("overwrite")
-                .parquet(f"{self.path}/data/version={version}")
-            )
-            self.log.record(label, version, touched)
-        finally:
-            batch.unpersist()
+        batch = latest_per_key(changes, self.keys, self.order)
+        version, held = self.log.next_version(), self.log.buckets()
+        if not held:
+            self._write(batch, version)
+        else:
+            batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                # At most one number per bucket comes to the driver.
+                touched = [r[0] for r in batch.select(self._bucket()).distinct().collect()]
+                stored = self._stored({b: held[b] for b in touched if b in held})
+                self._write(batch if stored is None else self._merge(stored, batch), version)
+            finally:
+                batch.unpersist()
+        self.log.record(label, version, self._written(version))
         return True
 
+    def _bucket(self) -> Column:
+        return bucket_of(self.keys, self.buckets).alias(_BUCKET)
+
+    def _write(self, rows: DataFrame, version: int) -> None:
+        (
+            rows.withColumn(_BUCKET, self._bucket())
+            .hint("rebalance", _BUCKET)
+            .write.partitionBy(_BUCKET)
+            .mode("overwrite")
+            .parquet(f"{self.path}/data/version={version}")
+        )
+
+    def _written(self, version: int) -> list[int]:
+        names = storage.child_names(self.spark, f"{self.path}/data/version={version}")
+        return [int(n.removeprefix(f"{_BUCKET}=")) for n in names if n.startswith(f"{_BUCKET}=")]
+
     def _merge(self, stored: DataFrame, batch: DataFrame) -> DataFrame:
         later = F.struct(*[F.col(f"s.{c}") for c in self.order]) > F.struct(
             *[F.col(f"b.{c}") for c in self.order]
