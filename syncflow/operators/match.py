@@ -14,39 +14,55 @@ SINK_BONUS = 0.5
 COMBINED_WEIGHTS = (0.6, 0.4)
 
 
+# Candidate features that are certain to fit into the memory of every task.
+BROADCAST_ROWS = 500_000
+
+
 def _hits(is_sink: Column) -> list[Column]:
     return [F.count(F.lit(1)).alias("shared"), F.count_if(is_sink).alias("shared_sinks")]
 
 
+def _known_small(df: DataFrame, limit: int) -> DataFrame:
+    """``df`` marked for broadcasting if it has at most ``limit`` rows, which is counted."""
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+
+
 def match_candidates(
     jobs: DataFrame,
     candidates: DataFrame,
     job: str = "job",
     candidate: str = "candidate",
     feature: str = "feature",
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Ranked candidates of every job: (shared + sink bonus) / united features.
 
     An equi-join on the feature: only pairs that share one exist, and pairs without one
-    would score 0 and are not reported. Features are made distinct before the join. No side
-    is broadcast by hand; AQE does so when the measured size of the candidates allows it,
-    and otherwise splits the partitions of frequent features.
+    would score 0 and are not reported. Features are made distinct before the join. The
+    candidates are counted first, and broadcast up to ``broadcast_rows``; beyond that it is
+    a shuffled join in which AQE splits the partitions of frequent features.
     """
-    a = jobs.select(job, feature).distinct()
-    b = candidates.select(candidate, feature).distinct()
-    size_a = a.groupBy(job).agg(F.count(F.lit(1)).alias("job_size"))
+    # Without NULLs from the start, so that both uses of it share one shuffle.
+    a = jobs.select(job, feature).where(F.col(feature).isNotNull()).distinct()
+    b = _known_small(candidates.select(candidate, feature).distinct(), broadcast_rows)
     size_b = b.groupBy(candidate).agg(F.count(F.lit(1)).alias("candidate_size"))
-    pairs = a.join(b, feature).groupBy(job, candidate).agg(
-        *_hits(F.col(feature).startswith(SINK_PREFIX))
-    )
+    # The size of a job is counted along as a pair without candidate, in the same shuffle.
+    is_sink = F.col(feature).startswith(SINK_PREFIX).alias("sink")
+    nobody = F.lit(None).cast(b.schema[candidate].dataType).alias(candidate)
+    hits = a.join(b, feature).select(job, candidate, is_sink)
+    own = a.select(job, nobody, is_sink)
+    counted = hits.unionByName(own).groupBy(job, candidate).agg(*_hits(F.col("sink")))
+    of_job = Window.partitionBy(job)
+    pairs = counted.withColumn(
+        "job_size", F.max(F.when(F.col(candidate).isNull(), F.col("shared"))).over(of_job)
+    ).where(F.col(candidate).isNotNull())
     united = F.col("job_size") + F.col("candidate_size") - F.col("shared")
     # Doubled, so that the half bonus stays an integer and rounding is exact.
     doubled = 2 * F.col("shared") + F.col("shared_sinks")
     percent = F.floor((200 * doubled + 2 * united) / (4 * united))
-    best_first = Window.partitionBy(job).orderBy(F.desc("score"), F.asc(candidate))
+    best_first = of_job.orderBy(F.desc("score"), F.asc(candidate))
     return (
-        pairs.join(size_a, job)
-        .join(size_b, candidate)
+        pairs.join(size_b, candidate)
         .withColumn("score", doubled / (2 * united))
         # The tier goes by the reported score, which has two decimals.
         .withColumn("tier", tier(percent / 100, SINGLE_MATCH_TIERS, "poor"))
@@ -60,10 +76,11 @@ def match_combined(
     candidates: DataFrame,
     candidate: str = "candidate",
     feature: str = "feature",
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Candidates against the united features of all jobs, with the share of sinks covered."""
     a = jobs.select(feature).distinct()
-    b = candidates.select(candidate, feature).distinct()
+    b = _known_small(candidates.select(candidate, feature).distinct(), broadcast_rows)
     is_sink = F.col(feature).startswith(SINK_PREFIX)
     totals = a.agg(F.count(F.lit(1)).alias("n"), F.count_if(is_sink).alias("sinks"))
     size_a, sinks_a = totals.select("n").scalar(), totals.select("sinks").scalar()

@@ -32,7 +32,7 @@ CHUNK_SECONDS = {"DAY": 86_400, "HOUR": 3_600, "MINUTE": 60, "SECOND": 1}
 
 
 def _chunk_of(df: DataFrame, ts: str, unit: str) -> Column:
-    return F.floor(epoch_seconds(df, ts) / CHUNK_SECONDS[unit])
+    return F.floor(epoch_seconds(df, ts) / CHUNK_SECONDS[unit]).cast("bigint")
 
 
 def choose_chunk(df: DataFrame, keys: Sequence[str], ts: str, max_rows: int = 5_000_000) -> str:
@@ -63,28 +63,29 @@ def state_transitions(
     order = [ts, *tie]
     rows = status.withColumn(_CHUNK, _chunk_of(status, ts, chunk))
     within = Window.partitionBy(key, _CHUNK).orderBy(*order)
-    inner = (
-        rows.withColumn("previous_state", F.lag(state).over(within))
-        .withColumn("_n", F.row_number().over(within))
-        .where("_n > 1")
-        .drop("_n", _CHUNK)
+    seen = rows.select(
+        *status.columns,
+        _CHUNK,
+        F.lag(state).over(within).alias("previous_state"),
+        (F.row_number().over(within) == 1).alias("_first"),
+        F.lead(F.lit(True)).over(within).isNull().alias("_last"),
     )
-    columns = status.columns
-    edges = rows.groupBy(key, _CHUNK).agg(
-        F.min(F.struct(*order, *[c for c in columns if c not in order])).alias("_head"),
-        F.max(F.struct(*order, state)).getField(state).alias("_tail"),
-    )
-    along = Window.partitionBy(key).orderBy(_CHUNK)
-    heads = edges.withColumn("previous_state", F.lag("_tail").over(along)).select(
-        *[F.col(f"_head.`{c}`").alias(c) if c != key else F.col(key) for c in columns],
-        "previous_state",
+    # Ahead of the first row of a chunk comes the last row of the chunk before. So the edge
+    # rows, two per chunk at most, are ordered along the key, and the other changes stay in
+    # groups of their chunk.
+    is_edge = F.col("_first") | F.col("_last")
+    changed = ~F.col(state).eqNullSafe(F.col("previous_state"))
+    along = Window.partitionBy(key, "_inner").orderBy(*order)
+    found = (
+        seen.where(is_edge | changed)
+        .withColumn("_inner", F.when(~is_edge, F.col(_CHUNK)))
+        .withColumn("_before", F.lag(state).over(along))
+        .withColumn(
+            "previous_state", F.when(F.col("_first"), F.col("_before")).otherwise(F.col("previous_state"))
+        )
     )
     level = F.when(F.col(state) == RUNNING, "info").when(F.col(state).isin(*BROKEN_STATES), "error")
-    return (
-        inner.unionByName(heads)
-        .where(~F.col(state).eqNullSafe(F.col("previous_state")))
-        .withColumn("alert_level", level)
-    )
+    return found.where(changed).select(*status.columns, "previous_state", level.alias("alert_level"))
 
 
 def job_alerts(

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from syncflow import storage
 from syncflow.functions.times import epoch_seconds
 
 # Fixed value: seconds during which an alert of the same type is not repeated.
@@ -70,10 +71,16 @@ def suppress_repeats(
     schema = T.StructType(
         [T.StructField(key, alerts.schema[key].dataType), T.StructField("_second", T.LongType())]
     )
-    sent = seconds.groupBy(key).applyInPandas(_walker(key, quiet_seconds), schema)
+    spark = alerts.sparkSession
+    # At most one second in a quiet period is sent, so this is small for all but very many
+    # types. Written out, its size is known, and the join below is planned by that size:
+    # the alerts are shuffled only if the sent seconds are too many to be broadcast.
+    path = storage.work_path(spark, "sent")
+    walked = seconds.groupBy(key).applyInPandas(_walker(key, quiet_seconds), schema)
+    walked.write.parquet(path)
+    sent = spark.read.schema(schema).parquet(path)
     order = [ts, *tie]
     rest = [c for c in alerts.columns if c not in order and c != key]
-    # Sent seconds are few (one in a quiet period at most), so most alerts drop out here.
     return (
         timed.join(sent, [key, "_second"])
         .groupBy(key, "_second")
