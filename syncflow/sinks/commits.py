@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Iterable
+from collections.abc import Mapping
 
 from pyspark.sql import SparkSession
 
@@ -42,8 +42,8 @@ class CommitLog:
         texts = [storage.read_text(self.spark, f"{self.commits}/{n}") for n in self._names()]
         return [json.loads(t)["label"] for t in texts]
 
-    def buckets(self) -> dict[int, int]:
-        """Version that holds each bucket, as of the last commit."""
+    def buckets(self) -> dict[int, list[int]]:
+        """Versions that make up each bucket, oldest first, as of the last commit."""
         names = self._names()
         if not names:
             return {}
@@ -60,9 +60,9 @@ class CommitLog:
         left = [n for n in storage.child_names(self.spark, self.started) if n not in done]
         return [storage.read_text(self.spark, f"{self.started}/{n}") for n in left]
 
-    def record(self, label: str, version: int, buckets: Iterable[int] = ()) -> None:
-        """Record a load; from now on ``version`` holds the given buckets."""
-        state = {**self.buckets(), **dict.fromkeys(buckets, version)}
+    def record(self, label: str, version: int, buckets: Mapping[int, list[int]] = {}) -> None:
+        """Record a load; from now on the given buckets are made up of the given versions."""
+        state = {**self.buckets(), **buckets}
         entry = json.dumps({"label": label, "version": version, "buckets": state})
         storage.write_text(self.spark, f"{self.commits}/{version:012d}-{_digest(label)}.json", entry)
         storage.delete(self.spark, f"{self.started}/{_digest(label)}")

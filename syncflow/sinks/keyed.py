@@ -1,10 +1,12 @@
 """Keyed mirror: one row per key, replaced or removed by later changes.
 
-Parquet has no MERGE, so rows live in hash buckets and a load writes new copies of the
-buckets it touches. Which copy of a bucket counts is in the commit log; nothing that is
-being read is ever overwritten, and a load that breaks off leaves the old copies valid.
-Deleted keys stay behind as marked rows, so that an older change arriving late cannot
-bring them back.
+Parquet has no MERGE, so rows live in hash buckets and a load writes new files for the
+buckets it touches: either the bucket as it is afterwards (merge on write), or just its
+changes, which readers then merge (merge on read) until the bucket has so many of them that
+it is written anew. Which files make up a bucket is in the commit log; nothing that is being
+read is ever overwritten, and a load that breaks off leaves the old state valid. Deleted
+keys stay behind as marked rows, so that an older change arriving late cannot bring them
+back.
 """
 
 from __future__ import annotations
@@ -40,12 +42,21 @@ class KeyedTable:
         self.keys, self.order, self.buckets = list(keys), list(order), buckets
         self.log = CommitLog(spark, path)
 
-    def _stored(self, versions: dict[int, int]) -> DataFrame | None:
-        paths = [f"{self.path}/data/version={v}/bucket={b}" for b, v in sorted(versions.items())]
-        if not paths:
+    def _files(self, pairs: list[tuple[int, int]]) -> DataFrame:
+        paths = [f"{self.path}/data/{_VERSION}={v}/{_BUCKET}={b}" for b, v in pairs]
+        return self.spark.read.option("basePath", f"{self.path}/data").parquet(*paths).drop(_BUCKET)
+
+    def _stored(self, held: dict[int, list[int]]) -> DataFrame | None:
+        """Rows of the given buckets, deleted ones marked, with the later changes merged in."""
+        if not held:
             return None
-        stored = self.spark.read.option("basePath", f"{self.path}/data").parquet(*paths)
-        return stored.drop(_VERSION, _BUCKET)
+        rows = self._files([(b, v[0]) for b, v in sorted(held.items())]).drop(_VERSION)
+        later = [(b, v) for b, versions in sorted(held.items()) for v in versions[1:]]
+        if later:
+            # Of two changes with the same place in the order, that of the later load counts.
+            order = [*self.order, _VERSION]
+            rows = self._merge(rows, latest_per_key(self._files(later), self.keys, order).drop(_VERSION))
+        return rows
 
     def read(self) -> DataFrame:
         """Live rows."""
@@ -54,13 +65,17 @@ class KeyedTable:
             raise FileNotFoundError(f"no load was recorded in {self.path}")
         return stored.where(F.col(_KIND) != DELETE).drop(_KIND)
 
-    def upsert(self, changes: DataFrame, label: str, enable_delete: bool = True) -> bool:
+    def upsert(
+        self, changes: DataFrame, label: str, enable_delete: bool = True, max_deltas: int = 0
+    ) -> bool:
         """Apply a load of changes; a label that is in already changes nothing.
 
         ``changes`` may have a ``kind`` column (``upsert``/``delete``); without one every row
-        is an upsert. The load is reduced to one row per key first. The stored rows are only
-        joined with that, so they are not shuffled for the merge when it is small enough to
-        be broadcast.
+        is an upsert. The load is reduced to one row per key first. With ``max_deltas`` the
+        load is only added to buckets that have fewer changes than that waiting, which makes
+        a small load on a large table cheap; the other buckets it touches are rewritten.
+        Stored rows are only joined with the reduced load, so they are not shuffled for the
+        merge when that is small enough to be broadcast.
         """
         if self.log.has(label):
             return False
@@ -70,20 +85,27 @@ class KeyedTable:
             changes = changes.where(F.col(_KIND) != DELETE)
         batch = latest_per_key(changes, self.keys, self.order)
         version, held = self.log.next_version(), self.log.buckets()
-        if not held:
+        full = {b: v for b, v in held.items() if len(v) > max_deltas}
+        if not full:
             self._write(batch, version)
         else:
             batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
             try:
                 # At most one number per bucket comes to the driver.
                 touched = [r[0] for r in batch.select(self._bucket()).distinct().collect()]
-                stored = self._stored({b: held[b] for b in touched if b in held})
-                self._write(batch if stored is None else self._merge(stored, batch), version)
+                full = {b: full[b] for b in touched if b in full}
+                self._write(self._with_rewritten(batch, full), version)
             finally:
                 batch.unpersist()
-        self.log.record(label, version, self._written(version))
+        written = self._written(version)
+        state = {b: [version] if b in full else [*held.get(b, []), version] for b in written}
+        self.log.record(label, version, state)
         return True
 
+    def _with_rewritten(self, batch: DataFrame, full: dict[int, list[int]]) -> DataFrame:
+        stored = self._stored(full)
+        return batch if stored is None else self._merge(stored, batch)
+
     def _bucket(self) -> Column:
         return bucket_of(self.keys, self.buckets).alias(_BUCKET)
 
@@ -115,14 +137,14 @@ class KeyedTable:
         return kept.unionByName(fresh, allowMissingColumns=True)
 
     def drop_old_versions(self) -> int:
-        """Delete bucket copies that a later load replaced; run it when nobody reads them."""
-        current, removed = self.log.buckets(), 0
+        """Delete bucket files that a later load replaced; run it when nobody reads them."""
+        held, removed = self.log.buckets(), 0
         for name in storage.child_names(self.spark, f"{self.path}/data"):
             version = name.removeprefix(f"{_VERSION}=")
             if not version.isdigit():
                 continue
             for child in storage.child_names(self.spark, f"{self.path}/data/{name}"):
                 bucket = child.removeprefix(f"{_BUCKET}=")
-                if bucket.isdigit() and current.get(int(bucket), -1) > int(version):
+                if bucket.isdigit() and int(version) < held.get(int(bucket), [-1])[0]:
                     removed += storage.delete(self.spark, f"{self.path}/data/{name}/{child}")
         return removed

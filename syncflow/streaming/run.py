@@ -14,6 +14,9 @@ from syncflow.sinks.keyed import KeyedTable
 # Seconds between checkpoints by environment.
 CHECKPOINT_SECONDS = {"prod": 60, "test": 120, "dev": 300}
 
+# Micro-batches whose changes may wait in a bucket of a keyed mirror before it is rewritten.
+MAX_DELTAS = 10
+
 
 def trigger_of(interval: str | None) -> dict:
     """Trigger arguments: a processing interval, or everything that is there and then stop."""
@@ -68,9 +71,14 @@ def stream_to_keyed_table(
     enable_delete: bool = True,
     interval: str | None = None,
     name: str | None = None,
+    max_deltas: int = MAX_DELTAS,
 ) -> StreamingQuery:
-    """Upsert every micro-batch into a keyed mirror under the label ``prefix-number``."""
+    """Upsert every micro-batch into a keyed mirror under the label ``prefix-number``.
+
+    A micro-batch is small next to the table, so its changes are kept beside the buckets,
+    and a bucket is rewritten only after ``max_deltas`` of them.
+    """
     def write(batch: DataFrame, number: int) -> None:
-        table.upsert(batch, f"{label_prefix}-{number}", enable_delete)
+        table.upsert(batch, f"{label_prefix}-{number}", enable_delete, max_deltas)
 
     return _start(df.writeStream.foreachBatch(write), checkpoint, interval, name)

@@ -71,13 +71,13 @@ def keyed(spark, tmp_path, buckets=4):
     return KeyedTable(spark, str(tmp_path / "k"), ["id"], ["seq"], buckets)
 
 
-@pytest.mark.parametrize("enable_delete", [True, False])
-def test_keyed_table_equals_a_replay(spark, tmp_path, enable_delete):
+@pytest.mark.parametrize("enable_delete, max_deltas", [(True, 0), (False, 0), (True, 1), (False, 9)])
+def test_keyed_table_equals_a_replay(spark, tmp_path, enable_delete, max_deltas):
     rows = log(n=120)
     table = keyed(spark, tmp_path)
     # Overlapping slices, one of them late and one repeated under another label.
     for number, (lo, hi) in enumerate([(0, 60), (80, 120), (40, 90), (40, 90)]):
-        table.upsert(spark.createDataFrame(rows[lo:hi], SCHEMA), f"s{number}", enable_delete)
+        table.upsert(spark.createDataFrame(rows[lo:hi], SCHEMA), f"s{number}", enable_delete, max_deltas)
     assert rows_of(table.read(), "id", "seq", "v", "day") == replay(rows, enable_delete)
 
 
@@ -106,11 +106,29 @@ def test_only_touched_buckets_are_rewritten(spark, tmp_path):
     table = keyed(spark, tmp_path, buckets=8)
     table.upsert(spark.createDataFrame([(i, 1, "a", "d", "upsert") for i in range(50)], SCHEMA), "x")
     table.upsert(spark.createDataFrame([(7, 2, "b", "d", "upsert")], SCHEMA), "y")
-    assert sorted(table.log.buckets().values()) == [0] * 7 + [1]
+    assert sorted(table.log.buckets().values()) == [[0]] * 7 + [[1]]
     assert table.drop_old_versions() == 1
     assert table.read().count() == 50
 
 
+def test_changes_wait_beside_a_bucket(spark, tmp_path):
+    table = keyed(spark, tmp_path, buckets=2)
+    for n in range(4):
+        table.upsert(spark.createDataFrame([(1, n, f"v{n}", "d", "upsert")], SCHEMA), f"{n}", max_deltas=2)
+        assert rows_of(table.read(), "v") == [(f"v{n}",)]
+        want = [[0], [0, 1], [0, 1, 2], [3]][n]
+        assert list(table.log.buckets().values()) == [want]
+    assert table.drop_old_versions() == 3
+    assert rows_of(table.read(), "v") == [("v3",)]
+
+
+def test_of_equal_places_the_later_load_counts(spark, tmp_path):
+    table = keyed(spark, tmp_path)
+    for label, v in (("x", "b"), ("y", "c"), ("z", "a")):
+        table.upsert(spark.createDataFrame([(1, 5, v, "d", "upsert")], SCHEMA), label, max_deltas=9)
+        assert rows_of(table.read(), "v") == [(v,)]
+
+
 def test_broken_keyed_load_leaves_the_old_rows(spark, tmp_path, monkeypatch):
     table = keyed(spark, tmp_path)
     table.upsert(spark.createDataFrame([(1, 1, "a", "d", "upsert")], SCHEMA), "x")

@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -20,8 +21,11 @@ ROW = {"id": "INT", "seq": "INT", "v": "STRING", "day": "STRING"}
 
 
 def put(path, name, lines):
+    """Add a file that is taken after the ones already there: files go by their time."""
     path.mkdir(parents=True, exist_ok=True)
     (path / name).write_text("\n".join(lines) + "\n")
+    at = 1_700_000_000 + len(list(path.iterdir()))
+    os.utime(path / name, (at, at))
 
 
 def envelope(row):
@@ -49,6 +53,7 @@ def test_cdc_stream_equals_batch_over_restarts(spark, tmp_path):
     go()
     assert rows_of(table.read(), "id", "seq", "v", "day") == replay(rows)
     assert table.log.labels() == ["cdc-0", "cdc-1", "cdc-2"]
+    assert max(len(v) for v in table.log.buckets().values()) > 1
 
 
 def test_repeated_micro_batch_is_ignored(spark, tmp_path, monkeypatch):
