@@ -66,3 +66,10 @@ class CommitLog:
         entry = json.dumps({"label": label, "version": version, "buckets": state})
         storage.write_text(self.spark, f"{self.commits}/{version:012d}-{_digest(label)}.json", entry)
         storage.delete(self.spark, f"{self.started}/{_digest(label)}")
+
+    def expire(self, keep: int = 10_000) -> int:
+        """Forget the oldest loads beyond ``keep``; their labels would be taken as new again."""
+        old = self._names()[:-keep] if keep > 0 else []
+        for name in old:
+            storage.delete(self.spark, f"{self.commits}/{name}")
+        return len(old)

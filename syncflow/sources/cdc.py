@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from syncflow.functions.types import cast_text
+from syncflow.functions.times import epoch_millis, millis_to_timestamp
+from syncflow.functions.types import cast_text, resolve_type
 
 _CORRUPT = "_corrupt_record"
 
@@ -24,6 +25,23 @@ SNAPSHOT_MODES = {
 }
 
 
+def _cell(col: Column, to, timestamp_standard: str) -> Column:
+    """A value of a row image. Times come as text, or as epoch milliseconds and epoch days."""
+    to, cast = resolve_type(to), cast_text(col, to, timestamp_standard)
+    is_number = col.rlike(r"^-?\d+$")
+    if isinstance(to, T.TimestampType):
+        return F.when(is_number, millis_to_timestamp(col)).otherwise(cast)
+    if isinstance(to, T.TimestampNTZType):
+        seconds = epoch_millis(col).cast("decimal(18,3)") / 1000
+        moment = F.expr("timestamp_ntz'1970-01-01 00:00:00'") + F.make_dt_interval(
+            F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)")
+        )
+        return F.when(is_number, moment).otherwise(cast)
+    if isinstance(to, T.DateType):
+        return F.when(is_number, F.date_add(F.lit("1970-01-01").cast("date"), col.try_cast("int"))).otherwise(cast)
+    return cast
+
+
 def decode_envelope(
     df: DataFrame,
     fields: Mapping[str, object],
@@ -63,7 +81,7 @@ def decode_envelope(
 
     def typed(name: str) -> Column:
         cells = [
-            cast_text(F.col(f"{name}.`{n}`"), t, timestamp_standard).alias(n) for n, t in fields.items()
+            _cell(F.col(f"{name}.`{n}`"), t, timestamp_standard).alias(n) for n, t in fields.items()
         ]
         return F.when(F.col(name).isNotNull(), F.struct(*cells)).alias(name)
 

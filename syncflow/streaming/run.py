@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from syncflow.functions.times import interval_text
 from syncflow.sinks.append import append_by_day
 from syncflow.sinks.keyed import KeyedTable
 
-# Seconds between checkpoints by environment.
-CHECKPOINT_SECONDS = {"prod": 60, "test": 120, "dev": 300}
-
 # Micro-batches whose changes may wait in a bucket of a keyed mirror before it is rewritten.
 MAX_DELTAS = 10
 
@@ -30,6 +28,17 @@ def _start(
     return (writer.queryName(name) if name else writer).start()
 
 
+def preview_stream(df: DataFrame, checkpoint: str, n: int = 5) -> list[Row]:
+    """``n`` rows of what a stream holds by now (a debugging aid, so any rows will do)."""
+    name = f"preview_{uuid.uuid4().hex}"
+    writer = df.limit(n).writeStream.format("memory").outputMode("append")
+    _start(writer, checkpoint, None, name).awaitTermination()
+    try:
+        return df.sparkSession.table(name).collect()
+    finally:
+        df.sparkSession.catalog.dropTempView(name)
+
+
 def stream_to_day_files(
     df: DataFrame,
     path: str,

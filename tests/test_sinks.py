@@ -29,6 +29,15 @@ def test_append_keeps_duplicates_and_ignores_repeated_labels(spark, tmp_path):
     assert CommitLog(spark, path).labels() == ["a", "b"]
 
 
+def test_old_labels_can_be_forgotten(spark, tmp_path):
+    log = CommitLog(spark, str(tmp_path / "t"))
+    for n in range(4):
+        log.record(f"l{n}", n, {n % 2: [n]})
+    assert log.expire(keep=2) == 2
+    assert log.labels() == ["l2", "l3"] and log.buckets() == {0: [2], 1: [3]}
+    assert log.next_version() == 4 and not log.has("l0") and log.has("l3")
+
+
 def test_broken_load_is_invisible_and_repeatable(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "t")
     append.append_by_day(day_rows(spark, [1], "2024-01-01"), path, "1")

@@ -79,6 +79,21 @@ def test_decode_envelope(spark):
     ]
 
 
+def test_envelope_times_as_text_and_as_numbers(spark):
+    image = [
+        '{"at":1704067200123,"zoned":1704067200123,"day":19723}',
+        '{"at":"2024-01-01 00:00:00.123","zoned":"2024-01-01 00:00:00.123","day":"2024-01-01"}',
+        '{"at":99999999999999999,"zoned":"soon","day":"x"}',
+    ]
+    df = spark.createDataFrame([(f'{{"op":"r","ts_ms":{i},"after":{v}}}',) for i, v in enumerate(image)], "value string")
+    fields = {"at": "DATETIME(3)", "zoned": "TIMESTAMP_LTZ(3)", "day": "DATE"}
+    rows = normalise(cdc.decode_envelope(df, fields)).orderBy("seq").selectExpr(
+        "date_format(at, 'yyyy-MM-dd HH:mm:ss.SSS')", "date_format(zoned, 'yyyy-MM-dd HH:mm:ss.SSS')", "string(day)"
+    )
+    want = ("2024-01-01 00:00:00.123", "2024-01-01 00:00:00.123", "2024-01-01")
+    assert [tuple(r) for r in rows.collect()] == [want, want, (None, None, None)]
+
+
 def test_startup_modes_are_checked(spark):
     with pytest.raises(ValueError):
         cdc.start_changes(spark.range(1), "now")

@@ -119,6 +119,12 @@ def test_tumbling_adds_bounds(spark):
     assert (row.window_start.minute, row.window_end.minute, row.v) == (5, 10, 1)
 
 
+def test_preview_stream(spark, tmp_path):
+    rows = timed(spark, late_files(tmp_path)).select("uid")
+    got = streams.preview_stream(rows, str(tmp_path / "cp"), 3)
+    assert len(got) == 3 and {r.uid for r in got} <= set(range(1, 7))
+
+
 def test_fan_out_stream(spark, tmp_path):
     source, out = tmp_path / "in", str(tmp_path / "out")
     put(source, "0.json", ['{"uid":1}', '{"uid":2}'])
