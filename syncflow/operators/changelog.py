@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from syncflow.functions.times import as_col
-from syncflow.sources.cdc import includes_snapshot, start_changes
+from syncflow.sources.cdc import image_cells, includes_snapshot, parse_envelope, start_changes
 
 UPSERT, DELETE = "upsert", "delete"
 
@@ -38,6 +38,23 @@ def normalise(events: DataFrame, keep: Sequence[str] = ("seq",)) -> DataFrame:
     )
 
 
+def decode_changes(
+    df: DataFrame,
+    fields: Mapping[str, object],
+    value: str = "value",
+    keep: Sequence[str] = (),
+    timestamp_standard: str = "SQL",
+) -> DataFrame:
+    """Change envelopes straight to normalised changes; only the image that counts is typed."""
+    row = F.coalesce(F.col("after"), F.col("before"))
+    return (
+        parse_envelope(df, list(fields), value, keep)
+        .select(op_kind("op").alias("kind"), *keep, "seq", row.alias("_row"))
+        .where(F.col("kind").isNotNull() & F.col("_row").isNotNull())
+        .select("kind", *keep, "seq", *image_cells("_row", fields, timestamp_standard))
+    )
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The last row of every key by ``order``.
 

@@ -27,8 +27,8 @@ def _shown(rows):
 
 def cdc_decode(spark, sf_dir):
     """Envelopes to row changes, every column of the image."""
-    decoded = cdc.decode_envelope(inputs.envelopes(table(spark, sf_dir, "events")), CHANGE_FIELDS)
-    return changelog.normalise(decoded).select(
+    payloads = inputs.envelopes(table(spark, sf_dir, "events"))
+    return changelog.decode_changes(payloads, CHANGE_FIELDS).select(
         "kind", "user_id", "event_id", "value", F.col("seq.pos").alias("pos"),
         F.date_format("created_at", "yyyy-MM-dd HH:mm:ss.SSS").alias("created_at"),
     )

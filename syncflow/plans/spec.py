@@ -32,7 +32,8 @@ class Source:
     """``fields`` declares the columns; ``options`` go to the reader of ``kind``.
 
     With ``encoded`` the reader gives JSON text in ``value``, as a topic does. ``cdc`` is
-    such a source whose records are change envelopes.
+    such a source whose records are change envelopes; ``startup`` and ``start`` say from which
+    change on they count.
     """
 
     kind: str
@@ -42,6 +43,7 @@ class Source:
     timestamp_format: str = "SQL"
     zone: str | None = None
     startup: str = "initial"
+    start: Mapping[str, object] = field(default_factory=dict)
     lookback_hours: int | None = None
     lookback_column: str = "update_time"
 
@@ -166,8 +168,9 @@ def build(
     src, step, sink = spec.source, spec.transform, spec.sink
     df = _scan(spark, spec, streaming, frame)
     if src.kind == "cdc":
-        decoded = cdc.decode_envelope(df, src.fields, timestamp_standard=src.timestamp_format)
-        df = changelog.normalise(decoded)
+        df = changelog.decode_changes(df, src.fields, timestamp_standard=src.timestamp_format)
+        if src.startup != "initial":
+            df = cdc.start_changes(df, src.startup, **src.start)
     elif src.encoded or src.encoded is None and src.kind in ("kafka", "text"):
         df = events.decode_json(df, src.fields, timestamp_standard=src.timestamp_format)
     if src.zone:

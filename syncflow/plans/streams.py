@@ -15,7 +15,6 @@ from syncflow.plans.inputs import CHANGE_FIELDS, COLD_START_FIELDS, table_stream
 from syncflow.plans.spec import SyncSpec, run
 from syncflow.sinks.append import read_by_day
 from syncflow.sinks.keyed import KeyedTable
-from syncflow.sources import cdc
 from syncflow.streaming.run import stream_to_day_files, stream_to_keyed_table
 from syncflow.streaming.suppression import suppress_repeats_stream
 from syncflow.streaming.windows import as_event_time, window_counts, with_event_time_limit
@@ -48,7 +47,7 @@ def stream_tumble_5m(spark, sf_dir):
 def stream_cdc_mirror(spark, sf_dir):
     """Stream of change envelopes into a keyed mirror."""
     payloads = inputs.envelopes(table_stream(spark, sf_dir, "events"))
-    rows = changelog.normalise(cdc.decode_envelope(payloads, CHANGE_FIELDS))
+    rows = changelog.decode_changes(payloads, CHANGE_FIELDS)
     path = storage.work_path(spark, "stream_cdc_mirror")
     mirror = KeyedTable(spark, path, ["user_id"], ["seq"])
     stream_to_keyed_table(rows, mirror, f"{path}/checkpoint", "cdc").awaitTermination()

@@ -42,18 +42,19 @@ def _cell(col: Column, to, timestamp_standard: str) -> Column:
     return cast
 
 
-def decode_envelope(
-    df: DataFrame,
-    fields: Mapping[str, object],
-    value: str = "value",
-    keep: Sequence[str] = (),
-    timestamp_standard: str = "SQL",
+def image_cells(image: str, fields: Mapping[str, object], timestamp_standard: str = "SQL") -> list[Column]:
+    """Typed columns of a row image that was parsed as text."""
+    return [_cell(F.col(f"{image}.`{n}`"), t, timestamp_standard).alias(n) for n, t in fields.items()]
+
+
+def parse_envelope(
+    df: DataFrame, fields: Sequence[str], value: str = "value", keep: Sequence[str] = ()
 ) -> DataFrame:
-    """Decode ``{op, ts_ms, before, after, source}`` envelopes, bare or below ``payload``.
+    """Parse ``{op, ts_ms, before, after, source}`` envelopes, bare or below ``payload``.
 
     Gives ``op``, ``seq`` (time, log file, position and row: a total order within one
-    source) and typed ``before`` and ``after`` structs. Tombstones (no value), schema-change
-    events and anything else without an ``op`` are dropped.
+    source) and the images ``before`` and ``after`` as text fields. Tombstones (no value),
+    schema-change events and anything else without an ``op`` are dropped.
     """
     image = T.StructType([T.StructField(n, T.StringType()) for n in fields])
     position = T.StructType(
@@ -74,17 +75,10 @@ def decode_envelope(
         schema,
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT},
     )
-    rows = df.where(F.col(value).isNotNull()).select(*keep, F.inline(F.array(parsed)))
 
     def either(name: str) -> Column:
         return F.coalesce(F.col(name), F.col(f"payload.{name}"))
 
-    def typed(name: str) -> Column:
-        cells = [
-            _cell(F.col(f"{name}.`{n}`"), t, timestamp_standard).alias(n) for n, t in fields.items()
-        ]
-        return F.when(F.col(name).isNotNull(), F.struct(*cells)).alias(name)
-
     def number(name: str) -> Column:
         return F.coalesce(F.col(name).try_cast("bigint"), F.lit(0))
 
@@ -95,13 +89,31 @@ def decode_envelope(
         number("source.row").alias("row"),
     )
     return (
-        rows.where(F.col(_CORRUPT).isNull())
+        # A tombstone parses to a row of NULLs, which the test for an op drops.
+        df.select(*keep, F.inline(F.array(parsed)))
+        .where(F.col(_CORRUPT).isNull())
         .select(*keep, *[either(f.name).alias(f.name) for f in body])
         .where(F.col("op").isNotNull())
-        .select(*keep, "op", seq.alias("seq"), typed("before"), typed("after"))
+        .select(*keep, "op", seq.alias("seq"), "before", "after")
     )
 
 
+def decode_envelope(
+    df: DataFrame,
+    fields: Mapping[str, object],
+    value: str = "value",
+    keep: Sequence[str] = (),
+    timestamp_standard: str = "SQL",
+) -> DataFrame:
+    """Change envelopes with both images typed; an image that is absent is NULL."""
+    def typed(name: str) -> Column:
+        image = F.struct(*image_cells(name, fields, timestamp_standard))
+        return F.when(F.col(name).isNotNull(), image).alias(name)
+
+    parsed = parse_envelope(df, list(fields), value, keep)
+    return parsed.select(*keep, "op", "seq", typed("before"), typed("after"))
+
+
 def includes_snapshot(startup: str, snapshot_mode: str = "initial") -> bool:
     """Whether the scan begins with the rows the table holds already."""
     if startup not in STARTUP_MODES:

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows_of
-from syncflow.operators.changelog import normalise
+from syncflow.operators.changelog import decode_changes, normalise
 from syncflow.sources import cdc, datagen, events, tables
 
 FIELDS = {"uid": "BIGINT", "version": "STRING", "timestamp": "STRING"}
@@ -77,6 +77,7 @@ def test_decode_envelope(spark):
     assert rows_of(changes) == [
         ("delete", (6, "", 0, 0), 1, None), ("upsert", (4, "f", 9, 2), 1, "1.10"),
     ]
+    assert rows_of(decode_changes(df, ROW)) == rows_of(normalise(decoded))
 
 
 def test_envelope_times_as_text_and_as_numbers(spark):
