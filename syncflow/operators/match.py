@@ -79,11 +79,11 @@ def match_combined(
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Candidates against the united features of all jobs, with the share of sinks covered."""
-    a = jobs.select(feature).distinct()
+    a = jobs.select(feature).where(F.col(feature).isNotNull()).distinct()
     b = _known_small(candidates.select(candidate, feature).distinct(), broadcast_rows)
     is_sink = F.col(feature).startswith(SINK_PREFIX)
-    totals = a.agg(F.count(F.lit(1)).alias("n"), F.count_if(is_sink).alias("sinks"))
-    size_a, sinks_a = totals.select("n").scalar(), totals.select("sinks").scalar()
+    totals = a.agg(F.struct(F.count(F.lit(1)).alias("n"), F.count_if(is_sink).alias("sinks"))).scalar()
+    size_a, sinks_a = totals.getField("n"), totals.getField("sinks")
     size_b = b.groupBy(candidate).agg(F.count(F.lit(1)).alias("candidate_size"))
     hits = a.join(b, feature).groupBy(candidate).agg(*_hits(is_sink))
     base = F.col("shared") / (size_a + F.col("candidate_size") - F.col("shared"))

@@ -32,7 +32,13 @@ CHUNK_SECONDS = {"DAY": 86_400, "HOUR": 3_600, "MINUTE": 60, "SECOND": 1}
 
 
 def _chunk_of(df: DataFrame, ts: str, unit: str) -> Column:
-    return F.floor(epoch_seconds(df, ts) / CHUNK_SECONDS[unit]).cast("bigint")
+    return F.call_function("div", epoch_seconds(df, ts), F.lit(CHUNK_SECONDS[unit]))
+
+
+def _chunked(status: DataFrame, key: str, ts: str, unit: str) -> DataFrame:
+    """Rows with their chunk; without a key or a time there is no order to be part of."""
+    placed = status.withColumn(_CHUNK, _chunk_of(status, ts, unit))
+    return placed.where(F.col(key).isNotNull() & F.col(_CHUNK).isNotNull())
 
 
 def choose_chunk(df: DataFrame, keys: Sequence[str], ts: str, max_rows: int = 5_000_000) -> str:
@@ -61,7 +67,7 @@ def state_transitions(
     NULL for a change nobody is told about.
     """
     order = [ts, *tie]
-    rows = status.withColumn(_CHUNK, _chunk_of(status, ts, chunk))
+    rows = _chunked(status, key, ts, chunk)
     within = Window.partitionBy(key, _CHUNK).orderBy(*order)
     seen = rows.select(
         *status.columns,
@@ -132,7 +138,7 @@ def failure_alerts(
     """
     order = [ts, *tie]
     is_failed, is_reset = F.col(state).isin(*failed), F.col(state).isin(*reset)
-    rows = status.where(is_failed | is_reset).withColumn(_CHUNK, _chunk_of(status, ts, chunk))
+    rows = _chunked(status.where(is_failed | is_reset), key, ts, chunk)
     so_far = (
         Window.partitionBy(key, _CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     )

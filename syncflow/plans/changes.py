@@ -40,6 +40,28 @@ def cdc_normalise(spark, sf_dir):
     return kinds.groupBy("op", "kind").agg(F.count(F.lit(1)).alias("events"))
 
 
+def cdc_value_modes(spark, sf_dir):
+    """Decimals as text, unsigned numbers, numeric times; tombstones and schema events between."""
+    orders = table(spark, sf_dir, "orders")
+    row = F.struct(
+        F.col("o_orderkey").alias("id"),
+        F.format_string("%.2f", "o_totalprice").alias("price"),
+        F.lit("18446744073709551615").alias("big"),
+        F.unix_millis(F.col("o_orderdate").cast("timestamp")).alias("at"),
+        F.datediff(F.to_date("o_orderdate"), F.lit("1970-01-01").cast("date")).alias("day"),
+    )
+    created = F.to_json(F.struct(F.lit("r").alias("op"), row.alias("after")))
+    altered = F.to_json(F.struct(F.lit("ALTER TABLE orders").alias("ddl"), F.col("o_orderkey").alias("ts_ms")))
+    values = orders.select(F.explode(F.array(created, F.lit(None), altered)).alias("value"))
+    rows = changelog.decode_changes(values, {
+        "id": "bigint", "price": "decimal(12,2)", "big": "bigint unsigned", "at": "datetime(3)", "day": "date",
+    })
+    return rows.select(
+        "kind", "id", F.col("price").cast("double").alias("price"), "big",
+        F.date_format("at", "yyyy-MM-dd HH:mm:ss").alias("at"), day_of("day").alias("day"),
+    )
+
+
 def cdc_latest(spark, sf_dir):
     return _shown(changelog.live_rows(_changes(spark, sf_dir), KEYS, ORDER))
 
@@ -185,8 +207,20 @@ def bucket_sizes(spark, sf_dir):
     )
 
 
+def random_spread(spark, sf_dir):
+    """Round-robin distribution: the same rows, in partitions of even size."""
+    spread = partitions.spread_randomly(table(spark, sf_dir, "orders").select("o_orderkey"), 10)
+    sizes = spread.groupBy(F.spark_partition_id()).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("keys")
+    )
+    return sizes.agg(
+        F.count(F.lit(1)).alias("partitions"), F.sum("n").alias("rows"), F.sum("keys").alias("keys"),
+        (F.max("n") - F.min("n") <= 10).alias("even"),
+    )
+
+
 QUERIES = {f.__name__: f for f in (
-    cdc_decode, cdc_normalise, cdc_latest, cdc_latest_keep_deletes, cdc_snapshot_merge, cdc_replay,
+    cdc_decode, cdc_normalise, cdc_value_modes, random_spread, cdc_latest, cdc_latest_keep_deletes, cdc_snapshot_merge, cdc_replay,
     cdc_day_move, cdc_dup_vs_unique, startup_timestamp, startup_modes, keyed_mirror, lookback_mirror,
     append_labels, file_round_trip, retention_90d, partition_coverage, bucket_sizes,
 )}
@@ -212,6 +246,13 @@ SQL = {
                CASE event_type WHEN 'error' THEN 'delete' ELSE 'upsert' END AS kind,
                count(*) AS events
         FROM events GROUP BY 1, 2""",
+    "cdc_value_modes": """
+        SELECT 'upsert' AS kind, o_orderkey AS id, o_totalprice AS price, CAST(NULL AS BIGINT) AS big,
+               strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS at, strftime(o_orderdate, '%Y-%m-%d') AS day
+        FROM orders""",
+    "random_spread": """
+        SELECT CAST(10 AS BIGINT) AS partitions, count(*) AS rows, CAST(sum(o_orderkey) AS BIGINT) AS keys, true AS even
+        FROM orders""",
     "cdc_latest": _LIVE,
     "cdc_latest_keep_deletes": _LAST.format(where="WHERE event_type <> 'error'") + """
         SELECT user_id, event_id, value, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts

@@ -352,7 +352,7 @@ SQL = {
         SELECT job, candidate, shared, shared_sinks, score,
                CASE WHEN pct >= 80 THEN 'excellent' WHEN pct >= 60 THEN 'good'
                     WHEN pct >= 30 THEN 'fair' ELSE 'poor' END AS tier,
-               row_number() OVER (PARTITION BY job ORDER BY score DESC, candidate) AS rank
+               CAST(row_number() OVER (PARTITION BY job ORDER BY score DESC, candidate) AS INTEGER) AS rank
         FROM t""",
     "combined_match": _FEATURES + """
         , f AS (SELECT DISTINCT feature FROM a),

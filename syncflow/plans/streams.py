@@ -15,7 +15,7 @@ from syncflow.plans.inputs import CHANGE_FIELDS, COLD_START_FIELDS, table_stream
 from syncflow.plans.spec import SyncSpec, run
 from syncflow.sinks.append import read_by_day
 from syncflow.sinks.keyed import KeyedTable
-from syncflow.streaming.run import stream_to_day_files, stream_to_keyed_table
+from syncflow.streaming.run import stream_to_day_files, stream_to_day_table, stream_to_keyed_table
 from syncflow.streaming.suppression import suppress_repeats_stream
 from syncflow.streaming.windows import as_event_time, window_counts, with_event_time_limit
 
@@ -56,6 +56,17 @@ def stream_cdc_mirror(spark, sf_dir):
     )
 
 
+def stream_resume(spark, sf_dir):
+    """A stream stopped and started again on its checkpoint: rows per day, none twice."""
+    path = storage.work_path(spark, "stream_resume")
+    for _ in range(2):
+        rows = cold_start_rows(inputs.cold_start_payloads(table_stream(spark, sf_dir, "events")))
+        stream_to_day_table(rows, f"{path}/table", f"{path}/checkpoint", "resume").awaitTermination()
+    return read_by_day(spark, f"{path}/table").groupBy(
+        F.col("partition_day").cast("string").alias("partition_day")
+    ).agg(F.count(F.lit(1)).alias("rows"))
+
+
 def stream_alert_suppressed(spark, sf_dir):
     """Suppression with state kept per alert type."""
     alerts = inputs.alerts(table_stream(spark, sf_dir, "events"))
@@ -109,7 +120,7 @@ def spec_flow(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    stream_cold_start, stream_tumble_5m, stream_cdc_mirror, stream_alert_suppressed, spec_flow,
+    stream_cold_start, stream_tumble_5m, stream_cdc_mirror, stream_resume, stream_alert_suppressed, spec_flow,
 )}
 
 SQL = {
@@ -122,6 +133,7 @@ SQL = {
         GROUP BY 1, 2""",
     # Change events carry milliseconds.
     "stream_cdc_mirror": _CHANGE_SQL["cdc_latest"].replace("%S.%f", "%S.%g"),
+    "stream_resume": _INGEST_SQL["day_rows"],
     "stream_alert_suppressed": _CHECK_SQL["alert_suppressed"],
     "spec_flow": """
         SELECT mode, strftime(ts, '%Y-%m-%d') AS partition_day, count(*) AS rows,

@@ -98,15 +98,16 @@ def snapshot_chunks(
     """Chunk ranges of a snapshot over ``key`` and the rows that fall into each.
 
     The number of chunks is ``ceil(rows / chunk_rows)`` and the key range is cut evenly,
-    as the partitioned scan does. The bounds come from scalar subqueries, so nothing is
+    as the partitioned scan does. The bounds come from a scalar subquery, so nothing is
     fetched to the driver.
     """
     bounds = df.agg(F.min(key).alias("lo"), F.max(key).alias("hi"), F.count(F.lit(1)).alias("n"))
     chunks = F.ceil(F.col("n") / F.lit(chunk_rows))
-    plan = bounds.select("lo", F.ceil((F.col("hi") - F.col("lo") + 1) / chunks).alias("stride"))
-    lo, stride = plan.select("lo").scalar(), plan.select("stride").scalar()
+    stride = F.ceil((F.col("hi") - F.col("lo") + 1) / chunks)
+    plan = bounds.select(F.struct("lo", stride.alias("stride"))).scalar()
+    chunk = F.call_function("div", F.col(key) - plan.getField("lo"), plan.getField("stride"))
     return (
-        df.select(F.floor((F.col(key) - lo) / stride).alias("chunk"), F.col(key).alias("_key"))
+        df.select(chunk.alias("chunk"), F.col(key).alias("_key"))
         .groupBy("chunk")
         .agg(
             F.min("_key").alias("first_key"),

@@ -126,7 +126,7 @@ def test_interval_text_refuses_nonsense():
 
 
 def test_classify_takes_the_first_rule(spark):
-    names = ["Kafka2Doris", "my CDC to doris", "MySQL", "DORIS load", "other", None]
+    names = ["Kafka2Ods, doris", "my CDC to doris", "MySQL", "DORIS load", "other", None]
     df = spark.createDataFrame([(n,) for n in names], "n string")
     got = [r[0] for r in df.select(classify("n")).collect()]
     assert got == ["kafka", "mysql_cdc", "mysql_cdc", "doris", "unknown", "unknown"]
