@@ -41,50 +41,58 @@ def compare_counts(
 
 
 def compare_rows(
-    source: DataFrame, target: DataFrame, keys: Sequence[str], columns: Sequence[str]
+    source: DataFrame,
+    target: DataFrame,
+    keys: Sequence[str],
+    columns: Sequence[str],
+    unique_keys: bool = False,
 ) -> DataFrame:
     """Keys that differ: ``missing`` in the target, ``extra`` there, ``changed`` or ``duplicate``.
 
-    ``changed_columns`` names the differing columns (NULLs compare as equal). Both sides go
-    through one aggregation by key instead of a full join, so that a key repeated without
-    end on one side is combined early and reported, not multiplied.
+    ``changed_columns`` names the differing columns (NULLs compare as equal). With
+    ``unique_keys``, for sides known to hold each key once (a primary key, a keyed mirror),
+    it is a full join. Otherwise each side is combined by key ahead of the shuffle, so that
+    a key repeated without end is reported instead of multiplied.
     """
-    def tagged(df: DataFrame, side: int) -> DataFrame:
-        return df.select(*keys, F.lit(side).alias("_side"), *columns)
-
-    def of(side: int, col: str):
-        return F.max(F.when(F.col("_side") == side, F.col(col)))
-
-    merged = (
-        tagged(source, 0)
-        .unionByName(tagged(target, 1))
-        .groupBy(*keys)
-        .agg(
-            F.count_if(F.col("_side") == 0).alias("source_rows"),
-            F.count_if(F.col("_side") == 1).alias("target_rows"),
-            *[of(0, c).alias(f"_s_{c}") for c in columns],
-            *[of(1, c).alias(f"_t_{c}") for c in columns],
-        )
-    )
-    names = [F.when(~F.col(f"_s_{c}").eqNullSafe(F.col(f"_t_{c}")), F.lit(c)) for c in columns]
+    pairs = (_joined if unique_keys else _combined)(source, target, keys, columns)
+    names = [F.when(~F.col(f"_s.{c}").eqNullSafe(F.col(f"_t.{c}")), F.lit(c)) for c in columns]
     status = (
         F.when(F.col("target_rows") == 0, "missing")
         .when(F.col("source_rows") == 0, "extra")
         .when((F.col("source_rows") > 1) | (F.col("target_rows") > 1), "duplicate")
-        .when(F.col("changed_columns") != "", "changed")
+        .when(~F.col("_s").eqNullSafe(F.col("_t")), "changed")
     )
     return (
-        merged.withColumn("changed_columns", F.concat_ws(",", *names))
-        .withColumn("status", status)
+        pairs.withColumn("status", status)
         .where(F.col("status").isNotNull())
         .select(
             *keys,
             "status",
-            F.when(F.col("status") == "changed", F.col("changed_columns")).alias("changed_columns"),
+            F.when(F.col("status") == "changed", F.concat_ws(",", *names)).alias("changed_columns"),
         )
     )
 
 
+def _joined(source: DataFrame, target: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    def side(df: DataFrame, image: str, rows: str) -> DataFrame:
+        return df.select(*keys, F.struct(*columns).alias(image), F.lit(1).alias(rows))
+
+    both = side(source, "_s", "source_rows").join(side(target, "_t", "target_rows"), list(keys), "full")
+    return both.fillna(0, ["source_rows", "target_rows"])
+
+
+def _combined(source: DataFrame, target: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    def tagged(df: DataFrame, here: str, other: str) -> DataFrame:
+        image = df.select(*keys, F.struct(*columns).alias(here))
+        return image.withColumn(other, F.lit(None).cast(image.schema[here].dataType))
+
+    both = tagged(source, "_s", "_t").unionByName(tagged(target, "_t", "_s"))
+    return both.groupBy(*keys).agg(
+        F.count("_s").alias("source_rows"), F.count("_t").alias("target_rows"),
+        F.max("_s").alias("_s"), F.max("_t").alias("_t"),
+    )
+
+
 def null_counts(source: DataFrame, target: DataFrame, columns: Sequence[str]) -> DataFrame:
     """NULLs per column on both sides, and whether the target lost values."""
     def counted(df: DataFrame, side: str) -> DataFrame:

@@ -28,7 +28,17 @@ def recon_by_day(spark, sf_dir):
 
 def recon_keyed(spark, sf_dir):
     return reconcile.compare_rows(
-        *_both(spark, sf_dir), ["o_orderkey"], ["o_custkey", "o_totalprice", "o_orderpriority"]
+        *_both(spark, sf_dir), ["o_orderkey"], ["o_custkey", "o_totalprice", "o_orderpriority"],
+        unique_keys=True,
+    )
+
+
+def recon_appended(spark, sf_dir):
+    """The same against an append-only copy in which some rows came twice."""
+    source, target = _both(spark, sf_dir)
+    target = target.unionByName(target.where(F.col("o_orderkey") % 79 == 0))
+    return reconcile.compare_rows(
+        source, target, ["o_orderkey"], ["o_custkey", "o_totalprice", "o_orderpriority"]
     )
 
 
@@ -158,7 +168,7 @@ def combined_match(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    recon_count, recon_by_day, recon_keyed, recon_nulls, freshness, state_transitions, job_alerts,
+    recon_count, recon_by_day, recon_keyed, recon_appended, recon_nulls, freshness, state_transitions, job_alerts,
     not_found_alerts, metric_rollup, failure_alerts, failed_job_alerts, resubmit_actions, job_types,
     part_kinds, alert_suppressed, alert_suppressed_by_job, alert_routing, daily_report, resource_alerts,
     feature_match, combined_match,
@@ -172,6 +182,19 @@ WITH target AS (
   FROM orders WHERE o_orderkey % 97 <> 0
 )
 """
+_PAIRS = """
+, pairs AS (
+  SELECT s.o_orderkey, t.o_orderkey IS NULL AS missing, {duplicate} AS twice,
+         concat_ws(',', CASE WHEN s.o_custkey IS DISTINCT FROM t.o_custkey THEN 'o_custkey' END,
+           CASE WHEN s.o_totalprice IS DISTINCT FROM t.o_totalprice THEN 'o_totalprice' END,
+           CASE WHEN s.o_orderpriority IS DISTINCT FROM t.o_orderpriority
+                THEN 'o_orderpriority' END) AS names
+  FROM orders s LEFT JOIN target t ON s.o_orderkey = t.o_orderkey)
+SELECT o_orderkey,
+       CASE WHEN missing THEN 'missing' WHEN twice THEN 'duplicate' ELSE 'changed' END AS status,
+       CASE WHEN NOT missing AND NOT twice THEN names END AS changed_columns
+FROM pairs WHERE missing OR twice OR names <> ''
+"""
 _STATUS = """
 WITH status AS (
   SELECT user_id AS job, ts, event_id,
@@ -249,17 +272,8 @@ SQL = {
         FROM (SELECT strftime(o_orderdate, '%Y-%m-%d') AS d, count(*) AS sn FROM orders GROUP BY 1) s
         FULL JOIN (SELECT strftime(o_orderdate, '%Y-%m-%d') AS d, count(*) AS tn FROM target GROUP BY 1) t
           ON s.d = t.d""",
-    "recon_keyed": _TARGET + """
-        , pairs AS (
-          SELECT s.o_orderkey, t.o_orderkey IS NULL AS missing,
-                 concat_ws(',', CASE WHEN s.o_custkey IS DISTINCT FROM t.o_custkey THEN 'o_custkey' END,
-                   CASE WHEN s.o_totalprice IS DISTINCT FROM t.o_totalprice THEN 'o_totalprice' END,
-                   CASE WHEN s.o_orderpriority IS DISTINCT FROM t.o_orderpriority
-                        THEN 'o_orderpriority' END) AS names
-          FROM orders s LEFT JOIN target t ON s.o_orderkey = t.o_orderkey)
-        SELECT o_orderkey, CASE WHEN missing THEN 'missing' ELSE 'changed' END AS status,
-               CASE WHEN NOT missing THEN names END AS changed_columns
-        FROM pairs WHERE missing OR names <> ''""",
+    "recon_keyed": _TARGET + _PAIRS.format(duplicate="false"),
+    "recon_appended": _TARGET + _PAIRS.format(duplicate="s.o_orderkey % 79 = 0"),
     "recon_nulls": _TARGET + """
         SELECT 'o_orderkey' AS column, 0 AS source_nulls, 0 AS target_nulls, false AS alert
         UNION ALL SELECT 'o_totalprice', 0, 0, false

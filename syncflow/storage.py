@@ -15,11 +15,13 @@ from pyspark.sql import SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only where nothing is configured (tests, a laptop) a fresh local folder is taken and
+    Only in local mode, where nothing may be configured, a fresh local folder is taken and
     remembered in the session.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="syncflow-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")

@@ -172,7 +172,12 @@ def test_reconciliation_finds_exactly_the_damage(spark):
     assert rows_of(reconcile.null_counts(source, target, ["v", "s"])) == [
         ("s", 0, 2, True), ("v", 0, 0, False),
     ]
-    assert rows_of(reconcile.compare_rows(source, source, ["id"], ["v", "s"])) == []
+    for unique in (False, True):
+        assert rows_of(reconcile.compare_rows(source, source, ["id"], ["v", "s"], unique)) == []
+    once = target.dropDuplicates(["id"])
+    assert rows_of(reconcile.compare_rows(source, once, ["id"], ["v", "s"], True)) == rows_of(
+        reconcile.compare_rows(source, once, ["id"], ["v", "s"])
+    )
 
 
 def test_counts_of_a_side_without_rows(spark):
