@@ -11,7 +11,7 @@ from syncflow import storage
 from syncflow.operators.partitions import RETAIN_DAYS
 from syncflow.sinks.commits import CommitLog
 
-_LABEL = "load_label"
+_ATTEMPT = "load_attempt"
 
 
 def append_by_day(
@@ -24,35 +24,35 @@ def append_by_day(
 ) -> bool:
     """Append a load to the day partitions; a label that is in already changes nothing.
 
-    The label is a partition below the day, so repeating a load that broke off replaces its
-    own files only. ``rebalance`` evens out file sizes (a hot day is split over several
-    files) at the price of a shuffle; a micro-batch that falls into one day can do without.
+    Every attempt writes to partitions of its own below the days, and counts only once it is
+    recorded, so what a broken attempt left is never read. ``rebalance`` evens out file
+    sizes (a hot day is split over several files) at the price of a shuffle; a micro-batch
+    that falls into one day can do without.
     """
     log = CommitLog(df.sparkSession, path)
     if log.has(label):
         return False
-    log.start(label)
-    rows = df.withColumn(_LABEL, F.lit(label))
+    attempt = log.start()
+    rows = df.withColumn(_ATTEMPT, F.lit(attempt))
     if rebalance:
         rows = rows.hint("rebalance", day)
     (
-        rows.write.partitionBy(day, _LABEL)
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        rows.write.partitionBy(day, _ATTEMPT)
+        .mode("append")
         .option("maxRecordsPerFile", max_records_per_file)
         .parquet(f"{path}/data")
     )
-    log.record(label, log.next_version())
+    log.record(label, log.next_version(), attempt=attempt)
     return True
 
 
 def read_by_day(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of the recorded loads; a load that broke off is pruned by its partition."""
-    rows = spark.read.parquet(f"{path}/data")
+    """Rows of the recorded loads; attempts that broke off are pruned by their partition."""
     unfinished = CommitLog(spark, path).unfinished()
+    rows = spark.read.parquet(f"{path}/data")
     if unfinished:
-        rows = rows.where(~F.col(_LABEL).cast("string").isin(*unfinished))
-    return rows.drop(_LABEL)
+        rows = rows.where(~F.col(_ATTEMPT).cast("string").isin(*unfinished))
+    return rows.drop(_ATTEMPT)
 
 
 def drop_old_days(

@@ -1,15 +1,16 @@
 """Commit log of a target: small files that tell which loads are in.
 
 A load is written first and recorded second, so one that breaks off leaves nothing for
-readers and can be repeated. The name of a commit file carries its version and a digest
-of its label, hence looking a label up is one directory listing. A single writer per
-target is assumed, which a streaming query or a scheduled batch is.
+readers and can be repeated. The name of a commit file carries its version, a digest of its
+label and the attempt that succeeded, hence looking a label up is one directory listing. A
+single writer per target is assumed, which a streaming query or a scheduled batch is.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import SparkSession
@@ -21,6 +22,10 @@ def _digest(label: str) -> str:
     return hashlib.sha256(label.encode()).hexdigest()[:32]
 
 
+def _attempt(name: str) -> str:
+    return name.rpartition("-")[2].removesuffix(".json")
+
+
 class CommitLog:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
@@ -31,7 +36,7 @@ class CommitLog:
         return [n for n in names if n.endswith(".json") and n[0].isdigit()]
 
     def has(self, label: str) -> bool:
-        return any(n.endswith(f"-{_digest(label)}.json") for n in self._names())
+        return any(n.split("-")[1] == _digest(label) for n in self._names())
 
     def next_version(self) -> int:
         names = self._names()
@@ -50,26 +55,37 @@ class CommitLog:
         last = json.loads(storage.read_text(self.spark, f"{self.commits}/{names[-1]}"))
         return {int(b): v for b, v in last["buckets"].items()}
 
-    def start(self, label: str) -> None:
-        """Note a load that is about to write where readers look."""
-        storage.write_text(self.spark, f"{self.started}/{_digest(label)}", label)
+    def start(self) -> str:
+        """Note an attempt to write where readers look; gives its name."""
+        # Begins with a letter, so that no partition value of it looks like a number.
+        attempt = f"try{uuid.uuid4().hex}"
+        storage.write_text(self.spark, f"{self.started}/{attempt}", attempt)
+        return attempt
 
     def unfinished(self) -> list[str]:
-        """Labels that were started and never recorded."""
-        done = {n.rpartition("-")[2].removesuffix(".json") for n in self._names()}
-        left = [n for n in storage.child_names(self.spark, self.started) if n not in done]
-        return [storage.read_text(self.spark, f"{self.started}/{n}") for n in left]
+        """Attempts that were started and never recorded."""
+        done = {_attempt(n) for n in self._names()}
+        return [n for n in storage.child_names(self.spark, self.started) if n not in done]
 
-    def record(self, label: str, version: int, buckets: Mapping[int, list[int]] = {}) -> None:
+    def record(
+        self, label: str, version: int, buckets: Mapping[int, list[int]] = {}, attempt: str = ""
+    ) -> None:
         """Record a load; from now on the given buckets are made up of the given versions."""
         state = {**self.buckets(), **buckets}
         entry = json.dumps({"label": label, "version": version, "buckets": state})
-        storage.write_text(self.spark, f"{self.commits}/{version:012d}-{_digest(label)}.json", entry)
-        storage.delete(self.spark, f"{self.started}/{_digest(label)}")
+        name = f"{version:012d}-{_digest(label)}-{attempt}.json"
+        storage.write_text(self.spark, f"{self.commits}/{name}", entry)
+        self._settle(attempt)
+
+    def _settle(self, attempt: str) -> None:
+        if attempt:
+            storage.delete(self.spark, f"{self.started}/{attempt}")
 
     def expire(self, keep: int = 10_000) -> int:
         """Forget the oldest loads beyond ``keep``; their labels would be taken as new again."""
         old = self._names()[:-keep] if keep > 0 else []
         for name in old:
+            # A note that outlived its commit must not make the rows look unfinished.
+            self._settle(_attempt(name))
             storage.delete(self.spark, f"{self.commits}/{name}")
         return len(old)

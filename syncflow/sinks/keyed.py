@@ -114,7 +114,9 @@ class KeyedTable:
             rows.withColumn(_BUCKET, self._bucket())
             .hint("rebalance", _BUCKET)
             .write.partitionBy(_BUCKET)
+            # The whole version: a load that broke off may have left other buckets there.
             .mode("overwrite")
+            .option("partitionOverwriteMode", "static")
             .parquet(f"{self.path}/data/version={version}")
         )
 

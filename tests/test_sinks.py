@@ -16,6 +16,10 @@ from test_changelog import SCHEMA, log, replay
 DAYS = "id int, partition_day date"
 
 
+def lose(*args, **kwargs):
+    raise OSError("lost")
+
+
 def day_rows(spark, ids, day):
     return spark.createDataFrame([(i, dt.date.fromisoformat(day)) for i in ids], DAYS)
 
@@ -32,8 +36,13 @@ def test_append_keeps_duplicates_and_ignores_repeated_labels(spark, tmp_path):
 def test_old_labels_can_be_forgotten(spark, tmp_path):
     log = CommitLog(spark, str(tmp_path / "t"))
     for n in range(4):
-        log.record(f"l{n}", n, {n % 2: [n]})
+        log.record(f"l{n}", n, {n % 2: [n]}, log.start())
+    # As if the writer had stopped between the commit and the removal of its note.
+    kept = next(n for n in log._names() if n.startswith(f"{0:012d}"))
+    storage.write_text(spark, f"{log.started}/{kept.rpartition('-')[2].removesuffix('.json')}", "")
+    assert log.unfinished() == []
     assert log.expire(keep=2) == 2
+    assert log.unfinished() == []
     assert log.labels() == ["l2", "l3"] and log.buckets() == {0: [2], 1: [3]}
     assert log.next_version() == 4 and not log.has("l0") and log.has("l3")
 
@@ -42,9 +51,10 @@ def test_broken_load_is_invisible_and_repeatable(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "t")
     append.append_by_day(day_rows(spark, [1], "2024-01-01"), path, "1")
     with monkeypatch.context() as m:
-        m.setattr(CommitLog, "record", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        m.setattr(CommitLog, "record", lose)
         with pytest.raises(OSError):
-            append.append_by_day(day_rows(spark, [2, 3], "2024-01-01"), path, "2")
+            # With other days than the attempt that will succeed.
+            append.append_by_day(day_rows(spark, [2, 9], "2024-01-07"), path, "2")
     assert rows_of(append.read_by_day(spark, path), "id") == [(1,)]
     assert append.append_by_day(day_rows(spark, [2, 3], "2024-01-01"), path, "2")
     assert rows_of(append.read_by_day(spark, path), "id") == [(1,), (2,), (3,)]
@@ -142,10 +152,11 @@ def test_broken_keyed_load_leaves_the_old_rows(spark, tmp_path, monkeypatch):
     table = keyed(spark, tmp_path)
     table.upsert(spark.createDataFrame([(1, 1, "a", "d", "upsert")], SCHEMA), "x")
     change = spark.createDataFrame([(1, 2, "b", "d", "upsert")], SCHEMA)
+    other = spark.createDataFrame([(i, 3, "lost", "d", "upsert") for i in range(20)], SCHEMA)
     with monkeypatch.context() as m:
-        m.setattr(CommitLog, "record", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        m.setattr(CommitLog, "record", lose)
         with pytest.raises(OSError):
-            table.upsert(change, "y")
+            table.upsert(other, "y")
     assert rows_of(table.read(), "v") == [("a",)]
     assert table.upsert(change, "y")
     assert rows_of(table.read(), "v") == [("b",)]
