@@ -2,9 +2,10 @@
 
 Whether an alert is sent depends on the last one sent, so each type has to be walked in
 time order. Sent times are whole seconds, hence all that matters of a type is *which
-seconds* have an alert. Ahead of the shuffle these are reduced to sets of offsets within
-spans of 32,768 seconds. However many alerts a type has, one task walks at most the
-seconds of the calendar, two bytes each: some 60 MB for a year with an alert every second.
+seconds* have an alert. Repeated seconds are removed first, and those of a frequent type
+are spread over all tasks for that. What is left is gathered into spans of 32,768 seconds.
+So, however many alerts a type has, one task walks at most the seconds of the calendar, two
+bytes each: some 60 MB for a year with an alert every second.
 """
 
 from __future__ import annotations
@@ -65,8 +66,9 @@ def suppress_repeats(
 ) -> DataFrame:
     """The alerts that are sent; of several in the same second, the first by ``ts`` and ``tie``."""
     timed = alerts.withColumn("_second", epoch_seconds(alerts, ts))
-    seconds = timed.groupBy(key, F.floor(F.col("_second") / _SPAN).alias("span")).agg(
-        F.collect_set(F.pmod("_second", F.lit(_SPAN)).cast("smallint")).alias("offsets")
+    distinct = timed.select(key, "_second").distinct()
+    seconds = distinct.groupBy(key, F.floor(F.col("_second") / _SPAN).alias("span")).agg(
+        F.collect_list(F.pmod("_second", F.lit(_SPAN)).cast("smallint")).alias("offsets")
     )
     schema = T.StructType(
         [T.StructField(key, alerts.schema[key].dataType), T.StructField("_second", T.LongType())]
