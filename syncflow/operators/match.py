@@ -22,9 +22,9 @@ def _hits(is_sink: Column) -> list[Column]:
     return [F.count(F.lit(1)).alias("shared"), F.count_if(is_sink).alias("shared_sinks")]
 
 
-def _known_small(df: DataFrame, limit: int) -> DataFrame:
-    """``df`` marked for broadcasting if it has at most ``limit`` rows, which is counted."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+def _is_small(df: DataFrame, limit: int) -> bool:
+    """Whether ``df`` has at most ``limit`` rows, which is counted."""
+    return df.limit(limit + 1).count() <= limit
 
 
 def match_candidates(
@@ -39,31 +39,34 @@ def match_candidates(
 
     An equi-join on the feature: only pairs that share one exist, and pairs without one
     would score 0 and are not reported. Features are made distinct before the join. The
-    candidates are counted first, and broadcast up to ``broadcast_rows``; beyond that it is
-    a shuffled join in which AQE splits the partitions of frequent features.
+    candidates are counted first. Up to ``broadcast_rows`` they are broadcast, and the
+    features they know are brought together by job, of which there are as many at most, so
+    that the pairs are counted where they arise. Beyond that it is a shuffled join in which
+    AQE splits the partitions of frequent features.
     """
     # Without NULLs from the start, so that both uses of it share one shuffle.
     a = jobs.select(job, feature).where(F.col(feature).isNotNull()).distinct()
-    b = _known_small(candidates.select(candidate, feature).distinct(), broadcast_rows)
+    b = candidates.select(candidate, feature).distinct()
+    size_a = a.groupBy(job).agg(F.count(F.lit(1)).alias("job_size"))
     size_b = b.groupBy(candidate).agg(F.count(F.lit(1)).alias("candidate_size"))
-    # The size of a job is counted along as a pair without candidate, in the same shuffle.
-    is_sink = F.col(feature).startswith(SINK_PREFIX).alias("sink")
-    nobody = F.lit(None).cast(b.schema[candidate].dataType).alias(candidate)
-    hits = a.join(b, feature).select(job, candidate, is_sink)
-    own = a.select(job, nobody, is_sink)
-    counted = hits.unionByName(own).groupBy(job, candidate).agg(*_hits(F.col("sink")))
-    of_job = Window.partitionBy(job)
-    pairs = counted.withColumn(
-        "job_size", F.max(F.when(F.col(candidate).isNull(), F.col("shared"))).over(of_job)
-    ).where(F.col(candidate).isNotNull())
+    if _is_small(b, broadcast_rows):
+        b = F.broadcast(b)
+        # An inner join, unlike a semi join, stays above the distinct it shares with size_a.
+        a = a.join(F.broadcast(b.select(feature).distinct()), feature).repartition(job)
+    pairs = (
+        a.join(b, feature)
+        .groupBy(job, candidate)
+        .agg(*_hits(F.col(feature).startswith(SINK_PREFIX)))
+        .join(size_a, job)
+        .join(size_b, candidate)
+    )
     united = F.col("job_size") + F.col("candidate_size") - F.col("shared")
     # Doubled, so that the half bonus stays an integer and rounding is exact.
     doubled = 2 * F.col("shared") + F.col("shared_sinks")
     percent = F.floor((200 * doubled + 2 * united) / (4 * united))
-    best_first = of_job.orderBy(F.desc("score"), F.asc(candidate))
+    best_first = Window.partitionBy(job).orderBy(F.desc("score"), F.asc(candidate))
     return (
-        pairs.join(size_b, candidate)
-        .withColumn("score", doubled / (2 * united))
+        pairs.withColumn("score", doubled / (2 * united))
         # The tier goes by the reported score, which has two decimals.
         .withColumn("tier", tier(percent / 100, SINGLE_MATCH_TIERS, "poor"))
         .withColumn("rank", F.row_number().over(best_first))
@@ -80,7 +83,9 @@ def match_combined(
 ) -> DataFrame:
     """Candidates against the united features of all jobs, with the share of sinks covered."""
     a = jobs.select(feature).where(F.col(feature).isNotNull()).distinct()
-    b = _known_small(candidates.select(candidate, feature).distinct(), broadcast_rows)
+    b = candidates.select(candidate, feature).distinct()
+    if _is_small(b, broadcast_rows):
+        b = F.broadcast(b)
     is_sink = F.col(feature).startswith(SINK_PREFIX)
     totals = a.agg(F.struct(F.count(F.lit(1)).alias("n"), F.count_if(is_sink).alias("sinks"))).scalar()
     size_a, sinks_a = totals.getField("n"), totals.getField("sinks")
