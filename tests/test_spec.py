@@ -131,6 +131,24 @@ def test_json_sink_and_generated_source(spark, tmp_path):
     assert got.count() == 10 and got.agg(F.max("uid")).first()[0] == 5
 
 
+def test_print_and_discard(spark, tmp_path, capsys):
+    given = event_spec(tmp_path)
+    given["sink"] = {"model": "print", "day_column": None}
+    run(spark, SyncSpec.from_dict(given))
+    assert "0.0.0.0" in capsys.readouterr().out
+    for model in ("print", "discard"):
+        given["sink"]["model"] = model
+        run(spark, SyncSpec.from_dict(given), "stream", checkpoint=str(tmp_path / model)).awaitTermination()
+
+
+def test_changes_from_a_time_on(spark, tmp_path):
+    given = cdc_spec(tmp_path)
+    given["source"].update(startup="timestamp", start={"ts": "seq.ts_ms", "since": F.lit(3)})
+    given["sink"]["not_null"] = []
+    got = build(spark, SyncSpec.from_dict(given))
+    assert rows_of(got, "kind", "id") == [("delete", 2), ("upsert", 2)]
+
+
 def test_mistakes_are_refused(spark, tmp_path):
     given = event_spec(tmp_path)
     with pytest.raises(ValueError, match="unknown entries"):
