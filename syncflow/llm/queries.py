@@ -3,19 +3,32 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from . import quality
+from . import packing, quality, token_count
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents")).drop("row_key")
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_count.count_tokens(table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
+
+
 _QUALITY_SQL = r"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(source, chr(0)) AS host, coalesce(text, '') AS text
@@ -50,5 +63,8 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, word
 FROM m
 """
 
-QUERIES = {"op9_quality_rules": op9_quality_rules}
+QUERIES = {
+    "op2_best_fit_packing": op2_best_fit_packing, "op9_quality_rules": op9_quality_rules,
+    "op10_token_counts": op10_token_counts,
+}
 SQL = {"op9_quality_rules": _QUALITY_SQL}
