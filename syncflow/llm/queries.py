@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, quality, token_count
+from . import line_templates, packing, quality, sharding, token_count
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,14 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"))
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_templates.drop_recurring(table(spark, sf_dir, "documents")).drop("key")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents")).drop("row_key")
 
@@ -29,6 +37,35 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
 
 
+_TEMPLATE_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
+p AS (SELECT r, doc_id, text, generate_subscripts(ls, 1) AS pos, unnest(ls) AS line
+      FROM (SELECT r, doc_id, text, string_split(text, chr(10)) AS ls FROM d)),
+l AS (SELECT *, list_transform(regexp_extract_all(line, '[^ \t\x0B\f\r]+'),
+        lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END) AS ts FROM p),
+k AS (SELECT r, doc_id, text, pos, ts, len(ts) AS n, array_to_string(ts, ' ') AS own,
+        len(ts) || ' ' || array_to_string(ts[1:5], ' ') AS leaf FROM l WHERE len(ts) > 0),
+kinds AS (SELECT own, leaf, count(DISTINCT (doc_id, text)) AS documents, min(doc_id) AS first, any_value(ts) AS ts
+          FROM k GROUP BY own, leaf),
+leaves AS (SELECT leaf, sum(documents) AS total FROM kinds GROUP BY leaf HAVING count(*) > 1 AND sum(documents) >= 5),
+tok AS (SELECT own, leaf, documents, total, generate_subscripts(ts, 1) AS pos, unnest(ts) AS token
+        FROM kinds JOIN leaves USING (leaf)),
+con AS (SELECT leaf, pos, token FROM tok GROUP BY leaf, pos, token, total HAVING 2 * sum(documents) > total),
+mem AS (SELECT own, tok.leaf FROM tok LEFT JOIN con ON tok.leaf = con.leaf AND tok.pos = con.pos AND tok.token = con.token
+        GROUP BY own, tok.leaf HAVING count(con.token) >= count(*) * 0.7),
+tpl AS (SELECT kinds.own, documents, first, mem.own IS NOT NULL AS is_shared, coalesce(mem.leaf, kinds.own) AS template
+        FROM kinds LEFT JOIN mem ON kinds.own = mem.own),
+rec AS (SELECT template, is_shared, min(first) AS first FROM tpl GROUP BY template, is_shared HAVING sum(documents) >= 5),
+gone AS (SELECT r, pos FROM k JOIN tpl USING (own) JOIN rec USING (template, is_shared)
+         WHERE k.doc_id IS DISTINCT FROM rec.first)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(x.text, '') END AS text,
+       coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_dropped, 0)::BIGINT AS n_dropped
+FROM d LEFT JOIN (
+  SELECT l.r, string_agg(line, chr(10) ORDER BY l.pos) FILTER (WHERE gone.r IS NULL) AS text,
+         count(*) FILTER (WHERE len(ts) > 0) AS n_lines, count(gone.r) AS n_dropped
+  FROM l LEFT JOIN gone ON l.r = gone.r AND l.pos = gone.pos GROUP BY l.r) x USING (r)
+"""
+
 _QUALITY_SQL = r"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(source, chr(0)) AS host, coalesce(text, '') AS text
@@ -64,7 +101,8 @@ FROM m
 """
 
 QUERIES = {
-    "op2_best_fit_packing": op2_best_fit_packing, "op9_quality_rules": op9_quality_rules,
+    "op2_best_fit_packing": op2_best_fit_packing, "op5_sharding": op5_sharding,
+    "op8_line_dedup": op8_line_dedup, "op9_quality_rules": op9_quality_rules,
     "op10_token_counts": op10_token_counts,
 }
-SQL = {"op9_quality_rules": _QUALITY_SQL}
+SQL = {"op8_line_dedup": _TEMPLATE_SQL, "op9_quality_rules": _QUALITY_SQL}
