@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import line_templates, packing, quality, sharding, token_count
+from . import line_templates, mixing, packing, quality, sharding, token_count, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,10 +22,37 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"))
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.sample(table(spark, sf_dir, "documents"))
+    return mixed.withColumn("chance", F.floor(F.col("chance") * 1e6)).withColumnRenamed("chance", "chance_ppm")
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+def _junk_list(captures: DataFrame) -> DataFrame:
+    """A dated list from the captures themselves: hosts, and their first path segments, are added
+    the day after most of their titles were junk, and removed the day after most were not."""
+    title = F.regexp_extract("html", "<title>([^<]*)", 1)
+    junk = (F.length(title) - F.length(F.translate(title, "#*$%|", "")) >= 3).cast("int")
+    host, path = url_filter.host_of("url"), url_filter.path_of("url")
+    patterns = F.array_distinct(F.array(host, F.concat_ws("/", host, F.try_element_at(path, F.lit(1)))))
+    seen = captures.select(F.explode(patterns).alias("pattern"), F.to_date("fetched").alias("seen"), junk.alias("junk"))
+    action = F.when(F.avg("junk") > 0.5, "add").otherwise("remove")
+    return seen.where("pattern <> ''").groupBy("pattern", "seen").agg(action.alias("action")).select(
+        "pattern", F.date_add("seen", 1).alias("day"), "action"
+    )
+
+
+def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The crawl fetched the pages in order, one an hour.
+    start = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    fetched = start + F.make_dt_interval(hours=F.col("page_id").cast("int"))
+    captures = table(spark, sf_dir, "pages").withColumn("fetched", fetched)
+    return url_filter.judge(captures, _junk_list(captures))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_templates.drop_recurring(table(spark, sf_dir, "documents")).drop("key")
 
@@ -37,6 +65,65 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
 
 
+_URL_SQL = r"""
+WITH c AS (SELECT page_id, url, html, (TIMESTAMP '2024-01-01' + to_hours(page_id))::DATE AS day,
+  regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)), '\.$', '') AS host,
+  list_filter(string_split(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)', 1), '/'), lambda s: s <> '') AS segs
+  FROM pages),
+j AS (SELECT *, length(t) - length(translate(t, '#*$%|', '')) >= 3 AS junk
+      FROM (SELECT *, regexp_extract(html, '<title>([^<]*)', 1) AS t FROM c)),
+seen AS (SELECT host AS pattern, day, junk FROM j WHERE host <> ''
+         UNION ALL SELECT host || '/' || segs[1], day, junk FROM j WHERE len(segs) > 0),
+ent AS (SELECT pattern, day + 1 AS day, avg(junk::INT) > 0.5 AS is_added FROM seen GROUP BY pattern, day),
+iv AS (SELECT * FROM (SELECT pattern, day AS valid_from, lead(day) OVER (PARTITION BY pattern ORDER BY day) AS valid_to, is_added FROM ent)
+       WHERE is_added),
+cov AS (SELECT page_id, url, day, unnest(list_concat(
+          list_transform(range(1, len(labels) + 1), lambda i: array_to_string(labels[i:], '.')),
+          CASE WHEN len(segs) > 0 THEN [host || '/' || segs[1]] ELSE [] END)) AS pattern
+        FROM (SELECT *, string_split(host, '.') AS labels FROM c WHERE host <> '')),
+hit AS (SELECT page_id, url, day, pattern, valid_from, row_number() OVER (PARTITION BY page_id, url ORDER BY length(pattern) DESC, pattern DESC) AS nth
+        FROM cov JOIN iv USING (pattern) WHERE day >= valid_from AND (valid_to IS NULL OR day < valid_to))
+SELECT c.page_id, c.url, c.day, hit.pattern IS NOT NULL AS blocked, hit.pattern, hit.valid_from AS since
+FROM c LEFT JOIN hit ON c.page_id = hit.page_id AND c.url = hit.url AND nth = 1
+"""
+
+
+def _mixing_sql() -> str:
+    """The raking rounds, one after the other."""
+    steps = [r"""
+d AS (SELECT doc_id, source, lang, coalesce(source, chr(0)) AS d_source, coalesce(lang, chr(0)) AS d_lang,
+  CASE WHEN regexp_matches(text, '(License|Licence|Copyright)') THEN 'legal'
+       WHEN (length(text) - length(translate(text, '#*$%&|<>', ''))) * 20 > length(text) THEN 'markup'
+       WHEN regexp_matches(text, '[A-Za-z0-9]@[A-Za-z0-9]') THEN 'contact' ELSE 'prose' END AS d_topic,
+  coalesce(len(regexp_extract_all(text, '[^ \t\n\x0B\f\r]+')), 0)::BIGINT AS tokens FROM documents),
+s AS (SELECT d_source, d_lang, d_topic, sum(tokens)::DOUBLE AS tokens FROM d GROUP BY ALL HAVING sum(tokens) > 0),
+c0 AS (SELECT *, tokens / (SELECT sum(tokens) FROM s) AS weight FROM s)"""]
+    for dim, wanted in mixing.TARGETS.items():
+        if isinstance(wanted, float):
+            raw = f"pow(held, {wanted})"
+        else:
+            cases = " ".join(f"WHEN '{v}' THEN {share}" for v, share in wanted.items())
+            rest = max(0.0, 1.0 - sum(wanted.values()))
+            raw = (f"coalesce(CASE d_{dim} {cases} END, {rest!r} * held"
+                   f" / sum(held) FILTER (WHERE d_{dim} NOT IN ({', '.join(map(repr, wanted))})) OVER ())")
+        steps.append(f"r_{dim} AS (SELECT d_{dim}, {raw} AS raw FROM (SELECT d_{dim}, sum(weight) AS held FROM c0 GROUP BY 1))")
+        steps.append(f"t_{dim} AS (SELECT d_{dim}, raw / sum(raw) OVER () AS target FROM r_{dim})")
+    at = 0
+    for _ in range(mixing.ROUNDS):
+        for dim in mixing.DIMENSIONS:
+            steps.append(
+                f"c{at + 1} AS MATERIALIZED (SELECT d_source, d_lang, d_topic, tokens, weight * target / now AS weight"
+                f" FROM (SELECT *, sum(weight) OVER (PARTITION BY d_{dim}) AS now FROM c{at}) JOIN t_{dim} USING (d_{dim}))"
+            )
+            at += 1
+    return "WITH " + ",\n".join(steps) + f"""
+SELECT doc_id, source, lang, d_topic AS topic, d.tokens, floor(coalesce(chance, 0) * 1e6)::BIGINT AS chance_ppm,
+  d.tokens > 0 AND ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':{mixing.SEED}'), 1, 12))::BIGINT / 281474976710656.0
+    < coalesce(chance, 0) AS sampled
+FROM d LEFT JOIN (SELECT d_source, d_lang, d_topic, (weight / tokens) / max(weight / tokens) OVER () AS chance FROM c{at})
+  USING (d_source, d_lang, d_topic)"""
+
+
 _TEMPLATE_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
 p AS (SELECT r, doc_id, text, generate_subscripts(ls, 1) AS pos, unnest(ls) AS line
@@ -101,8 +188,11 @@ FROM m
 """
 
 QUERIES = {
-    "op2_best_fit_packing": op2_best_fit_packing, "op5_sharding": op5_sharding,
+    "op2_best_fit_packing": op2_best_fit_packing, "op4_mixing": op4_mixing, "op5_sharding": op5_sharding,
+    "op6_url_filters": op6_url_filters,
     "op8_line_dedup": op8_line_dedup, "op9_quality_rules": op9_quality_rules,
     "op10_token_counts": op10_token_counts,
 }
-SQL = {"op8_line_dedup": _TEMPLATE_SQL, "op9_quality_rules": _QUALITY_SQL}
+SQL = {
+    "op4_mixing": _mixing_sql(), "op6_url_filters": _URL_SQL, "op8_line_dedup": _TEMPLATE_SQL, "op9_quality_rules": _QUALITY_SQL,
+}
