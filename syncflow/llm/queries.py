@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_templates, mixing, packing, quality, sharding, token_count, url_filter
+from . import line_templates, mixing, ngram_join, packing, quality, sharding, token_count, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"))
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents"), n=4, percent=85)
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.sample(table(spark, sf_dir, "documents"))
     return mixed.withColumn("chance", F.floor(F.col("chance") * 1e6)).withColumnRenamed("chance", "chance_ppm")
@@ -188,7 +192,8 @@ FROM m
 """
 
 QUERIES = {
-    "op2_best_fit_packing": op2_best_fit_packing, "op4_mixing": op4_mixing, "op5_sharding": op5_sharding,
+    "op2_best_fit_packing": op2_best_fit_packing, "op3_ngram_join": op3_ngram_join,
+    "op4_mixing": op4_mixing, "op5_sharding": op5_sharding,
     "op6_url_filters": op6_url_filters,
     "op8_line_dedup": op8_line_dedup, "op9_quality_rules": op9_quality_rules,
     "op10_token_counts": op10_token_counts,
