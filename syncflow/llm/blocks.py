@@ -22,7 +22,16 @@ from .common import written
 
 BLOCK_BYTES = 6 << 20
 BUCKET_KEYS = 3_000_000  # hashes in a bucket, about: 24 MB, and as much again to sort them
-_SCHEMA = "block long, ids array<long>, ends array<long>, data binary"
+_SCHEMA = "block long, ids array<long>, copies array<int>, ends array<long>, data binary"
+
+
+_LAID = pa.schema([
+    ("block", pa.int64()), ("ids", pa.list_(pa.int64())), ("copies", pa.list_(pa.int32())),
+    ("ends", pa.list_(pa.int64())), ("data", pa.binary()),
+])
+_SENT = pa.schema([
+    ("bucket", pa.int32()), ("block", pa.int64()), ("n", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary()),
+])
 
 
 def _laying(block_bytes: int) -> Callable:
@@ -30,26 +39,29 @@ def _laying(block_bytes: int) -> Callable:
         first, nth = TaskContext.get().partitionId() << 32, 0
         pack = zstandard.ZstdCompressor(level=3)
         ids: list = []
+        copies: list[int] = []
         texts: list[bytes] = []
         size, last = 0, object()
 
         def block() -> pa.RecordBatch:
             ends = np.cumsum([len(t) for t in texts])
             return pa.RecordBatch.from_pydict(
-                {"block": [first + nth], "ids": [ids], "ends": [ends.tolist()], "data": [pack.compress(b"".join(texts))]},
-                pa.schema([("block", pa.int64()), ("ids", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64())), ("data", pa.binary())]),
+                {"block": [first + nth], "ids": [ids], "copies": [copies], "ends": [ends.tolist()],
+                 "data": [pack.compress(b"".join(texts))]}, _LAID,
             )
 
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 if (doc_id, text) == last:
-                    continue  # the same row again
+                    copies[-1] += 1  # the same row again
+                    continue
                 last = (doc_id, text)
                 text = (text or "").encode()
                 if texts and size + len(text) > block_bytes:
                     yield block()
-                    nth, ids, texts, size = nth + 1, [], [], 0
+                    nth, ids, copies, texts, size = nth + 1, [], [], [], 0
                 ids.append(doc_id)
+                copies.append(1)
                 texts.append(text)
                 size += len(text)
         if texts:
@@ -69,9 +81,9 @@ def opened(row: dict) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8), np.array([0, *row["ends"]], np.int64)
 
 
-def _by_bucket(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+def _by_bucket(spread: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """The order that brings sorted keys together by bucket, and the buckets' bounds in it."""
-    bucket = ((keys >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
+    bucket = ((spread >> np.uint64(20)) % np.uint64(buckets)).astype(np.int32)
     order = np.argsort(bucket, kind="stable")
     return order, np.searchsorted(bucket[order], np.arange(buckets + 1))
 
@@ -90,8 +102,8 @@ def _sending(hashes: Callable, buckets: int) -> Callable:
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                keys, counts = hashes(row)
-                order, bounds = _by_bucket(keys, buckets)
+                keys, counts, spread = hashes(row)
+                order, bounds = _by_bucket(spread, buckets)
                 keys, counts = keys[order], np.minimum(counts[order], 255).astype(np.uint8)
                 rows: dict[str, list] = {"bucket": [], "block": [], "n": [], "keys": [], "counts": []}
                 for bucket in np.nonzero(np.diff(bounds))[0].tolist():
@@ -106,58 +118,59 @@ def _sending(hashes: Callable, buckets: int) -> Callable:
     return send
 
 
-_SENT = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("n", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
-
-
-def _answer(table: pa.Table) -> pa.Table:
-    """For each hash of a bucket: in how many documents it is, and whether its block is the first."""
-    rows = sorted(table.to_pylist(), key=lambda r: r["block"])
-    sizes = [r["n"] for r in rows]
-    keys = np.concatenate([np.cumsum(_unplaned(r["keys"], np.uint64), dtype=np.uint64) for r in rows])
-    counts = np.concatenate([np.frombuffer(r["counts"], np.uint8) for r in rows])
-    order = np.argsort(keys, kind="stable")
-    ranked = keys[order]
-    fresh = np.concatenate(([True], ranked[1:] != ranked[:-1]))
-    starts = np.nonzero(fresh)[0]
-    totals = np.add.reduceat(counts[order].astype(np.int64), starts)
-    held = np.empty(len(keys), np.uint16)
-    held[order] = np.repeat(np.minimum(totals, 65535), np.diff(np.append(starts, len(keys))))
-    first = np.empty(len(keys), np.uint8)
-    first[order] = fresh
-    bounds = np.cumsum([0, *sizes])
-    parts = list(zip(bounds[:-1], bounds[1:], strict=True))
-    return pa.table({
-        "block": pa.array([r["block"] for r in rows], pa.int64()),
-        "bucket": pa.array([r["bucket"] for r in rows], pa.int32()),
-        "held": pa.array([_planes(held[lo:hi]) for lo, hi in parts], pa.binary()),
-        "first": pa.array([np.packbits(first[lo:hi]).tobytes() for lo, hi in parts], pa.binary()),
-    })
-
-
-def ask(blocks: DataFrame, hashes: Callable, keys: float, step: str) -> DataFrame:
-    """What the corpus holds of the hashes of each block: (block, answers).
-
-    ``hashes`` maps a block's row to sorted distinct hashes and their number of documents in the
-    block; ``keys`` is about how many there are in all.
+def _answering(kind: str) -> Callable:
+    def answer(table: pa.Table) -> pa.Table:
+        rows = sorted(table.to_pylist(), key=lambda r: r["block"])
+        keys = np.concatenate([np.cumsum(_unplaned(r["keys"], np.uint64), dtype=np.uint64) for r in rows])
+        order = np.argsort(keys, kind="stable")
+        ranked = keys[order]
+        fresh = np.concatenate(([True], ranked[1:] != ranked[:-1]))
+        if kind == "first":
+            values = np.empty(len(keys), bool)
+            values[order] = fresh
+        else:
+            counts = np.concatenate([np.frombuffer(r["counts"], np.uint8) for r in rows])
+            starts = np.nonzero(fresh)[0]
+            totals = np.add.reduceat(counts[order].astype(np.int64), starts)
+            held = np.minimum(totals, 65535) if kind == "held" else totals > 1
+            values = np.empty(len(keys), np.uint16 if kind == "held" else bool)
+            values[order] = np.repeat(held, np.diff(np.append(starts, len(keys))))
+        bounds = np.cumsum([0, *(r["n"] for r in rows)])
+        parts = [values[lo:hi] for lo, hi in zip(bounds[:-1], bounds[1:], strict=True)]
+        packed = [_planes(p) if kind == "held" else np.packbits(p).tobytes() for p in parts]
+        return pa.table({
+            "block": pa.array([r["block"] for r in rows], pa.int64()),
+            "bucket": pa.array([r["bucket"] for r in rows], pa.int32()),
+            "told": pa.array(packed, pa.binary()),
+        })
+
+    return answer
+
+
+def ask(blocks: DataFrame, hashes: Callable, keys: float, kind: str) -> DataFrame:
+    """What the corpus holds of the hashes of each block: (block, <kind>, <kind>_buckets).
+
+    ``hashes`` maps a block's row to its sorted distinct hashes, the number of places that hold each,
+    and the numbers that choose their buckets; ``keys`` is about how many there are in all. Kinds:
+    ``held``, the number of places in the corpus (up to 65,535); ``shared``, whether there are two or
+    more; ``first``, whether no block before this one holds the hash.
     """
     buckets = int(keys // BUCKET_KEYS) + 1
     sent = blocks.mapInArrow(_sending(hashes, buckets), "bucket int, block long, n long, keys binary, counts binary")
-    answers = sent.groupBy("bucket").applyInArrow(_answer, "block long, bucket int, held binary, first binary")
-    kept = "held" if step == "held" else "first"
-    told = written(answers.select("block", "bucket", F.col(kept).alias("told")), "answers")
-    return told.groupBy("block").agg(F.collect_list(F.struct("bucket", "told")).alias(step)).withColumn(
-        f"{step}_buckets", F.lit(buckets)
-    )
+    answers = sent.groupBy("bucket").applyInArrow(_answering(kind), "block long, bucket int, told binary")
+    told = written(answers, "answers").groupBy("block").agg(F.collect_list(F.struct("bucket", "told")).alias(kind))
+    return told.withColumn(f"{kind}_buckets", F.lit(buckets))
 
 
-def told(row: dict, step: str, keys: np.ndarray) -> np.ndarray:
+def told(row: dict, kind: str, keys: np.ndarray, spread: np.ndarray) -> np.ndarray:
     """The answers for a block's sorted keys."""
-    order, bounds = _by_bucket(keys, row[f"{step}_buckets"] or 1)
     out = np.zeros(len(keys), np.int64)
-    for answer in row[step] or []:
-        where = order[bounds[answer["bucket"]] : bounds[answer["bucket"] + 1]]
-        if step == "held":
-            out[where] = _unplaned(answer["told"], np.uint16)
-        else:
-            out[where] = np.unpackbits(np.frombuffer(answer["told"], np.uint8), count=len(where))
+    if row[kind]:
+        order, bounds = _by_bucket(spread, row[f"{kind}_buckets"])
+        for answer in row[kind]:
+            where = order[bounds[answer["bucket"]] : bounds[answer["bucket"] + 1]]
+            out[where] = (
+                _unplaned(answer["told"], np.uint16) if kind == "held"
+                else np.unpackbits(np.frombuffer(answer["told"], np.uint8), count=len(where))
+            )
     return out

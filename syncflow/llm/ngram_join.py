@@ -69,9 +69,9 @@ def _signing(n: int) -> Callable:
 
 
 def _block_hashes(n: int) -> Callable:
-    def hashes(row: dict) -> tuple[np.ndarray, np.ndarray]:
-        grams = list(shingle_sets(*blocks.opened(row), n))
-        return np.unique(np.concatenate(grams), return_counts=True) if grams else (np.zeros(0, np.uint64),) * 2
+    def hashes(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        keys, counts = np.unique(np.concatenate(list(shingle_sets(*blocks.opened(row), n))), return_counts=True)
+        return keys, counts, keys
 
     return hashes
 
@@ -89,7 +89,7 @@ def _bounding(n: int, percent: int) -> Callable:
             for row in batch.to_pylist():
                 sets = list(shingle_sets(*blocks.opened(row), n))
                 keys = np.unique(np.concatenate(sets))
-                held = blocks.told(row, "held", keys)
+                held = blocks.told(row, "held", keys, keys)
                 out: list[dict] = []
                 for doc_id, grams in zip(row["ids"], sets, strict=True):
                     times = held[np.searchsorted(keys, grams)]

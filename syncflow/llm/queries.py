@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_templates, mixing, ngram_join, packing, quality, sharding, token_count, url_filter
+from . import line_templates, mixing, ngram_join, packing, quality, sharding, suffix_dedup, token_count, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,15 @@ def _vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return cut.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"))
 
@@ -192,6 +201,7 @@ FROM m
 """
 
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_best_fit_packing": op2_best_fit_packing, "op3_ngram_join": op3_ngram_join,
     "op4_mixing": op4_mixing, "op5_sharding": op5_sharding,
     "op6_url_filters": op6_url_filters,
