@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_templates, mixing, ngram_join, packing, quality, sharding, suffix_dedup, token_count, url_filter
+from . import embedding_dedup, line_templates, mixing, ngram_join, packing, quality, sharding, suffix_dedup, token_count, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,6 +66,10 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(captures, _junk_list(captures))
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_templates.drop_recurring(table(spark, sf_dir, "documents")).drop("key")
 
@@ -204,7 +208,7 @@ QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_best_fit_packing": op2_best_fit_packing, "op3_ngram_join": op3_ngram_join,
     "op4_mixing": op4_mixing, "op5_sharding": op5_sharding,
-    "op6_url_filters": op6_url_filters,
+    "op6_url_filters": op6_url_filters, "op7_embedding_dedup": op7_embedding_dedup,
     "op8_line_dedup": op8_line_dedup, "op9_quality_rules": op9_quality_rules,
     "op10_token_counts": op10_token_counts,
 }
