@@ -152,8 +152,3 @@ def components(edges: DataFrame) -> DataFrame:
         before = now
     roots = held.select(F.col("b").alias("node")).distinct().withColumn("component", F.col("node"))
     return held.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)
-
-
-def shared_bytes(spark: SparkSession, df: DataFrame, column: str) -> int:
-    """Bytes of a text column, over all rows."""
-    return df.agg(F.sum(F.octet_length(column))).first()[0] or 0
