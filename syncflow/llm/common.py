@@ -16,9 +16,14 @@ _FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 def pick(df: DataFrame, *names: str) -> DataFrame:
     """The named columns alone, the first of each name; safe with odd, repeated or clashing names."""
-    held = [df.columns.index(name) for name in names]
-    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
-    return plain.select(*[F.col(f"c{i}").alias(name) for i, name in zip(held, names, strict=True)])
+    rows, at = plain(df, *names)
+    return rows.select(*[F.col(at[name]).alias(name) for name in names])
+
+
+def plain(df: DataFrame, *names: str) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with columns c0, c1, ... and where the named ones are; ``toDF(*df.columns)`` undoes it."""
+    held = [f"c{i}" for i in range(len(df.columns))]
+    return df.toDF(*held), {name: held[df.columns.index(name)] for name in names}
 
 
 def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:

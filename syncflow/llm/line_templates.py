@@ -1,7 +1,7 @@
 """Line dedup by a log-template tree of fixed depth.
 
 A line's path in the tree is its number of tokens and its leading ``DEPTH`` tokens, tokens that hold
-a digit standing as ``<*>``. Within a leaf, a position is constant if one token holds it in more than
+a digit standing as ``<*>`` (unless most tokens do: a row of numbers stands for itself). Within a leaf, a position is constant if one token holds it in more than
 half of the leaf's documents; lines of which ``SIMILAR`` of the positions are constant share the
 leaf's template, all others are templates of their own. Templates found in ``MIN_DOCUMENTS``
 documents or more recur: their lines are dropped, but for those of the first document (by doc_id), so
@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pick, row_key, written
+from .common import pick, plain, row_key, written
 
 DEPTH = 5
 SIMILAR = 0.7
@@ -33,11 +33,14 @@ def _lines(rows: DataFrame, depth: int) -> DataFrame:
     """key, doc_id, pos, n, line, leaf, template (the masked line's own) of lines with tokens."""
     spaced = F.regexp_replace("text", "[ \\t\\x0B\\f\\r]+", " ")
     masked = F.regexp_replace(spaced, "(?<![^ \\n])[^ \\n0-9]*+[0-9][^ \\n]*+", VARIABLE)
-    lines = rows.select("key", "doc_id", F.posexplode(F.split(masked, "\n")).alias("pos", "line"))
+    both = F.arrays_zip(F.split(spaced, "\n").alias("own"), F.split(masked, "\n").alias("masked"))
+    lines = rows.select("key", "doc_id", F.posexplode(both).alias("pos", "both"))
+    variables = F.length("both.masked") - F.length(F.replace("both.masked", F.lit(VARIABLE), F.lit("")))
+    mostly = 2 * variables > len(VARIABLE) * F.size(F.split(F.trim("both.masked"), " "))
     tokens = F.split(F.col("line"), " ")
     return (
-        lines.withColumn("line", F.trim("line")).where("line <> ''")
-        .withColumn("n", F.size(tokens))
+        lines.withColumn("line", F.trim(F.when(mostly, F.col("both.own")).otherwise(F.col("both.masked"))))
+        .where("line <> ''").drop("both").withColumn("n", F.size(tokens))
         .withColumn("leaf", F.xxhash64("n", F.array_join(F.slice(tokens, 1, depth), " ")))
         .withColumn("own", F.xxhash64("line"))
     )
@@ -109,17 +112,18 @@ def drop_recurring(
 
 
 def keep_new_lines(docs: DataFrame, **limits) -> DataFrame:
-    """``docs`` (doc_id, text, lang, source, n_chars) without recurring lines.
+    """``docs`` without recurring lines, with all columns.
 
     Documents that lose their last line go; ``n_chars`` follows the text.
     """
-    names = docs.columns
-    plain = docs.withColumn("key", row_key("doc_id", "text"))
+    rows, at = plain(docs, "doc_id", "text", "n_chars")
+    keyed = rows.withColumn("key", row_key(at["doc_id"], at["text"]))
     cut = drop_recurring(docs, **limits).where("n_dropped > 0").dropDuplicates(["key"]).select(
         "key", F.col("text").alias("new_text"), (F.col("n_dropped") == F.col("n_lines")).alias("is_empty")
     )
-    held = plain.join(cut, "key", "left").where("is_empty is null or not is_empty")
-    text = F.when(F.col("is_empty").isNotNull(), F.col("new_text")).otherwise(F.col("text"))
-    size = F.when(F.col("is_empty").isNotNull(), F.length("new_text")).otherwise(F.col("n_chars"))
-    values = {"text": text, "n_chars": size.cast("long")}
-    return held.select(*[values.get(c, F.col(c)).alias(c) for c in names])
+    held = keyed.join(cut, "key", "left").where("is_empty is null or not is_empty")
+    values = {
+        at["text"]: F.when(F.col("is_empty").isNotNull(), F.col("new_text")).otherwise(F.col(at["text"])),
+        at["n_chars"]: F.when(F.col("is_empty").isNotNull(), F.length("new_text")).otherwise(F.col(at["n_chars"])).cast("long"),
+    }
+    return held.select(*[values.get(c, F.col(c)).alias(c) for c in rows.columns]).toDF(*docs.columns)

@@ -24,7 +24,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import pick, written
+from .common import pick, plain, written
 
 ROUNDS = 6
 SEED = 17
@@ -51,10 +51,13 @@ def topic_of(text: str) -> Column:
     )
 
 
-def weighed(docs: DataFrame) -> DataFrame:
-    """``docs`` with the cell of each document in d_source, d_lang, d_topic, and its tokens."""
-    cells = {f"d_{c}": F.coalesce(F.col(c).cast("string"), F.lit(_NULL)) for c in ("source", "lang")}
-    return docs.withColumns(cells | {"d_topic": topic_of("text"), "tokens": token_count("text")})
+def weighed(docs: DataFrame, at: Mapping[str, str]) -> DataFrame:
+    """``docs`` with the cell of each document in d_source, d_lang, d_topic, and its tokens.
+
+    ``at`` names the columns that hold source, lang and text.
+    """
+    cells = {f"d_{c}": F.coalesce(F.col(at[c]).cast("string"), F.lit(_NULL)) for c in ("source", "lang")}
+    return docs.withColumns(cells | {"d_topic": topic_of(at["text"]), "tokens": token_count(at["text"])})
 
 
 def _target(cells: DataFrame, dim: str, wanted: Mapping[str, float] | float) -> DataFrame:
@@ -86,7 +89,9 @@ def rake(
     for _ in range(rounds):
         for d in dims:
             now = fitted.groupBy(d).agg(F.sum("weight").alias("now"))
-            scale = now.join(wanted[d], d).select(d, (F.col("target") / F.col("now")).alias("scale"))
+            # A value whose cells have all been scaled to nothing cannot meet its target.
+            ratio = F.when(F.col("now") > 0, F.try_divide("target", "now")).otherwise(0.0)
+            scale = now.join(wanted[d], d).select(d, ratio.alias("scale"))
             fitted = fitted.join(scale, d).select(
                 *dims, "tokens", (F.col("weight") * F.col("scale")).alias("weight")
             )
@@ -117,8 +122,8 @@ def sample(
     seed: int = SEED,
 ) -> DataFrame:
     """doc_id, source, lang, topic, tokens, chance and ``sampled`` for every document."""
-    rows = weighed(pick(docs, "doc_id", "text", "source", "lang")).drop("text")
-    held = written(rows, "weighed")
+    names = ("doc_id", "text", "source", "lang")
+    held = written(weighed(pick(docs, *names), dict(zip(names, names, strict=True))).drop("text"), "weighed")
     joined = held.join(chances(held, targets, rounds), [f"d_{d}" for d in targets], "left")
     chance = F.coalesce("chance", F.lit(0.0))
     return joined.select(
@@ -129,7 +134,10 @@ def sample(
 
 def keep_sample(docs: DataFrame, seed: int = SEED, **options) -> DataFrame:
     """The sampled documents, with the columns they have."""
-    rows = weighed(docs)
-    fitted = chances(rows.select("d_source", "d_lang", "d_topic", "tokens"), **options)
-    joined = rows.join(fitted, ["d_source", "d_lang", "d_topic"])
-    return joined.where((F.col("tokens") > 0) & (draw("doc_id", seed) < F.col("chance"))).select(*docs.columns)
+    rows, at = plain(docs, "doc_id", "text", "source", "lang")
+    cells = weighed(rows, at)
+    fitted = chances(cells.select("d_source", "d_lang", "d_topic", "tokens"), **options)
+    drawn = cells.join(fitted, ["d_source", "d_lang", "d_topic"]).where(
+        (F.col("tokens") > 0) & (draw(at["doc_id"], seed) < F.col("chance"))
+    )
+    return drawn.select(*rows.columns).toDF(*docs.columns)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import blocks
-from .common import components, mix, pick, text_bytes, word_hashes, written
+from .common import components, mix, pick, plain, text_bytes, word_hashes, written
 
 _SIGNED = "doc_id long, n_shingles long, s1 long, s2 long"
 
@@ -187,5 +187,6 @@ def join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """Of each group of linked documents the one with the smallest doc_id, with all its columns."""
     placed = join(docs, n, percent)
-    gone = placed.where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    gone = placed.where("component_id <> doc_id").select(F.col("doc_id").alias("gone")).distinct()
+    rows, at = plain(docs, "doc_id")
+    return rows.join(gone, F.col(at["doc_id"]).cast("long") == F.col("gone"), "left_anti").toDF(*docs.columns)

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pick, row_key, written
+from .common import pick, plain, row_key, written
 
 MIN_WORDS = 50
 MAX_REPEATED = 50  # percent of the words
@@ -123,8 +123,8 @@ def judge(
 def keep_good(docs: DataFrame, host: str = "source", **limits) -> DataFrame:
     """The documents that pass, with all their columns."""
     verdicts = judge(docs, host, **limits).groupBy("row_key").agg(F.bool_and("kept").alias("kept"))
-    names = [f"c{i}" for i in range(len(docs.columns))]
-    held = {c: names[docs.columns.index(c)] for c in (host, "text")}
-    plain = docs.toDF(*names).withColumn("row_key", row_key(held[host], held["text"]))
-    good = plain.join(verdicts.where("kept").select("row_key"), "row_key", "left_semi")
-    return good.select(*names).toDF(*docs.columns)
+    rows, at = plain(docs, host, "text")
+    good = rows.withColumn("row_key", row_key(at[host], at["text"])).join(
+        verdicts.where("kept").select("row_key"), "row_key", "left_semi"
+    )
+    return good.select(*rows.columns).toDF(*docs.columns)

@@ -129,7 +129,7 @@ c0 AS (SELECT *, tokens / (SELECT sum(tokens) FROM s) AS weight FROM s)"""]
     for _ in range(mixing.ROUNDS):
         for dim in mixing.DIMENSIONS:
             steps.append(
-                f"c{at + 1} AS MATERIALIZED (SELECT d_source, d_lang, d_topic, tokens, weight * target / now AS weight"
+                f"c{at + 1} AS MATERIALIZED (SELECT d_source, d_lang, d_topic, tokens, CASE WHEN now > 0 THEN weight * (target / now) ELSE 0 END AS weight"
                 f" FROM (SELECT *, sum(weight) OVER (PARTITION BY d_{dim}) AS now FROM c{at}) JOIN t_{dim} USING (d_{dim}))"
             )
             at += 1
@@ -145,8 +145,11 @@ _TEMPLATE_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
 p AS (SELECT r, doc_id, text, generate_subscripts(ls, 1) AS pos, unnest(ls) AS line
       FROM (SELECT r, doc_id, text, string_split(text, chr(10)) AS ls FROM d)),
-l AS (SELECT *, list_transform(regexp_extract_all(line, '[^ \t\x0B\f\r]+'),
-        lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END) AS ts FROM p),
+w AS (SELECT *, regexp_extract_all(line, '[^ \t\x0B\f\r]+') AS ws FROM p),
+m AS (SELECT *, list_transform(ws, lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END) AS ms,
+        array_to_string(ms, ' ') AS mline FROM w),
+l AS (SELECT *, CASE WHEN 2 * (length(mline) - length(replace(mline, '<*>', ''))) > 3 * len(ws) THEN ws ELSE ms END AS ts
+      FROM m),
 k AS (SELECT r, doc_id, text, pos, ts, len(ts) AS n, array_to_string(ts, ' ') AS own,
         len(ts) || ' ' || array_to_string(ts[1:5], ' ') AS leaf FROM l WHERE len(ts) > 0),
 kinds AS (SELECT own, leaf, count(DISTINCT (doc_id, text)) AS documents, min(doc_id) AS first, any_value(ts) AS ts
