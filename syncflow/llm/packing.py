@@ -35,7 +35,6 @@ _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # Texts of these letters alone are split alike by both libraries: their classes are long settled.
 _SETTLED = regex.compile("[\0-ɏ‐-‧]*")
-_LONG_RUN = regex.compile(r"\s{2000}|\S{2000}")
 
 
 class Encoder:
@@ -62,7 +61,7 @@ class Encoder:
         ) if in_order and spec["normalizer"] is None else None
 
     def ids(self, text: str) -> np.ndarray:
-        if self.fast and _SETTLED.fullmatch(text) and not _LONG_RUN.search(text):
+        if self.fast and _SETTLED.fullmatch(text):
             return self.fast.encode_to_numpy(text, allowed_special="all").astype("<u4")
         return np.array(self.plain.encode(text, add_special_tokens=False).ids, "<u4")
 
