@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,12 +23,11 @@ DAY_FORMAT = "yyyy-MM-dd"
 MILLIS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSS"
 SECONDS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
-# The two JSON timestamp standards, as Spark patterns with an
-# optional fraction of one to nine digits.
-TIMESTAMP_STANDARDS = {
-    "SQL": "yyyy-MM-dd HH:mm:ss[.SSSSSSSSS]",
-    "ISO-8601": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSSSSS]",
-}
+# The two JSON timestamp standards, as the sign between day and time. A
+# fraction of one to nine digits and a zone (Z or an offset) may follow the time.
+TIMESTAMP_STANDARDS = {"SQL": " ", "ISO-8601": "T"}
+_DAY, _TIME = r"(\d{4}-\d{2}-\d{2})", r"(\d{2}:\d{2}:\d{2}(?:\.\d{1,9})?)"
+_ZONE = r" ?(Z|[+-]\d{2}:?\d{2})?"
 
 _UNITS = {
     "ms": "milliseconds", "millisecond": "milliseconds", "milliseconds": "milliseconds",
@@ -112,14 +112,32 @@ def truncate_millis(col) -> Column:
     return F.date_trunc("MILLISECOND", as_col(col))
 
 
-def parse_timestamp(col, standard: str = "SQL") -> Column:
-    """Text to a timestamp by one of the JSON timestamp standards; NULL when it does not fit."""
-    return F.try_to_timestamp(as_col(col), F.lit(TIMESTAMP_STANDARDS[standard]))
+def parse_timestamp(col, standard: str = "SQL", zone: str = "UTC") -> Column:
+    """Text to an instant by one of the JSON timestamp standards; NULL when it does not fit.
+
+    Text without a zone is a reading in ``zone``; the session's zone plays no part.
+    """
+    text, form = as_col(col), f"^{_DAY}{TIMESTAMP_STANDARDS[standard]}{_TIME}{_ZONE}$"
+    given = F.regexp_replace(F.regexp_extract(text, form, 3), r"^([+-]\d{2})(\d{2})$", "$1:$2")
+    wall = F.concat_ws(" ", F.regexp_extract(text, form, 1), F.regexp_extract(text, form, 2))
+    # A fraction beyond microseconds cannot be held.
+    wall = F.regexp_replace(wall, r"(\.\d{6})\d+$", "$1")
+    zoned = F.concat(wall, F.when(given == "", F.lit(f" {zone}")).otherwise(given))
+    return F.when(text.rlike(form), zoned.try_cast("timestamp"))
+
+
+def utc_wall(instant) -> Column:
+    """An instant as UTC wall time without a zone, whatever the session's zone is."""
+    seconds = F.unix_micros(as_col(instant)).cast("decimal(18,0)") * F.lit(Decimal("0.000001"))
+    return F.expr("timestamp_ntz'1970-01-01 00:00:00'") + F.make_dt_interval(
+        F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)")
+    )
 
 
 def to_utc(col, source_zone: str) -> Column:
     """A zone-less reading taken on a server in ``source_zone``, as UTC wall time."""
-    return F.to_utc_timestamp(as_col(col).cast("timestamp"), source_zone).cast("timestamp_ntz")
+    wall = as_col(col).cast("timestamp_ntz")
+    return F.convert_timezone(F.lit(source_zone), F.lit("UTC"), wall)
 
 
 def event_day(col, fallback_day=None) -> Column:
@@ -127,9 +145,10 @@ def event_day(col, fallback_day=None) -> Column:
     return F.coalesce(F.to_date(as_col(col)), as_day(fallback_day))
 
 
-def event_day_from_millis(col, fallback_day=None) -> Column:
-    """Day of an epoch-millisecond value, or ``fallback_day`` where it is unusable."""
-    return event_day(millis_to_timestamp(col), fallback_day)
+def event_day_from_millis(col, fallback_day=None, zone: str = "UTC") -> Column:
+    """Day, in ``zone``, of an epoch-millisecond value, or ``fallback_day`` where it is unusable."""
+    wall = F.convert_timezone(F.lit("UTC"), F.lit(zone), utc_wall(millis_to_timestamp(col)))
+    return event_day(wall, fallback_day)
 
 
 def day_text(col) -> Column:

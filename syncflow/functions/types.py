@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from syncflow.functions.times import TIMESTAMP_STANDARDS
+from syncflow.functions.times import parse_timestamp, utc_wall
 
 _TYPE = re.compile(r"\s*([a-z_]+(?:\s+precision)?)\s*(?:\(([^)]*)\))?\s*(.*?)\s*", re.IGNORECASE)
 
@@ -75,17 +75,25 @@ def resolve_type(spec) -> T.DataType:
     return JSON_KINDS.get(spec) or parse_type(spec)
 
 
+def time_precision(spec) -> int:
+    """Declared digits of a second, 3 where nothing is declared."""
+    found = re.search(r"\((\d)\)", spec) if isinstance(spec, str) else None
+    return int(found.group(1)) if found else 3
+
+
 def cast_text(col: Column, to, timestamp_standard: str = "SQL") -> Column:
     """Text to ``to`` with NULL for whatever does not convert."""
-    to = resolve_type(to)
+    precision, to = time_precision(to), resolve_type(to)
     if isinstance(to, T.StringType):
         return col
     if isinstance(to, (T.StructType, T.ArrayType)):
         return F.from_json(col, to)
     if isinstance(to, (T.TimestampType, T.TimestampNTZType)):
-        parsed = F.try_to_timestamp(col, F.lit(TIMESTAMP_STANDARDS[timestamp_standard]))
-        # Declared with millisecond precision, hence truncated.
-        return F.date_trunc("MILLISECOND", parsed).cast(to)
+        # Text with a zone becomes UTC wall time where the column has none.
+        instant = parse_timestamp(col, timestamp_standard)
+        # Unless more is declared, times have millisecond precision, hence are truncated.
+        instant = instant if precision > 3 else F.timestamp_millis(F.unix_millis(instant))
+        return utc_wall(instant) if isinstance(to, T.TimestampNTZType) else instant
     # Flags arrive as true/false or 1/0; both convert.
     return col.try_cast(to)
 

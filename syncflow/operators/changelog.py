@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,17 +45,39 @@ def decode_changes(
     value: str = "value",
     keep: Sequence[str] = (),
     timestamp_standard: str = "SQL",
+    kind: str = "kind",
+    seq: str = "seq",
 ) -> DataFrame:
-    """Change envelopes straight to normalised changes; only the image that counts is typed."""
+    """Change envelopes straight to normalised changes; only the image that counts is typed.
+
+    ``kind`` and ``seq`` name the columns of operation and order, which no field may be called.
+    """
+    if {kind, seq} & set(fields):
+        raise ValueError(f"fields may not be called {kind!r} or {seq!r}: choose other names for these")
     row = F.coalesce(F.col("after"), F.col("before"))
     return (
         parse_envelope(df, list(fields), value, keep)
-        .select(op_kind("op").alias("kind"), *keep, "seq", row.alias("_row"))
-        .where(F.col("kind").isNotNull() & F.col("_row").isNotNull())
-        .select("kind", *keep, "seq", *image_cells("_row", fields, timestamp_standard))
+        .select(op_kind("op").alias(kind), *keep, F.col("seq").alias(seq), row.alias("_row"))
+        .where(F.col(kind).isNotNull() & F.col("_row").isNotNull())
+        .select(kind, *keep, seq, *image_cells("_row", fields, timestamp_standard))
     )
 
 
+def retract_unmatched(changes: DataFrame, predicate: Column | str, kind: str = "kind") -> DataFrame:
+    """A filter on a changelog: a row that no longer passes is deleted, not left as it was."""
+    passes = F.coalesce(predicate if isinstance(predicate, Column) else F.expr(predicate), F.lit(False))
+    return changes.withColumn(kind, F.when(passes, F.col(kind)).otherwise(F.lit(DELETE)))
+
+
+def drop_incomplete(
+    changes: DataFrame, required: Sequence[str], keys: Sequence[str], kind: str = "kind"
+) -> DataFrame:
+    """Not-null rule on a changelog: a delete only has to have its key."""
+    complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in required], F.lit(True))
+    has_key = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in keys], F.lit(True))
+    return changes.where(F.when(F.col(kind) == DELETE, has_key).otherwise(complete))
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The last row of every key by ``order``.
 

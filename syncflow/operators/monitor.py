@@ -35,10 +35,14 @@ def _chunk_of(df: DataFrame, ts: str, unit: str) -> Column:
     return F.call_function("div", epoch_seconds(df, ts), F.lit(CHUNK_SECONDS[unit]))
 
 
-def _chunked(status: DataFrame, key: str, ts: str, unit: str) -> DataFrame:
-    """Rows with their chunk; without a key or a time there is no order to be part of."""
-    placed = status.withColumn(_CHUNK, _chunk_of(status, ts, unit))
-    return placed.where(F.col(key).isNotNull() & F.col(_CHUNK).isNotNull())
+def _chunked(status: DataFrame, ts: str, unit: str) -> DataFrame:
+    """Rows with their chunk; without a time there is no order to be part of (see ``untimed``)."""
+    return status.withColumn(_CHUNK, _chunk_of(status, ts, unit)).where(F.col(_CHUNK).isNotNull())
+
+
+def untimed(rows: DataFrame, ts: str) -> DataFrame:
+    """The rows that the rules in time order leave out, to be counted or kept elsewhere."""
+    return rows.where(F.col(ts).isNull())
 
 
 def choose_chunk(df: DataFrame, keys: Sequence[str], ts: str, max_rows: int = 5_000_000) -> str:
@@ -67,7 +71,7 @@ def state_transitions(
     NULL for a change nobody is told about.
     """
     order = [ts, *tie]
-    rows = _chunked(status, key, ts, chunk)
+    rows = _chunked(status, ts, chunk)
     within = Window.partitionBy(key, _CHUNK).orderBy(*order)
     seen = rows.select(
         *status.columns,
@@ -138,7 +142,7 @@ def failure_alerts(
     """
     order = [ts, *tie]
     is_failed, is_reset = F.col(state).isin(*failed), F.col(state).isin(*reset)
-    rows = _chunked(status.where(is_failed | is_reset), key, ts, chunk)
+    rows = _chunked(status.where(is_failed | is_reset), ts, chunk)
     so_far = (
         Window.partitionBy(key, _CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     )
@@ -166,7 +170,10 @@ def failure_alerts(
     )
     return (
         counted.where(is_failed)
-        .join(carried, [key, _CHUNK])
+        .join(
+            carried.toDF("_key", "_at", "_carry"),
+            F.col(key).eqNullSafe(F.col("_key")) & (F.col(_CHUNK) == F.col("_at")),
+        )
         .withColumn("failures", number)
         .where(F.col("failures") % every == 0)
         .select(*status.columns, "failures")
@@ -206,7 +213,8 @@ def resubmit_actions(
 
 def route_alerts(alerts: DataFrame, level: str = "level", alert_type: str = "alert_type") -> DataFrame:
     """Alerts that are sent: all but plain info; recoveries and daily reports always pass."""
-    return alerts.where((F.col(level) != "info") | F.col(alert_type).isin(*PASSING_INFO_TYPES))
+    passes = F.coalesce(F.col(alert_type).isin(*PASSING_INFO_TYPES), F.lit(False))
+    return alerts.where(~F.col(level).eqNullSafe("info") | passes)
 
 
 def daily_report(

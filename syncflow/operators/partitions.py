@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from syncflow.functions.times import as_day
 
@@ -48,9 +49,10 @@ def partition_coverage(
     return calendar.unionByName(counts).groupBy(day).agg(F.sum("rows").alias("rows"))
 
 
-def bucket_of(keys: Sequence[str], buckets: int = BUCKETS) -> Column:
-    """Hash bucket of a key."""
-    return F.pmod(F.hash(*keys), F.lit(buckets))
+def bucket_of(keys: Sequence[str], buckets: int = BUCKETS, schema: T.StructType | None = None) -> Column:
+    """Hash bucket of a key. With the schema, whole numbers of any width fall into the same one."""
+    whole = [k for k in keys if schema and isinstance(schema[k].dataType, T.IntegralType)]
+    return F.pmod(F.hash(*[F.col(k).cast("bigint") if k in whole else F.col(k) for k in keys]), F.lit(buckets))
 
 
 def modulo_bucket(key: str, buckets: int = BUCKETS) -> Column:

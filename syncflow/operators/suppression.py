@@ -36,6 +36,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 def first_after_quiet(seconds: np.ndarray, ready: int, quiet: int) -> tuple[list[int], int]:
     """Seconds at which an alert is sent, given sorted seconds with alerts and the earliest
     second that may send; also that second as it is afterwards."""
+    if quiet < 1:
+        raise ValueError("the quiet period has to be a second at least")
     sent = []
     at = np.searchsorted(seconds, ready)
     while at < len(seconds):
@@ -64,8 +66,13 @@ def suppress_repeats(
     tie: Sequence[str] = (),
     quiet_seconds: int = QUIET_SECONDS,
 ) -> DataFrame:
-    """The alerts that are sent; of several in the same second, the first by ``ts`` and ``tie``."""
-    timed = alerts.withColumn("_second", epoch_seconds(alerts, ts))
+    """The alerts that are sent; of several in the same second, the first by ``ts`` and ``tie``.
+
+    NULL is a type like others; alerts without a time are left out (``monitor.untimed``).
+    """
+    if quiet_seconds < 1:
+        raise ValueError("the quiet period has to be a second at least")
+    timed = alerts.withColumn("_second", epoch_seconds(alerts, ts)).where(F.col("_second").isNotNull())
     distinct = timed.select(key, "_second").distinct()
     seconds = distinct.groupBy(key, F.floor(F.col("_second") / _SPAN).alias("span")).agg(
         F.collect_list(F.pmod("_second", F.lit(_SPAN)).cast("smallint")).alias("offsets")
@@ -84,7 +91,10 @@ def suppress_repeats(
     order = [ts, *tie]
     rest = [c for c in alerts.columns if c not in order and c != key]
     return (
-        timed.join(sent, [key, "_second"])
+        timed.join(
+            sent.toDF("_key", "_at"),
+            F.col(key).eqNullSafe(F.col("_key")) & (F.col("_second") == F.col("_at")),
+        )
         .groupBy(key, "_second")
         .agg(F.min(F.struct(*order, *rest)).alias("_alert"))
         .select(key, *[F.col(f"_alert.`{c}`").alias(c) for c in (*order, *rest)])

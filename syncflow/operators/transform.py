@@ -83,7 +83,3 @@ def too_long(limits: Mapping[str, int]) -> Column:
 def preview(df: DataFrame, n: int = 5) -> DataFrame:
     """First rows for a look at the data (a debugging aid, so any ``n`` rows will do)."""
     return df.limit(n)
-
-
-def schema_of(df: DataFrame) -> dict[str, T.DataType]:
-    return {f.name: f.dataType for f in df.schema.fields}

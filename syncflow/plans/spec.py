@@ -18,7 +18,7 @@ from syncflow.functions.types import resolve_type
 from syncflow.operators import changelog, transform
 from syncflow.sinks.append import append_by_day
 from syncflow.sinks.keyed import KeyedTable
-from syncflow.sinks.outputs import encode_for_kafka, write_json_files
+from syncflow.sinks.outputs import encode_for_kafka, print_rows, write_json_files
 from syncflow.sources import cdc, datagen, events, tables
 from syncflow.streaming import run as streams
 from syncflow.streaming.windows import as_event_time, tumbling, window_counts, with_event_time_limit
@@ -33,7 +33,8 @@ class Source:
 
     With ``encoded`` the reader gives JSON text in ``value``, as a topic does. ``cdc`` is
     such a source whose records are change envelopes; ``startup`` and ``start`` say from which
-    change on they count.
+    change on they count. With ``startup`` initial, ``snapshot`` is the table as it was before the
+    changes, in columns of the same names, unless ``snapshot_mode`` leaves it out.
     """
 
     kind: str
@@ -44,6 +45,8 @@ class Source:
     zone: str | None = None
     startup: str = "initial"
     start: Mapping[str, object] = field(default_factory=dict)
+    snapshot: Source | None = None
+    snapshot_mode: str = "initial"
     lookback_hours: int | None = None
     lookback_column: str = "update_time"
 
@@ -75,7 +78,9 @@ class Transform:
 @dataclass(frozen=True)
 class Sink:
     """``day_from`` is the time column the day partition comes from, named as it is in the
-    source; ``event_millis`` the epoch-millisecond column where there is no time column."""
+    source; ``event_millis`` the epoch-millisecond column where there is no time column.
+    ``buckets`` of a keyed target has no default: choose it by size, some hundred MB to a few GB a
+    bucket."""
 
     model: str
     path: str | None = None
@@ -84,7 +89,7 @@ class Sink:
     not_null: Sequence[str] = ()
     keys: Sequence[str] = ()
     order: Sequence[str] = ()
-    buckets: int = 10
+    buckets: int | None = None
     enable_delete: bool = True
     day_column: str | None = "partition_day"
     day_from: str | None = None
@@ -107,8 +112,11 @@ class SyncSpec:
         return _make(cls, given)
 
 
+# Columns that changes carry to a keyed target: the operation, and the place in the log.
+_KIND, _SEQ = "_op_kind", "_op_seq"
+
 _NESTED = {
-    "source": Source, "sink": Sink, "transform": Transform, "watermark": Watermark, "window": Window,
+    "source": Source, "snapshot": Source, "sink": Sink, "transform": Transform, "watermark": Watermark, "window": Window,
 }
 
 
@@ -122,8 +130,7 @@ def _make(cls, given: Mapping):
     })
 
 
-def _scan(spark: SparkSession, spec: SyncSpec, streaming: bool, frame: DataFrame | None) -> DataFrame:
-    src = spec.source
+def _scan(spark: SparkSession, src: Source, streaming: bool, frame: DataFrame | None) -> DataFrame:
     if src.kind not in SOURCE_KINDS:
         raise ValueError(f"unknown source kind: {src.kind!r}")
     if frame is not None:
@@ -160,19 +167,30 @@ def build(
     frame: DataFrame | None = None,
     as_of=None,
     fallback_day=None,
+    snapshot_only: bool = False,
 ) -> DataFrame:
     """The flow as a DataFrame, up to the sink.
 
-    ``frame`` replaces the scan. ``as_of`` and ``fallback_day`` stand in for the clock.
+    ``frame`` replaces the scan. ``as_of`` and ``fallback_day`` stand in for the clock. A table
+    read includes the snapshot of a change source; of a stream it comes apart, by
+    ``snapshot_only``.
     """
     src, step, sink = spec.source, spec.transform, spec.sink
-    df = _scan(spark, spec, streaming, frame)
-    if src.kind == "cdc":
-        df = changelog.decode_changes(df, src.fields, timestamp_standard=src.timestamp_format)
-        if src.startup != "initial":
-            df = cdc.start_changes(df, src.startup, **src.start)
-    elif src.encoded or src.encoded is None and src.kind in ("kafka", "text"):
-        df = events.decode_json(df, src.fields, timestamp_standard=src.timestamp_format)
+    is_cdc = src.kind == "cdc"
+    if snapshot_only:
+        df = _snapshot(spark, spec)
+    else:
+        df = _scan(spark, src, streaming, frame)
+        if is_cdc:
+            df = changelog.decode_changes(
+                df, src.fields, timestamp_standard=src.timestamp_format, kind=_KIND, seq=_SEQ
+            )
+            by_clock = {"ts": f"{_SEQ}.ts_ms"} if src.startup == "timestamp" else {}
+            df = cdc.start_changes(df, src.startup, seq=_SEQ, **{**by_clock, **src.start})
+            if not streaming and _has_snapshot(src):
+                df = _snapshot(spark, spec).unionByName(df)
+        elif src.encoded or src.encoded is None and src.kind in ("kafka", "text"):
+            df = events.decode_json(df, src.fields, timestamp_standard=src.timestamp_format)
     if src.zone:
         zoneless = [f.name for f in df.schema.fields if f.dataType.typeName() == "timestamp_ntz"]
         df = df.withColumns({c: times.to_utc(F.col(c), src.zone) for c in zoneless})
@@ -190,11 +208,14 @@ def build(
     if spec.watermark:
         df = as_event_time(df, spec.watermark.column)
         df = with_event_time_limit(df, spec.watermark.column, spec.watermark.delay)
-    df = transform.filter_rows(df, step.filter)
+    if is_cdc and step.filter is not None:
+        df = changelog.retract_unmatched(df, step.filter, _KIND)
+    else:
+        df = transform.filter_rows(df, step.filter)
     df = transform.clean_columns(df, step.clean)
     if step.mapping:
         # What the sink needs beside the mapped columns goes along unchanged.
-        extra = [sink.day_column, "kind", "seq"]
+        extra = [sink.day_column, _KIND, _SEQ]
         along = {c: c for c in extra if c in df.columns and c not in step.mapping}
         df = transform.map_columns(df, {**along, **step.mapping})
     if step.window and step.window.counts_by is not None:
@@ -203,7 +224,7 @@ def build(
         df = tumbling(df, step.window.column, step.window.size)
     if sink.columns:
         # A keyed target also needs the kind of change and its place in the order.
-        along = [c for c in ("kind", *(sink.order or ["seq"])) if sink.model == "keyed"]
+        along = [c for c in (_KIND, *(sink.order or [_SEQ])) if sink.model == "keyed"]
         listed = list(sink.columns)
         extra = [c for c in along if c in df.columns and c not in listed]
         columns = sink.columns
@@ -212,11 +233,36 @@ def build(
         else:
             columns = [*listed, *extra]
         df = transform.sink_columns(df, columns)
+    if is_cdc and sink.not_null and sink.keys:
+        return changelog.drop_incomplete(df, sink.not_null, sink.keys, _KIND)
     return transform.enforce_not_null(df, sink.not_null) if sink.not_null else df
 
 
-def _keyed(spark: SparkSession, sink: Sink) -> KeyedTable:
-    return KeyedTable(spark, sink.path, sink.keys, sink.order or ["seq"], sink.buckets)
+def _has_snapshot(src: Source) -> bool:
+    return src.snapshot is not None and cdc.includes_snapshot(src.startup, src.snapshot_mode)
+
+
+def _snapshot(spark: SparkSession, spec: SyncSpec) -> DataFrame:
+    """The table before the changes, as upserts that any change comes after."""
+    fields = {n: resolve_type(t) for n, t in spec.source.fields.items()}
+    rows = _scan(spark, spec.source.snapshot, False, None)
+    no_changes = spark.createDataFrame([], "value string")
+    order = changelog.decode_changes(no_changes, spec.source.fields, kind=_KIND, seq=_SEQ).schema[_SEQ].dataType
+    # NULL comes before every place in the log.
+    first = F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in order])
+    return rows.select(
+        F.lit(changelog.UPSERT).alias(_KIND), first.alias(_SEQ),
+        *[F.col(f"`{n}`").cast(t).alias(n) for n, t in fields.items()],
+    )
+
+
+def keyed_table(spark: SparkSession, spec: SyncSpec) -> KeyedTable:
+    """The mirror a flow keeps."""
+    sink = spec.sink
+    if not sink.buckets:
+        raise ValueError("a keyed sink needs the number of its buckets")
+    order = sink.order or [_SEQ]
+    return KeyedTable(spark, sink.path, sink.keys, order, sink.buckets, _KIND, spec.name)
 
 
 def run(
@@ -241,21 +287,27 @@ def run(
     streaming = mode == "stream"
     df = build(spark, spec, streaming, frame, as_of, fallback_day)
     if streaming:
+        if _has_snapshot(spec.source):
+            if sink.model != "keyed":
+                raise ValueError("a stream with a snapshot needs a keyed sink")
+            # Under a label of its own: it goes in once, however often the stream is started.
+            first = build(spark, spec, False, None, as_of, fallback_day, snapshot_only=True)
+            keyed_table(spark, spec).upsert(first, f"{sink.label_prefix}-snapshot", sink.enable_delete)
         return _run_stream(spark, spec, df, checkpoint, interval)
     full_label = f"{sink.label_prefix}-{label}"
     if sink.model in ("append", "keyed") and label is None:
         raise ValueError("a batch load needs a label")
     if sink.model == "append":
-        return append_by_day(df, sink.path, full_label, sink.day_column)
+        return append_by_day(df, sink.path, full_label, sink.day_column, owner=spec.name)
     if sink.model == "keyed":
-        return _keyed(spark, sink).upsert(df, full_label, sink.enable_delete)
+        return keyed_table(spark, spec).upsert(df, full_label, sink.enable_delete)
     if sink.model == "json":
         return write_json_files(df, sink.path, **sink.options)
     if sink.model == "kafka":
         encoded = encode_for_kafka(df, sink.keys)
         return encoded.write.format("kafka").options(**sink.options).save()
     if sink.model == "print":
-        return df.show(truncate=False)
+        return print_rows(df)
     return df.write.format("noop").mode("overwrite").save()
 
 
@@ -263,11 +315,11 @@ def _run_stream(spark, spec: SyncSpec, df: DataFrame, checkpoint: str, interval:
     sink = spec.sink
     if sink.model == "append":
         return streams.stream_to_day_table(
-            df, sink.path, checkpoint, sink.label_prefix, sink.day_column, interval, spec.name
+            df, sink.path, checkpoint, sink.label_prefix, sink.day_column, interval, spec.name, spec.name
         )
     if sink.model == "keyed":
         return streams.stream_to_keyed_table(
-            df, _keyed(spark, sink), checkpoint, sink.label_prefix, sink.enable_delete, interval,
+            df, keyed_table(spark, spec), checkpoint, sink.label_prefix, sink.enable_delete, interval,
             spec.name,
         )
     if sink.model == "json":
@@ -276,8 +328,11 @@ def _run_stream(spark, spec: SyncSpec, df: DataFrame, checkpoint: str, interval:
         )
     if sink.model == "kafka":
         df = encode_for_kafka(df, sink.keys)
-    formats = {"kafka": "kafka", "print": "console", "discard": "noop"}
-    writer = df.writeStream.format(formats[sink.model]).options(**sink.options)
+    if sink.model == "print":
+        writer = df.writeStream.foreachBatch(lambda batch, number: print_rows(batch))
+    else:
+        formats = {"kafka": "kafka", "discard": "noop"}
+        writer = df.writeStream.format(formats[sink.model]).options(**sink.options)
     if checkpoint:
         writer = writer.option("checkpointLocation", checkpoint)
     return writer.trigger(**streams.trigger_of(interval)).queryName(spec.name).start()

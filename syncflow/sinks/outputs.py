@@ -26,10 +26,12 @@ def encode_for_kafka(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return df.select(F.to_json(F.struct(*keys), plain).alias("key"), value)
 
 
-def write_kafka(df: DataFrame, servers: str, topic: str, keys: Sequence[str] = ()) -> None:
-    """Batch write to a topic (needs the Kafka package on the classpath)."""
-    writer = encode_for_kafka(df, keys).write.format("kafka")
-    writer.option("kafka.bootstrap.servers", servers).option("topic", topic).save()
+def numbered_json_files(path: str, **options) -> Callable[[DataFrame, int], None]:
+    """Writer for micro-batches whose repetition replaces what it wrote before."""
+    def write(batch: DataFrame, number: int) -> None:
+        write_json_files(batch, f"{path}/batch={number}", "overwrite", **options)
+
+    return write
 
 
 def write_nowhere(df: DataFrame) -> None:
@@ -37,8 +39,10 @@ def write_nowhere(df: DataFrame) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
-def print_rows(df: DataFrame, n: int = 20) -> None:
-    df.show(n, truncate=False)
+def print_rows(df: DataFrame) -> None:
+    """Every row as a line of JSON; one partition at a time passes through the driver."""
+    for line in df.toJSON().toLocalIterator():
+        print(line)
 
 
 def rolling_options(

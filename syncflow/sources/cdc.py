@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from syncflow.functions.times import epoch_millis, millis_to_timestamp
-from syncflow.functions.types import cast_text, resolve_type
+from syncflow.functions.times import MAX_EPOCH_MILLIS, MIN_EPOCH_MILLIS, utc_wall
+from syncflow.functions.types import cast_text, resolve_type, time_precision
 
 _CORRUPT = "_corrupt_record"
 
@@ -26,16 +26,16 @@ SNAPSHOT_MODES = {
 
 
 def _cell(col: Column, to, timestamp_standard: str) -> Column:
-    """A value of a row image. Times come as text, or as epoch milliseconds and epoch days."""
-    to, cast = resolve_type(to), cast_text(col, to, timestamp_standard)
+    """A value of a row image. Times come as text, or as numbers: epoch days, and epoch
+    milliseconds or, for columns declared with more than three digits, microseconds."""
+    unit = 1000 if time_precision(to) > 3 else 1
+    cast, to = cast_text(col, to, timestamp_standard), resolve_type(to)
     is_number = col.rlike(r"^-?\d+$")
-    if isinstance(to, T.TimestampType):
-        return F.when(is_number, millis_to_timestamp(col)).otherwise(cast)
-    if isinstance(to, T.TimestampNTZType):
-        seconds = epoch_millis(col).cast("decimal(18,3)") / 1000
-        moment = F.expr("timestamp_ntz'1970-01-01 00:00:00'") + F.make_dt_interval(
-            F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)")
-        )
+    if isinstance(to, (T.TimestampType, T.TimestampNTZType)):
+        number = col.try_cast("bigint")
+        number = F.when(number.between(MIN_EPOCH_MILLIS * unit, MAX_EPOCH_MILLIS * unit), number)
+        instant = F.timestamp_micros(number) if unit > 1 else F.timestamp_millis(number)
+        moment = utc_wall(instant) if isinstance(to, T.TimestampNTZType) else instant
         return F.when(is_number, moment).otherwise(cast)
     if isinstance(to, T.DateType):
         return F.when(is_number, F.date_add(F.lit("1970-01-01").cast("date"), col.try_cast("int"))).otherwise(cast)
@@ -52,8 +52,8 @@ def parse_envelope(
 ) -> DataFrame:
     """Parse ``{op, ts_ms, before, after, source}`` envelopes, bare or below ``payload``.
 
-    Gives ``op``, ``seq`` (time, log file, position and row: a total order within one
-    source) and the images ``before`` and ``after`` as text fields. Tombstones (no value),
+    Gives ``op``, ``seq`` (log file by number and name, position, row and time: a total order
+    within one source; the clock comes last, as it may step back) and the images ``before`` and ``after`` as text fields. Tombstones (no value),
     schema-change events and anything else without an ``op`` are dropped.
     """
     image = T.StructType([T.StructField(n, T.StringType()) for n in fields])
@@ -82,11 +82,13 @@ def parse_envelope(
     def number(name: str) -> Column:
         return F.coalesce(F.col(name).try_cast("bigint"), F.lit(0))
 
+    log_number = F.regexp_extract(F.col("source.file"), r"(\d+)$", 1).try_cast("bigint")
     seq = F.struct(
-        F.coalesce(F.col("source.ts_ms").try_cast("bigint"), number("ts_ms")).alias("ts_ms"),
+        F.coalesce(log_number, F.lit(0)).alias("log"),
         F.coalesce(F.col("source.file"), F.lit("")).alias("file"),
         number("source.pos").alias("pos"),
         number("source.row").alias("row"),
+        F.coalesce(F.col("source.ts_ms").try_cast("bigint"), number("ts_ms")).alias("ts_ms"),
     )
     return (
         # A tombstone parses to a row of NULLs, which the test for an op drops.
@@ -139,6 +141,10 @@ def start_changes(
     """
     if startup not in STARTUP_MODES:
         raise ValueError(f"unknown startup mode: {startup!r}")
+    if startup in ("latest-offset", "specific-offset") and position is None:
+        raise ValueError(f"startup mode {startup!r} needs a position")
+    if startup == "timestamp" and (ts is None or since is None):
+        raise ValueError("startup mode 'timestamp' needs ts and since")
     if startup == "latest-offset":
         return changes.where(F.col(seq) > position)
     if startup == "specific-offset":

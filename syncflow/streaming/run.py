@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from syncflow import storage
 from syncflow.functions.times import interval_text
 from syncflow.sinks.append import append_by_day
 from syncflow.sinks.keyed import KeyedTable
@@ -28,6 +30,13 @@ def _start(
     return (writer.queryName(name) if name else writer).start()
 
 
+def batch_label(spark: SparkSession, checkpoint: str, prefix: str, number: int) -> str:
+    """Label of a micro-batch. It holds the query that the checkpoint belongs to, so batches of
+    another checkpoint are other loads, though they are numbered alike."""
+    query = json.loads(storage.read_text(spark, f"{checkpoint}/metadata"))["id"]
+    return f"{prefix}-{query}-{number}"
+
+
 def preview_stream(df: DataFrame, checkpoint: str, n: int = 5) -> list[Row]:
     """``n`` rows of what a stream holds by now (a debugging aid, so any rows will do)."""
     name = f"preview_{uuid.uuid4().hex}"
@@ -64,10 +73,12 @@ def stream_to_day_table(
     day: str = "partition_day",
     interval: str | None = None,
     name: str | None = None,
+    owner: str | None = None,
 ) -> StreamingQuery:
     """Append through labelled loads: a micro-batch that is repeated after a crash is ignored."""
     def write(batch: DataFrame, number: int) -> None:
-        append_by_day(batch, path, f"{label_prefix}-{number}", day, rebalance=False)
+        label = batch_label(batch.sparkSession, checkpoint, label_prefix, number)
+        append_by_day(batch, path, label, day, rebalance=False, owner=owner)
 
     return _start(df.writeStream.foreachBatch(write), checkpoint, interval, name)
 
@@ -82,12 +93,13 @@ def stream_to_keyed_table(
     name: str | None = None,
     max_deltas: int = MAX_DELTAS,
 ) -> StreamingQuery:
-    """Upsert every micro-batch into a keyed mirror under the label ``prefix-number``.
+    """Upsert every micro-batch into a keyed mirror under the label ``prefix-query-number``.
 
     A micro-batch is small next to the table, so its changes are kept beside the buckets,
     and a bucket is rewritten only after ``max_deltas`` of them.
     """
     def write(batch: DataFrame, number: int) -> None:
-        table.upsert(batch, f"{label_prefix}-{number}", enable_delete, max_deltas)
+        label = batch_label(batch.sparkSession, checkpoint, label_prefix, number)
+        table.upsert(batch, label, enable_delete, max_deltas)
 
     return _start(df.writeStream.foreachBatch(write), checkpoint, interval, name)

@@ -36,9 +36,12 @@ def suppress_repeats_stream(
 
     The state per type is one number: the second from which an alert may be sent again.
     """
+    if quiet_seconds < 1:
+        raise ValueError("the quiet period has to be a second at least")
     schema = T.StructType([alerts.schema[c] for c in alerts.columns])
     return (
         alerts.withColumn("_second", epoch_seconds(alerts, ts))
+        .where(F.col("_second").isNotNull())
         .groupBy(F.col(key))
         .applyInPandasWithState(
             _keeper(alerts.columns, [ts, *tie], quiet_seconds),

@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from conftest import rows_of
 from syncflow import storage
@@ -33,18 +34,51 @@ def test_append_keeps_duplicates_and_ignores_repeated_labels(spark, tmp_path):
     assert CommitLog(spark, path).labels() == ["a", "b"]
 
 
-def test_old_labels_can_be_forgotten(spark, tmp_path):
+def test_labels_are_kept_and_found(spark, tmp_path):
     log = CommitLog(spark, str(tmp_path / "t"))
+    assert log.head() == -1 and log.last() == {}
     for n in range(4):
-        log.record(f"l{n}", n, {n % 2: [n]}, log.start())
-    # As if the writer had stopped between the commit and the removal of its note.
-    kept = next(n for n in log._names() if n.startswith(f"{0:012d}"))
-    storage.write_text(spark, f"{log.started}/{kept.rpartition('-')[2].removesuffix('.json')}", "")
-    assert log.unfinished() == []
-    assert log.expire(keep=2) == 2
-    assert log.unfinished() == []
-    assert log.labels() == ["l2", "l3"] and log.buckets() == {0: [2], 1: [3]}
-    assert log.next_version() == 4 and not log.has("l0") and log.has("l3")
+        log.record(f"l{n}", "me", number=n)
+    assert log.labels() == ["l0", "l1", "l2", "l3"] and log.last()["number"] == 3
+    assert log.has("l0") and log.has("l0", "me") and not log.has("l9")
+    with pytest.raises(ValueError):
+        log.has("l0", "you")
+    # As if the writer had stopped right after the commit file.
+    storage.delete(spark, log._label_path("l3"))
+    storage.write_text(spark, f"{log.commits}/_head", "2")
+    assert log.head() == 3 and log.has("l3")
+
+
+def test_many_loads_are_listed_and_merged(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(append, "_LISTED_EVERY", 3)
+    path = str(tmp_path / "t")
+    for n in range(8):
+        append.append_by_day(day_rows(spark, [n], f"2024-01-0{n % 2 + 1}"), path, str(n))
+    assert append.merge_loads(spark, path) == 8 and append.merge_loads(spark, path) == 0
+    append.append_by_day(day_rows(spark, [8], "2024-01-01"), path, "8")
+    assert append.drop_replaced(spark, path) == 8
+    assert rows_of(append.read_by_day(spark, path), "id") == [(n,) for n in range(9)]
+    assert not append.append_by_day(day_rows(spark, [0], "2024-01-01"), path, "3")
+
+
+def test_reader_sees_one_state(spark, tmp_path):
+    path = str(tmp_path / "t")
+    append.append_by_day(day_rows(spark, [1], "2024-01-01"), path, "1")
+    seen = append.read_by_day(spark, path)
+    append.append_by_day(day_rows(spark, [2], "2024-01-01"), path, "2")
+    assert rows_of(seen, "id") == [(1,)]
+
+
+def test_columns_are_kept_added_and_widened(spark, tmp_path):
+    path = str(tmp_path / "t")
+    append.append_by_day(spark.sql("SELECT 1 AS id, '2024-01-01' AS partition_day"), path, "1")
+    append.append_by_day(spark.sql("SELECT 3000000000 AS id, 'x' AS v, '2024-01-02' AS partition_day"), path, "2")
+    append.append_by_day(spark.sql("SELECT 3 AS id, '2024-01-02' AS partition_day"), path, "3")
+    got = append.read_by_day(spark, path)
+    assert got.dtypes == [("id", "bigint"), ("partition_day", "string"), ("v", "string")]
+    assert rows_of(got) == [(1, "2024-01-01", None), (3, "2024-01-02", None), (3000000000, "2024-01-02", "x")]
+    with pytest.raises(ValueError, match="holds"):
+        append.append_by_day(spark.sql("SELECT 'text' AS id, '2024-01-01' AS partition_day"), path, "4")
 
 
 def test_broken_load_is_invisible_and_repeatable(spark, tmp_path, monkeypatch):
@@ -125,7 +159,7 @@ def test_only_touched_buckets_are_rewritten(spark, tmp_path):
     table = keyed(spark, tmp_path, buckets=8)
     table.upsert(spark.createDataFrame([(i, 1, "a", "d", "upsert") for i in range(50)], SCHEMA), "x")
     table.upsert(spark.createDataFrame([(7, 2, "b", "d", "upsert")], SCHEMA), "y")
-    assert sorted(table.log.buckets().values()) == [[0]] * 7 + [[1]]
+    assert sorted(table.files().values()) == [[0]] * 7 + [[1]]
     assert table.drop_old_versions() == 1
     assert table.read().count() == 50
 
@@ -136,7 +170,7 @@ def test_changes_wait_beside_a_bucket(spark, tmp_path):
         table.upsert(spark.createDataFrame([(1, n, f"v{n}", "d", "upsert")], SCHEMA), f"{n}", max_deltas=2)
         assert rows_of(table.read(), "v") == [(f"v{n}",)]
         want = [[0], [0, 1], [0, 1, 2], [3]][n]
-        assert list(table.log.buckets().values()) == [want]
+        assert list(table.files().values()) == [want]
     assert table.drop_old_versions() == 3
     assert rows_of(table.read(), "v") == [("v3",)]
 
@@ -162,17 +196,42 @@ def test_broken_keyed_load_leaves_the_old_rows(spark, tmp_path, monkeypatch):
     assert rows_of(table.read(), "v") == [("b",)]
 
 
-def test_small_load_does_not_shuffle_the_stored_rows(spark, tmp_path):
+def test_rewritten_buckets_are_scanned_and_shuffled_once(spark, tmp_path):
     table = keyed(spark, tmp_path)
     table.upsert(spark.range(1000).selectExpr("int(id) id", "1 seq", "'a' v"), "x")
-    stored = table._stored(table.log.buckets())
-    batch = spark.createDataFrame([(1, 2, "b", "upsert")], "id int, seq int, v string, kind string")
-    # As in a load, which holds the reduced batch and so knows its size.
-    batch = batch.persist()
-    assert batch.count() == 1
-    plan = table._merge(stored, batch)._jdf.queryExecution().executedPlan().toString()
-    batch.unpersist()
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    state = table.state()
+    schema = StructType.fromJson(state["schema"])
+    batch = spark.createDataFrame(
+        [(1, 2, "b", "upsert", 1, 0)],
+        "id int, seq int, v string, _mirror_kind string, _mirror_version bigint, _mirror_bucket int",
+    )
+    plan = table._merged(schema, table.files(state), batch)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1 and "Join" not in plan
+
+
+def test_columns_of_any_name(spark, tmp_path):
+    rows = "SELECT id, 1 AS seq, id * 2 AS version, 'b' AS bucket, 'delete' AS kind FROM range(5)"
+    table = KeyedTable(spark, str(tmp_path / "k"), ["id"], ["seq"], 3, kind=None)
+    table.upsert(spark.sql(rows), "x")
+    table.upsert(spark.sql(rows).where("id = 2").withColumn("seq", F.lit(2)), "y", max_deltas=3)
+    assert rows_of(table.read(), "id", "version", "bucket", "kind") == [(i, 2 * i, "b", "delete") for i in range(5)]
+    with pytest.raises(ValueError):
+        table.upsert(spark.sql("SELECT 1 AS id, 1 AS seq, 1 AS _mirror_kind"), "z")
+
+
+@pytest.mark.parametrize("max_deltas", [0, 5])
+def test_new_columns_and_wider_keys(spark, tmp_path, max_deltas):
+    table = keyed(spark, tmp_path)
+    table.upsert(spark.range(8).selectExpr("int(id) id", "1 seq", "'a' v"), "x", max_deltas=max_deltas)
+    table.upsert(spark.range(4, 10).selectExpr("id", "2 seq", "'b' v", "1.5 w"), "y", max_deltas=max_deltas)
+    table.upsert(spark.range(4, 5).selectExpr("int(id) id", "3 seq", "'c' v"), "z", max_deltas=max_deltas)
+    got = {r.id: (r.v, r.w) for r in table.read().collect()}
+    assert table.read().dtypes[0] == ("id", "bigint") and len(got) == 10
+    assert got[0] == ("a", None) and got[4] == ("c", None) and got[9][0] == "b" and got[9][1] is not None
+    with pytest.raises(ValueError):
+        KeyedTable(spark, table.path, ["id"], ["seq"], 7).read()
+    with pytest.raises(ValueError):
+        table.upsert(spark.sql("SELECT 'k' AS id, 1 AS seq"), "w")
 
 
 def test_reading_before_any_load(spark, tmp_path):

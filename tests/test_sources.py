@@ -75,7 +75,7 @@ def test_decode_envelope(spark):
     assert sorted(r.op for r in decoded.collect()) == ["c", "d", "t", "u"]
     changes = normalise(decoded).withColumn("price", F.col("price").cast("string"))
     assert rows_of(changes) == [
-        ("delete", (6, "", 0, 0), 1, None), ("upsert", (4, "f", 9, 2), 1, "1.10"),
+        ("delete", (0, "", 0, 0, 6), 1, None), ("upsert", (0, "f", 9, 2, 4), 1, "1.10"),
     ]
     assert rows_of(decode_changes(df, ROW)) == rows_of(normalise(decoded))
 

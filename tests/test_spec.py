@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows_of
 from syncflow import SyncSpec, build, run
-from syncflow.plans.spec import KeyedTable
+from syncflow.plans.spec import keyed_table
 from syncflow.sinks.append import read_by_day
 
 FIELDS = {"uid": "BIGINT", "user_ip": "STRING", "timestamp": "STRING"}
@@ -75,7 +75,7 @@ def cdc_spec(tmp_path):
             "fields": {"id": "INT", "name": "VARCHAR(20)", "created_at": "TIMESTAMP(3)"},
         },
         "sink": {
-            "model": "keyed", "path": str(tmp_path / "t"), "keys": ["id"], "day_from": "created_at",
+            "model": "keyed", "path": str(tmp_path / "t"), "keys": ["id"], "buckets": 4, "day_from": "created_at",
             "columns": ["id", "name", "partition_day"], "not_null": ["id"], "day_as_text": True,
         },
     }
@@ -87,15 +87,16 @@ def test_cdc_flow(spark, tmp_path, mode):
     query = run(spark, spec, mode, label="1", checkpoint=str(tmp_path / "cp"))
     if mode == "stream":
         query.awaitTermination()
-    table = KeyedTable(spark, str(tmp_path / "t"), ["id"], ["seq"])
+    table = keyed_table(spark, spec)
     assert rows_of(table.read(), "id", "name", "partition_day") == [(1, "b", "2024-01-01")]
 
 
 def test_deletes_can_be_switched_off(spark, tmp_path):
     given = cdc_spec(tmp_path)
     given["sink"]["enable_delete"] = False
-    run(spark, SyncSpec.from_dict(given), label="1")
-    table = KeyedTable(spark, str(tmp_path / "t"), ["id"], ["seq"])
+    spec = SyncSpec.from_dict(given)
+    run(spark, spec, label="1")
+    table = keyed_table(spark, spec)
     assert rows_of(table.read(), "id", "name") == [(1, "b"), (2, "a")]
 
 
@@ -143,10 +144,10 @@ def test_print_and_discard(spark, tmp_path, capsys):
 
 def test_changes_from_a_time_on(spark, tmp_path):
     given = cdc_spec(tmp_path)
-    given["source"].update(startup="timestamp", start={"ts": "seq.ts_ms", "since": F.lit(3)})
+    given["source"].update(startup="timestamp", start={"since": F.lit(3)})
     given["sink"]["not_null"] = []
     got = build(spark, SyncSpec.from_dict(given))
-    assert rows_of(got, "kind", "id") == [("delete", 2), ("upsert", 2)]
+    assert rows_of(got, "_op_kind", "id") == [("delete", 2), ("upsert", 2)]
 
 
 def test_mistakes_are_refused(spark, tmp_path):
@@ -162,3 +163,56 @@ def test_mistakes_are_refused(spark, tmp_path):
     given["transform"]["filter"] = "nobody IS NOT NULL"
     with pytest.raises(AnalysisException):
         build(spark, SyncSpec.from_dict(given))
+
+
+def test_cdc_flow_with_a_snapshot(spark, tmp_path):
+    """Rows from before the changes come once, and any change to them wins."""
+    before = [(1, "old", "2024-01-01 00:00:00"), (2, "kept", "2024-01-01 00:00:00"), (7, "kept", "2024-01-01 00:00:00")]
+    spark.createDataFrame(before, "id int, name string, created_at string").selectExpr(
+        "id", "name", "CAST(created_at AS timestamp_ntz) AS created_at"
+    ).write.parquet(str(tmp_path / "before"))
+    given = cdc_spec(tmp_path)
+    given["source"]["snapshot"] = {"kind": "parquet", "options": {"path": str(tmp_path / "before")}}
+    for mode in ("batch", "stream"):
+        given["sink"]["path"] = str(tmp_path / mode)
+        spec = SyncSpec.from_dict(given)
+        for _ in range(2):
+            query = run(spark, spec, mode, label="1", checkpoint=str(tmp_path / "cp"))
+            if mode == "stream":
+                query.awaitTermination()
+        assert rows_of(keyed_table(spark, spec).read(), "id", "name") == [(1, "b"), (7, "kept")]
+    given["source"]["snapshot_mode"] = "never"
+    given["sink"]["path"] = str(tmp_path / "without")
+    spec = SyncSpec.from_dict(given)
+    run(spark, spec, label="1")
+    assert rows_of(keyed_table(spark, spec).read(), "id") == [(1,)]
+
+
+def test_filter_and_not_null_on_changes(spark, tmp_path):
+    events = [
+        {"op": "c", "ts_ms": 1, "after": {"id": 1, "name": "on"}}, {"op": "c", "ts_ms": 1, "after": {"id": 2, "name": "on"}},
+        {"op": "c", "ts_ms": 1, "after": {"id": 3, "name": "on"}}, {"op": "c", "ts_ms": 1, "after": {"id": 4, "name": None}},
+        {"op": "u", "ts_ms": 2, "after": {"id": 1, "name": "off"}}, {"op": "d", "ts_ms": 2, "before": {"id": 2}},
+        {"op": "d", "ts_ms": 2, "before": {"name": "x"}},
+    ]
+    spec = SyncSpec.from_dict({
+        "name": "f",
+        "source": {"kind": "cdc", "options": {"path": lines(tmp_path / "in", events)}, "fields": {"id": "INT", "name": "STRING"}},
+        "transform": {"filter": "name <> 'off' OR name IS NULL"},
+        "sink": {"model": "keyed", "path": str(tmp_path / "t"), "keys": ["id"], "buckets": 2, "not_null": ["id", "name"], "day_column": None},
+    })
+    run(spark, spec, label="1")
+    assert rows_of(keyed_table(spark, spec).read(), "id", "name") == [(3, "on")]
+
+
+def test_print_sink_prints_every_row(spark, capsys):
+    spec = SyncSpec.from_dict({"name": "p", "source": {"kind": "frame"}, "sink": {"model": "print", "day_column": None}})
+    run(spark, spec, frame=spark.range(57))
+    assert len(capsys.readouterr().out.splitlines()) == 57
+
+
+def test_labels_of_another_flow_are_an_error(spark, tmp_path):
+    given = event_spec(tmp_path)
+    run(spark, SyncSpec.from_dict(given), label="1", fallback_day="2000-01-01")
+    with pytest.raises(ValueError, match="was used by"):
+        run(spark, SyncSpec.from_dict({**given, "name": "other"}), label="1", fallback_day="2000-01-01")

@@ -9,7 +9,7 @@ from conftest import rows_of
 from syncflow.operators import changelog
 from syncflow.sinks.append import append_by_day, read_by_day
 from syncflow.sinks.keyed import KeyedTable
-from syncflow.sinks.outputs import fan_out_stream, write_json_files
+from syncflow.sinks.outputs import fan_out_stream, numbered_json_files
 from syncflow.sources import events, tables
 from syncflow.streaming import run as streams
 from syncflow.streaming.suppression import suppress_repeats_stream
@@ -52,24 +52,36 @@ def test_cdc_stream_equals_batch_over_restarts(spark, tmp_path):
     go()
     go()
     assert rows_of(table.read(), *ROW) == replay(rows)
-    assert table.log.labels() == ["cdc-0", "cdc-1", "cdc-2"]
-    assert max(len(v) for v in table.log.buckets().values()) > 1
+    assert [x.rpartition("-")[2] for x in table.log.labels()] == ["0", "1", "2"]
+    assert max(len(v) for v in table.files().values()) > 1
+
+
+def test_new_checkpoint_swallows_nothing(spark, tmp_path):
+    """Its micro-batches are numbered from 0 again, and are other rows all the same."""
+    source, path = tmp_path / "in", str(tmp_path / "t")
+    source.mkdir()
+    for n in range(2):
+        put(source / str(n), "0.json", [f'{{"uid":{n}}}'])
+        values = tables.read_text_payloads(spark, f"{source}/{n}", streaming=True)
+        rows = events.decode_json(values, {"uid": "INT"}).withColumn("partition_day", F.lit("2024-01-01"))
+        streams.stream_to_day_table(rows, path, str(tmp_path / f"cp{n}"), "s").awaitTermination()
+    assert rows_of(read_by_day(spark, path), "uid", "partition_day") == [(0, "2024-01-01"), (1, "2024-01-01")]
 
 
 def test_repeated_micro_batch_is_ignored(spark, tmp_path, monkeypatch):
     """The load went in, but the stream stopped before it could note that."""
-    source, path = tmp_path / "in", str(tmp_path / "t")
+    source, path, checkpoint = tmp_path / "in", str(tmp_path / "t"), tmp_path / "cp"
     put(source, "0.json", ['{"uid":1}', '{"uid":2}'])
 
     def go():
         values = tables.read_text_payloads(spark, str(source), streaming=True)
         rows = events.decode_json(values, {"uid": "INT"}).withColumn("partition_day", F.lit("2024-01-01"))
-        return streams.stream_to_day_table(rows, path, str(tmp_path / "cp"), "s")
+        streams.stream_to_day_table(rows, path, str(checkpoint), "s").awaitTermination()
 
-    # As if batch 0 had been written by a run whose checkpoint got lost.
-    batch = spark.createDataFrame([(1, "2024-01-01"), (2, "2024-01-01")], "uid int, partition_day string")
-    append_by_day(batch, path, "s-0")
-    go().awaitTermination()
+    go()
+    for note in (checkpoint / "commits").iterdir():  # the stream's own note that batch 0 is done
+        note.unlink()
+    go()
     assert rows_of(read_by_day(spark, path), "uid") == [(1,), (2,)]
 
 
@@ -133,11 +145,18 @@ def test_fan_out_stream(spark, tmp_path):
     ).withColumn("partition_day", F.lit("2024-01-01"))
     writer = fan_out_stream(rows, [
         lambda df, n: append_by_day(df, f"{out}/day", f"f-{n}"),
-        lambda df, n: write_json_files(df, f"{out}/json", "overwrite"),
+        numbered_json_files(f"{out}/json"),
     ])
-    writer.option("checkpointLocation", f"{out}/cp").trigger(availableNow=True).start().awaitTermination()
-    assert rows_of(read_by_day(spark, f"{out}/day"), "uid") == [(1,), (2,)]
-    assert rows_of(spark.read.json(f"{out}/json"), "uid") == [(1,), (2,)]
+    for uid in (3, 4):
+        writer.option("checkpointLocation", f"{out}/cp").trigger(availableNow=True).start().awaitTermination()
+        put(source, f"{uid}.json", [f'{{"uid":{uid}}}'])
+    writer.start().awaitTermination()
+    for name in ("2", ".2.crc"):  # the last batch runs again
+        (tmp_path / "out/cp/commits" / name).unlink()
+    writer.start().awaitTermination()
+    want = [(1,), (2,), (3,), (4,)]
+    assert rows_of(read_by_day(spark, f"{out}/day"), "uid") == want
+    assert rows_of(spark.read.json(f"{out}/json"), "uid") == want
 
 
 def test_suppression_remembers_across_micro_batches(spark, tmp_path):
