@@ -82,7 +82,10 @@ def _need(sizes, percent: int):
 
 
 def _bounding(n: int, percent: int) -> Callable:
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("rare", pa.list_(pa.int64())), ("shared", pa.binary())])
+    schema = pa.schema([
+        ("doc_id", pa.int64()), ("n", pa.int64()), ("rare", pa.list_(pa.int64())), ("place", pa.list_(pa.int64())),
+        ("shared", pa.binary()),
+    ])
 
     def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -96,8 +99,11 @@ def _bounding(n: int, percent: int) -> Callable:
                     shared, need = grams[times > 1], _need(len(grams), percent)
                     if len(grams) and len(shared) >= need:
                         rare = np.lexsort((grams, times))[: len(grams) - need + 1]
-                        rare = rare[times[rare] > 1]
-                        out.append({"doc_id": doc_id, "n": len(grams), "rare": grams[rare].view(np.int64), "shared": shared.tobytes()})
+                        place = np.flatnonzero(times[rare] > 1)
+                        out.append({
+                            "doc_id": doc_id, "n": len(grams), "rare": grams[rare[place]].view(np.int64),
+                            "place": place, "shared": shared.tobytes(),
+                        })
                 yield pa.RecordBatch.from_pylist(out, schema)
 
     return bound
@@ -135,26 +141,34 @@ def _linked(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
 
 
 def _fits(percent: int):
-    return (F.col("na") * 100 >= F.col("nb") * percent) & (F.col("nb") * 100 >= F.col("na") * percent)
+    """Whether two rows of a column can be linked: by their sizes, and by what they have left.
+
+    Of a linked pair, this holds in the first column that the two share.
+    """
+    left = F.least(F.col("na") - F.col("at"), F.col("nb") - F.col("bt"))
+    return left * (100 + percent) >= (F.col("na") + F.col("nb")) * percent
 
 
 def links(rows: DataFrame, percent: int) -> DataFrame:
     """(a, b): links that join the same documents as all links do."""
-    entries = rows.select("doc_id", "n", F.explode("rare").alias("gram"))
-    columns = entries.groupBy("gram").agg(F.count("*").alias("size"), F.min(F.struct("doc_id", "n")).alias("first"))
+    entries = rows.select("doc_id", "n", F.explode(F.arrays_zip("rare", "place")).alias("e")).select(
+        F.col("e.rare").alias("gram"), "doc_id", "n", F.col("e.place").alias("place")
+    )
+    columns = entries.groupBy("gram").agg(F.count("*").alias("size"), F.min(F.struct("doc_id", "n", "place")).alias("first"))
     entries = written(entries.join(columns.where("size > 1"), "gram"), "entries")
     pairs = entries.select(
-        F.col("first.doc_id").alias("a"), F.col("doc_id").alias("b"), F.col("first.n").alias("na"), F.col("n").alias("nb")
-    ).where("a <> b").where(_fits(percent)).distinct()
+        F.col("first.doc_id").alias("a"), F.col("doc_id").alias("b"), F.col("first.n").alias("na"), F.col("n").alias("nb"),
+        F.col("first.place").alias("at"), F.col("place").alias("bt"),
+    ).where("a <> b").where(_fits(percent)).select("a", "b", "na", "nb").distinct()
     found = written(_linked(pairs, rows, percent), "links")
 
     parts = components(found)
     known = entries.join(parts.toDF("doc_id", "part"), "doc_id", "left").select(
-        "gram", "doc_id", "n", F.coalesce("part", "doc_id").alias("part")
+        "gram", "doc_id", "n", "place", F.coalesce("part", "doc_id").alias("part")
     )
     open_columns = known.groupBy("gram").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi")
     known = written(known.join(open_columns.select("gram"), "gram"), "open-entries")
-    left, right = known.toDF("gram", "a", "na", "pa"), known.toDF("gram", "b", "nb", "pb")
+    left, right = known.toDF("gram", "a", "na", "at", "pa"), known.toDF("gram", "b", "nb", "bt", "pb")
     rest = left.join(right, "gram").where("pa < pb").where(_fits(percent)).select("a", "b", "na", "nb").distinct()
     return found.union(written(_linked(rest, rows, percent), "links"))
 
@@ -174,7 +188,7 @@ def join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     laid = blocks.lay_out(reps.sortWithinPartitions("doc_id", "text"))
     answers = blocks.ask(laid, _block_hashes(n), shingles, "held")
     rows = written(laid.join(answers, "block").mapInArrow(
-        _bounding(n, percent), "doc_id long, n long, rare array<long>, shared binary"
+        _bounding(n, percent), "doc_id long, n long, rare array<long>, place array<long>, shared binary"
     ), "rows")
     parts = components(written(links(rows, percent), "all-links"))
     placed = kinds.join(parts.toDF("rep", "part"), "rep", "left").select(*kind, F.coalesce("part", "rep").alias("part"))
