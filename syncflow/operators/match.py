@@ -14,17 +14,38 @@ SINK_BONUS = 0.5
 COMBINED_WEIGHTS = (0.6, 0.4)
 
 
-# Candidate features that are certain to fit into the memory of every task.
-BROADCAST_ROWS = 500_000
-
-
 def _hits(is_sink: Column) -> list[Column]:
     return [F.count(F.lit(1)).alias("shared"), F.count_if(is_sink).alias("shared_sinks")]
 
 
-def _is_small(df: DataFrame, limit: int) -> bool:
-    """Whether ``df`` has at most ``limit`` rows, which is counted."""
-    return df.limit(limit + 1).count() <= limit
+def _scored(jobs: DataFrame, candidates: DataFrame, job: str, candidate: str, feature: str) -> tuple[DataFrame, DataFrame]:
+    """Score of every pair that shares a feature, jobs being groups of jobs with equal features.
+
+    An equi-join on the feature: only pairs that share one exist, and pairs without one would
+    score 0 and are not reported. Features are made distinct before the join, and jobs with
+    equal features are one row in it. Which side is broadcast, if any, goes by the bytes that
+    are measured at run time; AQE splits the partitions of frequent features.
+    """
+    sets = (
+        jobs.select(job, feature).where(F.col(feature).isNotNull()).groupBy(job)
+        .agg(F.sort_array(F.collect_set(feature)).alias("features"))
+    )
+    named = sets.withColumn("set", F.xxhash64("features"))
+    kinds = named.groupBy("set").agg(F.first("features").alias("features"))
+    a = kinds.select("set", F.size("features").alias("job_size"), F.explode("features").alias(feature))
+    b = candidates.select(candidate, feature).distinct()
+    size_b = b.groupBy(candidate).agg(F.count(F.lit(1)).alias("candidate_size"))
+    pairs = a.join(b, feature).groupBy("set", "job_size", candidate).agg(
+        *_hits(F.col(feature).startswith(SINK_PREFIX))
+    ).join(size_b, candidate)
+    united = F.col("job_size") + F.col("candidate_size") - F.col("shared")
+    # Doubled, so that the half bonus stays an integer and rounding is exact.
+    doubled = 2 * F.col("shared") + F.col("shared_sinks")
+    percent = F.floor((200 * doubled + 2 * united) / (4 * united))
+    scored = pairs.select(
+        "set", candidate, "shared", "shared_sinks", (doubled / (2 * united)).alias("score"), percent.alias("percent")
+    )
+    return scored, named.select(job, "set")
 
 
 def match_candidates(
@@ -33,59 +54,46 @@ def match_candidates(
     job: str = "job",
     candidate: str = "candidate",
     feature: str = "feature",
-    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Ranked candidates of every job: (shared + sink bonus) / united features.
-
-    An equi-join on the feature: only pairs that share one exist, and pairs without one
-    would score 0 and are not reported. Features are made distinct before the join. The
-    candidates are counted first. Up to ``broadcast_rows`` they are broadcast, and the
-    features they know are brought together by job, of which there are as many at most, so
-    that the pairs are counted where they arise. Beyond that it is a shuffled join in which
-    AQE splits the partitions of frequent features.
-    """
-    # Without NULLs from the start, so that both uses of it share one shuffle.
-    a = jobs.select(job, feature).where(F.col(feature).isNotNull()).distinct()
-    b = candidates.select(candidate, feature).distinct()
-    size_a = a.groupBy(job).agg(F.count(F.lit(1)).alias("job_size"))
-    size_b = b.groupBy(candidate).agg(F.count(F.lit(1)).alias("candidate_size"))
-    if _is_small(b, broadcast_rows):
-        b = F.broadcast(b)
-        # An inner join, unlike a semi join, stays above the distinct it shares with size_a.
-        a = a.join(F.broadcast(b.select(feature).distinct()), feature).repartition(job)
-    pairs = (
-        a.join(b, feature)
-        .groupBy(job, candidate)
-        .agg(*_hits(F.col(feature).startswith(SINK_PREFIX)))
-        .join(size_a, job)
-        .join(size_b, candidate)
-    )
-    united = F.col("job_size") + F.col("candidate_size") - F.col("shared")
-    # Doubled, so that the half bonus stays an integer and rounding is exact.
-    doubled = 2 * F.col("shared") + F.col("shared_sinks")
-    percent = F.floor((200 * doubled + 2 * united) / (4 * united))
-    best_first = Window.partitionBy(job).orderBy(F.desc("score"), F.asc(candidate))
+    """Ranked candidates of every job: (shared + sink bonus) / united features."""
+    scored, members = _scored(jobs, candidates, job, candidate, feature)
+    best_first = Window.partitionBy("set").orderBy(F.desc("score"), F.asc(candidate))
     return (
-        pairs.withColumn("score", doubled / (2 * united))
         # The tier goes by the reported score, which has two decimals.
-        .withColumn("tier", tier(percent / 100, SINGLE_MATCH_TIERS, "poor"))
+        scored.withColumn("tier", tier(F.col("percent") / 100, SINGLE_MATCH_TIERS, "poor"))
         .withColumn("rank", F.row_number().over(best_first))
+        .join(members, "set")
         .select(job, candidate, "shared", "shared_sinks", "score", "tier", "rank")
     )
 
 
+def best_candidates(
+    jobs: DataFrame,
+    candidates: DataFrame,
+    job: str = "job",
+    candidate: str = "candidate",
+    feature: str = "feature",
+) -> DataFrame:
+    """The first candidate of every job, which is what a recovery takes; without ranking the rest."""
+    scored, members = _scored(jobs, candidates, job, candidate, feature)
+    # By the highest score, then the first name: the smallest of (-score, name).
+    best = scored.groupBy("set").agg(
+        F.min(F.struct((-F.col("score")).alias("at"), candidate, "shared", "shared_sinks", "score")).alias("best")
+    )
+    return members.join(best, "set").select(
+        job, *[F.col(f"best.{c}").alias(c) for c in (candidate, "shared", "shared_sinks", "score")]
+    )
+
+
 def match_combined(
     jobs: DataFrame,
     candidates: DataFrame,
     candidate: str = "candidate",
     feature: str = "feature",
-    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Candidates against the united features of all jobs, with the share of sinks covered."""
     a = jobs.select(feature).where(F.col(feature).isNotNull()).distinct()
     b = candidates.select(candidate, feature).distinct()
-    if _is_small(b, broadcast_rows):
-        b = F.broadcast(b)
     is_sink = F.col(feature).startswith(SINK_PREFIX)
     totals = a.agg(F.struct(F.count(F.lit(1)).alias("n"), F.count_if(is_sink).alias("sinks"))).scalar()
     size_a, sinks_a = totals.getField("n"), totals.getField("sinks")

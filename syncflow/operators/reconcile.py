@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -123,9 +122,3 @@ def freshness(
         .withColumn("lag_minutes", lag)
         .withColumn("stale", F.coalesce(seconds > max_minutes * 60, F.lit(True)))
     )
-
-
-def any_alert(*reports: DataFrame, flag: str = "alert") -> DataFrame:
-    """Number of raised flags over several reports."""
-    flags = [r.select(F.col(flag).cast("int").alias("raised")) for r in reports]
-    return reduce(DataFrame.unionByName, flags).agg(F.sum("raised").alias("raised"))

@@ -6,6 +6,7 @@ stores and local disks.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -15,12 +16,12 @@ from pyspark.sql import SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only in local mode, where nothing may be configured, a fresh local folder is taken and
-    remembered in the session.
+    Where it is unset, a single local process takes a fresh folder and remembers it in the
+    session; anything that has executors of its own is refused.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="syncflow-")
         spark.conf.set("spark.checkpoint.dir", base)

@@ -85,7 +85,7 @@ def test_choose_chunk(spark):
 
 
 def greedy(rows, quiet):
-    """Sequential suppression on whole seconds, as a shell script would do it."""
+    """Sequential suppression on whole seconds, alert by alert."""
     last, sent = {}, []
     for kind, at, n in sorted(rows, key=lambda r: (r[1], r[2])):
         second = int((at - dt.datetime(1970, 1, 1)).total_seconds() // 1)
@@ -192,8 +192,3 @@ def test_freshness(spark, last, stale):
     df = spark.createDataFrame([(last,)], "t string").selectExpr("cast(t as timestamp_ntz) ts").where("ts IS NOT NULL")
     report = reconcile.freshness(df, "ts", "2024-01-01 00:10:00").first()
     assert report.stale is stale
-
-
-def test_any_alert(spark):
-    a = spark.createDataFrame([(True,), (False,)], "alert boolean")
-    assert reconcile.any_alert(a, a).first().raised == 2

@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
-from syncflow.plans import changes, checks, ingest, streams
+from syncflow.plans import changes, checks, ingest, streams, targets
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -20,7 +20,7 @@ def duck(sf_dir):
     return con
 
 
-NAMES = sorted(name for module in (ingest, changes, checks, streams) for name in module.QUERIES)
+NAMES = sorted(name for module in (ingest, changes, checks, streams, targets) for name in module.QUERIES)
 
 
 def test_every_query_has_sql():

@@ -9,8 +9,8 @@ FIELDS = {"uid": "BIGINT", "version": "STRING", "timestamp": "STRING"}
 
 # payload, accepted, (uid, version, timestamp)
 PAYLOADS = [
-    ('{"uid":1,"version":"1.0","timestamp":"1746758378407"}', True, (1, "1.0", "1746758378407")),
-    ('{"uid":"5","timestamp":1746758378407}', True, (5, None, "1746758378407")),
+    ('{"uid":1,"version":"1.0","timestamp":"1700000000123"}', True, (1, "1.0", "1700000000123")),
+    ('{"uid":"5","timestamp":1700000000123}', True, (5, None, "1700000000123")),
     ('{"uid":"x","version":{"a":1}}', True, (None, '{"a":1}', None)),
     ('{"uid":1.5,"version":[1, 2]}', True, (None, "[1, 2]", None)),
     ('{"uid":null,"extra":true}', True, (None, None, None)),
