@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from syncflow import storage
+
 AS_OF = "2024-01-31 00:00:00"
 HALF = "2024-01-16 00:00:00"
 MICROS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -32,6 +34,33 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(sf_dir)
 
 
+class PartedStream:
+    """A table that arrives in parts, in the order of ``by``: one file, so one micro-batch, each."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, name: str, by: str, parts: int = 4):
+        self.rows = table(spark, sf_dir, name)
+        self.path = storage.work_path(spark, f"arriving-{name}")
+        ends = self.rows.agg(
+            F.percentile_approx(by, [i / parts for i in range(1, parts)], 100_000).alias("ends")
+        ).first().ends
+        self.cuts = [None, *ends, None]
+        self.by, self.arrived, self.parts = by, 0, parts
+
+    def arrive(self, upto: int | None = None) -> None:
+        """Let the next parts come in, up to that number of them in all."""
+        upto = self.parts if upto is None else upto
+        for lo, hi in zip(self.cuts[self.arrived : upto], self.cuts[self.arrived + 1 : upto + 1], strict=True):
+            rows = self.rows
+            rows = rows if lo is None else rows.where(F.col(self.by) > F.lit(lo))
+            rows = rows if hi is None else rows.where(F.col(self.by) <= F.lit(hi))
+            rows.coalesce(1).write.mode("append").parquet(self.path)
+        self.arrived = upto
+
+    def read(self) -> DataFrame:
+        reader = self.rows.sparkSession.readStream.schema(self.rows.schema)
+        return reader.option("maxFilesPerTrigger", 1).parquet(self.path)
+
+
 def text_of(ts: str) -> Column:
     return F.date_format(ts, MICROS)
 

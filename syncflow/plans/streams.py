@@ -11,7 +11,7 @@ from syncflow.plans import inputs
 from syncflow.plans.changes import SQL as _CHANGE_SQL
 from syncflow.plans.checks import SQL as _CHECK_SQL
 from syncflow.plans.ingest import SQL as _INGEST_SQL, cold_start_rows
-from syncflow.plans.inputs import CHANGE_FIELDS, COLD_START_FIELDS, table_stream
+from syncflow.plans.inputs import CHANGE_FIELDS, COLD_START_FIELDS, PartedStream, table_stream
 from syncflow.plans.spec import SyncSpec, run
 from syncflow.sinks.append import read_by_day
 from syncflow.sinks.keyed import KeyedTable
@@ -45,22 +45,27 @@ def stream_tumble_5m(spark, sf_dir):
 
 
 def stream_cdc_mirror(spark, sf_dir):
-    """Stream of change envelopes into a keyed mirror."""
-    payloads = inputs.envelopes(table_stream(spark, sf_dir, "events"))
-    rows = changelog.decode_changes(payloads, CHANGE_FIELDS)
+    """Change envelopes in eight micro-batches, with a restart: changes wait beside the buckets of a
+    keyed mirror, and buckets are rewritten in between."""
+    arriving = PartedStream(spark, sf_dir, "events", "event_id", 8)
     path = storage.work_path(spark, "stream_cdc_mirror")
     mirror = KeyedTable(spark, path, ["user_id"], ["seq"])
-    stream_to_keyed_table(rows, mirror, f"{path}/checkpoint", "cdc").awaitTermination()
+    for upto in (5, 8):
+        arriving.arrive(upto)
+        rows = changelog.decode_changes(inputs.envelopes(arriving.read()), CHANGE_FIELDS)
+        stream_to_keyed_table(rows, mirror, f"{path}/checkpoint", "cdc", max_deltas=3).awaitTermination()
     return mirror.read().select(
         "user_id", "event_id", "value", times.timestamp_text("created_at").alias("ts")
     )
 
 
 def stream_resume(spark, sf_dir):
-    """A stream stopped and started again on its checkpoint: rows per day, none twice."""
+    """A stream stopped halfway and resumed on its checkpoint: rows per day, none twice or lost."""
+    arriving = PartedStream(spark, sf_dir, "events", "event_id")
     path = storage.work_path(spark, "stream_resume")
-    for _ in range(2):
-        rows = cold_start_rows(inputs.cold_start_payloads(table_stream(spark, sf_dir, "events")))
+    for upto in (2, 4, 4):
+        arriving.arrive(upto)
+        rows = cold_start_rows(inputs.cold_start_payloads(arriving.read()))
         stream_to_day_table(rows, f"{path}/table", f"{path}/checkpoint", "resume").awaitTermination()
     return read_by_day(spark, f"{path}/table").groupBy(
         F.col("partition_day").cast("string").alias("partition_day")
@@ -68,11 +73,13 @@ def stream_resume(spark, sf_dir):
 
 
 def stream_alert_suppressed(spark, sf_dir):
-    """Suppression with state kept per alert type."""
-    alerts = inputs.alerts(table_stream(spark, sf_dir, "events"))
-    sent = suppress_repeats_stream(alerts, "alert_type", "ts", ("event_id",))
+    """Suppression with state kept per alert type, over micro-batches and a restart."""
+    arriving = PartedStream(spark, sf_dir, "events", "event_id")
     path = storage.work_path(spark, "stream_alert_suppressed")
-    stream_to_day_files(sent, f"{path}/data", f"{path}/checkpoint", None).awaitTermination()
+    for upto in (2, 4):
+        arriving.arrive(upto)
+        sent = suppress_repeats_stream(inputs.alerts(arriving.read()), "alert_type", "ts", ("event_id",))
+        stream_to_day_files(sent, f"{path}/data", f"{path}/checkpoint", None).awaitTermination()
     out = spark.read.schema(sent.schema).parquet(f"{path}/data")
     return out.withColumn("ts", inputs.text_of("ts"))
 
