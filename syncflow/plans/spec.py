@@ -18,7 +18,7 @@ from syncflow.functions.types import resolve_type
 from syncflow.operators import changelog, transform
 from syncflow.sinks.append import append_by_day
 from syncflow.sinks.keyed import KeyedTable
-from syncflow.sinks.outputs import encode_for_kafka, print_rows, write_json_files
+from syncflow.sinks.outputs import encode_for_kafka, flush_options, print_rows, rolling_options, write_json_files
 from syncflow.sources import cdc, datagen, events, tables
 from syncflow.streaming import run as streams
 from syncflow.streaming.windows import as_event_time, tumbling, window_counts, with_event_time_limit
@@ -34,7 +34,8 @@ class Source:
     With ``encoded`` the reader gives JSON text in ``value``, as a topic does. ``cdc`` is
     such a source whose records are change envelopes; ``startup`` and ``start`` say from which
     change on they count. With ``startup`` initial, ``snapshot`` is the table as it was before the
-    changes, in columns of the same names, unless ``snapshot_mode`` leaves it out.
+    changes, in columns of the same names, unless ``snapshot_mode`` leaves it out. ``flush``
+    bounds the micro-batches of a stream, as ``outputs.flush_options`` has it.
     """
 
     kind: str
@@ -49,6 +50,7 @@ class Source:
     snapshot_mode: str = "initial"
     lookback_hours: int | None = None
     lookback_column: str = "update_time"
+    flush: Mapping[str, object] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -79,6 +81,7 @@ class Transform:
 class Sink:
     """``day_from`` is the time column the day partition comes from, named as it is in the
     source; ``event_millis`` the epoch-millisecond column where there is no time column.
+    ``rolling`` bounds the files of a JSON sink, as ``outputs.rolling_options`` has it.
     ``buckets`` of a keyed target has no default: choose it by size, some hundred MB to a few GB a
     bucket."""
 
@@ -96,6 +99,7 @@ class Sink:
     event_millis: str | None = None
     day_as_text: bool = False
     options: Mapping[str, str] = field(default_factory=dict)
+    rolling: Mapping[str, object] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -136,11 +140,13 @@ def _scan(spark: SparkSession, src: Source, streaming: bool, frame: DataFrame |
     if frame is not None:
         return frame
     options = dict(src.options)
+    if streaming and src.flush:
+        options |= flush_options(**src.flush)[0]
     reader = spark.readStream if streaming else spark.read
     if src.kind == "kafka" or src.kind == "cdc" and "path" not in options:
         return events.read_kafka(spark, streaming, **options)
     if src.kind == "cdc":
-        return reader.text(options["path"])
+        return reader.options(**options).text(options["path"])
     if src.kind == "jdbc":
         if src.lookback_hours and "where" not in options:
             options["where"] = tables.jdbc_lookback_where(src.lookback_column, src.lookback_hours)
@@ -293,7 +299,8 @@ def run(
             # Under a label of its own: it goes in once, however often the stream is started.
             first = build(spark, spec, False, None, as_of, fallback_day, snapshot_only=True)
             keyed_table(spark, spec).upsert(first, f"{sink.label_prefix}-snapshot", sink.enable_delete)
-        return _run_stream(spark, spec, df, checkpoint, interval)
+        bounds = spec.source.flush.get("interval") or sink.rolling.get("rollover")
+        return _run_stream(spark, spec, df, checkpoint, interval or bounds)
     full_label = f"{sink.label_prefix}-{label}"
     if sink.model in ("append", "keyed") and label is None:
         raise ValueError("a batch load needs a label")
@@ -302,7 +309,7 @@ def run(
     if sink.model == "keyed":
         return keyed_table(spark, spec).upsert(df, full_label, sink.enable_delete)
     if sink.model == "json":
-        return write_json_files(df, sink.path, **sink.options)
+        return write_json_files(df, sink.path, **_file_options(sink))
     if sink.model == "kafka":
         encoded = encode_for_kafka(df, sink.keys)
         return encoded.write.format("kafka").options(**sink.options).save()
@@ -311,6 +318,10 @@ def run(
     return df.write.format("noop").mode("overwrite").save()
 
 
+def _file_options(sink: Sink) -> dict[str, str]:
+    return {**(rolling_options(**sink.rolling)[0] if sink.rolling else {}), **sink.options}
+
+
 def _run_stream(spark, spec: SyncSpec, df: DataFrame, checkpoint: str, interval: str | None):
     sink = spec.sink
     if sink.model == "append":
@@ -324,7 +335,7 @@ def _run_stream(spark, spec: SyncSpec, df: DataFrame, checkpoint: str, interval:
         )
     if sink.model == "json":
         return streams.stream_to_day_files(
-            df, sink.path, checkpoint, None, interval, "json", sink.options, spec.name
+            df, sink.path, checkpoint, None, interval, "json", _file_options(sink), spec.name
         )
     if sink.model == "kafka":
         df = encode_for_kafka(df, sink.keys)

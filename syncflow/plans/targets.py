@@ -181,6 +181,22 @@ def state_transitions_nulls(spark, sf_dir):
     return found.select("changes", left.scalar().alias("untimed"))
 
 
+def rolled_files(spark, sf_dir):
+    """A JSON sink with a bound on its files: how many rows come back, and whether all files keep it."""
+    path, limit = storage.work_path(spark, "rolled"), 64 << 10
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    spec = SyncSpec.from_dict({
+        "name": "rolled", "source": {"kind": "frame"},
+        "sink": {"model": "json", "path": path, "day_column": None, "rolling": {"file_bytes": limit, "row_bytes": 80}},
+    })
+    run(spark, spec, frame=rows)
+    files = spark.read.schema(rows.schema).json(path)
+    sizes = files.select("o_orderkey", F.col("_metadata.file_size").alias("bytes"))
+    return sizes.agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("o_orderkey").alias("keys"), (F.max("bytes") <= limit).alias("bounded")
+    )
+
+
 def best_match(spark, sf_dir):
     """The best candidate of every job alone."""
     return match.best_candidates(*_features(spark, sf_dir))
@@ -189,7 +205,7 @@ def best_match(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     keyed_own_columns, keyed_new_column, keyed_key_widened, append_new_checkpoint, append_text_day, append_new_column,
     json_timestamps_zoned, cdc_times, spec_cdc_initial, spec_cdc_filter, spec_cdc_not_null, alert_routing_nulls,
-    state_transitions_nulls, best_match,
+    state_transitions_nulls, rolled_files, best_match,
 )}
 
 _LAST = """
@@ -238,6 +254,8 @@ SQL = {
               FROM s WHERE event_id % 23 <> 0)
         SELECT count(*) FILTER (state IS DISTINCT FROM before) AS changes,
                (SELECT count(*) FROM s WHERE event_id % 23 = 0) AS untimed FROM p""",
+    "rolled_files": """
+        SELECT count(*) AS rows, CAST(sum(o_orderkey) AS BIGINT) AS keys, true AS bounded FROM orders""",
     "best_match": _FEATURES + """
         , p AS (SELECT job, candidate, count(*) AS shared, count(*) FILTER (starts_with(feature, 'sink_table:')) AS shared_sinks
                 FROM a JOIN b USING (feature) GROUP BY 1, 2),

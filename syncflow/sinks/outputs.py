@@ -58,14 +58,16 @@ def rolling_options(
 
 
 def flush_options(
-    interval: str, max_offsets: int | None = None, max_files: int | None = None
+    interval: str, max_offsets: int | None = None, max_files: int | None = None, max_bytes: int | None = None
 ) -> tuple[dict[str, str], dict[str, str]]:
-    """Reader options and trigger that bound a micro-batch by rows or files and by time."""
+    """Reader options and trigger that bound a micro-batch by rows, files or bytes and by time."""
     options = {}
     if max_offsets:
         options["maxOffsetsPerTrigger"] = str(max_offsets)
     if max_files:
         options["maxFilesPerTrigger"] = str(max_files)
+    if max_bytes:
+        options["maxBytesPerTrigger"] = str(max_bytes)
     return options, {"processingTime": interval_text(interval)}
 
 

@@ -70,9 +70,15 @@ def read_jdbc_chunked(
     column: str,
     chunk_rows: int = SNAPSHOT_CHUNK_ROWS,
     connection: Mapping[str, str] | None = None,
+    partitions: int | None = None,
     **options,
 ) -> DataFrame:
-    """Range-partitioned scan with one partition for every ``chunk_rows`` rows."""
+    """Range-partitioned scan that fetches ``chunk_rows`` rows at a time.
+
+    ``partitions`` is the number of tasks, and so of connections; without it every chunk is one,
+    which only small tables can do with.
+    """
+    options.setdefault("fetch_size", chunk_rows)
     bounds = (
         spark.read.format("jdbc")
         .options(**jdbc_bounds_options(url, table, column, connection))
@@ -84,7 +90,7 @@ def read_jdbc_chunked(
         return read_jdbc(spark, url=url, table=table, connection=connection, **options)
     return read_jdbc(
         spark, url=url, table=table, column=column, lower=lo, upper=hi + 1,
-        partitions=chunk_count(n, chunk_rows), connection=connection, **options,
+        partitions=partitions or chunk_count(n, chunk_rows), connection=connection, **options,
     )
 
 
