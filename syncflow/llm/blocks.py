@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 from .common import written
 
-BLOCK_BYTES = 6 << 20
-BUCKET_KEYS = 3_000_000  # hashes in a bucket, about: 24 MB, and as much again to sort them
+BLOCK_BYTES = 4 << 20
+BUCKET_KEYS = 2_000_000  # hashes in a bucket, about: 16 MB, and as much again to sort them
 _SCHEMA = "block long, ids array<long>, copies array<int>, ends array<long>, data binary"
 
 
