@@ -2,9 +2,12 @@
 
 Vectors are scaled to length 1. A bounded sample (``SAMPLE`` vectors) gives coarse centroids and, in
 each of ``SUBSPACES`` parts of the residual, a codebook. Every vector is indexed: its nearest centroid
-is its list, and its residual is kept as one code a subspace. Every vector also searches: it probes
-the nearest lists of its own label, adds up table-lookup distances to the codes there (asymmetric: the
-query itself is not coded), and reranks what may be near by the exact cosine in double precision.
+is its list, and its residual is kept as one code a subspace, with the distance that coding moved it.
+Every vector also searches: it probes the nearest lists of its own label, adds up table-lookup distances
+to the codes there (asymmetric: the query itself is not coded), and reranks what may be near by the exact
+cosine in double precision. May be near is what lies no farther than the cosine allows plus the entry's
+own coding error, so by the triangle inequality the lookup loses no pair; only lists that neither side
+probes do.
 
 Equal vectors of a label are one entry that knows how many it stands for, so copies never meet. A pair
 can be found from either side; it is looked at once, from the entry with the smaller vec_id if that one
@@ -33,11 +36,11 @@ MIN_COSINE = 0.93
 SAMPLE = 20_000  # vectors that the index is fitted on, at most
 LIST_SIZE = 500  # entries in an inverted list, about, before labels divide it
 MAX_LISTS = 4096
-SUBSPACES = 8
-CODES = 32
+SUBSPACES = 16
+CODES = 64
 PROBES = 16
 TILE = 1024
-_SLACK = 0.35  # added to the squared distance that the cosine allows: what coding may distort
+_ROUNDING = 1e-9  # added to the distance up to which entries are reranked
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
@@ -80,12 +83,14 @@ class Index:
         out[: len(row)] = row[: self.dim]
         return out
 
-    def encode(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The probed lists of each row, nearest first, and the codes of its residual."""
+    def encode(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The probed lists of each row, nearest first, the codes of its residual and its coding error."""
         lists = _squared(rows, self.coarse).argsort(1, kind="stable")[:, :PROBES]
         residual = self._cut(rows - self.coarse[lists[:, 0]])
         codes = [_squared(residual[:, s], book).argmin(1) for s, book in enumerate(self.books)]
-        return lists, np.stack(codes, 1).astype(np.uint8)
+        coded = np.stack([book[code] for book, code in zip(self.books, codes, strict=True)], 1)
+        errors = np.sqrt(((residual - coded) ** 2).sum((1, 2)))
+        return lists, np.stack(codes, 1).astype(np.uint8), errors
 
     def distances(self, queries: np.ndarray, which: int, codes: np.ndarray) -> np.ndarray:
         """Squared distances of the queries to coded entries of a list, by table lookup."""
@@ -96,7 +101,7 @@ class Index:
 def _encoding(index: Index) -> Callable:
     kind = pa.schema([
         ("vec_id", pa.int64()), ("label", pa.string()), ("n", pa.int64()), ("vector", pa.list_(pa.float64())),
-        ("lists", pa.list_(pa.int32())), ("codes", pa.binary()),
+        ("lists", pa.list_(pa.int32())), ("codes", pa.binary()), ("error", pa.float64()),
     ])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,10 +110,11 @@ def _encoding(index: Index) -> Callable:
                 continue
             vectors = [np.asarray(v, np.float64) for v in batch.column("vector").to_pylist()]
             units = [v / np.linalg.norm(v / np.abs(v).max()) / np.abs(v).max() for v in vectors]
-            lists, codes = index.encode(np.stack([index.fitted(u) for u in units]))
+            lists, codes, errors = index.encode(np.stack([index.fitted(u) for u in units]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("vec_id"), batch.column("label"), batch.column("n"), pa.array(units, pa.list_(pa.float64())),
-                 pa.array(list(lists.astype(np.int32)), pa.list_(pa.int32())), pa.array([c.tobytes() for c in codes], pa.binary())],
+                 pa.array(list(lists.astype(np.int32)), pa.list_(pa.int32())), pa.array([c.tobytes() for c in codes], pa.binary()),
+                 pa.array(errors, pa.float64())],
                 schema=kind,
             )
 
@@ -140,7 +146,8 @@ def _searching(index: Index, min_cosine: float) -> Callable:
             probed = [set(r["lists"]) for r in held]
             exact = {n: np.stack([r["vector"] for r, s in zip(held, sizes, strict=True) if s == n]) for n in set(sizes.tolist())}
             place = {n: np.flatnonzero(sizes == n) for n in exact}
-            reach = 2.0 - 2.0 * min_cosine + _SLACK
+            errors = np.array([r["error"] for r in held])
+            reach = (np.sqrt(max(0.0, 2.0 - 2.0 * min_cosine)) + errors + _ROUNDING) ** 2
             for lo in range(0, len(visitors), 256):
                 part = visitors[lo : lo + 256]
                 near = index.distances(np.stack([index.fitted(np.array(r["vector"])) for r in part]), which, codes) <= reach
@@ -170,7 +177,7 @@ def _searching(index: Index, min_cosine: float) -> Callable:
 def _tiled(entries: DataFrame) -> DataFrame:
     """Entries and visitors of every list, each sent to the tiles of the other side."""
     home = F.col("lists")[0]
-    shared = ["vec_id", "label", "n", "vector", "lists", "codes", home.alias("home")]
+    shared = ["vec_id", "label", "n", "vector", "lists", "codes", "error", home.alias("home")]
     here = entries.select(*shared, home.alias("list"), F.lit(False).alias("visits"))
     there = entries.select(*shared, F.explode("lists").alias("list"), F.lit(True).alias("visits"))
     tiles = (F.floor((F.col("size") - 1) / F.lit(TILE)) + 1).cast("int")
@@ -231,7 +238,7 @@ def near_duplicates(
             "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept")
         )
     coded = written(entries.mapInArrow(
-        _encoding(index), "vec_id long, label string, n long, vector array<double>, lists array<int>, codes binary"
+        _encoding(index), "vec_id long, label string, n long, vector array<double>, lists array<int>, codes binary, error double"
     ), "coded")
     found = written(_tiled(coded).groupBy("label", "list", "row", "column").applyInArrow(
         _searching(index, min_cosine), "a long, b long, links long"

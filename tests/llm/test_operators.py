@@ -310,6 +310,22 @@ def test_embeddings_equal_brute_force(spark):
     assert embedding_dedup.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_embedding_pairs_near_the_limit_are_found(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "LIST_SIZE", 60)
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=(1200, 64))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    aside = rng.normal(size=base.shape)
+    aside -= (aside * base).sum(1, keepdims=True) * base
+    aside /= np.linalg.norm(aside, axis=1, keepdims=True)
+    cosine = rng.uniform(0.931, 0.97, (len(base), 1))
+    both = np.concatenate([base, cosine * base + np.sqrt(1 - cosine**2) * aside])
+    assert len(both) // embedding_dedup.LIST_SIZE > 2 * embedding_dedup.PROBES
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(both)], "vec_id long, embedding array<double>, label int")
+    part = {r["vec_id"]: r["component_id"] for r in embedding_dedup.near_duplicates(df).collect()}
+    assert sum(part[i] == part[i + len(base)] for i in range(len(base))) >= 0.95 * len(base)
+
+
 # 8
 
 
