@@ -41,7 +41,8 @@ class Encoder:
     """Token ids of texts under a ``tokenizers`` file, without added special tokens.
 
     tiktoken gives the same ids several times faster where the ranks of the file are its ids, and
-    is used for texts in settled letters; all others go to ``tokenizers`` itself.
+    is used for texts in settled letters; all others go to ``tokenizers`` itself, and so do texts with
+    white-space runs so long that tiktoken's pattern search gives up on them.
     """
 
     def __init__(self, path: str):
@@ -62,7 +63,10 @@ class Encoder:
 
     def ids(self, text: str) -> np.ndarray:
         if self.fast and _SETTLED.fullmatch(text):
-            return self.fast.encode_to_numpy(text, allowed_special="all").astype("<u4")
+            try:
+                return self.fast.encode_to_numpy(text, allowed_special="all").astype("<u4")
+            except ValueError:  # its stack for backtracking is full
+                pass
         return np.array(self.plain.encode(text, add_special_tokens=False).ids, "<u4")
 
 

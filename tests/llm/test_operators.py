@@ -119,6 +119,13 @@ def test_encoder_equals_library():
         assert encoder.ids(text).tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_encoder_takes_very_long_white_space():
+    encoder, library = packing.Encoder(BYTE), Tokenizer.from_file(BYTE)
+    for text in ["a" + " " * 2_000_000 + "b", "\n" * 2_000_000 + "b"]:
+        want = library.encode(text, add_special_tokens=False).ids
+        assert np.array_equal(encoder.ids(text), np.array(want, "<u4"))
+
+
 # 3
 
 
