@@ -13,7 +13,7 @@ from syncflow.llm.common import written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that fail the rules, or whose lines are mostly their host's, go."""
+    """Lines that very many texts of a host hold go, and so do documents that fail the rules or are depleted."""
     return quality.keep_good(docs)
 
 

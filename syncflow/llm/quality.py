@@ -3,7 +3,8 @@
 Lines are normalised (lower case, white space joined, digits as 0) and hashed. For every host and
 line the distinct texts that hold it are counted, so exact copies of one document count once. Lines
 held by more than ``max_documents`` texts of their host are removed, and a document that keeps less
-than ``min_kept`` of its words is depleted: rejected.
+than ``min_kept`` of its words is depleted: rejected. ``judge`` counts and decides; ``keep_good`` gives
+the documents that pass, their text without those lines.
 
 Results for odd input: a NULL text counts as empty and fails the word rule; a NULL host is a host of
 its own; repeated rows get the same result each; an empty table gives an empty result. Columns other
@@ -17,7 +18,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import pick, plain, row_key, written
@@ -52,6 +53,10 @@ def _repeated_words(words: list[bytes]) -> int:
     return covered
 
 
+def _line_key(words: list[bytes]) -> int:
+    return xxhash.xxh3_64_intdigest(b" ".join(words).translate(_DIGITS)) - (1 << 63)
+
+
 def _measured(text: bytes) -> tuple[int, int, int, int, int, list[dict]]:
     words = text.split()  # of bytes: at ASCII white space
     points = sum(map(len, words)) - len(b"".join(words).translate(None, bytes(range(0x80)) + bytes(range(0xC0, 256))))
@@ -61,8 +66,7 @@ def _measured(text: bytes) -> tuple[int, int, int, int, int, list[dict]]:
         if parts:
             repeated += line in seen
             seen.add(line)
-            key = b" ".join(parts).translate(_DIGITS)
-            lines[xxhash.xxh3_64_intdigest(key) - (1 << 63)] += len(parts)
+            lines[_line_key(parts)] += len(parts)
     symbols = len(text) - len(text.translate(None, _SYMBOLS))
     held = [{"line": line, "words": n} for line, n in lines.items()]
     return len(words), points, symbols, repeated, _repeated_words(words), held
@@ -97,17 +101,15 @@ def frequent_lines(measured: DataFrame, max_documents: int = MAX_DOCUMENTS) -> D
     return counts.where(F.col("documents") > max_documents)
 
 
-def judge(
-    docs: DataFrame, host: str = "source", max_documents: int = MAX_DOCUMENTS, min_kept: float = MIN_KEPT
-) -> DataFrame:
-    """doc_id, row_key, the measures, ``words_removed``, ``base_failed`` and ``kept``."""
+def _judged(docs: DataFrame, host: str, max_documents: int, min_kept: float) -> DataFrame:
+    """What ``judge`` gives, and ``cut``: the frequent lines of the document, or NULL."""
     held = written(measure(docs, host), "measured")
     lines = held.select("host", "row_key", F.explode("lines").alias("l")).select(
         "host", "row_key", "l.line", "l.words"
     ).distinct()
     lost = (
         lines.join(frequent_lines(held, max_documents).drop("documents"), ["host", "line"])
-        .groupBy("row_key").agg(F.sum("words").alias("words_removed"))
+        .groupBy("row_key").agg(F.sum("words").alias("words_removed"), F.collect_list("line").alias("cut"))
     )
     removed = F.coalesce("words_removed", F.lit(0))
     failed = (F.col("n_words") < MIN_WORDS) | (
@@ -116,15 +118,48 @@ def judge(
     depleted = F.col("n_words") - removed < F.col("n_words") * F.lit(min_kept)
     return held.drop("lines").join(lost, "row_key", "left").select(
         "doc_id", "row_key", *MEASURES, removed.alias("words_removed"), failed.alias("base_failed"),
-        (~failed & ~depleted).alias("kept"),
+        (~failed & ~depleted).alias("kept"), "cut",
     )
 
 
-def keep_good(docs: DataFrame, host: str = "source", **limits) -> DataFrame:
-    """The documents that pass, with all their columns."""
-    verdicts = judge(docs, host, **limits).groupBy("row_key").agg(F.bool_and("kept").alias("kept"))
-    rows, at = plain(docs, host, "text")
-    good = rows.withColumn("row_key", row_key(at[host], at["text"])).join(
-        verdicts.where("kept").select("row_key"), "row_key", "left_semi"
+def judge(
+    docs: DataFrame, host: str = "source", max_documents: int = MAX_DOCUMENTS, min_kept: float = MIN_KEPT
+) -> DataFrame:
+    """doc_id, row_key, the measures, ``words_removed``, ``base_failed`` and ``kept``."""
+    return _judged(docs, host, max_documents, min_kept).drop("cut")
+
+
+def _without(text: str, cut: list[int]) -> str:
+    lines, gone = text.encode().split(b"\n"), set(cut)
+    return b"\n".join(line for line in lines if not (words := line.split()) or _line_key(words) not in gone).decode()
+
+
+def _cut_text(text: str, cut: str) -> Column:
+    @F.arrow_udf("string")
+    def rewritten(texts: pa.Array, cuts: pa.Array) -> pa.Array:
+        pairs = zip(texts.to_pylist(), cuts.to_pylist(), strict=True)
+        return pa.array([None if t is None else _without(t, c) for t, c in pairs], pa.string())
+
+    # Only texts that lose lines are sent to Python.
+    return F.when(F.col(cut).isNotNull(), rewritten(F.when(F.col(cut).isNotNull(), F.col(text)), F.col(cut))).otherwise(F.col(text))
+
+
+def keep_good(
+    docs: DataFrame, host: str = "source", max_documents: int = MAX_DOCUMENTS, min_kept: float = MIN_KEPT
+) -> DataFrame:
+    """The documents that pass, with all their columns, without the frequent lines of their host.
+
+    ``n_chars``, where there is one, follows the text.
+    """
+    verdicts = _judged(docs, host, max_documents, min_kept).groupBy("row_key").agg(
+        F.bool_and("kept").alias("kept"), F.any_value("cut").alias("cut")
     )
-    return good.select(*rows.columns).toDF(*docs.columns)
+    rows, at = plain(docs, host, "text", *["n_chars"] * ("n_chars" in docs.columns))
+    good = rows.withColumn("row_key", row_key(at[host], at["text"])).join(
+        verdicts.where("kept").select("row_key", "cut"), "row_key"
+    ).withColumn("new_text", _cut_text(at["text"], "cut"))
+    values = {at["text"]: F.col("new_text")}
+    if "n_chars" in at:
+        changed = F.when(F.col("cut").isNotNull(), F.length("new_text"))
+        values[at["n_chars"]] = changed.otherwise(F.col(at["n_chars"])).cast(docs.schema["n_chars"].dataType)
+    return good.select(*[values.get(c, F.col(c)).alias(c) for c in rows.columns]).toDF(*docs.columns)

@@ -400,6 +400,22 @@ def test_frequent_lines_deplete_documents(spark):
     assert {r[1] for r in good.collect()} >= {1, 2, 3, 4} and 5 not in {r[1] for r in good.collect()}
 
 
+def test_frequent_lines_are_cut_from_kept_documents(spark):
+    # The line differs in case, digits and spaces; a blank line and one host's own line stay.
+    boiler = ["Shared  footer of page 17 for all", "shared footer of page 42 FOR all"]
+    docs = [(i, f"{prose(i, 60)}\n\n{boiler[i % 2]}\n{prose(900 + i, 15)}", "h", 0) for i in range(30)]
+    docs += [(100, f"{prose(77, 60)}\n{boiler[0]}", "other", -1), (None, docs[3][1], None, -1), (101, prose(78, 60), "h", -1)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string, n_chars int")
+    got = {r["doc_id"]: r for r in quality.keep_good(df, max_documents=20).collect()}
+    assert len(got) == len(docs)
+    for i in range(30):
+        want = f"{prose(i, 60)}\n\n{prose(900 + i, 15)}"
+        assert got[i]["text"] == want and got[i]["n_chars"] == len(want)
+    for i, text, source, n_chars in docs[30:]:
+        assert tuple(got[i]) == (i, text, source, n_chars)
+    assert quality.keep_good(df.drop("n_chars"), max_documents=20).columns == ["doc_id", "text", "source"]
+
+
 # 10
 
 
