@@ -1,7 +1,9 @@
 """Mixing sources to target weights by iterative proportional fitting (raking).
 
 The tokens of the documents are summed by cell: source, language and topic. Each round scales the
-cells so that the marginals of one dimension after the other meet their targets. A cell's fitted share
+cells so that the marginals of one dimension after the other meet their targets. After ``ROUNDS`` rounds
+it goes on until no marginal is off by more than ``TOLERANCE`` of all tokens, or ``MOST_ROUNDS`` are done:
+targets that no weights can meet never get there. A cell's fitted share
 over its own share, relative to the largest such ratio, is the probability with which its documents
 are sampled, so the sample has the target mixture and no document is needed twice. Draws depend on
 ``doc_id`` and the seed alone.
@@ -20,13 +22,16 @@ and is never sampled; repeated rows are sampled alike; an empty table gives an e
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import pick, plain, written
 
-ROUNDS = 6
+ROUNDS = 6  # at least
+MOST_ROUNDS = 200
+TOLERANCE = 1e-4
 SEED = 17
 DIMENSIONS = ("source", "lang", "topic")
 TARGETS: dict[str, Mapping[str, float] | float] = {
@@ -78,15 +83,25 @@ def _target(cells: DataFrame, dim: str, wanted: Mapping[str, float] | float) ->
     return natural.select(dim, (F.col("raw") / F.lit(total)).alias("target"))
 
 
+def _largest_error(fitted: DataFrame, wanted: Mapping[str, DataFrame]) -> float:
+    """The largest difference between a marginal and its target: one number to the driver."""
+    errors = [
+        fitted.groupBy(d).agg(F.sum("weight").alias("now")).join(target, d).select(F.abs(F.col("now") - F.col("target")).alias("error"))
+        for d, target in wanted.items()
+    ]
+    return reduce(DataFrame.union, errors).agg(F.max("error")).first()[0] or 0.0
+
+
 def rake(
-    cells: DataFrame, targets: Mapping[str, Mapping[str, float] | float], rounds: int = ROUNDS
+    cells: DataFrame, targets: Mapping[str, Mapping[str, float] | float], rounds: int = ROUNDS,
+    most: int = MOST_ROUNDS, tolerance: float = TOLERANCE,
 ) -> DataFrame:
     """``cells`` (one column per dimension, ``tokens`` above 0) with the fitted ``weight``."""
     dims = list(targets)
     total = cells.agg(F.sum("tokens")).first()[0] or 1
     fitted = written(cells.withColumn("weight", F.col("tokens") / F.lit(float(total))), "cells")
     wanted = {d: written(_target(fitted, d, targets[d]), f"target-{d}") for d in dims}
-    for _ in range(rounds):
+    for done in range(1, max(rounds, most) + 1):
         for d in dims:
             now = fitted.groupBy(d).agg(F.sum("weight").alias("now"))
             # A value whose cells have all been scaled to nothing cannot meet its target.
@@ -96,6 +111,8 @@ def rake(
                 *dims, "tokens", (F.col("weight") * F.col("scale")).alias("weight")
             )
         fitted = written(fitted, "cells")
+        if done >= rounds and _largest_error(fitted, wanted) <= tolerance:
+            break
     return fitted
 
 

@@ -194,6 +194,17 @@ def test_raking_meets_its_targets(spark):
     assert by("s") == pytest.approx({"a": 0.5 / total, "b": 0.3 / total, "c": 0.1 / total})
 
 
+def test_raking_goes_on_until_the_targets_are_met(spark):
+    # Each source is in nearly one language: after six rounds a marginal is off by 0.2.
+    cells = [("a", "x", 1_000_000), ("a", "y", 1), ("b", "x", 1), ("b", "y", 1000)]
+    df = spark.createDataFrame(cells, "s string, l string, tokens long")
+    fitted = mixing.rake(df, {"s": {"a": 0.5, "b": 0.5}, "l": {"x": 0.3, "y": 0.7}}).collect()
+    assert sum(r["weight"] for r in fitted if r["s"] == "a") == pytest.approx(0.5, abs=1e-4)
+    assert sum(r["weight"] for r in fitted if r["l"] == "x") == pytest.approx(0.3, abs=1e-4)
+    apart = df.where("tokens > 1")  # no weights meet both targets
+    assert mixing.rake(apart, {"s": {"a": 0.5, "b": 0.5}, "l": {"x": 0.3, "y": 0.7}}, most=8).count() == 2
+
+
 def test_sample_has_the_target_mixture(spark):
     docs = [(i, "w " * 20, "en" if i // 6 % 3 else "de", "s0" if i % 2 else f"s{i % 6}") for i in range(6000)]
     df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")
