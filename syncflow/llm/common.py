@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from syncflow import storage
 
@@ -42,6 +44,37 @@ def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def digests(pieces: DataFrame, keys: list[str], order: list[str], separator: bytes) -> DataFrame:
+    """The keys and ``digest``: SHA-256 (hex) of each key's ``body`` columns (binary) along ``order``.
+
+    Bodies are joined by ``separator``. A digest can only be taken from front to back, so the pieces of a key
+    pass through one task, but one after the other: sorted by Spark, and nothing but the state is held.
+    """
+    fields = [f for f in pieces.schema.fields if f.name in keys]
+    kind = StructType([*sorted(fields, key=lambda f: keys.index(f.name)), StructField("digest", StringType())])
+
+    def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, state, schema = None, None, None
+        for batch in batches:
+            schema = pa.schema([*[batch.schema.field(k) for k in keys], ("digest", pa.string())])
+            done = []
+            named = zip(*[batch.column(k).to_pylist() for k in keys], strict=True)
+            for key, body in zip(named, batch.column("body"), strict=True):
+                if state is None or key != at:
+                    if state is not None:
+                        done.append((*at, state.hexdigest()))
+                    at, state = key, hashlib.sha256()
+                else:
+                    state.update(separator)
+                state.update(body.as_buffer() if body.is_valid else b"")
+            yield pa.RecordBatch.from_pylist([dict(zip(schema.names, row, strict=True)) for row in done], schema)
+        if state is not None:
+            yield pa.RecordBatch.from_pylist([dict(zip(schema.names, (*at, state.hexdigest()), strict=True))], schema)
+
+    dealt = pieces.select(*keys, *order, "body").repartition(*keys).sortWithinPartitions(*keys, *order)
+    return dealt.select(*keys, "body").mapInArrow(take, kind)
+
+
 def row_key(*columns: str):
     """A number for a row: equal rows have equal keys, and so equal results."""
     return F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in columns])

@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding_dedup, line_templates, mixing, ngram_join, packing, quality, sharding, suffix_dedup, token_count, url_filter
+from . import (
+    conversation_repair, conversation_trie, embedding_dedup, line_templates, mixing, nearest, ngram_join, packing, quality,
+    sharding, suffix_dedup, token_count, url_filter,
+)
+from .common import digests, written
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,6 +86,62 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
 
 
+def op11_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return nearest.nearest(rows, rows.where("vec_id % 20 = 0"))
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """conv_id, turn, role and text after faults that a hash of each row's number decides on."""
+    space = F.lit(" ")
+    name = [F.coalesce(F.col(c).cast("string"), space) for c in ("conv_id", "turn")]
+    fate = (F.crc32(F.concat(name[0], F.lit(":"), name[1])) % 20).cast("int")
+    role, text = F.coalesce("role", space), F.coalesce("text", space)
+    return conversations.withColumn("fate", fate).where("fate <> 0").select(
+        "conv_id", "turn", F.when(F.col("fate") == 4, "user").otherwise(role).alias("role"),
+        F.when(F.col("fate") == 1, "").when(F.col("fate") == 2, F.translate(text, ".!?", "")).otherwise(text).alias("text"),
+        F.explode(F.array_repeat(F.lit(1), F.when(F.col("fate") == 3, 2).otherwise(1))).alias("one"),
+    ).drop("one")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations")
+    summary, repaired = conversation_repair.repair(damaged(given))
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit(":"), t["text"]))
+    pieces = repaired.where(F.size("turns") > 0).select(
+        "conv_id", "part", "piece", F.array_join(lines, "\n").cast("binary").alias("body")
+    )
+    hashed = digests(pieces, ["conv_id"], ["part", "piece"], b"\n")
+    every, zero = given.select(F.col("conv_id").alias("of")).distinct(), F.lit(0).cast("long")
+    found = every.join(summary, F.col("of").eqNullSafe(F.col("conv_id")), "left").drop("conv_id")
+    found = found.join(hashed, F.col("of").eqNullSafe(F.col("conv_id")), "left")
+    numbers = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return found.select(
+        F.col("of").alias("conv_id"), *[F.coalesce(n, zero).alias(n) for n in numbers],
+        F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("digest", F.sha2(F.lit(b""), 256)).alias("repaired_sha256"),
+    )
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = written(conversation_trie.ordered_turns(table(spark, sf_dir, "conversations")), "turns")
+    conversations = turns.select("conv_id").distinct().select(
+        "conv_id", (F.col("conv_id") - F.pmod("conv_id", F.lit(100))).alias("base"),
+        (F.crc32(F.col("conv_id").cast("string")) % 6).cast("int").alias("heads"),
+    )
+    rebuilt = written(conversation_trie.rebased(turns, conversations), "rebuilt")
+    nodes, ends = conversation_trie.trie(rebuilt, conversations)
+    # The numbers that end at a node go by ranges of numbers, so that no list of them is large.
+    name = conversation_trie.NAME
+    listed = F.sort_array(F.collect_list("conv_id"))
+    pieces = ends.groupBy(*name, F.floor(F.col("conv_id") / 4096).alias("piece")).agg(listed.alias("ids")).select(
+        *name, "piece", F.array_join(F.transform("ids", lambda x: x.cast("string")), ",").cast("binary").alias("body")
+    )
+    return nodes.join(digests(pieces, name, ["piece"], b","), name, "left").select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
+        F.coalesce("digest", F.sha2(F.lit(b""), 256)).alias("ends_sha256"),
+    )
+
+
 _URL_SQL = r"""
 WITH c AS (SELECT page_id, url, html, (TIMESTAMP '2024-01-01' + to_hours(page_id))::DATE AS day,
   regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)), '\.$', '') AS host,
@@ -213,7 +273,8 @@ QUERIES = {
     "op4_mixing": op4_mixing, "op5_sharding": op5_sharding,
     "op6_url_filters": op6_url_filters, "op7_embedding_dedup": op7_embedding_dedup,
     "op8_line_dedup": op8_line_dedup, "op9_quality_rules": op9_quality_rules,
-    "op10_token_counts": op10_token_counts,
+    "op10_token_counts": op10_token_counts, "op11_nearest": op11_nearest,
+    "op12_conversation_repair": op12_conversation_repair, "op13_conversation_trie": op13_conversation_trie,
 }
 SQL = {
     "op4_mixing": _mixing_sql(), "op6_url_filters": _URL_SQL, "op8_line_dedup": _TEMPLATE_SQL, "op9_quality_rules": _QUALITY_SQL,
