@@ -35,30 +35,36 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 class PartedStream:
-    """A table that arrives in parts, in the order of ``by``: one file, so one micro-batch, each."""
+    """A table that arrives in parts, in the order of ``by``: ``FILES`` files, so one micro-batch, each.
 
-    def __init__(self, spark: SparkSession, sf_dir: str, name: str, by: str, parts: int = 4):
+    NULLs come first. Parts are written by as many tasks as they have files.
+    """
+
+    FILES = 4
+
+    def __init__(self, spark: SparkSession, sf_dir: str, name: str, by: str | Column, parts: int = 4):
+        self.by = F.col(by) if isinstance(by, str) else by
         self.rows = table(spark, sf_dir, name)
         self.path = storage.work_path(spark, f"arriving-{name}")
-        ends = self.rows.agg(
-            F.percentile_approx(by, [i / parts for i in range(1, parts)], 100_000).alias("ends")
-        ).first().ends
-        self.cuts = [None, *ends, None]
-        self.by, self.arrived, self.parts = by, 0, parts
+        cuts = [i / parts for i in range(1, parts)]
+        ends = self.rows.agg(F.percentile_approx(self.by, cuts, 100_000).alias("ends")).first().ends
+        self.cuts = [None, *(ends or [None] * len(cuts)), None]
+        self.arrived, self.parts = 0, parts
 
     def arrive(self, upto: int | None = None) -> None:
         """Let the next parts come in, up to that number of them in all."""
         upto = self.parts if upto is None else upto
-        for lo, hi in zip(self.cuts[self.arrived : upto], self.cuts[self.arrived + 1 : upto + 1], strict=True):
+        for at in range(self.arrived, upto):
+            lo, hi = self.cuts[at], self.cuts[at + 1]
             rows = self.rows
-            rows = rows if lo is None else rows.where(F.col(self.by) > F.lit(lo))
-            rows = rows if hi is None else rows.where(F.col(self.by) <= F.lit(hi))
-            rows.coalesce(1).write.mode("append").parquet(self.path)
+            rows = rows if lo is None else rows.where(self.by > F.lit(lo))
+            rows = rows if hi is None else rows.where((self.by <= F.lit(hi)) | (self.by.isNull() if at == 0 else F.lit(False)))
+            rows.repartition(self.FILES).write.mode("append").parquet(self.path)
         self.arrived = upto
 
     def read(self) -> DataFrame:
         reader = self.rows.sparkSession.readStream.schema(self.rows.schema)
-        return reader.option("maxFilesPerTrigger", 1).parquet(self.path)
+        return reader.option("maxFilesPerTrigger", self.FILES).parquet(self.path)
 
 
 def text_of(ts: str) -> Column:

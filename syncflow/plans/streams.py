@@ -72,18 +72,31 @@ def stream_resume(spark, sf_dir):
     ).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def stream_alert_suppressed(spark, sf_dir):
-    """Suppression with state kept per alert type, over micro-batches and a restart."""
-    arriving = PartedStream(spark, sf_dir, "events", "event_id")
-    path = storage.work_path(spark, "stream_alert_suppressed")
+def _suppressed(spark, sf_dir, name: str, by, delay: str):
+    arriving = PartedStream(spark, sf_dir, "events", by)
+    path = storage.work_path(spark, name)
     for upto in (2, 4):
         arriving.arrive(upto)
-        sent = suppress_repeats_stream(inputs.alerts(arriving.read()), "alert_type", "ts", ("event_id",))
+        sent = suppress_repeats_stream(
+            inputs.alerts(arriving.read()), "alert_type", "ts", ("event_id",), delay=delay
+        )
         stream_to_day_files(sent, f"{path}/data", f"{path}/checkpoint", None).awaitTermination()
     out = spark.read.schema(sent.schema).parquet(f"{path}/data")
     return out.withColumn("ts", inputs.text_of("ts"))
 
 
+def stream_alert_suppressed(spark, sf_dir):
+    """Suppression with state kept per alert type, over micro-batches and a restart; what comes
+    after the watermark at the end still waits."""
+    return _suppressed(spark, sf_dir, "stream_alert_suppressed", "event_id", "1s")
+
+
+def stream_alert_late(spark, sf_dir):
+    """The same with alerts that come up to three hours late, so micro-batches overlap in time."""
+    late = F.make_dt_interval(hours=F.pmod(F.xxhash64("event_id"), F.lit(4)).cast("int"))
+    return _suppressed(spark, sf_dir, "stream_alert_late", F.unix_micros((F.col("ts") + late).cast("timestamp")), "3h")
+
+
 def cold_start_spec(path: str) -> SyncSpec:
     """The cold-start flow as a description."""
     return SyncSpec.from_dict({
@@ -127,9 +140,17 @@ def spec_flow(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    stream_cold_start, stream_tumble_5m, stream_cdc_mirror, stream_resume, stream_alert_suppressed, spec_flow,
+    stream_cold_start, stream_tumble_5m, stream_cdc_mirror, stream_resume, stream_alert_suppressed,
+    stream_alert_late, spec_flow,
 )}
 
+
+def _before_watermark(delay: int) -> str:
+    """What the batch rule sends in the seconds before the last watermark."""
+    last = f"(SELECT max(epoch_us(ts) // 1000000) - {delay} FROM events)"
+    return _CHECK_SQL["alert_suppressed"] + f" WHERE sent.sec < {last}"
+
+
 SQL = {
     "stream_cold_start": _INGEST_SQL["cold_start_ods"],
     "stream_tumble_5m": """
@@ -141,7 +162,8 @@ SQL = {
     # Change events carry milliseconds.
     "stream_cdc_mirror": _CHANGE_SQL["cdc_latest"].replace("%S.%f", "%S.%g"),
     "stream_resume": _INGEST_SQL["day_rows"],
-    "stream_alert_suppressed": _CHECK_SQL["alert_suppressed"],
+    "stream_alert_suppressed": _before_watermark(1),
+    "stream_alert_late": _before_watermark(3 * 3600),
     "spec_flow": """
         SELECT mode, strftime(ts, '%Y-%m-%d') AS partition_day, count(*) AS rows,
                count(*) FILTER (event_id % 5 = 0) AS no_device

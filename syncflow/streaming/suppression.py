@@ -1,53 +1,99 @@
-"""Alert suppression on a stream, remembering the last alert sent of each type."""
+"""Alert suppression on a stream, in event time.
+
+An alert is only decided on when no earlier one of its type can come any more, which is when the watermark
+has passed it. Until then it waits in the type's state: the first alert of each second, so as many
+rows as the delay has seconds at most, less those that an alert already sent keeps quiet. A timer
+decides what waits when the watermark passes it, with or without new alerts, and drops the state of a type
+whose quiet period is over.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from syncflow.functions.times import epoch_seconds
+from syncflow.functions.times import epoch_seconds, interval_text
 from syncflow.operators.suppression import QUIET_SECONDS, first_after_quiet
 
+_LONG_AGO = -(2**62)
+
+
+def _packed(rows: pd.DataFrame) -> bytes:
+    table = pa.Table.from_pandas(rows, preserve_index=False)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as writer:
+        writer.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(data: bytes) -> pd.DataFrame:
+    return pa.ipc.open_stream(data).read_all().to_pandas()
+
 
 def _keeper(columns: list[str], order: list[str], quiet: int):
     def keep(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        ready, waiting = _LONG_AGO, None
+        if state.exists:
+            ready, held = state.get
+            waiting = _unpacked(held) if held else None
         # Only the first alert of a second can be sent, so that is all that is held.
-        firsts = None
         for rows in batches:
-            rows = rows if firsts is None else pd.concat([firsts, rows])
-            firsts = rows.sort_values(["_second", *order]).drop_duplicates("_second")
-        ready = state.get[0] if state.exists else -(2**62)
-        sent, ready = first_after_quiet(firsts["_second"].to_numpy(), ready, quiet)
-        state.update((ready,))
-        yield firsts.loc[firsts["_second"].isin(sent), columns]
+            if len(rows):
+                rows = rows.drop(columns="_event")
+                rows = rows if waiting is None else pd.concat([waiting, rows])
+                waiting = rows.sort_values(["_second", *order]).drop_duplicates("_second")
+        watermark = state.getCurrentWatermarkMs()
+        if waiting is not None:
+            is_due = waiting["_second"] < watermark // 1000
+            due = waiting[is_due]
+            sent, ready = first_after_quiet(due["_second"].to_numpy(), ready, quiet)
+            waiting = waiting[~is_due & (waiting["_second"] >= ready)]
+            if sent:
+                yield due.loc[due["_second"].isin(sent), columns]
+        if waiting is not None and len(waiting):
+            state.update((ready, _packed(waiting)))
+            timer = (int(waiting["_second"].iloc[0]) + 1) * 1000 - 1
+        elif ready * 1000 > watermark:
+            state.update((ready, None))
+            timer = ready * 1000
+        else:
+            if state.exists:
+                state.remove()
+            return
+        state.setTimeoutTimestamp(max(timer, watermark + 1))
 
     return keep
 
 
 def suppress_repeats_stream(
-    alerts: DataFrame, key: str, ts: str, tie: tuple[str, ...] = (), quiet_seconds: int = QUIET_SECONDS
+    alerts: DataFrame, key: str, ts: str, tie: tuple[str, ...] = (), quiet_seconds: int = QUIET_SECONDS,
+    delay: str = "0s",
 ) -> DataFrame:
-    """Alerts that are sent, for a stream whose micro-batches arrive in time order.
+    """Alerts that are sent, for a stream whose alerts come at most ``delay`` late, in any order.
 
-    The state per type is one number: the second from which an alert may be sent again.
+    The same as ``suppress_repeats`` gives for the alerts before the watermark, which stays ``delay``
+    behind the latest alert; alerts that come later than that are dropped, as the stream's progress
+    counts (``numRowsDroppedByWatermark``).
     """
     if quiet_seconds < 1:
         raise ValueError("the quiet period has to be a second at least")
     schema = T.StructType([alerts.schema[c] for c in alerts.columns])
+    timed = alerts.withColumn("_second", epoch_seconds(alerts, ts)).where(F.col("_second").isNotNull())
     return (
-        alerts.withColumn("_second", epoch_seconds(alerts, ts))
-        .where(F.col("_second").isNotNull())
+        timed.withColumn("_event", F.timestamp_seconds("_second"))
+        .withWatermark("_event", interval_text(delay))
         .groupBy(F.col(key))
         .applyInPandasWithState(
             _keeper(alerts.columns, [ts, *tie], quiet_seconds),
             schema,
-            "ready bigint",
+            "ready bigint, waiting binary",
             "append",
-            GroupStateTimeout.NoTimeout,
+            GroupStateTimeout.EventTimeTimeout,
         )
     )

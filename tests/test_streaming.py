@@ -170,7 +170,27 @@ def test_suppression_remembers_across_micro_batches(spark, tmp_path):
     )
     sent = suppress_repeats_stream(stream, "kind", "ts", ("n",))
     streams.stream_to_day_files(sent, out, str(tmp_path / "cp"), None).awaitTermination()
+    assert rows_of(spark.read.parquet(out)) == [r for r in greedy(rows, 1800) if r[1] < rows[-1][1].replace(microsecond=0)]
+
+
+def test_suppression_of_alerts_that_come_late(spark, tmp_path):
+    """Micro-batches out of order within the delay; the state of a type ends with its quiet period."""
+    source, out, start = tmp_path / "in", str(tmp_path / "out"), dt.datetime(2024, 1, 1)
+    rows = [("ab"[i % 2], start + dt.timedelta(seconds=i * 97.5), i) for i in range(200)]
+    rows.append(("c", start + dt.timedelta(seconds=5), 999))  # a type with one alert
+    late = sorted(rows, key=lambda r: (r[1] + dt.timedelta(seconds=r[2] * 7919 % 3000), r[2]))
+    late.append(("end", start + dt.timedelta(days=2), 1000))
+    for f in range(6):
+        lines = [json.dumps({"kind": k, "ts": str(t), "n": n}) for k, t, n in late[f * 34:(f + 1) * 34]]
+        put(source, f"{f}.json", lines)
+    stream = tables.read_json_files(
+        spark, str(source), "kind string, ts timestamp_ntz, n int", streaming=True, maxFilesPerTrigger=1
+    )
+    sent = suppress_repeats_stream(stream, "kind", "ts", ("n",), delay="50m")
+    query = streams.stream_to_day_files(sent, out, str(tmp_path / "cp"), None)
+    query.awaitTermination()
     assert rows_of(spark.read.parquet(out)) == greedy(rows, 1800)
+    assert query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] == 1  # the last alert waits
 
 
 @pytest.mark.parametrize("interval, want", [
