@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from syncflow.functions.times import as_col
+from syncflow.operators.transform import kept_where
 from syncflow.sources.cdc import image_cells, includes_snapshot, parse_envelope, start_changes
 
 UPSERT, DELETE = "upsert", "delete"
@@ -47,10 +49,11 @@ def decode_changes(
     timestamp_standard: str = "SQL",
     kind: str = "kind",
     seq: str = "seq",
+    decimals: str = "string",
 ) -> DataFrame:
     """Change envelopes straight to normalised changes; only the image that counts is typed.
 
-    ``kind`` and ``seq`` name the columns of operation and order, which no field may be called.
+    ``decimals`` is how the source sends them: ``string``, ``double`` or ``precise`` (binary). ``kind`` and ``seq`` name the columns of operation and order, which no field may be called.
     """
     if {kind, seq} & set(fields):
         raise ValueError(f"fields may not be called {kind!r} or {seq!r}: choose other names for these")
@@ -59,7 +62,7 @@ def decode_changes(
         parse_envelope(df, list(fields), value, keep)
         .select(op_kind("op").alias(kind), *keep, F.col("seq").alias(seq), row.alias("_row"))
         .where(F.col(kind).isNotNull() & F.col("_row").isNotNull())
-        .select(kind, *keep, seq, *image_cells("_row", fields, timestamp_standard))
+        .select(kind, *keep, seq, *image_cells("_row", fields, timestamp_standard, decimals))
     )
 
 
@@ -70,12 +73,13 @@ def retract_unmatched(changes: DataFrame, predicate: Column | str, kind: str = "
 
 
 def drop_incomplete(
-    changes: DataFrame, required: Sequence[str], keys: Sequence[str], kind: str = "kind"
+    changes: DataFrame, required: Sequence[str], keys: Sequence[str], kind: str = "kind",
+    observation: Observation | str | None = None,
 ) -> DataFrame:
-    """Not-null rule on a changelog: a delete only has to have its key."""
+    """Not-null rule on a changelog: a delete only has to have its key. Counts as ``kept_where`` does."""
     complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in required], F.lit(True))
     has_key = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in keys], F.lit(True))
-    return changes.where(F.when(F.col(kind) == DELETE, has_key).otherwise(complete))
+    return kept_where(changes, F.when(F.col(kind) == DELETE, has_key).otherwise(complete), observation)
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -86,13 +90,27 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     ``order`` are told apart by their other columns, the same way on every run.
     """
     rest = [c for c in df.columns if c not in keys and c not in order]
+    # Maps cannot be compared; their text stands in for them.
+    maps = [c for c in rest if has_map(df.schema[c].dataType)]
+    plain = [c for c in rest if c not in maps]
+    place = F.struct(*order, *plain, *[F.to_json(F.struct(c)).alias(f"_text_{i}") for i, c in enumerate(maps)])
+    if not maps:
+        last = F.max(place)
+    else:
+        last = F.max_by(F.struct(*order, *rest), place)
     return (
         df.groupBy(*keys)
-        .agg(F.max(F.struct(*order, *rest)).alias("_last"))
+        .agg(last.alias("_last"))
         .select(*keys, *[F.col(f"_last.`{c}`").alias(c) for c in (*order, *rest)])
     )
 
 
+def has_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(has_map(f.dataType) for f in kind)
+    return isinstance(kind, T.MapType) or isinstance(kind, T.ArrayType) and has_map(kind.elementType)
+
+
 def live_rows(
     changes: DataFrame,
     keys: Sequence[str],

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from syncflow import storage
 from syncflow.functions.classify import COMBINED_MATCH_TIERS, SINGLE_MATCH_TIERS, tier
 
 # Prefix of the features that count extra, their extra weight, and the
@@ -13,6 +14,9 @@ SINK_PREFIX = "sink_table:"
 SINK_BONUS = 0.5
 COMBINED_WEIGHTS = (0.6, 0.4)
 
+# Rarest features of a set from which its lower bound comes.
+PROBES = 3
+
 
 def _hits(is_sink: Column) -> list[Column]:
     return [F.count(F.lit(1)).alias("shared"), F.count_if(is_sink).alias("shared_sinks")]
@@ -30,8 +34,7 @@ def _scored(jobs: DataFrame, candidates: DataFrame, job: str, candidate: str, fe
         jobs.select(job, feature).where(F.col(feature).isNotNull()).groupBy(job)
         .agg(F.sort_array(F.collect_set(feature)).alias("features"))
     )
-    named = sets.withColumn("set", F.xxhash64("features"))
-    kinds = named.groupBy("set").agg(F.first("features").alias("features"))
+    kinds, named = _kinds(sets, job)
     a = kinds.select("set", F.size("features").alias("job_size"), F.explode("features").alias(feature))
     b = candidates.select(candidate, feature).distinct()
     size_b = b.groupBy(candidate).agg(F.count(F.lit(1)).alias("candidate_size"))
@@ -48,6 +51,12 @@ def _scored(jobs: DataFrame, candidates: DataFrame, job: str, candidate: str, fe
     return scored, named.select(job, "set")
 
 
+def _kinds(sets: DataFrame, job: str) -> tuple[DataFrame, DataFrame]:
+    """Distinct feature sets, named by the first job that has each, and the set of every job."""
+    kinds = sets.groupBy("features").agg(F.min(job).alias("set"))
+    return kinds, sets.join(kinds, "features").select(job, "set")
+
+
 def match_candidates(
     jobs: DataFrame,
     candidates: DataFrame,
@@ -67,6 +76,67 @@ def match_candidates(
     )
 
 
+def _score(shared: Column, sinks: Column, united: Column) -> Column:
+    return (2 * shared + sinks) / (2 * united)
+
+
+def best_pairs(kinds: DataFrame, candidates: DataFrame, candidate: str, feature: str) -> DataFrame:
+    """set, candidate: the pairs that may be the best of a set (set, features); never less than the best.
+
+    Two steps, neither of which counts what all pairs share:
+
+    1. Any candidate of a set gives a lower bound of its best score. The first one of each of the set's
+       ``PROBES`` rarest features is scored.
+    2. A set's features are taken rarest first. A candidate that shares none of the first p can only share the
+       r others, s of them sinks, so it scores (2r + s) / (2 (n + m - r)) at most, n and m being the
+       sizes. A feature is looked up only for candidates that are small enough for that bound to reach the
+       set's lower bound; for most sets, the frequent features are looked up for none.
+    """
+    is_sink = F.col(feature).startswith(SINK_PREFIX)
+    sized = candidates.groupBy(candidate).agg(
+        F.collect_set(feature).alias("held"), F.count_distinct(feature).alias("size")
+    )
+    sized = storage.written(sized, "candidates")
+    index = sized.select(candidate, "size", F.explode("held").alias(feature))
+    known = index.groupBy(feature).agg(F.count(F.lit(1)).alias("n"), F.min(candidate).alias("some"))
+    rarest = Window.partitionBy("set").orderBy("n", feature)
+    looked = storage.written(
+        kinds.select("set", F.size("features").alias("job_size"), F.explode("features").alias(feature))
+        .join(known, feature)
+        .select(
+            "set", "job_size", feature, "some",
+            F.row_number().over(rarest).alias("nth"),
+            F.count(F.lit(1)).over(rarest.rowsBetween(0, Window.unboundedFollowing)).alias("left"),
+            F.count_if(is_sink).over(rarest.rowsBetween(0, Window.unboundedFollowing)).alias("left_sinks"),
+        ), "looked",
+    )
+    probes = looked.where(F.col("nth") <= PROBES).select("set", F.col("some").alias(candidate)).distinct()
+    least = _compared(probes, kinds, sized, candidate).groupBy("set").agg(F.max("score").alias("least"))
+    # The largest size for which the bound reaches the lower bound, with room for rounding.
+    most = (2 * F.col("left") + F.col("left_sinks")) / (2 * F.col("least") * (1 - 1e-9)) - F.col("job_size") + F.col("left")
+    wanted = looked.join(least, "set").withColumn("most", most).where(
+        # A candidate that holds all r others has r features at least.
+        F.col("most") >= 1
+    )
+    reach = wanted.select("set", F.col(feature).alias("_feature"), "most", "left")
+    met = reach.join(
+        index, (F.col("_feature") == F.col(feature)) & (F.col("size") <= F.greatest("most", F.col("left").cast("double")))
+    )
+    return met.select("set", candidate).distinct()
+
+
+def _compared(pairs: DataFrame, kinds: DataFrame, sized: DataFrame, candidate: str) -> DataFrame:
+    """Pairs of set and candidate with what they share and their score, from the sets themselves."""
+    both = F.array_intersect("features", "held")
+    met = pairs.join(kinds, "set").join(sized, candidate).select("set", candidate, "features", "size", both.alias("both"))
+    sinks = F.size(F.filter("both", lambda f: f.startswith(SINK_PREFIX)))
+    united = F.size("features") + F.col("size") - F.size("both")
+    return met.where(F.size("both") > 0).select(
+        "set", candidate, F.size("both").cast("long").alias("shared"), sinks.cast("long").alias("shared_sinks"),
+        _score(F.size("both"), sinks, united).alias("score"),
+    )
+
+
 def best_candidates(
     jobs: DataFrame,
     candidates: DataFrame,
@@ -74,8 +144,18 @@ def best_candidates(
     candidate: str = "candidate",
     feature: str = "feature",
 ) -> DataFrame:
-    """The first candidate of every job, which is what a recovery takes; without ranking the rest."""
-    scored, members = _scored(jobs, candidates, job, candidate, feature)
+    """The first candidate of every job, which is what a recovery takes: the highest score, then the
+    first name. Only pairs that can be the best are compared (``best_pairs``)."""
+    sets = (
+        jobs.select(job, feature).where(F.col(feature).isNotNull()).groupBy(job)
+        .agg(F.sort_array(F.collect_set(feature)).alias("features"))
+    )
+    kinds, members = _kinds(storage.written(sets, "sets"), job)
+    kinds = storage.written(kinds, "kinds")
+    held = candidates.select(candidate, feature).where(F.col(feature).isNotNull()).distinct()
+    pairs = best_pairs(kinds, held, candidate, feature)
+    sized = held.groupBy(candidate).agg(F.collect_set(feature).alias("held"), F.count(F.lit(1)).alias("size"))
+    scored = _compared(pairs, kinds, sized, candidate)
     # By the highest score, then the first name: the smallest of (-score, name).
     best = scored.groupBy("set").agg(
         F.min(F.struct((-F.col("score")).alias("at"), candidate, "shared", "shared_sinks", "score")).alias("best")

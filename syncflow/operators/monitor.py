@@ -1,9 +1,9 @@
 """Monitoring rules over job-status, metric and alert tables.
 
-The rules look at each key in time order, and one key may hold a large part of all rows.
-Rows are therefore ordered within (key, chunk of time) only, what a chunk passes on is
-aggregated ahead of the shuffle, and just these summaries, one per chunk, are ordered
-along the whole key.
+The rules look at each key in time order, and one key, or one hour of it, may hold a large part of
+all rows. Rows are therefore dealt out by ranges of (key, time) of equal size, and ordered within
+(key, range) only. What a range passes on is aggregated ahead of the shuffle, and just these
+summaries, as many as a key has ranges, are ordered along the whole key.
 """
 
 from __future__ import annotations
@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from syncflow.functions.classify import classify
-from syncflow.functions.times import as_col, epoch_seconds
+from syncflow.functions.times import as_col
+from syncflow.operators.ordered import AT, PART, in_order, within_part
 
 # States, thresholds and levels of the monitoring rules.
 RUNNING = "RUNNING"
@@ -27,17 +28,10 @@ RESOURCE_LIMITS = {"disk": 85, "memory": 90, "cpu": 80}
 PASSING_INFO_TYPES = ("recovery", "daily_report")
 REPORT_HOUR = 8
 
-_CHUNK = "_chunk"
-CHUNK_SECONDS = {"DAY": 86_400, "HOUR": 3_600, "MINUTE": 60, "SECOND": 1}
 
-
-def _chunk_of(df: DataFrame, ts: str, unit: str) -> Column:
-    return F.call_function("div", epoch_seconds(df, ts), F.lit(CHUNK_SECONDS[unit]))
-
-
-def _chunked(status: DataFrame, ts: str, unit: str) -> DataFrame:
-    """Rows with their chunk; without a time there is no order to be part of (see ``untimed``)."""
-    return status.withColumn(_CHUNK, _chunk_of(status, ts, unit)).where(F.col(_CHUNK).isNotNull())
+def _ranges(status: DataFrame, key: str, ts: str, tie: Sequence[str]) -> DataFrame:
+    """Rows by ranges of (key, time); without a time there is no order to be part of (see ``untimed``)."""
+    return in_order(status.where(F.col(ts).isNotNull()), key, ts, *tie)
 
 
 def untimed(rows: DataFrame, ts: str) -> DataFrame:
@@ -45,50 +39,36 @@ def untimed(rows: DataFrame, ts: str) -> DataFrame:
     return rows.where(F.col(ts).isNull())
 
 
-def choose_chunk(df: DataFrame, keys: Sequence[str], ts: str, max_rows: int = 5_000_000) -> str:
-    """Coarsest time unit whose (key, unit) groups hold at most ``max_rows`` rows each.
-
-    Runs a counting job per unit tried and fetches one number from each.
-    """
-    for unit in CHUNK_SECONDS:
-        sizes = df.groupBy(*keys, _chunk_of(df, ts, unit).alias(_CHUNK)).count()
-        if (sizes.agg(F.max("count")).first()[0] or 0) <= max_rows:
-            return unit
-    return unit
-
-
 def state_transitions(
     status: DataFrame,
     key: str,
     state: str,
     ts: str,
     tie: Sequence[str] = (),
-    chunk: str = "HOUR",
 ) -> DataFrame:
     """Rows whose state differs from the one before; the first row of a key counts as a change.
 
     Adds ``previous_state`` and ``alert_level``: info for RUNNING, error for a broken job,
     NULL for a change nobody is told about.
     """
-    order = [ts, *tie]
-    rows = _chunked(status, ts, chunk)
-    within = Window.partitionBy(key, _CHUNK).orderBy(*order)
-    seen = rows.select(
+    within = within_part(key)
+    seen = _ranges(status, key, ts, tie).select(
         *status.columns,
-        _CHUNK,
+        AT,
+        PART,
         F.lag(state).over(within).alias("previous_state"),
         (F.row_number().over(within) == 1).alias("_first"),
         F.lead(F.lit(True)).over(within).isNull().alias("_last"),
     )
-    # Ahead of the first row of a chunk comes the last row of the chunk before. So the edge
-    # rows, two per chunk at most, are ordered along the key, and the other changes stay in
-    # groups of their chunk.
+    # Ahead of the first row of a range comes the last row of the range before. So the edge
+    # rows, two per key and range at most, are ordered along the key, and the other changes stay
+    # in groups of their range.
     is_edge = F.col("_first") | F.col("_last")
     changed = ~F.col(state).eqNullSafe(F.col("previous_state"))
-    along = Window.partitionBy(key, "_inner").orderBy(*order)
+    along = Window.partitionBy(key, "_inner").orderBy(AT)
     found = (
         seen.where(is_edge | changed)
-        .withColumn("_inner", F.when(~is_edge, F.col(_CHUNK)))
+        .withColumn("_inner", F.when(~is_edge, F.col(PART)))
         .withColumn("_before", F.lag(state).over(along))
         .withColumn(
             "previous_state", F.when(F.col("_first"), F.col("_before")).otherwise(F.col("previous_state"))
@@ -104,10 +84,9 @@ def job_alerts(
     state: str,
     ts: str,
     tie: Sequence[str] = (),
-    chunk: str = "HOUR",
 ) -> DataFrame:
     """Alerts of the status poller: told state changes, and every sighting of a missing job."""
-    changes = state_transitions(status, key, state, ts, tie, chunk).where("alert_level IS NOT NULL")
+    changes = state_transitions(status, key, state, ts, tie).where("alert_level IS NOT NULL")
     missing = not_found_alerts(status, state)
     return changes.drop("previous_state").unionByName(missing)
 
@@ -133,37 +112,33 @@ def failure_alerts(
     every: int = FAILURES_PER_ALERT,
     failed: Sequence[str] = FAILED_CHECK_STATES,
     reset: Sequence[str] = (RUNNING,),
-    chunk: str = "HOUR",
 ) -> DataFrame:
     """Every ``every``-th failed check in a row; a reset state starts the count again.
 
     Other states neither count nor reset. ``failures`` numbers the failed check within its
     run, so an alert that sets the counter back to 0 is one whose number divides evenly.
     """
-    order = [ts, *tie]
     is_failed, is_reset = F.col(state).isin(*failed), F.col(state).isin(*reset)
-    rows = _chunked(status.where(is_failed | is_reset), ts, chunk)
-    so_far = (
-        Window.partitionBy(key, _CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    )
+    rows = _ranges(status.where(is_failed | is_reset), key, ts, tie)
+    so_far = within_part(key).rowsBetween(Window.unboundedPreceding, 0)
     # Failures since the last reset: the running count less its value at that reset.
     counted = (
         rows.withColumn("_fails", F.count_if(is_failed).over(so_far))
         .withColumn("_at_reset", F.max(F.when(is_reset, F.col("_fails"))).over(so_far))
     )
-    # What a chunk hands on: the failures after its last reset, or all if it has none.
-    edges = counted.groupBy(key, _CHUNK).agg(
+    # What a range hands on: the failures after its last reset, or all if it has none.
+    edges = counted.groupBy(key, PART).agg(
         (F.max("_fails") - F.coalesce(F.max("_at_reset"), F.lit(0))).alias("_tail"),
         F.max("_at_reset").isNotNull().alias("_has_reset"),
     )
-    along = Window.partitionBy(key).orderBy(_CHUNK)
-    in_run = Window.partitionBy(key, "_run").orderBy(_CHUNK)
+    along = Window.partitionBy(key).orderBy(PART)
+    in_run = Window.partitionBy(key, "_run").orderBy(PART)
     to_here = (Window.unboundedPreceding, Window.currentRow)
     carried = (
         edges.withColumn("_run", F.count_if("_has_reset").over(along.rowsBetween(*to_here)))
         .withColumn("_out", F.sum("_tail").over(in_run.rowsBetween(*to_here)))
         .withColumn("_carry", F.lag("_out", 1, 0).over(along))
-        .select(key, _CHUNK, "_carry")
+        .select(key, PART, "_carry")
     )
     number = F.when(F.col("_at_reset").isNull(), F.col("_fails") + F.col("_carry")).otherwise(
         F.col("_fails") - F.col("_at_reset")
@@ -171,8 +146,8 @@ def failure_alerts(
     return (
         counted.where(is_failed)
         .join(
-            carried.toDF("_key", "_at", "_carry"),
-            F.col(key).eqNullSafe(F.col("_key")) & (F.col(_CHUNK) == F.col("_at")),
+            carried.toDF("_key", "_range", "_carry"),
+            F.col(key).eqNullSafe(F.col("_key")) & (F.col(PART) == F.col("_range")),
         )
         .withColumn("failures", number)
         .where(F.col("failures") % every == 0)

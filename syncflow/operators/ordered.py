@@ -52,6 +52,17 @@ def counted_before(placed: DataFrame, *keys: str) -> DataFrame:
     return edges.select(PART, *keys, F.sum("_n").over(so_far).alias("_before")).where("_before > 0")
 
 
+def filled(placed: DataFrame, column: str, name: str | None = None) -> DataFrame:
+    """``placed`` with the last value of ``column`` that is not NULL, up to each row of the whole order."""
+    here = Window.partitionBy(PART).orderBy(AT).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last = placed.groupBy(PART).agg(F.max_by(column, F.when(F.col(column).isNotNull(), F.col(AT))).alias("_last"))
+    # One row a range, so one task orders as many rows as there are ranges.
+    earlier = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+    carried = last.select(PART, F.last("_last", ignorenulls=True).over(earlier).alias("_carried"))
+    known = F.coalesce(F.last(column, ignorenulls=True).over(here), F.col("_carried"))
+    return placed.join(F.broadcast(carried), PART).withColumn(name or column, known).drop("_carried")
+
+
 def numbered(placed: DataFrame, *keys: str, name: str = "_index") -> DataFrame:
     """``placed`` with the number of each row within its key, from 0."""
     before = counted_before(placed, *keys).withColumnsRenamed({k: f"_of_{i}" for i, k in enumerate(keys)})

@@ -4,15 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from syncflow import storage
 from syncflow.functions.times import as_instant
 
 # Tolerated row difference, and minutes without new data.
 MAX_ROW_DIFF = 100
 MAX_LAG_MINUTES = 10
 
+# Buckets of a digest are 2**DIGEST_BITS on each level.
+DIGEST_BITS = 12
+DIGEST_LEVELS = 2
+
 
 def _tagged_counts(df: DataFrame, keys: Sequence[str], side: int) -> DataFrame:
     n, zero = F.count(F.lit(1)), F.lit(0).cast("bigint")
@@ -74,10 +79,62 @@ def compare_rows(
 
 def _joined(source: DataFrame, target: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     def side(df: DataFrame, image: str, rows: str) -> DataFrame:
-        return df.select(*keys, F.struct(*columns).alias(image), F.lit(1).alias(rows))
+        named = [F.col(k).alias(f"{image}_{i}") for i, k in enumerate(keys)]
+        return df.select(*named, F.struct(*columns).alias(image), F.lit(1).alias(rows))
+
+    # A NULL key is a key like others.
+    same = [F.col(f"_s_{i}").eqNullSafe(F.col(f"_t_{i}")) for i in range(len(keys))]
+    both = side(source, "_s", "source_rows").join(side(target, "_t", "target_rows"), same, "full")
+    named = [F.coalesce(f"_s_{i}", f"_t_{i}").alias(k) for i, k in enumerate(keys)]
+    return both.select(*named, "_s", "_t", "source_rows", "target_rows").fillna(0, ["source_rows", "target_rows"])
+
+
+def _bucket(level: int) -> Column:
+    return F.shiftright("_key", DIGEST_BITS * level).bitwiseAND(F.lit(2**DIGEST_BITS - 1)).alias(f"_b{level}")
+
 
-    both = side(source, "_s", "source_rows").join(side(target, "_t", "target_rows"), list(keys), "full")
-    return both.fillna(0, ["source_rows", "target_rows"])
+def unlike_buckets(
+    source: DataFrame, target: DataFrame, keys: Sequence[str], columns: Sequence[str], levels: int = DIGEST_LEVELS
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Both sides with buckets ``_b0``, ``_b1``, ..., and the buckets of the last level in which they differ.
+
+    A digest tree, from the root down: each side adds up hashes of its rows by bucket ahead of the shuffle,
+    so what is exchanged is a number a bucket and task; the next level looks only into buckets that are
+    unlike. Equal sides differ in no bucket of the first level, and exchange nothing else.
+    """
+    def digests(df: DataFrame, sign: int) -> DataFrame:
+        # Hashes skip NULLs, so where they are is hashed as well.
+        key = F.xxhash64(*keys, *[F.col(k).isNull() for k in keys])
+        row = F.xxhash64(*keys, *columns, *[F.col(c).isNull() for c in (*keys, *columns)])
+        named = df.withColumn("_key", key).withColumn("_row", row.cast("decimal(20,0)") * sign)
+        return named.select("*", *[_bucket(level) for level in range(levels)]).withColumn("_side", F.lit(sign))
+
+    here, there = digests(source, 1), digests(target, -1)
+    unlike = None
+    for level in range(levels):
+        by = [f"_b{i}" for i in range(level + 1)]
+        sums = []
+        for side in (here, there):
+            # A level has 2**DIGEST_BITS buckets for each that is unlike above it. The first
+            # level's are few enough for a broadcast; what further ones take goes by measured size.
+            seen = side if unlike is None else side.join(F.broadcast(unlike) if level == 1 else unlike, by[:-1], "left_semi")
+            sums.append(seen.select(*by, "_side", "_row"))
+        both = sums[0].unionByName(sums[1]).groupBy(*by).agg(F.sum("_side").alias("n"), F.sum("_row").alias("digest"))
+        unlike = storage.written(both.where("n <> 0 OR digest <> 0").select(*by), "unlike")
+    return here, there, unlike
+
+
+def compare_digests(
+    source: DataFrame, target: DataFrame, keys: Sequence[str], columns: Sequence[str], levels: int = DIGEST_LEVELS
+) -> DataFrame:
+    """``compare_rows`` for sides that hold each key once and differ little, far apart or large.
+
+    Only rows of buckets whose digests differ are brought together by key.
+    """
+    here, there, unlike = unlike_buckets(source, target, keys, columns, levels)
+    by = unlike.columns
+    sides = [df.join(unlike, by, "left_semi").select(*keys, *columns) for df in (here, there)]
+    return compare_rows(*sides, keys, columns, unique_keys=True)
 
 
 def _combined(source: DataFrame, target: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:

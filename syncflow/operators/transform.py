@@ -50,17 +50,22 @@ def place_by_day(
 
 
 def enforce_not_null(
-    df: DataFrame, required: Sequence[str], observation: Observation | None = None
+    df: DataFrame, required: Sequence[str], observation: Observation | str | None = None
 ) -> DataFrame:
-    """Drop rows with a NULL in a required column; the counts go to ``observation`` if given."""
+    """Drop rows with a NULL in a required column, and count them (see ``kept_where``)."""
     complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in required], F.lit(True))
+    return kept_where(df, complete, observation)
+
+
+def kept_where(df: DataFrame, keep: Column, observation: Observation | str | None = None) -> DataFrame:
+    """The rows for which ``keep`` is true. ``rows_in`` and ``rows_dropped`` go to the observation, which
+    is an ``Observation`` for a batch, or a name under which a stream's progress has them."""
+    keep = F.coalesce(keep, F.lit(False))
     if observation is not None:
         df = df.observe(
-            observation,
-            F.count(F.lit(1)).alias("rows_in"),
-            F.count_if(~complete).alias("rows_dropped"),
+            observation, F.count(F.lit(1)).alias("rows_in"), F.count_if(~keep).alias("rows_dropped")
         )
-    return df.where(complete)
+    return df.where(keep)
 
 
 def sink_columns(df: DataFrame, columns: Sequence[str] | Mapping[str, object]) -> DataFrame:

@@ -11,7 +11,7 @@ from syncflow.plans.inputs import CHANGE_FIELDS, HALF, day_of, table, text_of
 from syncflow.sinks import outputs
 from syncflow.sinks.append import append_by_day, read_by_day
 from syncflow.sinks.keyed import KeyedTable
-from syncflow.sources import cdc
+from syncflow.sources import cdc, snapshot
 from syncflow.sources.tables import incremental_slice
 
 KEYS, ORDER = ["user_id"], ["ts", "event_id"]
@@ -74,11 +74,62 @@ def cdc_snapshot_merge(spark, sf_dir):
     """The table as it was on the 16th, read as a snapshot, and the changes from then on."""
     rows, half = _changes(spark, sf_dir), F.expr(f"timestamp_ntz'{HALF}'")
     before, after = rows.where(F.col("ts") < half), rows.where(F.col("ts") >= half)
-    snapshot = changelog.live_rows(before, KEYS, ORDER)
-    log = changelog.snapshot_and_changes(snapshot, after, "initial", "initial")
+    first = changelog.live_rows(before, KEYS, ORDER)
+    log = changelog.snapshot_and_changes(first, after, "initial", "initial")
     return _shown(changelog.live_rows(log, KEYS, ["phase", *ORDER]))
 
 
+def cdc_snapshot_concurrent(spark, sf_dir):
+    """The table read in chunks while it went on changing, and the changes meanwhile and later.
+
+    A change's number is its place in the log. Every chunk is read over a fifth of the log, each from
+    another place on, and a row of it as it was at any place in between.
+    """
+    log = table(spark, sf_dir, "events").select(
+        "user_id", F.col("event_id").alias("seq"), "value",
+        F.when(F.col("event_type") == "error", "delete").otherwise("upsert").alias("kind"),
+    )
+    users = log.select("user_id").distinct()
+    size = log.agg(F.count(F.lit(1))).scalar()
+    low = F.call_function("div", size * F.pmod("chunk", F.lit(7)), F.lit(9))
+    chunks = snapshot.even_chunks(users, "user_id", 16).select(
+        "chunk", "first_key", low.alias("low"), (low + F.call_function("div", size, F.lit(5))).alias("high")
+    )
+    chunks = storage.written(chunks, "chunks")
+    places = snapshot.located(users, chunks, "user_id")
+    at = F.col("low") + F.pmod(F.xxhash64("user_id"), F.col("high") - F.col("low") + 1)
+    read = changelog.live_rows(
+        log.join(places.select("user_id", "chunk", at.alias("at")), "user_id").where("seq <= at").drop("at"),
+        ["user_id"], ["seq"],
+    ).drop("seq")
+    merged = snapshot.consistent_snapshot(read, chunks, log, "user_id")
+    return changelog.live_rows(merged, ["user_id"], ["phase", "seq"]).select(
+        "user_id", F.col("seq").alias("event_id"), "value"
+    )
+
+
+def cdc_binary_decimals(spark, sf_dir):
+    """Decimals as Base64 of their binary form: 1 to 16 bytes, negative ones and 38 digits included."""
+    orders = table(spark, sf_dir, "orders")
+    cents = F.round(F.col("o_totalprice") * 100).cast("bigint") * F.when(F.col("o_orderkey") % 2 == 0, -1).otherwise(1)
+    high = F.col("o_orderkey") * F.when(F.col("o_orderkey") % 3 == 0, -1).otherwise(1) * 8_000_000_000_000
+
+    def bytes_of(number, width=16):
+        return F.when(number < 0, F.hex(number)).otherwise(F.lpad(F.hex(number), width, F.lit("0")))
+
+    small = F.substring(bytes_of(F.col("o_orderkey") % 256 - 128), 15, 2)
+    row = F.struct(
+        F.col("o_orderkey").alias("id"), F.base64(F.unhex(bytes_of(cents))).alias("price"),
+        F.base64(F.unhex(F.concat(bytes_of(high), bytes_of(F.col("o_custkey"))))).alias("big"),
+        F.base64(F.unhex(small)).alias("small"), F.lit("no number").alias("bad"),
+    )
+    values = orders.select(F.to_json(F.struct(F.lit("c").alias("op"), row.alias("after"))).alias("value"))
+    rows = changelog.decode_changes(values, {
+        "id": "bigint", "price": "decimal(12,2)", "big": "decimal(38,0)", "small": "decimal(3,3)", "bad": "decimal(5,0)",
+    }, decimals="precise")
+    return rows.select("id", *[F.col(c).cast("string").alias(c) for c in ("price", "big", "small", "bad")])
+
+
 def cdc_replay(spark, sf_dir):
     """The last 24 hours read once more and merged into the result twice."""
     rows = _changes(spark, sf_dir)
@@ -109,7 +160,7 @@ def startup_timestamp(spark, sf_dir):
 def startup_modes(spark, sf_dir):
     """What each startup and snapshot mode reads, from one snapshot and one log."""
     rows, half = _changes(spark, sf_dir), F.expr(f"timestamp_ntz'{HALF}'")
-    snapshot = changelog.live_rows(rows.where(F.col("ts") < half), KEYS, ORDER)
+    first = changelog.live_rows(rows.where(F.col("ts") < half), KEYS, ORDER)
     later = rows.where(F.col("ts") >= half).withColumn("seq", F.struct(*ORDER))
     middle = F.struct(F.expr("timestamp_ntz'2024-01-20 00:00:00'").alias("ts"), F.lit(0).cast("bigint").alias("event_id"))
     modes = [
@@ -122,7 +173,7 @@ def startup_modes(spark, sf_dir):
         ("timestamp", "schema_only", {"ts": "ts", "since": middle.getField("ts")}),
     ]
     parts = [
-        changelog.snapshot_and_changes(snapshot, later, startup, mode, **start)
+        changelog.snapshot_and_changes(first, later, startup, mode, **start)
         .groupBy("phase").agg(F.count(F.lit(1)).alias("rows"))
         .select(F.lit(startup).alias("startup"), F.lit(mode).alias("snapshot_mode"), "phase", "rows")
         for startup, mode, start in modes
@@ -220,7 +271,8 @@ def random_spread(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    cdc_decode, cdc_normalise, cdc_value_modes, random_spread, cdc_latest, cdc_latest_keep_deletes, cdc_snapshot_merge, cdc_replay,
+    cdc_decode, cdc_normalise, cdc_value_modes, random_spread, cdc_latest, cdc_latest_keep_deletes, cdc_snapshot_merge,
+    cdc_snapshot_concurrent, cdc_binary_decimals, cdc_replay,
     cdc_day_move, cdc_dup_vs_unique, startup_timestamp, startup_modes, keyed_mirror, lookback_mirror,
     append_labels, file_round_trip, retention_90d, partition_coverage, bucket_sizes,
 )}
@@ -258,6 +310,19 @@ SQL = {
         SELECT user_id, event_id, value, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts
         FROM last WHERE rn = 1""",
     "cdc_snapshot_merge": _LIVE,
+    "cdc_snapshot_concurrent": """
+        SELECT user_id, event_id, value FROM (
+          SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events)
+        WHERE rn = 1 AND event_type <> 'error'""",
+    "cdc_binary_decimals": """
+        SELECT o_orderkey AS id,
+               CAST(CAST(round(o_totalprice * 100) AS BIGINT) * CASE WHEN o_orderkey % 2 = 0 THEN -1 ELSE 1 END
+                    * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(12,2))::VARCHAR AS price,
+               (o_orderkey::HUGEINT * CASE WHEN o_orderkey % 3 = 0 THEN -1 ELSE 1 END * 8000000000000
+                * 18446744073709551616 + o_custkey)::VARCHAR AS big,
+               CAST((o_orderkey % 256 - 128) * CAST(0.001 AS DECIMAL(4,3)) AS DECIMAL(4,3))::VARCHAR AS small,
+               NULL::VARCHAR AS bad
+        FROM orders""",
     "cdc_replay": _LIVE,
     "cdc_day_move": """
         WITH r AS (

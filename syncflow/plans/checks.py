@@ -33,6 +33,13 @@ def recon_keyed(spark, sf_dir):
     )
 
 
+def recon_digest(spark, sf_dir):
+    """The same by digests: only rows of buckets that are unlike meet by key."""
+    return reconcile.compare_digests(
+        *_both(spark, sf_dir), ["o_orderkey"], ["o_custkey", "o_totalprice", "o_orderpriority"]
+    )
+
+
 def recon_appended(spark, sf_dir):
     """The same against an append-only copy in which some rows came twice."""
     source, target = _both(spark, sf_dir)
@@ -91,7 +98,7 @@ def failure_alerts(spark, sf_dir):
 def failed_job_alerts(spark, sf_dir):
     """The same rule with the failures of the job itself as what is counted."""
     rows = monitor.failure_alerts(
-        _status(spark, sf_dir), "job", "state", "ts", ["event_id"], failed=["FAILED"], chunk="DAY"
+        _status(spark, sf_dir), "job", "state", "ts", ["event_id"], failed=["FAILED"]
     )
     return rows.withColumn("ts", text_of("ts"))
 
@@ -168,7 +175,7 @@ def combined_match(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    recon_count, recon_by_day, recon_keyed, recon_appended, recon_nulls, freshness, state_transitions, job_alerts,
+    recon_count, recon_by_day, recon_keyed, recon_digest, recon_appended, recon_nulls, freshness, state_transitions, job_alerts,
     not_found_alerts, metric_rollup, failure_alerts, failed_job_alerts, resubmit_actions, job_types,
     part_kinds, alert_suppressed, alert_suppressed_by_job, alert_routing, daily_report, resource_alerts,
     feature_match, combined_match,
@@ -273,6 +280,7 @@ SQL = {
         FULL JOIN (SELECT strftime(o_orderdate, '%Y-%m-%d') AS d, count(*) AS tn FROM target GROUP BY 1) t
           ON s.d = t.d""",
     "recon_keyed": _TARGET + _PAIRS.format(duplicate="false"),
+    "recon_digest": _TARGET + _PAIRS.format(duplicate="false"),
     "recon_appended": _TARGET + _PAIRS.format(duplicate="s.o_orderkey % 79 = 0"),
     "recon_nulls": _TARGET + """
         SELECT 'o_orderkey' AS column, 0 AS source_nulls, 0 AS target_nulls, false AS alert

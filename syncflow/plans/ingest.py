@@ -10,7 +10,7 @@ from syncflow.plans import inputs
 from syncflow.plans.inputs import COLD_START_FIELDS, day_of, table
 from syncflow.sinks.outputs import encode_for_kafka
 from syncflow.sources import events as ev
-from syncflow.sources import tables
+from syncflow.sources import snapshot, tables
 from syncflow.functions.types import apply_schema
 from syncflow.streaming.windows import window_counts
 
@@ -241,6 +241,12 @@ def snapshot_chunks(spark, sf_dir):
     return tables.snapshot_chunks(table(spark, sf_dir, "orders"), "o_orderkey", 4096)
 
 
+def snapshot_even_chunks(spark, sf_dir):
+    """Chunks of a key that is far from even: cubes of the order keys."""
+    keys = table(spark, sf_dir, "orders").select((F.col("o_orderkey") * F.col("o_orderkey") * F.col("o_orderkey")).alias("id"))
+    return snapshot.even_chunks(keys, "id", 1000)
+
+
 def tumble_5m(spark, sf_dir):
     counts = window_counts(table(spark, sf_dir, "events"), "ts", "5 minutes", ["event_type"])
     return counts.select(
@@ -271,7 +277,8 @@ QUERIES = {f.__name__: f for f in (
     cold_start_ods, json_reject_count, json_quarantine, json_field_coercion, json_timestamps,
     kafka_round_trip, day_rows, day_fallback, ts_text, ts_millis, tz_shift, process_time, rename_map,
     filter_rows, clean_cols, literal_cols, star_projection, case_day, not_null_drop, sink_column_list,
-    length_check, preview_rows, type_cast_table, lookback_1h, lookback_24h, snapshot_chunks, tumble_5m,
+    length_check, preview_rows, type_cast_table, lookback_1h, lookback_24h, snapshot_chunks,
+    snapshot_even_chunks, tumble_5m,
     datagen_rows,
 )}
 
@@ -360,6 +367,10 @@ SQL = {
         SELECT (o_orderkey - lo) // stride AS chunk, min(o_orderkey) AS first_key,
                max(o_orderkey) AS last_key, count(*) AS rows
         FROM orders, s GROUP BY 1""",
+    "snapshot_even_chunks": """
+        WITH k AS (SELECT CAST(o_orderkey AS BIGINT) * o_orderkey * o_orderkey AS id FROM orders)
+        SELECT n // 1000 AS chunk, min(id) AS first_key, max(id) AS last_key, count(*) AS rows
+        FROM (SELECT id, row_number() OVER (ORDER BY id) - 1 AS n FROM k) GROUP BY 1""",
     "tumble_5m": """
         SELECT strftime(time_bucket(INTERVAL 5 MINUTE, ts), '%Y-%m-%d %H:%M:%S') AS window_start,
                strftime(time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE, '%Y-%m-%d %H:%M:%S')

@@ -42,12 +42,15 @@ class PartedStream:
 
     FILES = 4
 
-    def __init__(self, spark: SparkSession, sf_dir: str, name: str, by: str | Column, parts: int = 4):
+    def __init__(
+        self, spark: SparkSession, sf_dir: str, name: str, by: str | Column, parts: int = 4, ends: list | None = None
+    ):
         self.by = F.col(by) if isinstance(by, str) else by
         self.rows = table(spark, sf_dir, name)
         self.path = storage.work_path(spark, f"arriving-{name}")
+        parts = len(ends) + 1 if ends else parts
         cuts = [i / parts for i in range(1, parts)]
-        ends = self.rows.agg(F.percentile_approx(self.by, cuts, 100_000).alias("ends")).first().ends
+        ends = ends or self.rows.agg(F.percentile_approx(self.by, cuts, 100_000).alias("ends")).first().ends
         self.cuts = [None, *(ends or [None] * len(cuts)), None]
         self.arrived, self.parts = 0, parts
 

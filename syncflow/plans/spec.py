@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, fields
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from syncflow.functions import times
@@ -34,7 +34,8 @@ class Source:
     With ``encoded`` the reader gives JSON text in ``value``, as a topic does. ``cdc`` is
     such a source whose records are change envelopes; ``startup`` and ``start`` say from which
     change on they count. With ``startup`` initial, ``snapshot`` is the table as it was before the
-    changes, in columns of the same names, unless ``snapshot_mode`` leaves it out. ``flush``
+    changes, in columns of the same names, unless ``snapshot_mode`` leaves it out. ``decimals`` says
+    how change envelopes carry decimals (``sources.cdc.DECIMAL_MODES``). ``flush``
     bounds the micro-batches of a stream, as ``outputs.flush_options`` has it.
     """
 
@@ -48,6 +49,7 @@ class Source:
     start: Mapping[str, object] = field(default_factory=dict)
     snapshot: Source | None = None
     snapshot_mode: str = "initial"
+    decimals: str = "string"
     lookback_hours: int | None = None
     lookback_column: str = "update_time"
     flush: Mapping[str, object] = field(default_factory=dict)
@@ -175,9 +177,12 @@ def build(
     as_of=None,
     fallback_day=None,
     snapshot_only: bool = False,
+    observation: Observation | str | None = None,
 ) -> DataFrame:
     """The flow as a DataFrame, up to the sink.
 
+    ``observation`` counts the rows that the not-null rule sees and drops (``transform.kept_where``).
+
     ``frame`` replaces the scan. ``as_of`` and ``fallback_day`` stand in for the clock. A table
     read includes the snapshot of a change source; of a stream it comes apart, by
     ``snapshot_only``.
@@ -190,7 +195,7 @@ def build(
         df = _scan(spark, src, streaming, frame)
         if is_cdc:
             df = changelog.decode_changes(
-                df, src.fields, timestamp_standard=src.timestamp_format, kind=_KIND, seq=_SEQ
+                df, src.fields, timestamp_standard=src.timestamp_format, kind=_KIND, seq=_SEQ, decimals=src.decimals
             )
             by_clock = {"ts": f"{_SEQ}.ts_ms"} if src.startup == "timestamp" else {}
             df = cdc.start_changes(df, src.startup, seq=_SEQ, **{**by_clock, **src.start})
@@ -241,8 +246,8 @@ def build(
             columns = [*listed, *extra]
         df = transform.sink_columns(df, columns)
     if is_cdc and sink.not_null and sink.keys:
-        return changelog.drop_incomplete(df, sink.not_null, sink.keys, _KIND)
-    return transform.enforce_not_null(df, sink.not_null) if sink.not_null else df
+        return changelog.drop_incomplete(df, sink.not_null, sink.keys, _KIND, observation)
+    return transform.enforce_not_null(df, sink.not_null, observation) if sink.not_null else df
 
 
 def _has_snapshot(src: Source) -> bool:
@@ -282,17 +287,23 @@ def run(
     frame: DataFrame | None = None,
     as_of=None,
     fallback_day=None,
+    counts: dict[str, int] | None = None,
 ):
     """Write the flow: ``batch`` once, under ``label``; ``stream`` until stopped, or until the
     input is used up when no ``interval`` is given. A stream gives its query, a batch whether
-    the load was new (where the target keeps labels)."""
+    the load was new (where the target keeps labels).
+
+    How many rows the not-null rule saw and dropped goes into ``counts``, for a batch; a stream has it in
+    its progress, together with the rows that came too late: ``streaming.run.flow_counts`` and ``FlowCounter``.
+    """
     sink = spec.sink
     if sink.model not in SINK_MODELS:
         raise ValueError(f"unknown sink model: {sink.model!r}")
     if mode not in ("batch", "stream"):
         raise ValueError(f"unknown mode: {mode!r}")
     streaming = mode == "stream"
-    df = build(spark, spec, streaming, frame, as_of, fallback_day)
+    seen = spec.name if streaming else Observation(spec.name) if counts is not None else None
+    df = build(spark, spec, streaming, frame, as_of, fallback_day, observation=seen)
     if streaming:
         if _has_snapshot(spec.source):
             if sink.model != "keyed":
@@ -302,6 +313,14 @@ def run(
             keyed_table(spark, spec).upsert(first, f"{sink.label_prefix}-snapshot", sink.enable_delete)
         bounds = spec.source.flush.get("interval") or sink.rolling.get("rollover")
         return _run_stream(spark, spec, df, checkpoint, interval or bounds)
+    out = _run_batch(spark, spec, df, label)
+    if counts is not None and sink.not_null and out is not False:
+        counts.update(seen.get)
+    return out
+
+
+def _run_batch(spark, spec: SyncSpec, df: DataFrame, label: str | None):
+    sink = spec.sink
     full_label = f"{sink.label_prefix}-{label}"
     if sink.model in ("append", "keyed") and label is None:
         raise ValueError("a batch load needs a label")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from syncflow import storage
@@ -11,11 +13,14 @@ from syncflow.plans import inputs
 from syncflow.plans.changes import SQL as _CHANGE_SQL
 from syncflow.plans.checks import SQL as _CHECK_SQL
 from syncflow.plans.ingest import SQL as _INGEST_SQL, cold_start_rows
-from syncflow.plans.inputs import CHANGE_FIELDS, COLD_START_FIELDS, PartedStream, table_stream
+from syncflow.plans.inputs import CHANGE_FIELDS, COLD_START_FIELDS, PartedStream, table, table_stream
 from syncflow.plans.spec import SyncSpec, run
+from syncflow.sinks import outputs
 from syncflow.sinks.append import read_by_day
 from syncflow.sinks.keyed import KeyedTable
-from syncflow.streaming.run import stream_to_day_files, stream_to_day_table, stream_to_keyed_table
+from syncflow.streaming.run import (
+    flow_counts, stream_on_time, stream_to_day_files, stream_to_day_table, stream_to_keyed_table,
+)
 from syncflow.streaming.suppression import suppress_repeats_stream
 from syncflow.streaming.windows import as_event_time, window_counts, with_event_time_limit
 
@@ -97,6 +102,73 @@ def stream_alert_late(spark, sf_dir):
     return _suppressed(spark, sf_dir, "stream_alert_late", F.unix_micros((F.col("ts") + late).cast("timestamp")), "3h")
 
 
+def stream_late_rows(spark, sf_dir):
+    """Events up to three hours late, one micro-batch a week: what is more than an hour behind goes apart."""
+    late = F.make_dt_interval(hours=(F.col("event_id") % 4).cast("int"))
+    ends = [dt.datetime(2024, 1, day) for day in (8, 16, 24)]
+    arriving = PartedStream(spark, sf_dir, "events", F.col("ts") + late, ends=ends)
+    path = storage.work_path(spark, "stream_late_rows")
+    for upto in range(1, 5):
+        arriving.arrive(upto)
+        stream_on_time(arriving.read(), "ts", "1h", path, f"{path}/checkpoint").awaitTermination()
+    rows = [
+        spark.read.schema("event_id long, batch long").parquet(f"{path}/{name}").select(
+            "event_id", "batch", F.lit(name == "late").alias("is_late")
+        ) for name in ("on_time", "late")
+    ]
+    return rows[0].unionByName(rows[1]).groupBy("batch", "is_late").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("event_id").alias("ids")
+    )
+
+
+def stream_fan_out(spark, sf_dir):
+    """One stream to two targets that are committed together, over micro-batches and a restart."""
+    arriving = PartedStream(spark, sf_dir, "events", "event_id")
+    path = storage.work_path(spark, "stream_fan_out")
+    targets = {
+        "all": lambda rows: rows.select("event_id", "user_id"),
+        "errors": lambda rows: rows.where("event_type = 'error'").select("event_id", "user_id"),
+    }
+    for upto in (3, 4):
+        arriving.arrive(upto)
+        writer = outputs.fan_out_committed(arriving.read(), targets, path)
+        writer.option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    schema = table(spark, sf_dir, "events").select("event_id", "user_id").schema
+    counts = [
+        outputs.read_committed(spark, path, name, schema).agg(
+            F.lit(name).alias("target"), F.count(F.lit(1)).alias("rows"), F.sum("event_id").alias("ids")
+        ) for name in targets
+    ]
+    return counts[0].unionByName(counts[1])
+
+
+def spec_counts(spark, sf_dir):
+    """What a flow's not-null rule saw and dropped, as a batch and as a stream."""
+    path = storage.work_path(spark, "spec_counts")
+    told = []
+    for mode in ("batch", "stream"):
+        spec = SyncSpec.from_dict({
+            "name": f"counted_{mode}", "source": {"kind": "kafka", "fields": COLD_START_FIELDS},
+            "sink": {
+                "model": "append", "path": f"{path}/{mode}", "event_millis": "timestamp",
+                "not_null": ["deviceId", "partition_day"],
+            },
+        })
+        reader = table if mode == "batch" else table_stream
+        payloads = inputs.cold_start_payloads(reader(spark, sf_dir, "events"))
+        counts: dict[str, int] = {}
+        query = run(spark, spec, mode, "1", f"{path}/checkpoint", frame=payloads, counts=counts)
+        if mode == "stream":
+            query.awaitTermination()
+            counts = flow_counts(query.recentProgress)
+        kept = read_by_day(spark, f"{path}/{mode}").agg(F.count(F.lit(1)).alias("rows_kept"))
+        told.append(kept.select(
+            F.lit(mode).alias("mode"), F.lit(counts["rows_in"]).cast("long").alias("rows_in"),
+            F.lit(counts["rows_dropped"]).cast("long").alias("rows_dropped"), "rows_kept",
+        ))
+    return told[0].unionByName(told[1])
+
+
 def cold_start_spec(path: str) -> SyncSpec:
     """The cold-start flow as a description."""
     return SyncSpec.from_dict({
@@ -141,7 +213,7 @@ def spec_flow(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     stream_cold_start, stream_tumble_5m, stream_cdc_mirror, stream_resume, stream_alert_suppressed,
-    stream_alert_late, spec_flow,
+    stream_alert_late, stream_late_rows, stream_fan_out, spec_counts, spec_flow,
 )}
 
 
@@ -164,6 +236,21 @@ SQL = {
     "stream_resume": _INGEST_SQL["day_rows"],
     "stream_alert_suppressed": _before_watermark(1),
     "stream_alert_late": _before_watermark(3 * 3600),
+    "stream_late_rows": """
+        WITH e AS (SELECT *, ts + to_hours(CAST(event_id % 4 AS INTEGER)) AS came FROM events),
+        p AS (SELECT *, CAST((came > TIMESTAMP '2024-01-08') AS BIGINT) + (came > TIMESTAMP '2024-01-16')::BIGINT
+                        + (came > TIMESTAMP '2024-01-24')::BIGINT AS batch FROM e),
+        m AS (SELECT a.batch, max(b.ts) - INTERVAL 1 HOUR AS mark
+              FROM (SELECT DISTINCT batch FROM p) a LEFT JOIN p b ON b.batch < a.batch GROUP BY 1)
+        SELECT batch, coalesce(ts < mark, false) AS is_late, count(*) AS rows, sum(event_id)::BIGINT AS ids
+        FROM p JOIN m USING (batch) GROUP BY 1, 2""",
+    "stream_fan_out": """
+        SELECT 'all' AS target, count(*) AS rows, sum(event_id)::BIGINT AS ids FROM events
+        UNION ALL SELECT 'errors', count(*), sum(event_id)::BIGINT FROM events WHERE event_type = 'error'""",
+    "spec_counts": """
+        SELECT mode, count(*) AS rows_in, count(*) FILTER (event_id % 5 = 0) AS rows_dropped,
+               count(*) FILTER (event_id % 5 <> 0) AS rows_kept
+        FROM events, (VALUES ('batch'), ('stream')) m(mode) GROUP BY 1""",
     "spec_flow": """
         SELECT mode, strftime(ts, '%Y-%m-%d') AS partition_day, count(*) AS rows,
                count(*) FILTER (event_id % 5 = 0) AS no_device

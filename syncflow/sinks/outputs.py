@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from syncflow.functions.times import interval_text
@@ -39,10 +40,18 @@ def write_nowhere(df: DataFrame) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
-def print_rows(df: DataFrame) -> None:
-    """Every row as a line of JSON; one partition at a time passes through the driver."""
-    for line in df.toJSON().toLocalIterator():
-        print(line)
+def print_rows(df: DataFrame, prefix: str = "") -> None:
+    """Every row as a line of JSON on the standard output of the task that has it.
+
+    Executors print their own rows, as a debugging sink on a cluster does; nothing passes the driver.
+    """
+    lines = df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("line"))
+
+    def show(rows: Iterator[Row]) -> None:
+        for row in rows:
+            print(prefix + row["line"], flush=True)
+
+    lines.foreachPartition(show)
 
 
 def rolling_options(
@@ -80,6 +89,34 @@ def fan_out(df: DataFrame, writers: Sequence[Callable[[DataFrame], object]]) ->
         held.unpersist()
 
 
+def fan_out_committed(
+    df: DataFrame, targets: Mapping[str, Callable[[DataFrame], DataFrame]], path: str
+) -> DataStreamWriter:
+    """Each micro-batch to several targets below ``path``, visible in all of them or in none.
+
+    ``targets`` gives what each one takes of a batch. Every target's rows are written to a folder of the batch,
+    replacing what a broken attempt left there, and then one row with the batch's number is added to the
+    commits. A reader (``read_committed``) takes only batches that are committed, so a crash between two
+    writers shows in no target, and the batch that is run again shows once.
+    """
+    def write(batch: DataFrame, number: int) -> None:
+        def to(name: str, part: Callable[[DataFrame], DataFrame]):
+            return lambda rows: part(rows).write.mode("overwrite").parquet(f"{path}/{name}/batch={number}")
+
+        fan_out(batch, [to(name, part) for name, part in targets.items()])
+        commit = batch.sparkSession.range(number, number + 1).select(F.col("id").alias("committed"))
+        commit.write.mode("overwrite").parquet(f"{path}/_commits/batch={number}")
+
+    return df.writeStream.foreachBatch(write)
+
+
+def read_committed(spark: SparkSession, path: str, target: str, schema: T.StructType) -> DataFrame:
+    """What committed batches wrote to a target of ``fan_out_committed``."""
+    rows = spark.read.schema(T.StructType([*schema, T.StructField("batch", T.LongType())])).parquet(f"{path}/{target}")
+    commits = spark.read.schema("committed long").parquet(f"{path}/_commits/*")
+    return rows.join(commits, F.col("batch") == F.col("committed"), "left_semi").drop("batch")
+
+
 def fan_out_stream(
     df: DataFrame, writers: Sequence[Callable[[DataFrame, int], object]]
 ) -> DataStreamWriter:

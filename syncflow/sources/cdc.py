@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from syncflow.functions.times import MAX_EPOCH_MILLIS, MIN_EPOCH_MILLIS, utc_wall
-from syncflow.functions.types import cast_text, resolve_type, time_precision
+from syncflow.functions.types import binary_decimal, cast_text, resolve_type, time_precision
 
 _CORRUPT = "_corrupt_record"
 
@@ -25,11 +25,17 @@ SNAPSHOT_MODES = {
 }
 
 
-def _cell(col: Column, to, timestamp_standard: str) -> Column:
+# How decimals come: as text or numbers, or as Base64 of their binary form.
+DECIMAL_MODES = ("string", "double", "precise")
+
+
+def _cell(col: Column, to, timestamp_standard: str, decimals: str) -> Column:
     """A value of a row image. Times come as text, or as numbers: epoch days, and epoch
     milliseconds or, for columns declared with more than three digits, microseconds."""
     unit = 1000 if time_precision(to) > 3 else 1
     cast, to = cast_text(col, to, timestamp_standard), resolve_type(to)
+    if isinstance(to, T.DecimalType) and decimals == "precise":
+        return binary_decimal(col, to)
     is_number = col.rlike(r"^-?\d+$")
     if isinstance(to, (T.TimestampType, T.TimestampNTZType)):
         number = col.try_cast("bigint")
@@ -42,9 +48,13 @@ def _cell(col: Column, to, timestamp_standard: str) -> Column:
     return cast
 
 
-def image_cells(image: str, fields: Mapping[str, object], timestamp_standard: str = "SQL") -> list[Column]:
+def image_cells(
+    image: str, fields: Mapping[str, object], timestamp_standard: str = "SQL", decimals: str = "string"
+) -> list[Column]:
     """Typed columns of a row image that was parsed as text."""
-    return [_cell(F.col(f"{image}.`{n}`"), t, timestamp_standard).alias(n) for n, t in fields.items()]
+    if decimals not in DECIMAL_MODES:
+        raise ValueError(f"unknown decimal mode: {decimals!r}")
+    return [_cell(F.col(f"{image}.`{n}`"), t, timestamp_standard, decimals).alias(n) for n, t in fields.items()]
 
 
 def parse_envelope(
@@ -106,10 +116,11 @@ def decode_envelope(
     value: str = "value",
     keep: Sequence[str] = (),
     timestamp_standard: str = "SQL",
+    decimals: str = "string",
 ) -> DataFrame:
     """Change envelopes with both images typed; an image that is absent is NULL."""
     def typed(name: str) -> Column:
-        image = F.struct(*image_cells(name, fields, timestamp_standard))
+        image = F.struct(*image_cells(name, fields, timestamp_standard, decimals))
         return F.when(F.col(name).isNotNull(), image).alias(name)
 
     parsed = parse_envelope(df, list(fields), value, keep)

@@ -87,3 +87,14 @@ def test_moved_days(spark):
     ]
     got = changelog.moved_days(spark.createDataFrame(rows, SCHEMA), ["id"], ["seq"], "day")
     assert rows_of(got) == [(1, "d1", "d2")]
+
+
+def test_latest_row_with_maps(spark):
+    rows = [(1, 1, {"a": 1}, [{"x": 2}]), (1, 3, {"b": 2, "a": 0}, []), (1, 2, {}, None), (2, 1, None, None)]
+    df = spark.createDataFrame(rows, "id int, seq int, m map<string,int>, l array<map<string,int>>")
+    got = changelog.latest_per_key(df, ["id"], ["seq"]).collect()
+    assert sorted((r.id, r.seq, r.m) for r in got) == [(1, 3, {"b": 2, "a": 0}), (2, 1, None)]
+    # Rows that tie are told apart in the same way, whatever their order.
+    tied = [(1, 1, {"a": n}, None) for n in (3, 1, 2)]
+    some = {changelog.latest_per_key(spark.createDataFrame(t, df.schema), ["id"], ["seq"]).first().m["a"] for t in (tied, tied[::-1])}
+    assert some == {3}

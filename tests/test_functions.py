@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 from conftest import rows_of
 from syncflow.functions import times
 from syncflow.functions.classify import SINGLE_MATCH_TIERS, classify, tier
-from syncflow.functions.types import apply_schema, parse_type
+from syncflow.functions.types import apply_schema, binary_decimal, parse_type
 
 
 @pytest.mark.parametrize("text, kind", [
@@ -136,3 +136,31 @@ def test_tier_bounds_are_inclusive(spark):
     df = spark.createDataFrame([(x,) for x in (1.0, 0.8, 0.79, 0.6, 0.3, 0.29)], "s double")
     got = [r[0] for r in df.select(tier(F.col("s"), SINGLE_MATCH_TIERS, "poor")).collect()]
     assert got == ["excellent", "excellent", "good", "good", "fair", "poor"]
+
+
+def test_binary_decimals(spark):
+    import base64
+    import random
+    from decimal import Decimal
+
+    rng = random.Random(4)
+    numbers = [0, 1, -1, 127, 128, -128, -129, 255, 256, 10**38 - 1, 1 - 10**38, 2**63, -(2**63), 2**64, 99999]
+    numbers += [rng.randrange(-(10**k), 10**k) for k in range(1, 38) for _ in range(3)]
+    rows = []
+    for n in numbers:
+        size = max(1, (n.bit_length() + 8) // 8)
+        rows.append((base64.b64encode(n.to_bytes(size, "big", signed=True)).decode(), n))
+        rows.append((base64.b64encode(n.to_bytes(size + 5, "big", signed=True)).decode(), n))  # sign bytes in front
+    df = spark.createDataFrame([(t, str(n)) for t, n in rows], "t string, n string")
+    for kind in (T.DecimalType(38, 0), T.DecimalType(38, 2), T.DecimalType(12, 5), T.DecimalType(38, 38)):
+        def want(n, kind=kind):
+            value = Decimal(n).scaleb(-kind.scale) if abs(n) < 10**38 else None
+            return value if value is not None and abs(n) < 10**kind.precision else None
+
+        got = df.select("n", binary_decimal(F.col("t"), kind).alias("d")).collect()
+        import decimal
+        with decimal.localcontext() as c:
+            c.prec = 80
+            assert [r.d for r in got] == [want(int(r.n)) for r in got]
+    bad = spark.createDataFrame([("",), (None,), ("not base64!",), ("AA=A",)], "t string")
+    assert {r[0] for r in bad.select(binary_decimal(F.col("t"), T.DecimalType(10, 2))).collect()} == {None}

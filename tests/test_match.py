@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import rows_of
 from syncflow.operators import match
@@ -70,3 +71,20 @@ def test_no_sinks_among_the_jobs(spark):
     jobs = spark.createDataFrame([("j", "a")], "job string, feature string")
     candidates = spark.createDataFrame([("c", "a")], "candidate string, feature string")
     assert rows_of(match.match_combined(jobs, candidates), "sink_coverage", "score") == [(0.0, 0.6)]
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3, 4])
+def test_best_candidates_need_few_pairs(spark, seed):
+    rng = random.Random(seed)
+    jobs, candidates = sets(seed, 30, "j"), sets(seed + 50, 12, "c")
+    for named, rare in ((jobs, 3), (candidates, 2)):  # rare features, and sizes that differ
+        for i, features in enumerate(named.values()):
+            features |= {f"sink_table:rare{rng.randrange(20)}" for _ in range(rare)}
+            features |= {f"source_table:own{i}_{n}" for n in range(rng.randrange(12))}
+    a, b = frame(spark, jobs, "job"), frame(spark, candidates, "candidate")
+    ranked = match.match_candidates(a, b).where("rank = 1")
+    columns = ["job", "candidate", "shared", "shared_sinks", "score"]
+    assert rows_of(match.best_candidates(a, b), *columns) == rows_of(ranked, *columns)
+    kinds = a.groupBy("job").agg(F.sort_array(F.collect_set("feature")).alias("features")).withColumnRenamed("job", "set")
+    looked_at = match.best_pairs(kinds, b.distinct(), "candidate", "feature").count()
+    assert looked_at < match.match_candidates(a, b).count() / 2

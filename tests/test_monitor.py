@@ -1,13 +1,14 @@
 import datetime as dt
 import random
 
+import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from conftest import rows_of
-from syncflow.operators import monitor, reconcile
+from syncflow.operators import monitor, ordered, reconcile, suppression
 from syncflow.operators.suppression import suppress_repeats
 
 STATES = ["RUNNING", "FAILED", "CANCELED", "NOT_FOUND", "ERROR"]
@@ -36,8 +37,8 @@ def by_job(rows):
 
 
 @FEW
-@given(st.integers(0, 10_000), st.sampled_from(list(monitor.CHUNK_SECONDS)))
-def test_state_transitions(spark, seed, chunk):
+@given(st.integers(0, 10_000))
+def test_state_transitions(spark, seed):
     rows = history(seed)
     want = []
     for changes in by_job(rows).values():
@@ -47,13 +48,13 @@ def test_state_transitions(spark, seed, chunk):
                 level = {"RUNNING": "info", "FAILED": "error", "CANCELED": "error"}.get(r[1])
                 want.append((*r, last, level))
             last = r[1]
-    got = monitor.state_transitions(spark.createDataFrame(rows, SCHEMA), "job", "state", "ts", ["n"], chunk)
+    got = monitor.state_transitions(spark.createDataFrame(rows, SCHEMA), "job", "state", "ts", ["n"])
     assert rows_of(got) == sorted(want, key=repr)
 
 
 @FEW
-@given(st.integers(0, 10_000), st.sampled_from(list(monitor.CHUNK_SECONDS)))
-def test_failure_alerts(spark, seed, chunk):
+@given(st.integers(0, 10_000))
+def test_failure_alerts(spark, seed):
     rows = history(seed)
     want = []
     for checks in by_job(rows).values():
@@ -65,23 +66,65 @@ def test_failure_alerts(spark, seed, chunk):
                 run += 1
                 if run % 3 == 0:
                     want.append((*r, run))
-    got = monitor.failure_alerts(spark.createDataFrame(rows, SCHEMA), "job", "state", "ts", ["n"], chunk=chunk)
+    got = monitor.failure_alerts(spark.createDataFrame(rows, SCHEMA), "job", "state", "ts", ["n"])
     assert rows_of(got) == sorted(want, key=repr)
 
 
-def test_every_window_is_bounded_by_a_chunk_or_by_summaries(spark):
+def test_every_window_is_bounded_by_a_range_or_by_summaries(spark):
     df = spark.createDataFrame(history(1), SCHEMA)
     plan = monitor.failure_alerts(df, "job", "state", "ts", ["n"])._jdf.queryExecution().executedPlan().toString()
     windows = [line for line in plan.splitlines() if " Window [" in line or "- Window [" in line]
     row_windows = [w for w in windows if "_fails" in w and "_tail" not in w]
-    assert row_windows and all("_chunk" in w for w in row_windows)
+    assert row_windows and all("_part" in w for w in row_windows)
+
+
+def test_one_hour_of_one_job_spreads_over_ranges(spark):
+    """All rows of one job within one hour: no range has more than its share, and none is alone."""
+    rows = [("hot", STATES[i % 3], START + dt.timedelta(seconds=i % 3600), i) for i in range(8000)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # these are few bytes
+    try:
+        sizes = [r["count"] for r in ordered.in_order(df, "job", "ts", "n").groupBy(ordered.PART).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(sizes) == 4 and max(sizes) < 4000
+    got = monitor.failure_alerts(df, "job", "state", "ts", ["n"], failed=["FAILED"], reset=["CANCELED"])
+    want, run = [], 0
+    for r in sorted(rows, key=lambda r: (r[2], r[3])):
+        run = 0 if r[1] == "CANCELED" else run + (r[1] == "FAILED")
+        if r[1] == "FAILED" and run % 3 == 0:
+            want.append((*r, run))
+    assert rows_of(got) == sorted(want, key=repr)
 
 
-def test_choose_chunk(spark):
-    df = spark.createDataFrame(history(3, n=500), SCHEMA)
-    assert monitor.choose_chunk(df, ["job"], "ts", 1_000) == "DAY"
-    assert monitor.choose_chunk(df, ["job"], "ts", 60) in ("HOUR", "MINUTE")
-    assert monitor.choose_chunk(df, ["job"], "ts", 1) == "SECOND"
+def test_numbers_and_values_along_the_whole_order(spark):
+    rows = [(i % 7 if i % 5 else None, i * 37 % 100, i if i % 9 == 0 else None) for i in range(500)]
+    placed = ordered.in_order(spark.createDataFrame(rows, "k int, at int, v int"), "k", "at", "v")
+    along = sorted(rows, key=lambda r: tuple((x is not None, x or 0) for x in r))
+    seen, last, want = {}, None, []
+    for k, at, v in along:
+        last = v if v is not None else last
+        want.append((k, at, v, seen.get(k, 0), last))
+        seen[k] = seen.get(k, 0) + 1
+    got = ordered.filled(ordered.numbered(placed, "k"), "v", "last").orderBy("_at")
+    assert [tuple(r) for r in got.select("k", "at", "v", "_index", "last").collect()] == want
+
+
+def test_span_functions_compose():
+    """The quiet seconds that go through spans one by one, and through the composed function at once."""
+    rng = random.Random(3)
+    for quiet in (1, 5, 40):
+        spans = [sorted(rng.sample(range(50), rng.randrange(1, 12))) for _ in range(6)]
+        steps = [suppression.span_steps(np.array(s), quiet, 50) for s in spans]
+        whole = steps[0]
+        for more in steps[1:]:
+            whole = suppression.then(whole, more)
+        for given_ in range(quiet):
+            left = given_
+            for seconds in spans:
+                _, ready = suppression.first_after_quiet(np.array(seconds), left, quiet)
+                left = max(0, ready - 50)
+            assert suppression.value_at(whole, given_) == left
 
 
 def greedy(rows, quiet):
@@ -192,3 +235,27 @@ def test_freshness(spark, last, stale):
     df = spark.createDataFrame([(last,)], "t string").selectExpr("cast(t as timestamp_ntz) ts").where("ts IS NOT NULL")
     report = reconcile.freshness(df, "ts", "2024-01-01 00:10:00").first()
     assert report.stale is stale
+
+
+def test_digests_equal_a_comparison_by_key(spark):
+    rows = [(i if i else None, i * 0.5 if i % 7 else None, f"s{i}") for i in range(3000)]
+    schema = "id int, v double, s string"
+    source = spark.createDataFrame(rows, schema)
+    changed = [(i, v if (i or 0) % 500 else 9.0, s) for i, v, s in rows if (i or 1) % 700] + [(9999, None, None)]
+    target = spark.createDataFrame(changed, schema)
+    by_key = rows_of(reconcile.compare_rows(source, target, ["id"], ["v", "s"], True))
+    assert len(by_key) > 5 and rows_of(reconcile.compare_digests(source, target, ["id"], ["v", "s"])) == by_key
+    # Equal sides differ in no bucket, a NULL key included, so no row of them is exchanged.
+    *_, unlike = reconcile.unlike_buckets(source, source, ["id"], ["v", "s"])
+    assert unlike.isEmpty()
+    assert reconcile.compare_rows(source, source, ["id"], ["v", "s"], True).isEmpty()
+    lost = reconcile.compare_rows(source, source.where("id IS NOT NULL"), ["id"], ["v", "s"], True)
+    assert rows_of(lost, "id", "status") == [(None, "missing")]
+    *_, unlike = reconcile.unlike_buckets(source, target, ["id"], ["v", "s"])
+    assert 0 < unlike.count() <= len(by_key)
+
+
+def test_digest_tells_where_a_null_is(spark):
+    source = spark.createDataFrame([(1, None, "a")], "id int, v string, s string")
+    target = spark.createDataFrame([(1, "a", None)], "id int, v string, s string")
+    assert rows_of(reconcile.compare_digests(source, target, ["id"], ["v", "s"])) == [(1, "changed", "v,s")]

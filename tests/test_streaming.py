@@ -1,15 +1,18 @@
 import datetime as dt
 import json
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from conftest import rows_of
 from syncflow.operators import changelog
 from syncflow.sinks.append import append_by_day, read_by_day
 from syncflow.sinks.keyed import KeyedTable
-from syncflow.sinks.outputs import fan_out_stream, numbered_json_files
+from syncflow.operators.transform import enforce_not_null
+from syncflow.sinks.outputs import fan_out_committed, fan_out_stream, numbered_json_files, print_rows, read_committed
 from syncflow.sources import events, tables
 from syncflow.streaming import run as streams
 from syncflow.streaming.suppression import suppress_repeats_stream
@@ -198,3 +201,66 @@ def test_suppression_of_alerts_that_come_late(spark, tmp_path):
 ])
 def test_trigger(interval, want):
     assert streams.trigger_of(interval) == want
+
+
+def test_committed_fan_out_shows_all_or_nothing(spark, tmp_path):
+    """A crash between two writers leaves a batch in none of the targets, and then once in both."""
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    crash = {"on": True}
+
+    def second(rows):
+        if crash["on"]:
+            raise RuntimeError("between two writers")
+        return rows.select("uid")
+
+    def run_once():
+        stream = tables.read_json_files(spark, str(source), "uid int, v string", streaming=True, maxFilesPerTrigger=1)
+        targets = {"first": lambda rows: rows, "second": second if late["on"] else lambda rows: rows.select("uid")}
+        writer = fan_out_committed(stream, targets, out)
+        writer.option("checkpointLocation", f"{out}/cp").trigger(availableNow=True).start().awaitTermination()
+
+    def seen():
+        first = read_committed(spark, out, "first", StructType.fromDDL("uid int, v string"))
+        return rows_of(first, "uid"), rows_of(read_committed(spark, out, "second", StructType.fromDDL("uid int")))
+
+    late = {"on": False}
+    put(source, "1.json", ['{"uid":1,"v":"a"}', '{"uid":2,"v":"b"}'])
+    run_once()
+    assert seen() == ([(1,), (2,)], [(1,), (2,)])
+    late["on"] = True
+    put(source, "2.json", ['{"uid":3,"v":"c"}'])
+    with pytest.raises(Exception, match="between two writers"):
+        run_once()
+    assert spark.read.parquet(f"{out}/first").count() == 3  # written, but not committed
+    assert seen() == ([(1,), (2,)], [(1,), (2,)])
+    crash["on"] = False
+    run_once()
+    assert seen() == ([(1,), (2,), (3,)], [(1,), (2,), (3,)])
+
+
+def test_flow_counts_and_listener(spark, tmp_path):
+    source, counter = tmp_path / "in", streams.FlowCounter()
+    put(source, "1.json", ['{"uid":1,"at":"2024-01-01 00:00:00"}', '{"at":"2024-01-01 01:00:00"}'])
+    put(source, "2.json", ['{"uid":2,"at":"2024-01-01 02:00:00"}'])
+    put(source, "3.json", ['{"uid":3,"at":"2024-01-01 00:10:00"}'])  # behind the watermark of two batches ago
+    stream = tables.read_json_files(spark, str(source), "uid int, at timestamp", streaming=True, maxFilesPerTrigger=1)
+    kept = enforce_not_null(with_event_time_limit(stream, "at", "1 minute"), ["uid"], "rule")
+    counts = window_counts(kept, "at", "5 minutes", [])
+    spark.streams.addListener(counter)
+    try:
+        query = streams.stream_to_day_files(counts, str(tmp_path / "out"), str(tmp_path / "cp"), None, name="counted")
+        query.awaitTermination()
+        want = {"rows_in": 4, "rows_dropped": 1, "rows_late": 1}
+        assert streams.flow_counts(query.recentProgress) == want
+        for _ in range(50):
+            if counter.counts.get("counted") == want:
+                break
+            time.sleep(0.1)
+        assert counter.counts["counted"] == want
+    finally:
+        spark.streams.removeListener(counter)
+
+
+def test_printed_rows_do_not_pass_the_driver(spark, capsys):
+    print_rows(spark.createDataFrame([(1, None)], "id int, v string"), "> ")
+    assert capsys.readouterr().out == ""  # tasks have a standard output of their own
