@@ -51,7 +51,7 @@ BLOCK = 16  # columns
 CERTAINTY = 2.1  # standard errors of a partial distance
 TILE = 2048  # entries of a list that are scanned together
 BUCKET = 8192  # entries in a bucket, about
-VISITORS = 2048  # queries that meet a bucket together
+VISITORS = 1024  # queries that meet a bucket together
 
 _Z = np.linspace(-9.0, 9.0, 7201)
 _ABOVE = np.array([0.5 * math.erfc(z / math.sqrt(2.0)) for z in _Z])
@@ -228,49 +228,99 @@ class Tile:
         lists, powers, lengths = lists[order], powers[order], lengths[order]
         is_new = (lists[1:] != lists[:-1]) | (powers[1:] != powers[:-1])
         starts = np.flatnonzero(np.concatenate(([True], is_new)))
+        ends = np.append(starts[1:], len(lists))
         longest = np.maximum.reduceat(lengths, starts)
-        self.runs: dict[int, list[tuple[int, int, float]]] = {}
-        for start, end, most in zip(starts.tolist(), [*starts[1:].tolist(), len(lists)], longest.tolist(), strict=True):
-            self.runs.setdefault(int(lists[start]), []).append((start, end, most))
-        scale = np.repeat(longest, np.diff(np.append(starts, len(lists))))
+        self.runs = list(zip(lists[starts].tolist(), starts.tolist(), ends.tolist(), longest.tolist(), strict=True))
+        scale = np.repeat(longest, ends - starts)
         dim = vectors.shape[1] + 1
         self.turn = _rotation(dim)
         missing = np.sqrt(np.maximum(1.0 - (lengths / scale) ** 2, 0.0))
         turned = (self.vectors / scale[:, None]) @ self.turn[:-1] + missing[:, None] * self.turn[-1]
         self.cuts = [*range(0, dim, BLOCK), dim]
-        self.blocks = [np.ascontiguousarray(turned[:, a:b]) for a, b in zip(self.cuts, self.cuts[1:], strict=False)]
+        # What is left after the last block but one is scored as a whole.
+        self.blocks = [np.ascontiguousarray(turned[:, a:b]) for a, b in zip(self.cuts, self.cuts[1:-1], strict=False)]
+        self.squares = [(block * block).sum(1) for block in self.blocks]
         self.scanned = 0  # components that were looked at
 
-    def _left(self, turned: np.ndarray, lo: int, hi: int, limit: float) -> np.ndarray:
-        """Places of a run whose partial distances stay below the limit, as far as the tests can tell."""
+    def search(self, queries: np.ndarray, wanted: list[list[int]], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Numbers of queries, places and scores of the k nearest to each in its lists (best list first), as
+        far as the tests let them through."""
+        self.queries, self.lengths = queries, _lengths(queries)
+        turned = (queries / self.lengths[:, None]) @ self.turn[:-1]
+        self.asked = [turned[:, a:b] for a, b in zip(self.cuts, self.cuts[1:-1], strict=False)]
+        self.best, self.at = np.full((len(queries), k), -np.inf), np.full((len(queries), k), -1)
+        present = {which for which, *_ in self.runs}
+        first: dict[int, list[int]] = {}
+        others: dict[int, list[int]] = {}
+        for q, lists in enumerate(wanted):
+            for nth, which in enumerate(x for x in lists if x in present):
+                (others if nth else first).setdefault(which, []).append(q)
+        # The best list is scored whole, for all queries; the k-th score there limits the others.
+        for visitors in (first, others):
+            for which, lo, hi, longest in self.runs:
+                asking = np.array(visitors.get(which, []), int)
+                for part in range(0, len(asking), VISITORS):
+                    self._scan(lo, hi, longest, asking[part : part + VISITORS])
+        q, nth = np.nonzero(self.at >= 0)
+        at = self.at[q, nth]
+        return q, at, np.einsum("ij,ij->i", self.vectors[at], queries[q])
+
+    def _scan(self, lo: int, hi: int, longest: float, asking: np.ndarray) -> None:
+        """One run for some queries: tests block by block, then the scores of what is left."""
+        least = self.best[asking, -1]
+        with np.errstate(over="ignore"):
+            limit = np.maximum(2.0 - 2.0 * least / (longest * self.lengths[asking]), 0.0)
+        stay = self._tested(lo, hi, asking, limit) if np.isfinite(least).any() else np.ones((hi - lo, len(asking)), bool)
+        rows, columns = np.nonzero(stay)
+        if len(rows) * 16 > stay.size:
+            scores = (self.vectors[lo:hi] @ self.queries[asking].T)[rows, columns]
+        else:
+            scores = np.einsum("ij,ij->i", self.vectors[lo + rows], self.queries[asking[columns]])
+        near = scores >= least[columns]
+        if near.any():
+            self._keep(asking[columns[near]], lo + rows[near], scores[near])
+
+    def _tested(self, lo: int, hi: int, asking: np.ndarray, limit: np.ndarray) -> np.ndarray:
+        """Which (candidate, query) pass all tests. A block is looked at for whole columns while most pairs
+        are left, and pair by pair afterwards."""
         dim = self.cuts[-1]
-        left, partial = np.arange(lo, hi), np.zeros(hi - lo)
-        for block, start, end in zip(self.blocks, self.cuts, self.cuts[1:], strict=False):
-            if end == dim or not len(left):  # what is left is scored as a whole
-                break
-            gap = (block[lo:hi] if len(left) == hi - lo else block[left]) - turned[start:end]
-            self.scanned += gap.size
-            partial += np.einsum("ij,ij->i", gap, gap)
-            stay = partial * (dim / end) <= limit * (1.0 + CERTAINTY / math.sqrt(end)) ** 2 + 1e-12
-            if not stay.all():
-                left, partial = left[stay], partial[stay]
-        return left
-
-    def nearest(self, query: np.ndarray, lists: list[int], k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Places and scores of the k nearest in the lists, as far as the tests let them through."""
-        length = float(_lengths(query[None])[0])
-        turned = (query / length) @ self.turn[:-1]
-        best_at, best = np.zeros(0, int), np.zeros(0)
-        for lo, hi, longest in (run for which in lists for run in self.runs.get(which, ())):
-            left = np.arange(lo, hi)
-            if len(best) >= k:
-                left = self._left(turned, lo, hi, max(0.0, 2.0 - 2.0 * float(best[-1]) / longest / length))
-            if len(left):
-                at = np.concatenate((best_at, left))
-                scores = np.concatenate((best, self.vectors[left] @ query))
-                order = np.lexsort((self.names[at], -scores))[:k]
-                best_at, best = at[order], scores[order]
-        return best_at, best
+        partial, pairs = np.zeros((hi - lo, len(asking))), None
+        for block, squares, asked, end in zip(self.blocks, self.squares, self.asked, self.cuts[1:], strict=False):
+            most = limit * (1.0 + CERTAINTY / math.sqrt(end)) ** 2 * (end / dim) + 1e-12
+            if pairs is None:
+                mine = asked[asking]
+                partial += squares[lo:hi, None] + (mine * mine).sum(1) - 2.0 * block[lo:hi] @ mine.T
+                self.scanned += partial.size * block.shape[1]
+                stay = partial <= most
+                if stay.mean() < 0.1:
+                    pairs = np.nonzero(stay)
+                    partial = partial[pairs]
+                else:
+                    partial[~stay] = np.inf  # abandoned for good
+            else:
+                gap = block[lo + pairs[0]] - asked[asking[pairs[1]]]
+                self.scanned += gap.size
+                partial = partial + np.einsum("ij,ij->i", gap, gap)
+                stay = partial <= most[pairs[1]]
+                pairs, partial = (pairs[0][stay], pairs[1][stay]), partial[stay]
+        if pairs is None:
+            return np.isfinite(partial)
+        out = np.zeros((hi - lo, len(asking)), bool)
+        out[pairs] = True
+        return out
+
+    def _keep(self, q: np.ndarray, at: np.ndarray, scores: np.ndarray) -> None:
+        """Take found candidates into the k best of their queries."""
+        k = self.best.shape[1]
+        some = np.unique(q)
+        q = np.concatenate((np.repeat(some, k), q))
+        at = np.concatenate((self.at[some].ravel(), at))
+        scores = np.concatenate((self.best[some].ravel(), scores))
+        order = np.lexsort((self.names[at], -scores, q))
+        q, at, scores = q[order], at[order], scores[order]
+        nth = np.arange(len(q)) - np.searchsorted(q, q)
+        top = nth < k
+        self.best[q[top], nth[top]], self.at[q[top], nth[top]] = scores[top], at[top]
 
 
 def _scanning(k: int):
@@ -279,16 +329,12 @@ def _scanning(k: int):
     def scan(table: pa.Table) -> pa.Table:
         asks = table.column("lists").is_valid()
         held, visits = table.filter(pa.compute.invert(asks)), table.filter(asks)
-        out: list[tuple] = []
-        if held.num_rows and visits.num_rows:
-            (_, vectors), (_, queries) = next(_by_dimension(held.column("vector"))), next(_by_dimension(visits.column("vector")))
-            names = held.column("id").to_numpy()
-            tile = Tile(vectors, held.column("list").to_numpy(), names)
-            for q, query, lists in zip(visits.column("id").to_pylist(), queries, visits.column("lists").to_pylist(), strict=True):
-                at, scores = tile.nearest(query, lists, k)
-                out += zip([q] * len(at), scores.tolist(), tile.names[at].tolist(), strict=True)
-        columns = list(zip(*out, strict=True)) or [[]] * 3
-        return pa.table([pa.array(c, f.type) for c, f in zip(columns, kind, strict=True)], schema=kind)
+        if not held.num_rows or not visits.num_rows:
+            return kind.empty_table()
+        (_, vectors), (_, queries) = next(_by_dimension(held.column("vector"))), next(_by_dimension(visits.column("vector")))
+        tile = Tile(vectors, held.column("list").to_numpy(), held.column("id").to_numpy())
+        q, at, scores = tile.search(queries, visits.column("lists").to_pylist(), k)
+        return pa.table([pa.array(visits.column("id").to_numpy()[q]), pa.array(scores), pa.array(tile.names[at])], schema=kind)
 
     return scan
 

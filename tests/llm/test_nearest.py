@@ -65,8 +65,7 @@ def test_fewer_candidates_than_wanted(spark):
     assert other.count() == 4  # two vectors of one vec_id ask, and find the others
 
 
-@pytest.mark.parametrize("kind", ["isotropic", "clustered", "lengths"])
-@pytest.mark.parametrize("branch", [256, 4])
+@pytest.mark.parametrize(("kind", "branch"), [("isotropic", 256), ("clustered", 4), ("lengths", 256)])
 def test_recall_and_abandoning(spark, kind, branch, monkeypatch):
     monkeypatch.setattr(nearest, "TILE", 150)
     monkeypatch.setattr(nearest, "BUCKET", 700)
@@ -93,11 +92,12 @@ def test_candidates_are_abandoned_early():
     vectors = np.concatenate([centre + 0.2 * rng.standard_normal((50, 64)), rng.standard_normal((2000, 64))])
     lists = np.repeat([1, 2], [50, 2000])
     tile = nearest.Tile(vectors, lists, np.arange(len(vectors)))
-    at, scores = tile.nearest(centre, [1, 2], 20)
-    assert tile.scanned < 0.7 * vectors.shape[0] * 65
+    q, at, scores = tile.search(np.stack([centre, 1e-200 * centre, 1e6 * centre]), [[1, 2], [1, 2], [2, 1]], 20)
+    assert tile.scanned < 0.7 * 3 * vectors.shape[0] * 65
     want = np.argsort(-(vectors @ centre), kind="stable")[:20]
-    assert tile.names[at].tolist() == want.tolist()
-    np.testing.assert_allclose(scores, (vectors @ centre)[want], rtol=1e-12)
+    for nth, scale in enumerate((1.0, 1e-200, 1e6)):
+        assert tile.names[at[q == nth]].tolist() == want.tolist()
+        np.testing.assert_allclose(scores[q == nth], scale * (vectors @ centre)[want], rtol=1e-12)
 
 
 def test_the_sample_does_not_grow(spark, monkeypatch):
