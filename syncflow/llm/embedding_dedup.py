@@ -211,11 +211,19 @@ def entries_of(vectors: DataFrame) -> DataFrame:
 
 
 def fit(entries: DataFrame, sample: int = SAMPLE) -> Index | None:
-    """An index fitted on at most ``sample`` entries, taken by hash."""
+    """An index fitted on at most ``sample`` entries, taken by hash.
+
+    The hash is cut at a threshold before anything is ordered, so of a table of any size, in any number of
+    partitions, about ``sample`` vectors are sent to the driver.
+    """
     count = entries.count()
     if not count:
         return None
-    rows = entries.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("vector").collect()
+    hashed, wide = F.pmod(F.xxhash64("vec_id"), F.lit(2**40)), 2**40
+    # A tenth more, and some for small samples, so that hardly ever fewer than wanted are left.
+    below = int(min(1.0, (1.1 * sample + 100) / count) * wide)
+    chosen = entries.where(hashed < below) if below < wide else entries
+    rows = chosen.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("vector").collect()
     vectors = [np.asarray(r["vector"], np.float64) for r in rows]
     sizes = [len(v) for v in vectors]
     dim = max(set(sizes), key=lambda n: (sizes.count(n), n))

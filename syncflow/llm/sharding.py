@@ -2,13 +2,14 @@
 
 Records are ordered by a key, the hash of their text, so that equal texts are neighbours. A
 size-weighted sample of keys gives quantile boundaries, the records are range-partitioned by them,
-and a range that a hot key overfills is subdivided by document. Bytes are then summed per range,
-exactly, and a record's place in that running sum gives its shard: a text whose copies are small
-against a shard goes whole to the shard in which their middle lies, larger groups are cut where the
-shard is full. So shards differ by at most about one group of ``WHOLE_GROUP`` of a shard.
+and an overfull range is subdivided: by key, and by document for a key that overfills it alone. Bytes are
+then summed per part, exactly, and a record's place in that running sum gives its shard: a text whose
+copies are at most ``WHOLE_GROUP`` of a shard goes whole to the shard in which their middle lies, larger
+groups are cut where the shard is full. So shards differ by at most about one such group.
 
-The law that holds is ``bytes``. DataFrame functions only. There are at most ``MAX_RANGES`` ranges;
-where that many are too few, each is subdivided, as those of hot keys are.
+The law that holds is ``bytes``. DataFrame functions only. There are at most ``MAX_RANGES`` ranges, and as
+many hot keys and subdivisions; what is broadcast is a row for each of them, 200,000 rows of some 50 bytes at
+most. Tables too large for that many ranges have larger ranges.
 
 Results for odd input: a NULL text counts as empty (size 1) and a NULL document number sorts first;
 repeated rows take a slot each; an empty table gives an empty result.
@@ -80,36 +81,46 @@ def shard(
     total, count = records.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
     ranged = _ranged(records, splitters(records, min(count // rows_per_range + 1, MAX_RANGES)))
 
-    # Ranges above twice their rows are dealt out to several tasks, by document.
+    # A range above twice its rows is dealt out to several tasks by key, so that equal texts stay together;
+    # a key that fills a range alone has tasks of its own, by document. Either kind has MAX_RANGES at most.
+    wide = max(rows_per_range, -(-count // MAX_RANGES))
+    hot = ranged.groupBy("part", "key").agg(F.count("*").alias("key_rows"), F.sum("size").alias("key_bytes"))
+    hot = written(hot.where(F.col("key_rows") > wide).withColumn("hot", F.col("key")), "hot")
     fill = ranged.groupBy("part").agg(F.count("*").alias("n"))
-    deal = fill.select("part", F.ceil(F.col("n") / F.lit(2.0 * rows_per_range)).alias("ways"))
-    dealt = ranged.join(F.broadcast(deal), "part").withColumn(
-        "sub", F.pmod(F.xxhash64("doc_id"), F.col("ways"))
+    deal = fill.select("part", F.ceil(F.col("n") / F.lit(2.0 * wide)).alias("ways"))
+    document = F.coalesce("doc_id", F.monotonically_increasing_id())  # where there is none, any will do
+    dealt = ranged.join(F.broadcast(deal), "part").join(F.broadcast(hot), ["part", "key"], "left").withColumn(
+        "sub", F.pmod(F.xxhash64(F.when(F.col("hot").isNull(), F.col("key")).otherwise(document)), F.col("ways"))
     )
     dealt = written(dealt, "ranges")
 
-    sums = dealt.groupBy("part", "sub").agg(F.sum("size").alias("bytes"), F.count("*").alias("n"))
-    so_far = Window.orderBy("part", "sub").rowsBetween(Window.unboundedPreceding, -1)
-    first = sums.select(  # one row for each range
-        "part", "sub", F.coalesce(F.sum("bytes").over(so_far), F.lit(0)).alias("bytes_before"),
+    by = ["part", "hot", "sub"]
+    sums = dealt.groupBy(*by).agg(F.sum("size").alias("bytes"), F.count("*").alias("n"))
+    so_far = Window.orderBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+    first = sums.select(  # one row for each task: three for each range at most
+        *by, F.coalesce(F.sum("bytes").over(so_far), F.lit(0)).alias("bytes_before"),
         F.coalesce(F.sum("n").over(so_far), F.lit(0)).alias("rows_before"),
-    )
-    inner = Window.partitionBy("part", "sub")
+    ).withColumn("hot_before", F.min("bytes_before").over(Window.partitionBy("part", "hot")))
+    first = first.toDF("in_part", "in_hot", "in_sub", "bytes_before", "rows_before", "hot_before")
+    here = (F.col("part") == F.col("in_part")) & F.col("hot").eqNullSafe(F.col("in_hot")) & (F.col("sub") == F.col("in_sub"))
+    inner = Window.partitionBy(*by)
     order = inner.orderBy("key", "doc_id", "text_crc32", "size")
     upto = order.rowsBetween(Window.unboundedPreceding, -1)
-    group = Window.partitionBy("part", "sub", "key")
+    group = Window.partitionBy(*by, "key")
     share = total / shards
     placed = (
         dealt.withColumn("before", F.coalesce(F.sum("size").over(upto), F.lit(0)))
         .withColumn("nth", F.row_number().over(order) - 1)
         .withColumn("group_start", F.min("before").over(group))
         .withColumn("group_bytes", F.sum("size").over(group))
-        .join(F.broadcast(first), ["part", "sub"])
+        .join(F.broadcast(first), here)
+    )
+    is_hot = F.col("hot").isNotNull()
+    group_bytes = F.when(is_hot, F.col("key_bytes")).otherwise(F.col("group_bytes"))
+    group_start = F.when(is_hot, F.col("hot_before")).otherwise(F.col("bytes_before") + F.col("group_start"))
+    middle = F.when(group_bytes <= F.lit(share * whole_group), group_start + group_bytes / 2).otherwise(
+        F.col("bytes_before") + F.col("before") + F.col("size") / 2
     )
-    whole = (F.col("group_bytes") <= F.lit(share * whole_group)) & (F.col("ways") == 1)
-    middle = F.col("bytes_before") + F.when(
-        whole, F.col("group_start") + F.col("group_bytes") / 2
-    ).otherwise(F.col("before") + F.col("size") / 2)
     numbered = placed.select(
         "doc_id", "size", "text_crc32",
         F.least(F.floor(middle * F.lit(shards) / F.lit(total)), F.lit(shards - 1)).cast("int").alias("shard"),

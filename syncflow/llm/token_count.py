@@ -20,13 +20,14 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from unicodedata import normalize
+from tokenizers import Tokenizer
 
 from .common import pick
 
 LIMIT = 2048
 REMEMBERED = 400_000  # words a worker remembers; afterwards it starts anew
 
+_KNOWN_PLANES = "\U0002FFFF"
 _SPACES = regex.compile(r"\p{White_Space}+")
 # The word pattern of the vocabulary file, white space spelt as the Unicode property it stands for.
 _WORDS = regex.compile(
@@ -84,16 +85,24 @@ class WordCounter:
         self.special = [token["content"] for token in spec["added_tokens"]]
         self.split = regex.compile("|".join(map(regex.escape, self.special)) or r"(?!)")
         self.known: dict[str, int] = {}
+        self.library = Tokenizer.from_file(path)
+        self.normalise = self.library.normalizer.normalize_str
 
     def of_word(self, word: str) -> int:
-        symbols = [self.signs[b] for b in word.encode()]
+        return self.of_symbols([self.signs[b] for b in word.encode()])
+
+    def of_symbols(self, symbols: list[str]) -> int:
         symbols[-1] += self.end
         return len(symbols) - merges_of(self.ranks, symbols)
 
     def _of_plain(self, text: str) -> int:
-        text = text if text.isascii() else normalize("NFC", text)
-        # Lower case goes letter by letter: a sigma does not depend on its place.
-        words = _WORDS.findall(_SPACES.sub(" ", text).replace("Σ", "σ").lower())
+        # Beyond ASCII, the library's own tables say what is composed, a space or a lower-case letter.
+        plain = _SPACES.sub(" ", text).lower() if text.isascii() else self.normalise(text)
+        if not text.isascii() and max(plain, default="") > _KNOWN_PLANES:
+            # Beyond, the tables of ``regex`` take some unassigned numbers for letters.
+            pieces = [piece for piece, _ in self.library.pre_tokenizer.pre_tokenize_str(plain)]
+            return sum(self.of_symbols(list(piece)) for piece in pieces)
+        words = _WORDS.findall(plain)
         known, total = self.known, 0
         for word in words:
             n = known.get(word)

@@ -10,6 +10,7 @@ from itertools import combinations
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from syncflow.llm import (
@@ -251,6 +252,32 @@ def test_small_groups_are_not_cut(spark):
     assert all(len(h) == 1 for h in homes.values())
 
 
+def test_groups_are_cut_only_where_they_are_large(spark):
+    """Short copies between long texts, in ranges that are overfull; a whole group, and one that is too large."""
+    docs = [(i, f"short {i % 2000}") for i in range(6000)]  # 2,000 groups of three rows and some bytes
+    docs += [(10_000 + i, prose(i, 400)) for i in range(300)]
+    docs += [(20_000 + i, "copy " * 3) for i in range(150)]  # more rows than a range, but few bytes
+    docs += [(30_000 + i, "the large group " * 20) for i in range(400)] + [(None, "none") for _ in range(120)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = sharding.shard(df, rows_per_range=50).collect()
+    texts = dict(docs)
+    sizes, shards, slots = Counter(), defaultdict(set), defaultdict(list)
+    for r in rows:
+        text = texts[r["doc_id"]]
+        sizes[text] += r["size"]
+        shards[text].add(r["shard"])
+        slots[r["shard"]].append(r["slot"])
+    share = sum(sizes.values()) / 8
+    cut = {t for t, held in shards.items() if len(held) > 1}
+    assert not any(sizes[t] <= 0.01 * share for t in cut)
+    assert all(sorted(held) == list(range(len(held))) for held in slots.values())
+    assert Counter(r["doc_id"] for r in rows) == Counter(i for i, _ in docs)
+    held = Counter()
+    for r in rows:
+        held[r["shard"]] += r["size"]
+    assert max(held.values()) - min(held.values()) <= 0.02 * share + 2 * max(r["size"] for r in rows)
+
+
 # 6
 
 
@@ -344,6 +371,30 @@ def test_embedding_pairs_near_the_limit_are_found(spark, monkeypatch):
     assert sum(part[i] == part[i + len(base)] for i in range(len(base))) >= 0.95 * len(base)
 
 
+def test_embedding_sample_is_bounded(spark):
+    """However many partitions there are, little more than the sample goes to the driver."""
+    rng = np.random.default_rng(1)
+    rows = [(i, rng.normal(size=64).tolist(), 0) for i in range(4000)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(40)
+    entries = embedding_dedup.entries_of(df.select("vec_id", F.col("label").cast("string"), F.col("embedding").alias("vector")))
+    counted = []
+    collect = type(entries).collect
+    plan = {}
+
+    def told(self):
+        plan["text"] = self._jdf.queryExecution().optimizedPlan().toString()
+        counted.append(collect(self))
+        return counted[-1]
+
+    type(entries).collect = told
+    try:
+        index = embedding_dedup.fit(entries, sample=200)
+    finally:
+        type(entries).collect = collect
+    assert index is not None and 150 <= len(counted[-1]) <= 200
+    assert "pmod(xxhash64(vec_id" in plan["text"]  # the threshold, below the order
+
+
 # 8
 
 
@@ -444,6 +495,19 @@ def test_token_counts_equal_library(spark):
     assert Counter(tuple(r) for r in got.collect()) == want
 
 
+def test_every_code_point_counts_as_in_the_library():
+    library, counter = Tokenizer.from_file(WORD), token_count.WordCounter(WORD)
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = [" ".join(f"ab{chr(c)}Cd {chr(c)}9{chr(c)}" for c in points[i : i + 16]) for i in range(0, len(points), 16)]
+    wrong = []
+    for lo in range(0, len(texts), 5000):
+        part = texts[lo : lo + 5000]
+        for text, found in zip(part, library.encode_batch(part, add_special_tokens=False), strict=True):
+            if counter.of_text(text) != len(found.ids):
+                wrong.append(text)
+    assert wrong == []
+
+
 def test_merging_takes_the_lowest_rank_first():
     ranks = {("a", "b"): 1, ("b", "c"): 0, ("a", "bc"): 2, ("a", "a"): 3}
     assert token_count.merges_of(ranks, list("abc")) == 2
