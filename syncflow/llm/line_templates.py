@@ -1,101 +1,169 @@
 """Line dedup by a log-template tree of fixed depth.
 
-A line's path in the tree is its number of tokens and its leading ``DEPTH`` tokens, tokens that hold
-a digit standing as ``<*>`` (unless most tokens do: a row of numbers stands for itself). Within a leaf, a position is constant if one token holds it in more than
-half of the leaf's documents; lines of which ``SIMILAR`` of the positions are constant share the
-leaf's template, all others are templates of their own. Templates found in ``MIN_DOCUMENTS``
-documents or more recur: their lines are dropped, but for those of the first document (by doc_id), so
-that every text survives once.
-
-DataFrame functions only. Lines are reduced to distinct ones with counts before leaves are looked at,
-so a line that a third of all documents hold is one row there, and each token is handled by (leaf,
-position, token).
+Tokens that hold a digit stand as ``<*>`` (unless most tokens do: a row of numbers stands for itself). A
+line's path in the tree is its number of tokens and then, for each of its ``DEPTH`` leading tokens, the branch
+of that token, if ``MIN_DOCUMENTS`` documents take it, or else the wildcard branch. At most ``WILDCARDS``
+of the leading tokens may be wildcards, and ``1 - SIMILAR`` of all; lines that have more are templates of
+their own.
+
+A leaf has any number of templates. At each position, a token that ``MIN_DOCUMENTS`` documents of the leaf hold
+there is constant, others are variables; a line with ``SIMILAR`` of its positions constant gives a template,
+and templates found in ``MIN_DOCUMENTS`` documents recur. A line whose own template does not recur goes
+to the most similar one that does: its rarest constants are taken for variables, one after the other, until
+a recurring template comes out. Lines of recurring templates are dropped, but for those of the first document
+(by doc_id), so that every text survives once.
+
+DataFrame functions only. Lines are reduced to distinct ones with counts before the tree is built, so a
+line that a third of all documents hold is one row there; each level of the tree is one aggregation by
+(node, token) ahead of the shuffle. What a line's occurrences are joined with is sent to ``SPREAD`` places.
 
 Results for odd input: a NULL text stays NULL with no lines; lines without tokens are kept and not
-counted; a NULL doc_id comes last; repeated rows count as one document and are treated alike; an empty
-table gives an empty result.
+counted; a NULL doc_id comes last; repeated rows count as one document and are treated alike; of several texts
+under one doc_id each counts, and all keep what their doc_id was first to have; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import pick, plain, row_key, written
 
 DEPTH = 5
+WILDCARDS = 2  # among the leading tokens
 SIMILAR = 0.7
 MIN_DOCUMENTS = 5
 VARIABLE = "<*>"
+SPREAD = 32
 
 
-def _lines(rows: DataFrame, depth: int) -> DataFrame:
-    """key, doc_id, pos, n, line, leaf, template (the masked line's own) of lines with tokens."""
-    spaced = F.regexp_replace("text", "[ \\t\\x0B\\f\\r]+", " ")
-    masked = F.regexp_replace(spaced, "(?<![^ \\n])[^ \\n0-9]*+[0-9][^ \\n]*+", VARIABLE)
-    both = F.arrays_zip(F.split(spaced, "\n").alias("own"), F.split(masked, "\n").alias("masked"))
-    lines = rows.select("key", "doc_id", F.posexplode(both).alias("pos", "both"))
-    variables = F.length("both.masked") - F.length(F.replace("both.masked", F.lit(VARIABLE), F.lit("")))
-    mostly = 2 * variables > len(VARIABLE) * F.size(F.split(F.trim("both.masked"), " "))
-    tokens = F.split(F.col("line"), " ")
-    return (
-        lines.withColumn("line", F.trim(F.when(mostly, F.col("both.own")).otherwise(F.col("both.masked"))))
-        .where("line <> ''").drop("both").withColumn("n", F.size(tokens))
-        .withColumn("leaf", F.xxhash64("n", F.array_join(F.slice(tokens, 1, depth), " ")))
-        .withColumn("own", F.xxhash64("line"))
-    )
+def _lines(rows: DataFrame) -> DataFrame:
+    """key, doc_id, pos, n, line (masked), its hash ``own``, and hashes t1, t2, ... of its leading tokens."""
+    spaced = F.translate("text", "\t\x0b\f\r", "    ")
+    lines = rows.select("key", "doc_id", F.posexplode(F.split(spaced, "\n")).alias("pos", "raw"))
+    # Most lines have no double spaces and no digits, and need no regular expression.
+    squeezed = F.when(F.contains("raw", F.lit("  ")), F.regexp_replace("raw", " {2,}", " ")).otherwise(F.col("raw"))
+    lines = lines.withColumn("plain", F.trim(squeezed)).where("plain <> ''").drop("raw")
+    has_digit = F.length(F.translate("plain", "0123456789", "")) < F.length("plain")
+    masked = F.when(has_digit, F.regexp_replace("plain", "(?<![^ ])[^ 0-9]*+[0-9][^ ]*+", VARIABLE))
+    lines = lines.withColumn("masked", masked).withColumn("n", 1 + F.length("plain") - F.length(F.translate("plain", " ", "")))
+    variables = F.length("masked") - F.length(F.replace("masked", F.lit(VARIABLE), F.lit("")))
+    is_mostly = 2 * variables > len(VARIABLE) * F.col("n")
+    line = F.when(F.col("masked").isNull() | is_mostly, F.col("plain")).otherwise(F.col("masked"))
+    heads = F.split("line", " ", DEPTH + 1)
+    lines = lines.withColumn("line", line).drop("plain", "masked").withColumn("heads", heads)
+    tokens = [F.when(F.col("n") >= d, F.xxhash64(F.try_element_at("heads", F.lit(d)))).alias(f"t{d}") for d in range(1, DEPTH + 1)]
+    return lines.select("key", "doc_id", "pos", "n", "line", F.xxhash64("line").alias("own"), *tokens)
+
+
+def _allowed(similar: float) -> Column:
+    """Variables that a line may have at most."""
+    return F.col("n") - _wanted(similar)
+
+
+def _wanted(similar: float) -> Column:
+    return F.ceil(F.round(F.col("n") * F.lit(similar), 6))
 
 
-def _members(lines: DataFrame, distinct: DataFrame, similar: float, min_documents: int) -> DataFrame:
-    """(own, leaf) of the distinct lines that share their leaf's template."""
-    leaves = distinct.groupBy("leaf").agg(F.sum("documents").alias("total"), F.count("*").alias("kinds"))
-    crowded = leaves.where((F.col("kinds") > 1) & (F.col("total") >= min_documents)).drop("kinds")
-    kinds = distinct.join(crowded, "leaf").select("own", "leaf", "documents", "total")
-    texts = lines.join(kinds.select("own"), "own", "left_semi").groupBy("own").agg(F.min("line").alias("line"))
-    tokens = kinds.join(texts, "own").select(
-        "own", "leaf", "documents", "total", F.posexplode(F.split("line", " ")).alias("pos", "token")
-    ).withColumn("token", F.xxhash64("token"))
-    constant = (
-        tokens.groupBy("leaf", "pos", "token", "total").agg(F.sum("documents").alias("held"))
-        .where("2 * held > total").select("leaf", "pos", "token", F.lit(1).alias("is_constant"))
+def _leaves(distinct: DataFrame, similar: float, min_documents: int) -> DataFrame:
+    """own, n, documents, rep and node (the leaf) of the lines that the tree has a leaf for."""
+    at = distinct.select(
+        "own", "n", "documents", "rep", F.xxhash64("n").alias("node"), F.lit(0).alias("wild"), *[f"t{d}" for d in range(1, DEPTH + 1)]
     )
-    return (
-        tokens.join(constant, ["leaf", "pos", "token"], "left").groupBy("own", "leaf")
-        .agg(F.sum(F.coalesce("is_constant", F.lit(0))).alias("constants"), F.count("*").alias("n"))
-        .where(F.col("constants") >= F.col("n") * F.lit(similar)).select("own", F.col("leaf").alias("shared"))
+    for d in range(1, DEPTH + 1):
+        by = ["node", f"t{d}"]
+        # A line too short for this level has no token, and NULLs join with nothing.
+        branches = at.where(F.col(f"t{d}").isNotNull()).groupBy(*by).agg(F.sum("documents").alias("held")).where(
+            F.col("held") >= min_documents
+        ).select(*by, F.lit(True).alias("is_branch"))
+        is_short = F.col(f"t{d}").isNull()
+        node = F.when(is_short, F.col("node")).when(F.col("is_branch"), F.xxhash64(*by)).otherwise(F.xxhash64("node", F.lit(VARIABLE)))
+        wild = F.col("wild") + F.when(is_short | F.col("is_branch"), 0).otherwise(1)
+        at = at.join(branches, by, "left").withColumn("node", node).withColumn("wild", wild).where(
+            F.col("wild") <= F.least(F.lit(WILDCARDS), _allowed(similar))
+        ).drop("is_branch", f"t{d}")
+        if d in (2, 4):
+            at = written(at, "tree")
+    return at.drop("wild")
+
+
+def _templates(lines: DataFrame, distinct: DataFrame, similar: float, min_documents: int) -> DataFrame:
+    """own, and its template's node, shape and constants, for lines that have part in a recurring template."""
+    leaves = written(_leaves(distinct, similar, min_documents), "leaves")
+    crowded = leaves.groupBy("node").agg(F.sum("documents").alias("total"), F.count("*").alias("kinds")).where(
+        (F.col("kinds") > 1) & (F.col("total") >= min_documents)
+    ).select("node")
+    held = leaves.join(crowded, "node")
+    # Each line's text from one document that has it: no line is fetched more than once.
+    rep = held.select("own", F.col("rep").alias("key"))
+    texts = lines.select("own", "key", "line").join(rep, ["own", "key"], "left_semi").dropDuplicates(["own"]).select("own", "line")
+    tokens = held.join(texts, "own").select(
+        "own", "node", "n", "documents", F.posexplode(F.split("line", " ")).alias("pos", "token")
+    ).select("own", "node", "n", "documents", "pos", F.xxhash64("token").alias("token"))
+    tokens = written(tokens, "tokens")
+    counts = tokens.groupBy("node", "pos", "token").agg(F.sum("documents").alias("held")).where(F.col("held") >= min_documents)
+    # A template's shape is a hash over its constants; taking one out is one step.
+    constants = written(
+        tokens.join(counts, ["node", "pos", "token"]).select(
+            "own", "node", "n", "documents", "pos", "held", F.xxhash64("pos", "token").alias("mark")
+        ), "constants",
     )
+    wanted = _wanted(similar)
+    by = ["node", "shape", "constants"]
+    own = constants.groupBy("own", "node", "n", "documents").agg(
+        F.bit_xor("mark").alias("shape"), F.count("*").alias("constants")
+    ).where(F.col("constants") >= wanted)
+    own = written(own, "shapes")
+    frequent = own.groupBy(*by).agg(F.sum("documents").alias("held")).where(F.col("held") >= min_documents).select(*by)
+    frequent = written(frequent, "templates")
+    alone = own.join(frequent, by, "left_anti")
+    rarest = Window.partitionBy("own").orderBy("held", "pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    wider = constants.select("own", "held", "pos", "mark").join(
+        alone.select("own", "node", "n", "shape", "constants"), "own"
+    ).select(
+        "own", "node", "n", F.col("shape").bitwiseXOR(F.bit_xor("mark").over(rarest)).alias("shape"),
+        (F.col("constants") - F.count("*").over(rarest)).alias("constants"),
+    ).where(F.col("constants") >= wanted)
+    most = wider.join(frequent, by).groupBy("own").agg(F.max(F.struct("constants", "node", "shape")).alias("best"))
+    return own.join(frequent, by).select("own", *by).unionByName(most.select("own", "best.node", "best.shape", "best.constants"))
 
 
 def recurring(
     lines: DataFrame, similar: float = SIMILAR, min_documents: int = MIN_DOCUMENTS
 ) -> DataFrame:
     """(own, first): the distinct lines whose template recurs, and the document that keeps it."""
+    heads = [f"t{d}" for d in range(1, DEPTH + 1)]
     distinct = written(
-        lines.select("own", "leaf", "key", "doc_id").distinct().groupBy("own", "leaf")
-        .agg(F.count("*").alias("documents"), F.min("doc_id").alias("first")), "line-kinds",
+        lines.select("own", "n", *heads, "key", "doc_id").distinct().groupBy("own", "n", *heads).agg(
+            F.count("*").alias("documents"), F.min("doc_id").alias("first"), F.min("key").alias("rep")
+        ), "line-kinds",
     )
-    members = _members(lines, distinct, similar, min_documents)
-    template = F.coalesce(F.col("shared"), F.col("own"))
-    kinds = distinct.join(members, "own", "left").select(
-        "own", "documents", "first", template.alias("template"), F.col("shared").isNotNull().alias("is_shared")
+    found = _templates(lines, distinct, similar, min_documents)
+    kinds = distinct.join(found, "own", "left").select(
+        "own", "documents", "first", F.coalesce("shape", F.col("own")).alias("shape"),
+        F.coalesce("node", F.lit(0)).alias("node"), F.coalesce("constants", F.lit(-1)).alias("constants"),
     )
-    templates = kinds.groupBy("template", "is_shared").agg(
+    by = ["shape", "node", "constants"]
+    templates = kinds.groupBy(*by).agg(
         F.sum("documents").alias("held"), F.min("first").alias("earliest")
     ).where(F.col("held") >= min_documents)
-    return kinds.join(templates, ["template", "is_shared"]).select("own", F.col("earliest").alias("first"))
+    return kinds.join(templates, by).select("own", F.col("earliest").alias("first"))
 
 
 def drop_recurring(
-    docs: DataFrame, depth: int = DEPTH, similar: float = SIMILAR, min_documents: int = MIN_DOCUMENTS
+    docs: DataFrame, similar: float = SIMILAR, min_documents: int = MIN_DOCUMENTS
 ) -> DataFrame:
     """doc_id, key, text without the dropped lines, n_lines, n_dropped; one row for each of ``docs``."""
     rows = pick(docs, "doc_id", "text").select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
     ).withColumn("key", row_key("doc_id", "text"))
-    lines = written(_lines(rows, depth), "lines")
+    lines = written(_lines(rows), "lines")
     repeats = written(recurring(lines, similar, min_documents), "recurring-lines")
+    place = F.pmod("key", F.lit(SPREAD)).cast("int").alias("place")
+    everywhere = repeats.withColumn("place", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
     dropped = (
-        lines.select("own", "key", "doc_id", "pos").join(repeats, "own")
+        lines.select("own", "key", "doc_id", "pos", place).join(everywhere, ["own", "place"])
         .where(~F.col("doc_id").eqNullSafe(F.col("first")))
         .groupBy("key").agg(F.collect_set("pos").alias("dropped"))  # of one document
     )

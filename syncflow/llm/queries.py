@@ -201,6 +201,10 @@ FROM d LEFT JOIN (SELECT d_source, d_lang, d_topic, (weight / tokens) / max(weig
   USING (d_source, d_lang, d_topic)"""
 
 
+_LEVEL_SQL = """l{d} AS (SELECT own, documents, ts, n, CASE WHEN n < {d} THEN node WHEN held >= 5 THEN node || chr(10) || ts[{d}] ELSE node || chr(10) END AS node,
+    wild + CASE WHEN n < {d} OR held >= 5 THEN 0 ELSE 1 END AS wild
+  FROM (SELECT *, sum(documents) OVER (PARTITION BY node, ts[{d}]) AS held FROM l{before})
+  WHERE wild + CASE WHEN n < {d} OR held >= 5 THEN 0 ELSE 1 END <= least(2, n - ceil(n * 0.7))),"""
 _TEMPLATE_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
 p AS (SELECT r, doc_id, text, generate_subscripts(ls, 1) AS pos, unnest(ls) AS line
@@ -210,17 +214,28 @@ m AS (SELECT *, list_transform(ws, lambda t: CASE WHEN regexp_matches(t, '[0-9]'
         array_to_string(ms, ' ') AS mline FROM w),
 l AS (SELECT *, CASE WHEN 2 * (length(mline) - length(replace(mline, '<*>', ''))) > 3 * len(ws) THEN ws ELSE ms END AS ts
       FROM m),
-k AS (SELECT r, doc_id, text, pos, ts, len(ts) AS n, array_to_string(ts, ' ') AS own,
-        len(ts) || ' ' || array_to_string(ts[1:5], ' ') AS leaf FROM l WHERE len(ts) > 0),
-kinds AS (SELECT own, leaf, count(DISTINCT (doc_id, text)) AS documents, min(doc_id) AS first, any_value(ts) AS ts
-          FROM k GROUP BY own, leaf),
-leaves AS (SELECT leaf, sum(documents) AS total FROM kinds GROUP BY leaf HAVING count(*) > 1 AND sum(documents) >= 5),
-tok AS (SELECT own, leaf, documents, total, generate_subscripts(ts, 1) AS pos, unnest(ts) AS token
-        FROM kinds JOIN leaves USING (leaf)),
-con AS (SELECT leaf, pos, token FROM tok GROUP BY leaf, pos, token, total HAVING 2 * sum(documents) > total),
-mem AS (SELECT own, tok.leaf FROM tok LEFT JOIN con ON tok.leaf = con.leaf AND tok.pos = con.pos AND tok.token = con.token
-        GROUP BY own, tok.leaf HAVING count(con.token) >= count(*) * 0.7),
-tpl AS (SELECT kinds.own, documents, first, mem.own IS NOT NULL AS is_shared, coalesce(mem.leaf, kinds.own) AS template
+k AS (SELECT r, doc_id, text, pos, ts, array_to_string(ts, ' ') AS own FROM l WHERE len(ts) > 0),
+kinds AS (SELECT own, count(DISTINCT (doc_id, text)) AS documents, min(doc_id) AS first, any_value(ts) AS ts, len(any_value(ts)) AS n
+          FROM k GROUP BY own),
+l0 AS (SELECT own, documents, ts, n, n::VARCHAR AS node, 0 AS wild FROM kinds),
+{levels}
+leaf AS (SELECT * FROM (SELECT *, sum(documents) OVER (PARTITION BY node) AS total, count(*) OVER (PARTITION BY node) AS kinds FROM l5)
+         WHERE kinds > 1 AND total >= 5),
+tok AS (SELECT own, documents, n, node, generate_subscripts(ts, 1) AS pos, unnest(ts) AS token FROM leaf),
+con AS (SELECT * FROM (SELECT *, sum(documents) OVER (PARTITION BY node, pos, token) AS held FROM tok) WHERE held >= 5),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY own ORDER BY held, pos) AS nth, count(*) OVER (PARTITION BY own) AS constants FROM con),
+shape AS (SELECT own, documents, node, n, constants, string_agg(pos || ' ' || token, ' ' ORDER BY pos) AS shape
+          FROM ranked WHERE constants >= ceil(n * 0.7) GROUP BY ALL),
+freq AS (SELECT node, shape FROM shape GROUP BY ALL HAVING sum(documents) >= 5),
+alone AS (SELECT own FROM shape LEFT JOIN freq USING (node, shape) WHERE freq.node IS NULL),
+drops AS (SELECT own, n, constants, unnest(range(1, constants - ceil(n * 0.7)::BIGINT + 1)) AS j
+          FROM (SELECT DISTINCT own, n, constants FROM ranked) JOIN alone USING (own)),
+wider AS (SELECT own, node, j, string_agg(pos || ' ' || token, ' ' ORDER BY pos) AS shape
+          FROM drops JOIN ranked USING (own) WHERE nth > j GROUP BY ALL),
+most AS (SELECT own, node, shape FROM (SELECT *, row_number() OVER (PARTITION BY own ORDER BY j) AS best FROM wider JOIN freq USING (node, shape))
+         WHERE best = 1),
+mem AS (SELECT own, node, shape FROM shape JOIN freq USING (node, shape) UNION ALL SELECT own, node, shape FROM most),
+tpl AS (SELECT kinds.own, documents, first, mem.own IS NOT NULL AS is_shared, coalesce(mem.node || '|' || mem.shape, kinds.own) AS template
         FROM kinds LEFT JOIN mem ON kinds.own = mem.own),
 rec AS (SELECT template, is_shared, min(first) AS first FROM tpl GROUP BY template, is_shared HAVING sum(documents) >= 5),
 gone AS (SELECT r, pos FROM k JOIN tpl USING (own) JOIN rec USING (template, is_shared)
@@ -231,7 +246,7 @@ FROM d LEFT JOIN (
   SELECT l.r, string_agg(line, chr(10) ORDER BY l.pos) FILTER (WHERE gone.r IS NULL) AS text,
          count(*) FILTER (WHERE len(ts) > 0) AS n_lines, count(gone.r) AS n_dropped
   FROM l LEFT JOIN gone ON l.r = gone.r AND l.pos = gone.pos GROUP BY l.r) x USING (r)
-"""
+""".replace("{levels}", "\n".join(_LEVEL_SQL.format(d=d, before=d - 1) for d in range(1, 6)))
 
 _QUALITY_SQL = r"""
 WITH d AS (

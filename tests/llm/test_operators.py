@@ -417,6 +417,27 @@ def test_templates_drop_recurring_lines(spark):
 WORD_LIST = ["sample", "gift", "bonus", "voucher", "brochure", "ticket"]
 
 
+def test_templates_that_share_a_leaf_and_early_variables(spark):
+    names = "anna bertha carla dora emma frieda gerda hanna ilse jana".split()
+    docs = []
+    for i, name in enumerate(names):
+        docs.append((i, f"we would like to thank {name} for the very kind gift\n{prose(i, 15)}"))
+        docs.append((100 + i, f"we would like to thank {name} of our big local team\n{prose(50 + i, 15)}"))
+        docs.append((200 + i, f"posted by {name} {names[-i]} on the public notice board today\n{prose(90 + i, 15)}"))
+    got = {r["doc_id"]: r["n_dropped"] for r in line_templates.drop_recurring(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    for first in (0, 100, 200):
+        assert got[first] == 0 and all(got[first + i] == 1 for i in range(1, 10))
+
+
+def test_line_goes_to_the_most_similar_recurring_template(spark):
+    """One name is frequent in the leaf, in two templates of which neither recurs by itself with it."""
+    a, b = "the winner of the week is {} who takes home a big prize", "the winner of the week is {} and everybody else may go home"
+    docs = [(i, a.format(f"name{chr(97 + i)}")) for i in range(6)] + [(20 + i, b.format(f"other{chr(97 + i)}")) for i in range(6)]
+    docs += [(40 + i, a.format("anna") + "\n" + prose(i, 9)) for i in range(3)] + [(60 + i, b.format("anna") + "\n" + prose(9 + i, 9)) for i in range(3)]
+    got = {r["doc_id"]: r["n_dropped"] for r in line_templates.drop_recurring(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {i: int(i not in (0, 20)) for i, _ in docs}
+
+
 def test_line_dedup_of_odd_rows(spark):
     kept = line_templates.keep_new_lines(odd_docs(spark), min_documents=2)
     assert kept.columns == odd_docs(spark).columns
