@@ -2,8 +2,9 @@
 
 The tokens of the documents are summed by cell: source, language and topic. Each round scales the
 cells so that the marginals of one dimension after the other meet their targets. After ``ROUNDS`` rounds
-it goes on until no marginal is off by more than ``TOLERANCE`` of all tokens, or ``MOST_ROUNDS`` are done:
-targets that no weights can meet never get there. A cell's fitted share
+it goes on until no marginal is off by more than ``TOLERANCE`` of all tokens, or rounds no longer bring them
+nearer: targets that no weights can meet never get there, and a warning says by how much they are missed.
+A cell's fitted share
 over its own share, relative to the largest such ratio, is the probability with which its documents
 are sampled, so the sample has the target mixture and no document is needed twice. Draws depend on
 ``doc_id`` and the seed alone.
@@ -21,6 +22,7 @@ and is never sampled; repeated rows are sampled alike; an empty table gives an e
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping
 from functools import reduce
 
@@ -32,6 +34,7 @@ from .common import pick, plain, written
 ROUNDS = 6  # at least
 MOST_ROUNDS = 200
 TOLERANCE = 1e-4
+PATIENCE = 40  # rounds in which the error has to fall; it may stay for some while weights wander far
 SEED = 17
 DIMENSIONS = ("source", "lang", "topic")
 TARGETS: dict[str, Mapping[str, float] | float] = {
@@ -59,10 +62,12 @@ def topic_of(text: str) -> Column:
 def weighed(docs: DataFrame, at: Mapping[str, str]) -> DataFrame:
     """``docs`` with the cell of each document in d_source, d_lang, d_topic, and its tokens.
 
-    ``at`` names the columns that hold source, lang and text.
+    ``at`` names the columns that hold source, lang and text, and topic; without one, plain signs in the text
+    stand for it.
     """
-    cells = {f"d_{c}": F.coalesce(F.col(at[c]).cast("string"), F.lit(_NULL)) for c in ("source", "lang")}
-    return docs.withColumns(cells | {"d_topic": topic_of(at["text"]), "tokens": token_count(at["text"])})
+    given = [c for c in DIMENSIONS if c in at]
+    cells = {f"d_{c}": F.coalesce(F.col(at[c]).cast("string"), F.lit(_NULL)) for c in given}
+    return docs.withColumns({"d_topic": topic_of(at["text"])} | cells | {"tokens": token_count(at["text"])})
 
 
 def _target(cells: DataFrame, dim: str, wanted: Mapping[str, float] | float) -> DataFrame:
@@ -94,13 +99,15 @@ def _largest_error(fitted: DataFrame, wanted: Mapping[str, DataFrame]) -> float:
 
 def rake(
     cells: DataFrame, targets: Mapping[str, Mapping[str, float] | float], rounds: int = ROUNDS,
-    most: int = MOST_ROUNDS, tolerance: float = TOLERANCE,
+    most: int = MOST_ROUNDS, tolerance: float = TOLERANCE, patience: int = PATIENCE,
 ) -> DataFrame:
     """``cells`` (one column per dimension, ``tokens`` above 0) with the fitted ``weight``."""
     dims = list(targets)
     total = cells.agg(F.sum("tokens")).first()[0] or 1
     fitted = written(cells.withColumn("weight", F.col("tokens") / F.lit(float(total))), "cells")
     wanted = {d: written(_target(fitted, d, targets[d]), f"target-{d}") for d in dims}
+    error = least = float("inf")
+    fell = 0
     for done in range(1, max(rounds, most) + 1):
         for d in dims:
             now = fitted.groupBy(d).agg(F.sum("weight").alias("now"))
@@ -111,8 +118,14 @@ def rake(
                 *dims, "tokens", (F.col("weight") * F.col("scale")).alias("weight")
             )
         fitted = written(fitted, "cells")
-        if done >= rounds and _largest_error(fitted, wanted) <= tolerance:
-            break
+        if done >= rounds:
+            error = _largest_error(fitted, wanted)
+            if error < 0.999 * least:
+                least, fell = error, done
+            if error <= tolerance or done - fell >= patience:
+                break
+    if error > tolerance:
+        warnings.warn(f"raking is off by {error:.2g} of all tokens after {done} rounds", stacklevel=2)
     return fitted
 
 
@@ -136,10 +149,16 @@ def draw(doc_id: str, seed: int = SEED) -> Column:
 
 def sample(
     docs: DataFrame, targets: Mapping[str, Mapping[str, float] | float] = TARGETS, rounds: int = ROUNDS,
-    seed: int = SEED,
+    seed: int = SEED, topic: str | None = None,
 ) -> DataFrame:
-    """doc_id, source, lang, topic, tokens, chance and ``sampled`` for every document."""
+    """doc_id, source, lang, topic, tokens, chance and ``sampled`` for every document.
+
+    ``topic`` names the column that holds it, if there is one.
+    """
     names = ("doc_id", "text", "source", "lang")
+    if topic:
+        docs = docs.withColumnRenamed(topic, "topic")
+        names = (*names, "topic")
     held = written(weighed(pick(docs, *names), dict(zip(names, names, strict=True))).drop("text"), "weighed")
     joined = held.join(chances(held, targets, rounds), [f"d_{d}" for d in targets], "left")
     chance = F.coalesce("chance", F.lit(0.0))
@@ -149,9 +168,11 @@ def sample(
     )
 
 
-def keep_sample(docs: DataFrame, seed: int = SEED, **options) -> DataFrame:
-    """The sampled documents, with the columns they have."""
-    rows, at = plain(docs, "doc_id", "text", "source", "lang")
+def keep_sample(docs: DataFrame, seed: int = SEED, topic: str | None = None, **options) -> DataFrame:
+    """The sampled documents, with the columns they have; ``topic`` names the one that holds their topic."""
+    rows, at = plain(docs, "doc_id", "text", "source", "lang", *[topic] * bool(topic))
+    if topic:
+        at["topic"] = at[topic]
     cells = weighed(rows, at)
     fitted = chances(cells.select("d_source", "d_lang", "d_topic", "tokens"), **options)
     drawn = cells.join(fitted, ["d_source", "d_lang", "d_topic"]).where(

@@ -1,9 +1,10 @@
 """Quality rules: plain rules on each text, and how often its lines recur within its host.
 
 Lines are normalised (lower case, white space joined, digits as 0) and hashed. For every host and
-line the distinct texts that hold it are counted, so exact copies of one document count once. Lines
-held by more than ``max_documents`` texts of their host are removed, and a document that keeps less
-than ``min_kept`` of its words is depleted: rejected. ``judge`` counts and decides; ``keep_good`` gives
+line the distinct texts that hold it are counted, so exact copies of one document count once. Lines held
+by more than ``max_share`` of their host's texts, and by more than ``max_documents``, are removed: a share, so
+that a host of any size is judged alike, and a number, as a share of a few texts says nothing. A document
+that keeps less than ``min_kept`` of its words is depleted: rejected. ``judge`` counts and decides; ``keep_good`` gives
 the documents that pass, their text without those lines.
 
 Results for odd input: a NULL text counts as empty and fails the word rule; a NULL host is a host of
@@ -25,7 +26,8 @@ from .common import pick, plain, row_key, written
 
 MIN_WORDS = 50
 MAX_REPEATED = 50  # percent of the words
-MAX_DOCUMENTS = 100
+MAX_SHARE = 0.05  # of the texts of a host
+MAX_DOCUMENTS = 10  # that may hold a line, whatever the share
 MIN_KEPT = 0.3
 
 _SYMBOLS = b"#*$%&|<>"
@@ -90,25 +92,31 @@ def measure(docs: DataFrame, host: str = "source") -> DataFrame:
     return rows.withColumn("row_key", row_key("host", "text")).mapInArrow(_measure, _SCHEMA)
 
 
-def frequent_lines(measured: DataFrame, max_documents: int = MAX_DOCUMENTS) -> DataFrame:
-    """(host, line, documents) of the lines that more than so many texts of a host hold.
+def frequent_lines(
+    measured: DataFrame, max_documents: int = MAX_DOCUMENTS, max_share: float = MAX_SHARE
+) -> DataFrame:
+    """(host, line, documents) of the lines that more than so many texts of a host hold, and such a share.
 
     Texts are made distinct first, and by text: a line that every document holds is counted by
     many tasks.
     """
     lines = measured.select("host", "row_key", F.explode("lines.line").alias("line"))
     counts = lines.distinct().groupBy("host", "line").agg(F.count("*").alias("documents"))
-    return counts.where(F.col("documents") > max_documents)
+    texts = measured.select("host", "row_key").distinct().groupBy("host").agg(F.count("*").alias("texts"))
+    # Few lines are above the number, so few meet the row of their host.
+    return counts.where(F.col("documents") > max_documents).join(texts, "host").where(
+        F.col("documents") > F.col("texts") * F.lit(max_share)
+    ).drop("texts")
 
 
-def _judged(docs: DataFrame, host: str, max_documents: int, min_kept: float) -> DataFrame:
+def _judged(docs: DataFrame, host: str, max_documents: int, max_share: float, min_kept: float) -> DataFrame:
     """What ``judge`` gives, and ``cut``: the frequent lines of the document, or NULL."""
     held = written(measure(docs, host), "measured")
     lines = held.select("host", "row_key", F.explode("lines").alias("l")).select(
         "host", "row_key", "l.line", "l.words"
     ).distinct()
     lost = (
-        lines.join(frequent_lines(held, max_documents).drop("documents"), ["host", "line"])
+        lines.join(frequent_lines(held, max_documents, max_share).drop("documents"), ["host", "line"])
         .groupBy("row_key").agg(F.sum("words").alias("words_removed"), F.collect_list("line").alias("cut"))
     )
     removed = F.coalesce("words_removed", F.lit(0))
@@ -123,10 +131,11 @@ def _judged(docs: DataFrame, host: str, max_documents: int, min_kept: float) ->
 
 
 def judge(
-    docs: DataFrame, host: str = "source", max_documents: int = MAX_DOCUMENTS, min_kept: float = MIN_KEPT
+    docs: DataFrame, host: str = "source", max_documents: int = MAX_DOCUMENTS, max_share: float = MAX_SHARE,
+    min_kept: float = MIN_KEPT,
 ) -> DataFrame:
     """doc_id, row_key, the measures, ``words_removed``, ``base_failed`` and ``kept``."""
-    return _judged(docs, host, max_documents, min_kept).drop("cut")
+    return _judged(docs, host, max_documents, max_share, min_kept).drop("cut")
 
 
 def _without(text: str, cut: list[int]) -> str:
@@ -145,13 +154,14 @@ def _cut_text(text: str, cut: str) -> Column:
 
 
 def keep_good(
-    docs: DataFrame, host: str = "source", max_documents: int = MAX_DOCUMENTS, min_kept: float = MIN_KEPT
+    docs: DataFrame, host: str = "source", max_documents: int = MAX_DOCUMENTS, max_share: float = MAX_SHARE,
+    min_kept: float = MIN_KEPT,
 ) -> DataFrame:
     """The documents that pass, with all their columns, without the frequent lines of their host.
 
     ``n_chars``, where there is one, follows the text.
     """
-    verdicts = _judged(docs, host, max_documents, min_kept).groupBy("row_key").agg(
+    verdicts = _judged(docs, host, max_documents, max_share, min_kept).groupBy("row_key").agg(
         F.bool_and("kept").alias("kept"), F.any_value("cut").alias("cut")
     )
     rows, at = plain(docs, host, "text", *["n_chars"] * ("n_chars" in docs.columns))

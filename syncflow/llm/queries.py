@@ -262,7 +262,9 @@ ln AS (SELECT r, host, text, len(ws) AS n,
          row_number() OVER (PARTITION BY r, line ORDER BY pos) AS nth
        FROM lw WHERE len(ws) > 0),
 dup AS (SELECT r, count(*) FILTER (WHERE nth > 1) AS n_dup_lines FROM ln GROUP BY r),
-often AS (SELECT host, k FROM ln GROUP BY host, k HAVING count(DISTINCT text) > 100),
+sizes AS (SELECT host, count(DISTINCT text) AS texts FROM d GROUP BY host),
+often AS (SELECT host, k FROM (SELECT host, k, count(DISTINCT text) AS documents FROM ln GROUP BY host, k) JOIN sizes USING (host)
+          WHERE documents > 10 AND documents > texts * 0.05::DOUBLE),
 lost AS (SELECT r, sum(n) AS words_removed FROM ln JOIN often USING (host, k) GROUP BY r),
 t AS (SELECT r, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS tri
       FROM (SELECT r, ws, unnest(range(1, len(ws) - 1)) AS i FROM w WHERE len(ws) > 2)),
