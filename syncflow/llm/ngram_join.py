@@ -6,13 +6,14 @@ demands of any partner (size-derived bound) is dropped. The rows left are multip
 columns only: of n entries, n - ceil(t n) + 1 in order of rarity must hit a partner (the same bound, by
 prefix), so a passage that thousands of documents hold does not pair them. In every column the first
 document is multiplied with all others; then, with what is linked taken together, each pair of the
-column whose components still differ. Overlaps are accumulated over all shared n-grams of a pair and
-held against the bound. No pair above the threshold is lost, and pairs within a group of copies are
-not listed.
+column whose components still differ. The product is taken over ``COLUMN_BLOCKS`` blocks of columns, one
+after the other: each adds to the overlap counts of the pairs that are left, from the rows' entries in that
+block alone, and a pair goes as soon as its count and what either row has in later blocks fall short of
+the bound. No pair above the threshold is lost, and pairs within a group of copies are not listed.
 
 Results for odd input: a text without words has no set and links with nothing; fewer than ``n`` words
 are one n-gram; a row without doc_id is not linked (component_id NULL); rows that share a doc_id are
-expected to be the same document; an empty table gives an empty result.
+one node: what any of their texts links with belongs together; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,6 +28,9 @@ from pyspark.sql import functions as F
 from . import blocks
 from .common import components, mix, pick, plain, text_bytes, word_hashes, written
 
+COLUMN_BLOCKS = 4
+_SHARED = [f"shared{k}" for k in range(COLUMN_BLOCKS)]
+_EDGES = np.array([(k << 64) // COLUMN_BLOCKS for k in range(1, COLUMN_BLOCKS)], np.uint64)
 _SIGNED = "doc_id long, n_shingles long, s1 long, s2 long"
 
 
@@ -81,10 +85,16 @@ def _need(sizes, percent: int):
     return -(-sizes * percent // 100)
 
 
+def _by_columns(grams: np.ndarray) -> dict[str, bytes]:
+    """The entries of a row in each block of columns; columns are sorted, so blocks are slices."""
+    parts = np.split(grams, np.searchsorted(grams, _EDGES))
+    return {name: part.tobytes() for name, part in zip(_SHARED, parts, strict=True)}
+
+
 def _bounding(n: int, percent: int) -> Callable:
     schema = pa.schema([
         ("doc_id", pa.int64()), ("n", pa.int64()), ("rare", pa.list_(pa.int64())), ("place", pa.list_(pa.int64())),
-        ("shared", pa.binary()),
+        *((name, pa.binary()) for name in _SHARED),
     ])
 
     def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,7 +112,7 @@ def _bounding(n: int, percent: int) -> Callable:
                         place = np.flatnonzero(times[rare] > 1)
                         out.append({
                             "doc_id": doc_id, "n": len(grams), "rare": grams[rare[place]].view(np.int64),
-                            "place": place, "shared": shared.tobytes(),
+                            "place": place, **_by_columns(shared),
                         })
                 yield pa.RecordBatch.from_pylist(out, schema)
 
@@ -110,34 +120,43 @@ def _bounding(n: int, percent: int) -> Callable:
 
 
 def _multiplying(percent: int) -> Callable:
-    """Overlaps of the pairs of a batch; its rows are the rows of both factors."""
+    """The counts of a batch of pairs after one more block of columns, for pairs that may reach the bound."""
+    names = ("a", "b", "na", "nb", "overlap")
+    kind = pa.schema([(name, pa.int64()) for name in names])
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b, na, nb = (batch.column(c).to_pylist() for c in ("a", "b", "na", "nb"))
-            out: dict[str, list] = {"a": [], "b": []}
+            a, b, na, nb, overlap, ra, rb = (batch.column(c).to_pylist() for c in (*names, "ra", "rb"))
+            out: dict[str, list] = {name: [] for name in names}
             before, left = None, np.zeros(0, np.uint64)
             for i in range(batch.num_rows):
                 if a[i] != before:
                     before, left = a[i], np.frombuffer(batch.column("sa")[i].as_buffer(), np.uint64)
                 right = np.frombuffer(batch.column("sb")[i].as_buffer(), np.uint64)
-                at = np.minimum(np.searchsorted(left, right), len(left) - 1)
-                overlap = int((left[at] == right).sum())
-                if 100 * overlap >= percent * (na[i] + nb[i] - overlap):
-                    out["a"].append(a[i])
-                    out["b"].append(b[i])
-            yield pa.RecordBatch.from_pydict(out, pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+                count = overlap[i]
+                if len(left) and len(right):
+                    at = np.minimum(np.searchsorted(left, right), len(left) - 1)
+                    count += int((left[at] == right).sum())
+                most = count + min(ra[i], rb[i])
+                if 100 * most >= percent * (na[i] + nb[i] - most):
+                    for name, value in zip(names, (a[i], b[i], na[i], nb[i], count), strict=True):
+                        out[name].append(value)
+            yield pa.RecordBatch.from_pydict(out, kind)
 
     return multiply
 
 
 def _linked(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b, na, nb) that reach the threshold."""
-    sets = rows.select("doc_id", "shared")
-    right = pairs.join(sets.toDF("b", "sb"), "b")
-    return right.join(sets.toDF("a", "sa"), "a").select("a", "b", "na", "nb", "sa", "sb").mapInArrow(
-        _multiplying(percent), "a long, b long"
-    )
+    """The pairs (a, b, na, nb) that reach the threshold: their counts, block of columns by block."""
+    at = pairs.withColumn("overlap", F.lit(0).cast("long"))
+    for k, name in enumerate(_SHARED):
+        later = sum((F.octet_length(c) for c in _SHARED[k + 1 :]), F.lit(0))
+        entries = rows.select("doc_id", name, F.call_function("div", later, F.lit(8)).cast("long").alias("rest"))
+        met = at.join(entries.toDF("b", "sb", "rb"), "b").join(entries.toDF("a", "sa", "ra"), "a")
+        at = written(met.select("a", "b", "na", "nb", "overlap", "sa", "sb", "ra", "rb").mapInArrow(
+            _multiplying(percent), "a long, b long, na long, nb long, overlap long"
+        ), "overlaps")
+    return at.select("a", "b")
 
 
 def _fits(percent: int):
@@ -160,7 +179,7 @@ def links(rows: DataFrame, percent: int) -> DataFrame:
         F.col("first.doc_id").alias("a"), F.col("doc_id").alias("b"), F.col("first.n").alias("na"), F.col("n").alias("nb"),
         F.col("first.place").alias("at"), F.col("place").alias("bt"),
     ).where("a <> b").where(_fits(percent)).select("a", "b", "na", "nb").distinct()
-    found = written(_linked(pairs, rows, percent), "links")
+    found = _linked(pairs, rows, percent)
 
     parts = components(found)
     known = entries.join(parts.toDF("doc_id", "part"), "doc_id", "left").select(
@@ -170,7 +189,7 @@ def links(rows: DataFrame, percent: int) -> DataFrame:
     known = written(known.join(open_columns.select("gram"), "gram"), "open-entries")
     left, right = known.toDF("gram", "a", "na", "at", "pa"), known.toDF("gram", "b", "nb", "bt", "pb")
     rest = left.join(right, "gram").where("pa < pb").where(_fits(percent)).select("a", "b", "na", "nb").distinct()
-    return found.union(written(_linked(rest, rows, percent), "links"))
+    return found.union(_linked(rest, rows, percent))
 
 
 def join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -188,7 +207,8 @@ def join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     laid = blocks.lay_out(reps.sortWithinPartitions("doc_id", "text"))
     answers = blocks.ask(laid, _block_hashes(n), shingles, "held")
     rows = written(laid.join(answers, "block").mapInArrow(
-        _bounding(n, percent), "doc_id long, n long, rare array<long>, place array<long>, shared binary"
+        _bounding(n, percent),
+        "doc_id long, n long, rare array<long>, place array<long>, " + ", ".join(f"{c} binary" for c in _SHARED),
     ), "rows")
     parts = components(written(links(rows, percent), "all-links"))
     placed = kinds.join(parts.toDF("rep", "part"), "rep", "left").select(*kind, F.coalesce("part", "rep").alias("part"))

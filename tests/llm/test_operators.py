@@ -9,6 +9,7 @@ from itertools import combinations
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -175,6 +176,36 @@ def test_near_dedup_keeps_one_of_each_group(spark):
     assert 1 in ids and 2 in ids and not {3, 4, 9, 11} & set(ids) and ids.count(None) == 2
 
 
+def test_one_number_with_two_texts_is_one_node(spark):
+    one, two = prose(1, 60), prose(2, 60)
+    docs = [(1, one), (2, one), (2, two), (3, two), (4, prose(4, 60))]
+    rows = ngram_join.join(spark.createDataFrame(docs, "doc_id long, text string"), 4, 85).collect()
+    assert {(r["doc_id"], r["component_id"]) for r in rows} == {(1, 1), (2, 1), (3, 1), (4, 4)} and len(rows) == 5
+
+
+def test_very_long_texts_link_whole(spark):
+    """Texts of some megabytes: equal but for the last words, and equal but for half."""
+    long = " ".join(f"w{i * 7919 % 1_000_003}" for i in range(400_000))
+    half = long[: len(long) // 2] + " ".join(f"v{i}" for i in range(200_000))
+    docs = [(1, long), (2, long + " and a tail"), (3, half), (4, half + " tail")]
+    rows = ngram_join.join(spark.createDataFrame(docs, "doc_id long, text string"), 5, 80).collect()
+    assert {r["doc_id"]: r["component_id"] for r in rows} == {1: 1, 2: 1, 3: 3, 4: 3}
+
+
+def test_counts_fall_short_early():
+    """A pair goes after the block in which it can no longer reach the bound."""
+    a, b = np.arange(0, 1000, dtype=np.uint64) << np.uint64(54), np.arange(0, 1000, 2, dtype=np.uint64) << np.uint64(54)
+    parts = [ngram_join._by_columns(x) for x in (a, b)]
+    assert [b"".join(p.values()) for p in parts] == [a.tobytes(), b.tobytes()]
+    left = [sum(len(p[f"shared{k}"]) // 8 for k in range(1, 4)) for p in parts]
+    batch = pa.RecordBatch.from_pylist([{
+        "a": 1, "b": 2, "na": 1000, "nb": 500, "overlap": 0, "sa": parts[0]["shared0"], "sb": parts[1]["shared0"],
+        "ra": left[0], "rb": left[1],
+    }])
+    for percent, kept in ((50, 1), (51, 0)):  # 500 of 1000 in common, whatever is left
+        assert next(ngram_join._multiplying(percent)(iter([batch]))).num_rows == kept
+
+
 def test_components_of_long_chains(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, 101), (102, 100), (7, 7)]
     df = spark.createDataFrame(edges, "a long, b long")
