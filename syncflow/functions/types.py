@@ -98,32 +98,52 @@ def cast_text(col: Column, to, timestamp_standard: str = "SQL") -> Column:
     return col.try_cast(to)
 
 
+def _named(value: Column, then) -> Column:
+    """``then`` of a value that is worked out once, however often ``then`` mentions it."""
+    return F.transform(F.array(value), then)[0]
+
+
 def binary_decimal(col: Column, to: T.DecimalType) -> Column:
     """Base64 of a big-endian two's complement number, unscaled, to a decimal; NULL for anything else.
 
     Any number of bytes, as long as the number has no more digits than ``to``. Built-ins alone: the
     magnitude is put together from four words of 32 bits, which a decimal of 38 digits holds.
     """
-    digits = F.hex(F.try_to_binary(col, F.lit("base64")))
-    is_negative = digits.rlike("^[89A-F]")
-    # Leading sign bytes say nothing; what is left has to fit into 16 bytes.
-    core = F.when(is_negative, F.regexp_replace(digits, "^(FF)+(?=[89A-F])", "")).otherwise(
-        F.regexp_replace(digits, "^(00)+(?=[0-7])", "")
-    )
-    filled = F.when(is_negative, F.lpad(core, 32, "F")).otherwise(F.lpad(core, 32, "0"))
-    positive = F.when(is_negative, F.translate(filled, "0123456789ABCDEF", "FEDCBA9876543210")).otherwise(filled)
-    total = F.when(is_negative, F.lit(1)).otherwise(F.lit(0)).cast("decimal(38,0)")
-    for i in range(4):
-        word = F.conv(F.substring(positive, 1 + 8 * i, 8), 16, 10).cast("decimal(10,0)").cast("decimal(38,0)")
-        weight = F.lit(str(2 ** (96 - 32 * i))).cast("decimal(38,0)")
-        total = F.try_add(total, F.try_multiply(word, weight).cast("decimal(38,0)")).cast("decimal(38,0)")
-    text = total.cast("string")
-    if to.scale:
-        text = F.lpad(text, F.greatest(F.length(text), F.lit(to.scale + 1)), F.lit("0"))
-        cut = F.length(text) - to.scale
-        text = F.concat(F.substring(text, F.lit(1), cut), F.lit("."), F.substring(text, cut + 1, F.lit(to.scale)))
-    signed = F.when(is_negative, F.concat(F.lit("-"), text)).otherwise(text)
-    return F.when((F.length(core) <= 32) & (F.length(digits) > 0), signed.try_cast(to))
+    whole = "decimal(38,0)"
+
+    def word(hexes: Column, i: int) -> Column:
+        return F.conv(F.substring(hexes, 1 + 8 * i, 8), 16, 10).cast("decimal(10,0)").cast(whole)
+
+    def magnitude(hexes: Column, one_more: Column) -> Column:
+        total = one_more.cast(whole)
+        for i in range(4):
+            weight = F.lit(str(2 ** (96 - 32 * i))).cast(whole)
+            total = F.try_add(total, F.try_multiply(word(hexes, i), weight).cast(whole)).cast(whole)
+        return total.cast("string")
+
+    def scaled(digits: Column) -> Column:
+        if not to.scale:
+            return digits
+        long = F.lpad(digits, F.greatest(F.length(digits), F.lit(to.scale + 1)), F.lit("0"))
+        return _named(long, lambda x: F.concat(
+            F.substring(x, F.lit(1), F.length(x) - to.scale), F.lit("."), F.right(x, F.lit(to.scale))
+        ))
+
+    def positive(core: Column) -> Column:
+        filled = F.lpad(core, 32, "0")
+        return F.when(F.length(core) <= 32, _named(filled, lambda x: scaled(magnitude(x, F.lit(0)))))
+
+    def negative(core: Column) -> Column:
+        filled = F.translate(F.lpad(core, 32, "F"), "0123456789ABCDEF", "FEDCBA9876543210")
+        return F.when(F.length(core) <= 32, F.concat(F.lit("-"), _named(filled, lambda x: scaled(magnitude(x, F.lit(1))))))
+
+    def signed(digits: Column) -> Column:
+        # Leading sign bytes say nothing; what is left has to fit into 16 bytes.
+        return F.when(
+            digits.rlike("^[89A-F]"), _named(F.regexp_replace(digits, "^(FF)+(?=[89A-F])", ""), negative)
+        ).when(digits != "", _named(F.regexp_replace(digits, "^(00)+(?=[0-7])", ""), positive))
+
+    return _named(F.hex(F.try_to_binary(col, F.lit("base64"))), signed).try_cast(to)
 
 
 def apply_schema(df: DataFrame, columns: dict, timestamp_standard: str = "SQL") -> DataFrame:
