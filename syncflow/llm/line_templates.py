@@ -35,7 +35,8 @@ WILDCARDS = 2  # among the leading tokens
 SIMILAR = 0.7
 MIN_DOCUMENTS = 5
 VARIABLE = "<*>"
-SPREAD = 32
+SPREAD = 8
+SLOTS = 1 << 20  # of hashes; as many numbers are broadcast at most
 
 
 def _lines(rows: DataFrame) -> DataFrame:
@@ -97,7 +98,10 @@ def _templates(lines: DataFrame, distinct: DataFrame, similar: float, min_docume
     held = leaves.join(crowded, "node")
     # Each line's text from one document that has it: no line is fetched more than once.
     rep = held.select("own", F.col("rep").alias("key"))
-    texts = lines.select("own", "key", "line").join(rep, ["own", "key"], "left_semi").dropDuplicates(["own"]).select("own", "line")
+    # Most lines have no part in the tree. They are told by a bounded broadcast, so that they are not shuffled.
+    slot = F.pmod("own", F.lit(SLOTS)).cast("int").alias("slot")
+    near = lines.select("own", "key", "line", slot).join(F.broadcast(rep.select(slot).distinct()), "slot", "left_semi")
+    texts = near.join(rep, ["own", "key"], "left_semi").dropDuplicates(["own"]).select("own", "line")
     tokens = held.join(texts, "own").select(
         "own", "node", "n", "documents", F.posexplode(F.split("line", " ")).alias("pos", "token")
     ).select("own", "node", "n", "documents", "pos", F.xxhash64("token").alias("token"))

@@ -21,13 +21,15 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from unicodedata import normalize
 
 from .common import pick
 
 LIMIT = 2048
 REMEMBERED = 400_000  # words a worker remembers; afterwards it starts anew
 
-_KNOWN_PLANES = "\U0002FFFF"
+# Blocks with letters that the two versions of Unicode know differently; the tests try every code point.
+_UNSURE = regex.compile("[\uA640-\uABFF\U00010000-\U0010FFFF]")
 _SPACES = regex.compile(r"\p{White_Space}+")
 # The word pattern of the vocabulary file, white space spelt as the Unicode property it stands for.
 _WORDS = regex.compile(
@@ -96,13 +98,13 @@ class WordCounter:
         return len(symbols) - merges_of(self.ranks, symbols)
 
     def _of_plain(self, text: str) -> int:
-        # Beyond ASCII, the library's own tables say what is composed, a space or a lower-case letter.
-        plain = _SPACES.sub(" ", text).lower() if text.isascii() else self.normalise(text)
-        if not text.isascii() and max(plain, default="") > _KNOWN_PLANES:
-            # Beyond, the tables of ``regex`` take some unassigned numbers for letters.
-            pieces = [piece for piece, _ in self.library.pre_tokenizer.pre_tokenize_str(plain)]
-            return sum(self.of_symbols(list(piece)) for piece in pieces)
-        words = _WORDS.findall(plain)
+        if _UNSURE.search(text):
+            # Here the library's tables of letters and lower case are of another version than Python's.
+            pieces = self.library.pre_tokenizer.pre_tokenize_str(self.normalise(text))
+            return sum(self.of_symbols(list(piece)) for piece, _ in pieces)
+        text = text if text.isascii() else normalize("NFC", text)
+        # Lower case goes letter by letter: a sigma does not depend on its place.
+        words = _WORDS.findall(_SPACES.sub(" ", text).replace("Σ", "σ").lower())
         known, total = self.known, 0
         for word in words:
             n = known.get(word)
