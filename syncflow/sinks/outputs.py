@@ -40,18 +40,19 @@ def write_nowhere(df: DataFrame) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
-def print_rows(df: DataFrame, prefix: str = "") -> None:
+def print_rows(df: DataFrame, prefix: str = "", show: Callable[[str], object] = print) -> None:
     """Every row as a line of JSON on the standard output of the task that has it.
 
     Executors print their own rows, as a debugging sink on a cluster does; nothing passes the driver.
+    ``show`` can put something else in the place of ``print``; it is sent to the tasks.
     """
     lines = df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("line"))
 
-    def show(rows: Iterator[Row]) -> None:
+    def each(rows: Iterator[Row]) -> None:
         for row in rows:
-            print(prefix + row["line"], flush=True)
+            show(prefix + row["line"])
 
-    lines.foreachPartition(show)
+    lines.foreachPartition(each)
 
 
 def rolling_options(
