@@ -41,14 +41,17 @@ SLOTS = 1 << 20  # of hashes; as many numbers are broadcast at most
 
 def _lines(rows: DataFrame) -> DataFrame:
     """key, doc_id, pos, n, line (masked), its hash ``own``, and hashes t1, t2, ... of its leading tokens."""
-    spaced = F.translate("text", "\t\x0b\f\r", "    ")
+    # Most texts have spaces alone; translating goes letter by letter, looking for a sign goes by bytes.
+    others = [F.contains("text", F.lit(c)) for c in "\t\x0b\f\r"]
+    spaced = F.when(others[0] | others[1] | others[2] | others[3], F.translate("text", "\t\x0b\f\r", "    ")).otherwise(F.col("text"))
     lines = rows.select("key", "doc_id", F.posexplode(F.split(spaced, "\n")).alias("pos", "raw"))
     # Most lines have no double spaces and no digits, and need no regular expression.
     squeezed = F.when(F.contains("raw", F.lit("  ")), F.regexp_replace("raw", " {2,}", " ")).otherwise(F.col("raw"))
     lines = lines.withColumn("plain", F.trim(squeezed)).where("plain <> ''").drop("raw")
-    has_digit = F.length(F.translate("plain", "0123456789", "")) < F.length("plain")
-    masked = F.when(has_digit, F.regexp_replace("plain", "(?<![^ ])[^ 0-9]*+[0-9][^ ]*+", VARIABLE))
-    lines = lines.withColumn("masked", masked).withColumn("n", 1 + F.length("plain") - F.length(F.translate("plain", " ", "")))
+    masked = F.when(F.rlike("plain", F.lit("[0-9]")), F.regexp_replace("plain", "(?<![^ ])[^ 0-9]*+[0-9][^ ]*+", VARIABLE))
+    lines = lines.withColumn("masked", masked).withColumn(
+        "n", 1 + F.length("plain") - F.length(F.replace("plain", F.lit(" "), F.lit("")))
+    )
     variables = F.length("masked") - F.length(F.replace("masked", F.lit(VARIABLE), F.lit("")))
     is_mostly = 2 * variables > len(VARIABLE) * F.col("n")
     line = F.when(F.col("masked").isNull() | is_mostly, F.col("plain")).otherwise(F.col("masked"))

@@ -13,7 +13,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from syncflow.llm import line_templates, quality, sharding, token_count, url_filter
 
-from .helpers import no_docs, odd_docs, plain_rows, prose
+from .helpers import odd_docs, plain_rows, prose
 
 WORD = public_tokenizers.path("word_bpe_49k.json")
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long, key string, shard int"
@@ -82,5 +82,5 @@ def test_pipeline_on_odd_rows(spark, tmp_path, long_text):
 
 
 def test_pipeline_on_an_empty_table(spark, tmp_path):
-    no_docs(spark).select("doc_id", "text", "lang", "source", "n_chars").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], DOCUMENTS).write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
