@@ -228,8 +228,9 @@ def brute_trie(given):
     ), key=repr)
 
 
-@pytest.mark.parametrize(("band", "piece"), [(8, 1024), (2, 4), (3, 16)])
-def test_trie_equals_brute_force(spark, tables, monkeypatch, band, piece):
+@pytest.mark.parametrize(("band", "piece", "hot"), [(8, 1024, 1000), (2, 4, 3)])
+def test_trie_equals_brute_force(spark, tables, monkeypatch, band, piece, hot):
+    monkeypatch.setattr(conversation_trie, "HOT", hot)
     monkeypatch.setattr(conversation_trie, "BAND", band)
     monkeypatch.setattr(conversation_trie, "PIECE", piece)
     rows = odd_conversations(seed=band, n=40 if band > 2 else 12)
@@ -239,13 +240,6 @@ def test_trie_equals_brute_force(spark, tables, monkeypatch, band, piece):
     assert [t for _, t in got.dtypes] == ["bigint"] * 7 + ["string"]
 
 
-def test_trie_with_hot_parents(spark, tables, monkeypatch):
-    monkeypatch.setattr(conversation_trie, "HOT", 3)
-    rows = odd_conversations(seed=9)
-    got = queries.op13_conversation_trie(spark, tables(rows))
-    assert sorted(map(tuple, got.collect()), key=repr) == brute_trie(rows)
-
-
 def test_trie_of_given_and_empty_table(spark, sf_dir, tables):
     rows = [tuple(r) for r in queries.table(spark, sf_dir, "conversations").collect()]
     got = queries.op13_conversation_trie(spark, sf_dir)
