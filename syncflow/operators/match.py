@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,44 +19,49 @@ COMBINED_WEIGHTS = (0.6, 0.4)
 # Rarest features of a set from which its lower bound comes.
 PROBES = 3
 
+# Bytes of an index of candidates that every task may hold; rows met by feature that a task works on.
+INDEX_BYTES = 64 << 20
+MET_ROWS = 4_000_000
+
 
 def _hits(is_sink: Column) -> list[Column]:
     return [F.count(F.lit(1)).alias("shared"), F.count_if(is_sink).alias("shared_sinks")]
 
 
-def _scored(jobs: DataFrame, candidates: DataFrame, job: str, candidate: str, feature: str) -> tuple[DataFrame, DataFrame]:
-    """Score of every pair that shares a feature, jobs being groups of jobs with equal features.
+def _index(candidates: DataFrame, candidate: str, feature: str) -> DataFrame:
+    """candidate, feature and ``candidate_size``, written once; candidates without a name are left out."""
+    held = candidates.select(candidate, feature).where(F.col(candidate).isNotNull()).distinct()
+    sizes = held.groupBy(candidate).agg(F.count(F.lit(1)).alias("candidate_size"))
+    return storage.written(held.where(F.col(feature).isNotNull()).join(sizes, candidate), "candidates")
+
+
+def _at_hand(index: DataFrame, feature: str) -> Callable[[DataFrame], DataFrame]:
+    """How tasks get the index, or less: whole up to ``INDEX_BYTES``, else as the planner sees fit."""
+    size = index.agg(F.sum(F.octet_length(feature) + 64)).first()[0] or 0
+    return F.broadcast if size <= INDEX_BYTES else lambda df: df
 
-    An equi-join on the feature: only pairs that share one exist, and pairs without one would
-    score 0 and are not reported. Features are made distinct before the join, and jobs with
-    equal features are one row in it. Which side is broadcast, if any, goes by the bytes that
-    are measured at run time; AQE splits the partitions of frequent features.
+
+def _sets(jobs: DataFrame, index: DataFrame, hand: Callable, job: str, feature: str) -> DataFrame:
+    """Features of each job; jobs are dealt out once, and what follows stays where its job is.
+
+    A task has as many jobs as meet ``MET_ROWS`` candidates by a feature, so what it sorts and groups
+    fits its memory. Jobs without a name are left out.
     """
-    sets = (
-        jobs.select(job, feature).where(F.col(feature).isNotNull()).groupBy(job)
-        .agg(F.sort_array(F.collect_set(feature)).alias("features"))
-    )
-    kinds, named = _kinds(sets, job)
-    a = kinds.select("set", F.size("features").alias("job_size"), F.explode("features").alias(feature))
-    b = candidates.select(candidate, feature).distinct()
-    size_b = b.groupBy(candidate).agg(F.count(F.lit(1)).alias("candidate_size"))
-    pairs = a.join(b, feature).groupBy("set", "job_size", candidate).agg(
-        *_hits(F.col(feature).startswith(SINK_PREFIX))
-    ).join(size_b, candidate)
-    united = F.col("job_size") + F.col("candidate_size") - F.col("shared")
-    # Doubled, so that the half bonus stays an integer and rounding is exact.
-    doubled = 2 * F.col("shared") + F.col("shared_sinks")
-    percent = F.floor((200 * doubled + 2 * united) / (4 * united))
-    scored = pairs.select(
-        "set", candidate, "shared", "shared_sinks", (doubled / (2 * united)).alias("score"), percent.alias("percent")
-    )
-    return scored, named.select(job, "set")
+    rows = jobs.select(job, feature).where(F.col(job).isNotNull() & F.col(feature).isNotNull())
+    held = hand(index.groupBy(feature).agg(F.count(F.lit(1)).alias("_n")))
+    met = rows.join(held, feature).agg(F.sum("_n")).first()[0] or 0
+    parts = max(jobs.sparkSession.sparkContext.defaultParallelism, -(-met // MET_ROWS))
+    return rows.repartition(parts, job).groupBy(job).agg(F.collect_set(feature).alias("features"))
 
 
-def _kinds(sets: DataFrame, job: str) -> tuple[DataFrame, DataFrame]:
-    """Distinct feature sets, named by the first job that has each, and the set of every job."""
-    kinds = sets.groupBy("features").agg(F.min(job).alias("set"))
-    return kinds, sets.join(kinds, "features").select(job, "set")
+def _counted(met: DataFrame, job: str, candidate: str, feature: str) -> DataFrame:
+    """What each job shares with each candidate that it met, one row a feature, and the score."""
+    pairs = met.groupBy(job, "job_size", candidate, "candidate_size").agg(*_hits(F.col(feature).startswith(SINK_PREFIX)))
+    united = F.col("job_size") + F.col("candidate_size") - F.col("shared")
+    return pairs.select(
+        job, candidate, "shared", "shared_sinks", _score(F.col("shared"), F.col("shared_sinks"), united).alias("score"),
+        united.alias("united"),
+    )
 
 
 def match_candidates(
@@ -65,14 +72,19 @@ def match_candidates(
     feature: str = "feature",
 ) -> DataFrame:
     """Ranked candidates of every job: (shared + sink bonus) / united features."""
-    scored, members = _scored(jobs, candidates, job, candidate, feature)
-    best_first = Window.partitionBy("set").orderBy(F.desc("score"), F.asc(candidate))
-    return (
-        # The tier goes by the reported score, which has two decimals.
-        scored.withColumn("tier", tier(F.col("percent") / 100, SINGLE_MATCH_TIERS, "poor"))
-        .withColumn("rank", F.row_number().over(best_first))
-        .join(members, "set")
-        .select(job, candidate, "shared", "shared_sinks", "score", "tier", "rank")
+    index = _index(candidates, candidate, feature)
+    hand = _at_hand(index, feature)
+    sets = _sets(jobs, index, hand, job, feature)
+    # An equi-join on the feature: pairs without a shared feature would score 0 and are not reported.
+    met = sets.select(job, F.size("features").alias("job_size"), F.explode("features").alias(feature)).join(hand(index), feature)
+    scored = _counted(met, job, candidate, feature)
+    # Doubled, so that the half bonus stays an integer and rounding is exact.
+    doubled = 2 * F.col("shared") + F.col("shared_sinks")
+    percent = F.floor((200 * doubled + 2 * F.col("united")) / (4 * F.col("united")))
+    best_first = Window.partitionBy(job).orderBy(F.desc("score"), F.asc(candidate))
+    # The tier goes by the reported score, which has two decimals.
+    return scored.withColumn("tier", tier(percent / 100, SINGLE_MATCH_TIERS, "poor")).select(
+        job, candidate, "shared", "shared_sinks", "score", "tier", F.row_number().over(best_first).alias("rank")
     )
 
 
@@ -92,26 +104,27 @@ def best_pairs(kinds: DataFrame, candidates: DataFrame, candidate: str, feature:
        sizes. A feature is looked up only for candidates that are small enough for that bound to reach the
        set's lower bound; for most sets, the frequent features are looked up for none.
     """
+    index = _index(candidates, candidate, feature)
+    return _best_pairs(kinds, index, _at_hand(index, feature), candidate, feature)
+
+
+def _best_pairs(kinds: DataFrame, index: DataFrame, hand: Callable, candidate: str, feature: str) -> DataFrame:
     is_sink = F.col(feature).startswith(SINK_PREFIX)
-    sized = candidates.groupBy(candidate).agg(
-        F.collect_set(feature).alias("held"), F.count_distinct(feature).alias("size")
-    )
-    sized = storage.written(sized, "candidates")
-    index = sized.select(candidate, "size", F.explode("held").alias(feature))
-    known = index.groupBy(feature).agg(F.count(F.lit(1)).alias("n"), F.min(candidate).alias("some"))
-    rarest = Window.partitionBy("set").orderBy("n", feature)
-    looked = storage.written(
+    known = hand(index.groupBy(feature).agg(F.count(F.lit(1)).alias("n"), F.min(candidate).alias("some")))
+    of_set = Window.partitionBy("set")
+    rarest = of_set.orderBy("n", feature)
+    following = rarest.rowsBetween(0, Window.unboundedFollowing)
+    looked = (
         kinds.select("set", F.size("features").alias("job_size"), F.explode("features").alias(feature))
         .join(known, feature)
-        .select(
-            "set", "job_size", feature, "some",
-            F.row_number().over(rarest).alias("nth"),
-            F.count(F.lit(1)).over(rarest.rowsBetween(0, Window.unboundedFollowing)).alias("left"),
-            F.count_if(is_sink).over(rarest.rowsBetween(0, Window.unboundedFollowing)).alias("left_sinks"),
-        ), "looked",
+        .withColumn("left", F.count(F.lit(1)).over(following))
+        .withColumn("left_sinks", F.count_if(is_sink).over(following))
+        .withColumn("nth", F.row_number().over(rarest))
     )
-    probes = looked.where(F.col("nth") <= PROBES).select("set", F.col("some").alias(candidate)).distinct()
-    least = _compared(probes, kinds, sized, candidate).groupBy("set").agg(F.max("score").alias("least"))
+    probes = F.collect_set(F.when(F.col("nth") <= PROBES, F.col("some"))).over(of_set)
+    tried = looked.select("set", "job_size", feature, probes.alias("_probes"))
+    tried = tried.select("set", "job_size", feature, F.explode("_probes").alias(candidate)).join(hand(index), [feature, candidate])
+    least = _counted(tried, "set", candidate, feature).groupBy("set").agg(F.max("score").alias("least"))
     # The largest size for which the bound reaches the lower bound, with room for rounding.
     most = (2 * F.col("left") + F.col("left_sinks")) / (2 * F.col("least") * (1 - 1e-9)) - F.col("job_size") + F.col("left")
     wanted = looked.join(least, "set").withColumn("most", most).where(
@@ -120,23 +133,12 @@ def best_pairs(kinds: DataFrame, candidates: DataFrame, candidate: str, feature:
     )
     reach = wanted.select("set", F.col(feature).alias("_feature"), "most", "left")
     met = reach.join(
-        index, (F.col("_feature") == F.col(feature)) & (F.col("size") <= F.greatest("most", F.col("left").cast("double")))
+        hand(index),
+        (F.col("_feature") == F.col(feature)) & (F.col("candidate_size") <= F.greatest("most", F.col("left").cast("double"))),
     )
     return met.select("set", candidate).distinct()
 
 
-def _compared(pairs: DataFrame, kinds: DataFrame, sized: DataFrame, candidate: str) -> DataFrame:
-    """Pairs of set and candidate with what they share and their score, from the sets themselves."""
-    both = F.array_intersect("features", "held")
-    met = pairs.join(kinds, "set").join(sized, candidate).select("set", candidate, "features", "size", both.alias("both"))
-    sinks = F.size(F.filter("both", lambda f: f.startswith(SINK_PREFIX)))
-    united = F.size("features") + F.col("size") - F.size("both")
-    return met.where(F.size("both") > 0).select(
-        "set", candidate, F.size("both").cast("long").alias("shared"), sinks.cast("long").alias("shared_sinks"),
-        _score(F.size("both"), sinks, united).alias("score"),
-    )
-
-
 def best_candidates(
     jobs: DataFrame,
     candidates: DataFrame,
@@ -146,22 +148,19 @@ def best_candidates(
 ) -> DataFrame:
     """The first candidate of every job, which is what a recovery takes: the highest score, then the
     first name. Only pairs that can be the best are compared (``best_pairs``)."""
-    sets = (
-        jobs.select(job, feature).where(F.col(feature).isNotNull()).groupBy(job)
-        .agg(F.sort_array(F.collect_set(feature)).alias("features"))
-    )
-    kinds, members = _kinds(storage.written(sets, "sets"), job)
-    kinds = storage.written(kinds, "kinds")
-    held = candidates.select(candidate, feature).where(F.col(feature).isNotNull()).distinct()
-    pairs = best_pairs(kinds, held, candidate, feature)
-    sized = held.groupBy(candidate).agg(F.collect_set(feature).alias("held"), F.count(F.lit(1)).alias("size"))
-    scored = _compared(pairs, kinds, sized, candidate)
+    index = _index(candidates.where(F.col(feature).isNotNull()), candidate, feature)
+    hand = _at_hand(index, feature)
+    kinds = _sets(jobs, index, hand, job, feature).withColumnRenamed(job, "set")
+    pairs = _best_pairs(kinds, index, hand, candidate, feature)
+    # What a pair shares is counted feature by feature: a candidate may have any number of them.
+    tried = pairs.join(kinds, "set").select("set", candidate, F.size("features").alias("job_size"), F.explode("features").alias(feature))
+    scored = _counted(tried.join(hand(index), [feature, candidate]), "set", candidate, feature)
     # By the highest score, then the first name: the smallest of (-score, name).
     best = scored.groupBy("set").agg(
         F.min(F.struct((-F.col("score")).alias("at"), candidate, "shared", "shared_sinks", "score")).alias("best")
     )
-    return members.join(best, "set").select(
-        job, *[F.col(f"best.{c}").alias(c) for c in (candidate, "shared", "shared_sinks", "score")]
+    return best.select(
+        F.col("set").alias(job), *[F.col(f"best.{c}").alias(c) for c in (candidate, "shared", "shared_sinks", "score")]
     )
 
 

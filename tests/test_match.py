@@ -88,3 +88,31 @@ def test_best_candidates_need_few_pairs(spark, seed):
     kinds = a.groupBy("job").agg(F.sort_array(F.collect_set("feature")).alias("features")).withColumnRenamed("job", "set")
     looked_at = match.best_pairs(kinds, b.distinct(), "candidate", "feature").count()
     assert looked_at < match.match_candidates(a, b).count() / 2
+
+
+def test_large_candidates_are_counted_by_feature(spark):
+    """No set of a candidate goes with its pairs, and no step deals pairs out again."""
+    jobs = {f"j{i}": {"sink_table:s0", f"sink_table:s{i}", f"source_table:t{i}"} for i in range(40)}
+    candidates = {f"c{i}": {f"sink_table:s{n}" for n in range(i, 3000, 3)} for i in range(3)}
+    a, b = frame(spark, jobs, "job"), frame(spark, candidates, "candidate")
+    best, ranked = match.best_candidates(a, b), match.match_candidates(a, b)
+    columns = ["job", "candidate", "shared", "shared_sinks", "score"]
+    assert rows_of(best, *columns) == rows_of(ranked.where("rank = 1"), *columns)
+    want = {(j, c): pytest.approx(score(f, h)) for j, f in jobs.items() for c, h in candidates.items() if f & h}
+    assert {(r.job, r.candidate): r.score for r in ranked.collect()} == want
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in (best, ranked)]
+    assert all("array_intersect" not in p for p in plans)
+    assert plans[1].split("Initial Plan")[0].count("Exchange hashpartitioning") == 1
+
+
+@pytest.mark.parametrize("size", [0, 1 << 30])
+def test_index_too_large_for_tasks(spark, monkeypatch, size):
+    monkeypatch.setattr(match, "INDEX_BYTES", size)
+    monkeypatch.setattr(match, "MET_ROWS", 20)
+    jobs, candidates = sets(5, 30, "j"), sets(6, 12, "c")
+    a, b = frame(spark, jobs, "job"), frame(spark, candidates, "candidate")
+    ranked = match.match_candidates(a, b)
+    want = {(j, c): pytest.approx(score(f, h)) for j, f in jobs.items() for c, h in candidates.items()}
+    assert {(r.job, r.candidate): r.score for r in ranked.collect()} == want
+    columns = ["job", "candidate", "shared", "shared_sinks", "score"]
+    assert rows_of(match.best_candidates(a, b), *columns) == rows_of(ranked.where("rank = 1"), *columns)
