@@ -241,10 +241,17 @@ def snapshot_chunks(spark, sf_dir):
     return tables.snapshot_chunks(table(spark, sf_dir, "orders"), "o_orderkey", 4096)
 
 
+#: The largest number whose cube has 64 bits.
+_MAX_CUBED = 2_097_151
+
+
 def snapshot_even_chunks(spark, sf_dir):
-    """Chunks of a key that is far from even: cubes of the order keys."""
-    keys = table(spark, sf_dir, "orders").select((F.col("o_orderkey") * F.col("o_orderkey") * F.col("o_orderkey")).alias("id"))
-    return snapshot.even_chunks(keys, "id", 1000)
+    """Chunks of a key that is far from even: cubes of the order keys; as decimals if any has over 64 bits."""
+    orders = table(spark, sf_dir, "orders")
+    found = orders.agg(F.min("o_orderkey").alias("least"), F.max("o_orderkey").alias("most")).first()
+    fits = found.most is None or -_MAX_CUBED <= found.least and found.most <= _MAX_CUBED
+    key = F.col("o_orderkey").cast("bigint" if fits else "decimal(38,0)")
+    return snapshot.even_chunks(orders.select((key * key * key).alias("id")), "id", 1000)
 
 
 def tumble_5m(spark, sf_dir):

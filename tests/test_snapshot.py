@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows_of
 from syncflow.operators import changelog
+from syncflow.plans.ingest import snapshot_even_chunks
 from syncflow.sources import snapshot
 
 
@@ -23,6 +24,19 @@ def test_even_chunks_of_a_skewed_key(spark):
     assert rows_of(got) == sorted([(c, p[0], p[-1], len(p)) for c, p in enumerate(want)], key=repr)
 
 
+@pytest.mark.parametrize("most", [2_097_151, 9_000_000])
+def test_even_chunks_of_cubes_beyond_64_bits(spark, tmp_path, most):
+    keys = [1, 2, *range(most - 1500, most + 1)]
+    spark.createDataFrame([(k,) for k in [*keys, None]], "o_orderkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    cubes = [k**3 for k in keys]
+    want = [(c // 1000, cubes[c], cubes[c : c + 1000][-1], len(cubes[c : c + 1000])) for c in range(0, len(cubes), 1000)]
+    got = snapshot_even_chunks(spark, str(tmp_path))
+    assert rows_of(got.select("chunk", F.col("first_key").cast("string"), F.col("last_key").cast("string"), "rows")) == sorted(
+        [(c, str(a), str(b), n) for c, a, b, n in want], key=repr
+    )
+    assert got.schema["first_key"].dataType.simpleString() == ("bigint" if most**3 < 2**63 else "decimal(38,0)")
+
+
 def test_quantile_ranges_are_even_and_whole(spark):
     keys = skewed()
     df = spark.createDataFrame([(k,) for k in keys] + [(None,)], "id long")
