@@ -3,6 +3,8 @@ import json
 import os
 import time
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -15,6 +17,7 @@ from syncflow.operators.transform import enforce_not_null
 from syncflow.sinks.outputs import fan_out_committed, fan_out_stream, numbered_json_files, print_rows, read_committed
 from syncflow.sources import events, tables
 from syncflow.streaming import run as streams
+from syncflow.streaming import suppression
 from syncflow.streaming.suppression import suppress_repeats_stream
 from syncflow.streaming.windows import tumbling, window_counts, with_event_time_limit
 from test_changelog import log, replay
@@ -196,6 +199,41 @@ def test_suppression_of_alerts_that_come_late(spark, tmp_path):
     assert query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] == 1  # the last alert waits
 
 
+def test_suppression_merges_few_times_and_holds_little():
+    """Many batches of a type: each second is held once, packed, and rows are merged a few times only."""
+    start, merges = pd.Timestamp("2024-01-01"), []
+    second = np.arange(60_000).repeat(2)
+    rows = pd.DataFrame({
+        "kind": "a", "ts": start + pd.to_timedelta(second, "s"), "n": np.arange(len(second))[::-1],
+        "_second": int(start.timestamp()) + second, "_event": start,
+    }).sample(frac=1, random_state=0)
+
+    class State:
+        exists, held = False, None
+
+        def getCurrentWatermarkMs(self):
+            return 0
+
+        def update(self, held):
+            self.held = held
+
+        def setTimeoutTimestamp(self, at):
+            self.at = at
+
+    state, first = State(), suppression._first_of_seconds
+    keep = suppression._keeper(["kind", "ts", "n"], "kind", ["ts", "n"], 1800)
+    with pytest.MonkeyPatch.context() as patched:
+        patched.setattr(suppression, "_first_of_seconds", lambda *a: merges.append(1) or first(*a))
+        parts = (rows.iloc[i : i + 1000] for i in range(0, len(rows), 1000))
+        assert list(keep(("a",), parts, state)) == []
+    assert len(merges) <= 3 and len(state.held[1]) < 60_000 * 16
+    state.exists, state.get = True, state.held
+    state.getCurrentWatermarkMs = lambda: (int(start.timestamp()) + 4000) * 1000
+    sent = pd.concat(keep(("a",), iter([]), state))
+    assert [*sent.columns] == ["kind", "ts", "n"] and [*sent["kind"]] == ["a"] * 3
+    assert [*sent["n"]] == [len(second) - 2 - 2 * at for at in (0, 1800, 3600)]  # the smaller of two in a second
+
+
 @pytest.mark.parametrize("interval, want", [
     (None, {"availableNow": True}), ("60s", {"processingTime": "60 seconds"}),
 ])
