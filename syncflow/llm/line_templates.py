@@ -25,6 +25,9 @@ empty result.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,24 +42,31 @@ SPREAD = 8
 SLOTS = 1 << 20  # of hashes; as many numbers are broadcast at most
 
 
+def _has_token(line: Column | str) -> Column:
+    return F.ltrim(line, F.lit(" \t\x0b\f\r")) != ""
+
+
 def _lines(rows: DataFrame) -> DataFrame:
     """key, doc_id, pos, n, line (masked), its hash ``own``, and hashes t1, t2, ... of its leading tokens."""
-    # Most texts have spaces alone; translating goes letter by letter, looking for a sign goes by bytes.
-    others = [F.contains("text", F.lit(c)) for c in "\t\x0b\f\r"]
-    spaced = F.when(others[0] | others[1] | others[2] | others[3], F.translate("text", "\t\x0b\f\r", "    ")).otherwise(F.col("text"))
-    lines = rows.select("key", "doc_id", F.posexplode(F.split(spaced, "\n")).alias("pos", "raw"))
-    # Most lines have no double spaces and no digits, and need no regular expression.
-    squeezed = F.when(F.contains("raw", F.lit("  ")), F.regexp_replace("raw", " {2,}", " ")).otherwise(F.col("raw"))
-    lines = lines.withColumn("plain", F.trim(squeezed)).where("plain <> ''").drop("raw")
-    masked = F.when(F.rlike("plain", F.lit("[0-9]")), F.regexp_replace("plain", "(?<![^ ])[^ 0-9]*+[0-9][^ ]*+", VARIABLE))
+    lines = rows.select("key", "doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "raw")).where(_has_token("raw"))
+    # Most lines have no digits and no white space but single spaces. One run over a line tells both but for double
+    # spaces; looking for these goes by bytes, and only the other lines need expressions that replace.
+    lines = lines.withColumn("is_odd", ~F.rlike("raw", F.lit(r"\A[^0-9\t\x0B\f\r]*\z")))
+    blanks = reduce(or_, [F.contains("raw", F.lit(c)) for c in "\t\x0b\f\r"])
+    squeezed = F.when(
+        F.contains("raw", F.lit("  ")) | (F.col("is_odd") & blanks), F.regexp_replace("raw", r"[ \t\x0B\f\r]{2,}|[\t\x0B\f\r]", " ")
+    ).otherwise(F.col("raw"))
+    lines = lines.withColumn("plain", F.trim(squeezed)).drop("raw")
+    masked = F.when(F.col("is_odd"), F.regexp_replace("plain", "(?<![^ ])[^ 0-9]*+[0-9][^ ]*+", VARIABLE))
+    # What is taken out is ASCII, so bytes tell how much as well as letters do.
     lines = lines.withColumn("masked", masked).withColumn(
-        "n", 1 + F.length("plain") - F.length(F.replace("plain", F.lit(" "), F.lit("")))
+        "n", 1 + F.octet_length("plain") - F.octet_length(F.replace("plain", F.lit(" "), F.lit("")))
     )
-    variables = F.length("masked") - F.length(F.replace("masked", F.lit(VARIABLE), F.lit("")))
+    variables = F.octet_length("masked") - F.octet_length(F.replace("masked", F.lit(VARIABLE), F.lit("")))
     is_mostly = 2 * variables > len(VARIABLE) * F.col("n")
     line = F.when(F.col("masked").isNull() | is_mostly, F.col("plain")).otherwise(F.col("masked"))
-    heads = F.split("line", " ", DEPTH + 1)
-    lines = lines.withColumn("line", line).drop("plain", "masked").withColumn("heads", heads)
+    heads = F.split(F.substring_index("line", " ", DEPTH), " ")
+    lines = lines.withColumn("line", line).drop("plain", "masked", "is_odd").withColumn("heads", heads)
     tokens = [F.when(F.col("n") >= d, F.xxhash64(F.try_element_at("heads", F.lit(d)))).alias(f"t{d}") for d in range(1, DEPTH + 1)]
     return lines.select("key", "doc_id", "pos", "n", "line", F.xxhash64("line").alias("own"), *tokens)
 
@@ -76,18 +86,18 @@ def _leaves(distinct: DataFrame, similar: float, min_documents: int) -> DataFram
         "own", "n", "documents", "rep", F.xxhash64("n").alias("node"), F.lit(0).alias("wild"), *[f"t{d}" for d in range(1, DEPTH + 1)]
     )
     for d in range(1, DEPTH + 1):
-        by = ["node", f"t{d}"]
-        # A line too short for this level has no token, and NULLs join with nothing.
-        branches = at.where(F.col(f"t{d}").isNotNull()).groupBy(*by).agg(F.sum("documents").alias("held")).where(
-            F.col("held") >= min_documents
-        ).select(*by, F.lit(True).alias("is_branch"))
+        # A line too short for this level has no token and no branch, and NULLs join with nothing.
         is_short = F.col(f"t{d}").isNull()
-        node = F.when(is_short, F.col("node")).when(F.col("is_branch"), F.xxhash64(*by)).otherwise(F.xxhash64("node", F.lit(VARIABLE)))
+        at = at.withColumn("child", F.when(~is_short, F.xxhash64("node", f"t{d}")))
+        branches = at.where("child is not null").groupBy("child").agg(F.sum("documents").alias("held")).where(
+            F.col("held") >= min_documents
+        ).select("child", F.lit(True).alias("is_branch"))
+        node = F.when(is_short, F.col("node")).when(F.col("is_branch"), F.col("child")).otherwise(F.xxhash64("node", F.lit(VARIABLE)))
         wild = F.col("wild") + F.when(is_short | F.col("is_branch"), 0).otherwise(1)
-        at = at.join(branches, by, "left").withColumn("node", node).withColumn("wild", wild).where(
+        at = at.join(branches, "child", "left").withColumn("node", node).withColumn("wild", wild).where(
             F.col("wild") <= F.least(F.lit(WILDCARDS), _allowed(similar))
-        ).drop("is_branch", f"t{d}")
-        if d in (2, 4):
+        ).drop("child", "is_branch", f"t{d}")
+        if d < DEPTH:  # each level is joined once
             at = written(at, "tree")
     return at.drop("wild")
 
@@ -146,16 +156,15 @@ def recurring(
             F.count("*").alias("documents"), F.min("doc_id").alias("first"), F.min("key").alias("rep")
         ), "line-kinds",
     )
-    found = _templates(lines, distinct, similar, min_documents)
-    kinds = distinct.join(found, "own", "left").select(
-        "own", "documents", "first", F.coalesce("shape", F.col("own")).alias("shape"),
-        F.coalesce("node", F.lit(0)).alias("node"), F.coalesce("constants", F.lit(-1)).alias("constants"),
-    )
+    found = written(_templates(lines, distinct, similar, min_documents), "found")
     by = ["shape", "node", "constants"]
+    kinds = distinct.select("own", "documents", "first").join(found, "own")
     templates = kinds.groupBy(*by).agg(
         F.sum("documents").alias("held"), F.min("first").alias("earliest")
     ).where(F.col("held") >= min_documents)
-    return kinds.join(templates, by).select("own", F.col("earliest").alias("first"))
+    # Any other line is a template of its own: its documents are counted already.
+    alone = distinct.where(F.col("documents") >= min_documents).join(found, "own", "left_anti")
+    return kinds.join(templates, by).select("own", F.col("earliest").alias("first")).unionByName(alone.select("own", "first"))
 
 
 def drop_recurring(
@@ -179,7 +188,7 @@ def drop_recurring(
     parts = F.split("text", "\n")
     kept = F.filter(parts, lambda _, i: ~F.array_contains(F.col("dropped"), i))
     text = F.when(F.size("dropped") > 0, F.array_join(kept, "\n")).otherwise(F.col("text"))
-    held = F.size(F.filter(parts, lambda line: F.regexp_like(line, F.lit("[^ \\t\\x0B\\f\\r]"))))
+    held = F.size(F.filter(parts, _has_token))
     return joined.select(
         "doc_id", "key", text.alias("text"), F.coalesce(held, F.lit(0)).cast("long").alias("n_lines"),
         F.size("dropped").cast("long").alias("n_dropped"),

@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from syncflow.llm import line_templates, quality, sharding, token_count, url_filter
+from syncflow.llm import line_templates, quality, queries, sharding, token_count, url_filter
+from syncflow.llm.common import written
 
 from .helpers import odd_docs, plain_rows, prose
+from .test_pipeline import sql_over
 
 WORD = public_tokenizers.path("word_bpe_49k.json")
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long, key string, shard int"
@@ -68,6 +70,36 @@ def test_two_texts_under_one_number(spark):
     assert Counter((r["doc_id"], r["n_dropped"]) for r in got) == Counter({(1, 0): 2, **{(i, 1): 1 for i in range(3, 8)}})
 
 
+def test_lines_with_digits_and_any_white_space(spark):
+    """White space of every kind, with and without digits in the line, and signs that look like a variable."""
+    lines = [
+        "\torder {i} was  sent to the\x0bhouse of the miller\r", "no\tnumber but\f\ftabs in this  line\r", "<*> stands  here without any digit",
+        "<*> stands here with one {i}", "{i} 22 3{i} four", "öre {i}  ñu\t\x0bé ß \U0001f600 end{i}", "only  double   spaces are in it", " \t\x0b\f\r ", "",
+        "short\t", "{i}", "a line of number {i} alone \r\t",
+    ]
+    docs = [(i, "\n".join(t.replace("{i}", str(i)) for t in lines[i % 3 :] + [prose(i, 9)])) for i in range(18)] + [(50, " \t\r"), (51, None)]
+    got = line_templates.drop_recurring(spark.createDataFrame(docs, "doc_id long, text string")).drop("key").collect()
+    want = sql_over([(*d, None, None, None) for d in docs], queries.SQL["op8_line_dedup"])
+    assert sorted(map(tuple, got)) == sorted((r["doc_id"], r["text"], r["n_lines"], r["n_dropped"]) for r in want)
+    assert sum(r["n_dropped"] for r in got) > 100
+
+
+def test_template_tree_is_joined_once_a_level(spark, monkeypatch):
+    """Each level of the tree is a table; lines that have part in no template are not grouped again."""
+    plans = {}
+
+    def noted(df, name, *rest):
+        plans.setdefault(name, []).append(df._jdf.queryExecution().optimizedPlan().toString())
+        return written(df, name, *rest)
+
+    monkeypatch.setattr(line_templates, "written", noted)
+    docs = [(i, f"we thank number {i} for the gift\n{prose(i, 9)}") for i in range(8)]
+    got = line_templates.drop_recurring(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert sum(r["n_dropped"] for r in got) == 7
+    assert [p.count("Join ") for p in plans["tree"] + plans["leaves"]] == [1] * line_templates.DEPTH
+    assert "coalesce(shape" not in plans["recurring-lines"][0]
+
+
 def test_pipeline_on_odd_rows(spark, tmp_path, long_text):
     rows = [(i, t, "en", None if i == 3 else "s", 1, "k", 2) for i, t in plain_rows()]
     rows += [(500 + i, prose(500 + i, 120), None, f"s{i % 3}", None, None, None) for i in range(30)]
