@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +37,22 @@ JSON_KINDS = {
     "object": T.StringType(), "array": T.StringType(),
 }
 
+_DECIMALS = ("decimal", "numeric", "dec")
+
+
+def _type_parts(text: str) -> tuple[str, list[str], bool]:
+    """Base name, arguments, and whether it is unsigned."""
+    found = _TYPE.fullmatch(text)
+    if not found:
+        raise ValueError(f"not a column type: {text!r}")
+    base = re.sub(r"\s+", " ", found.group(1).lower())
+    args = [a.strip() for a in (found.group(2) or "").split(",") if a.strip()]
+    return base, args, "unsigned" in found.group(3).lower()
+
+
+def _decimal_size(args: list[str]) -> tuple[int, int]:
+    return int(args[0]) if args else 10, int(args[1]) if len(args) > 1 else 0
+
 
 def parse_type(
     text: str, decimal_mode: str = "precise", unsigned_bigint_mode: str = "long"
@@ -45,21 +62,15 @@ def parse_type(
     ``decimal_mode`` is ``precise``, ``string`` or ``double``; ``unsigned_bigint_mode`` is
     ``long`` (values above 2^63-1 become NULL) or ``precise`` (``decimal(20,0)``).
     """
-    found = _TYPE.fullmatch(text)
-    if not found:
-        raise ValueError(f"not a column type: {text!r}")
-    base = re.sub(r"\s+", " ", found.group(1).lower())
-    args = [a.strip() for a in (found.group(2) or "").split(",") if a.strip()]
-    unsigned = "unsigned" in found.group(3).lower()
+    base, args, unsigned = _type_parts(text)
     if base == "tinyint" and args == ["1"] or base == "bit" and args in ([], ["1"]):
         return T.BooleanType()
-    if base in ("decimal", "numeric", "dec"):
+    if base in _DECIMALS:
         if decimal_mode == "string":
             return T.StringType()
         if decimal_mode == "double":
             return T.DoubleType()
-        precision = int(args[0]) if args else 10
-        scale = int(args[1]) if len(args) > 1 else 0
+        precision, scale = _decimal_size(args)
         return T.DecimalType(precision, scale) if precision <= 38 else T.StringType()
     if unsigned and base == "bigint":
         return T.LongType() if unsigned_bigint_mode == "long" else T.DecimalType(20, 0)
@@ -75,6 +86,17 @@ def resolve_type(spec) -> T.DataType:
     return JSON_KINDS.get(spec) or parse_type(spec)
 
 
+def wide_decimal(spec) -> tuple[int, int] | None:
+    """Declared digits and scale of a decimal that is kept as text, as Spark's hold 38 digits."""
+    if not isinstance(spec, str) or spec in JSON_KINDS:
+        return None
+    base, args, _ = _type_parts(spec)
+    if base not in _DECIMALS:
+        return None
+    precision, scale = _decimal_size(args)
+    return (precision, scale) if precision > 38 else None
+
+
 def time_precision(spec) -> int:
     """Declared digits of a second, 3 where nothing is declared."""
     found = re.search(r"\((\d)\)", spec) if isinstance(spec, str) else None
@@ -103,47 +125,94 @@ def _named(value: Column, then) -> Column:
     return F.transform(F.array(value), then)[0]
 
 
-def binary_decimal(col: Column, to: T.DecimalType) -> Column:
-    """Base64 of a big-endian two's complement number, unscaled, to a decimal; NULL for anything else.
+def _binary_text(col: Column, scale: int, words: int, magnitude) -> Column:
+    """Base64 of a big-endian two's complement number to its digits; NULL for more than ``words`` of 32 bits.
 
-    Any number of bytes, as long as the number has no more digits than ``to``. Built-ins alone: the
-    magnitude is put together from four words of 32 bits, which a decimal of 38 digits holds.
+    ``magnitude`` makes digits from hexadecimal ones, and adds a number to them.
     """
-    whole = "decimal(38,0)"
-
-    def word(hexes: Column, i: int) -> Column:
-        return F.conv(F.substring(hexes, 1 + 8 * i, 8), 16, 10).cast("decimal(10,0)").cast(whole)
-
-    def magnitude(hexes: Column, one_more: Column) -> Column:
-        total = one_more.cast(whole)
-        for i in range(4):
-            weight = F.lit(str(2 ** (96 - 32 * i))).cast(whole)
-            total = F.try_add(total, F.try_multiply(word(hexes, i), weight).cast(whole)).cast(whole)
-        return total.cast("string")
+    width = 8 * words
 
     def scaled(digits: Column) -> Column:
-        if not to.scale:
+        if not scale:
             return digits
-        long = F.lpad(digits, F.greatest(F.length(digits), F.lit(to.scale + 1)), F.lit("0"))
+        long = F.lpad(digits, F.greatest(F.length(digits), F.lit(scale + 1)), F.lit("0"))
         return _named(long, lambda x: F.concat(
-            F.substring(x, F.lit(1), F.length(x) - to.scale), F.lit("."), F.right(x, F.lit(to.scale))
+            F.substring(x, F.lit(1), F.length(x) - scale), F.lit("."), F.right(x, F.lit(scale))
         ))
 
     def positive(core: Column) -> Column:
-        filled = F.lpad(core, 32, "0")
-        return F.when(F.length(core) <= 32, _named(filled, lambda x: scaled(magnitude(x, F.lit(0)))))
+        filled = F.lpad(core, width, "0")
+        return F.when(F.length(core) <= width, _named(filled, lambda x: scaled(magnitude(x, F.lit(0)))))
 
     def negative(core: Column) -> Column:
-        filled = F.translate(F.lpad(core, 32, "F"), "0123456789ABCDEF", "FEDCBA9876543210")
-        return F.when(F.length(core) <= 32, F.concat(F.lit("-"), _named(filled, lambda x: scaled(magnitude(x, F.lit(1))))))
+        filled = F.translate(F.lpad(core, width, "F"), "0123456789ABCDEF", "FEDCBA9876543210")
+        return F.when(F.length(core) <= width, F.concat(F.lit("-"), _named(filled, lambda x: scaled(magnitude(x, F.lit(1))))))
+
+    def short(number: Column) -> Column:
+        minus = number.startswith("-")
+        return F.when(minus, F.concat(F.lit("-"), scaled(F.substring(number, 2, 19)))).otherwise(scaled(number))
 
     def signed(digits: Column) -> Column:
-        # Leading sign bytes say nothing; what is left has to fit into 16 bytes.
-        return F.when(
-            digits.rlike("^[89A-F]"), _named(F.regexp_replace(digits, "^(FF)+(?=[89A-F])", ""), negative)
-        ).when(digits != "", _named(F.regexp_replace(digits, "^(00)+(?=[0-7])", ""), positive))
+        # 64 bits are converted at once. Leading sign bytes say nothing; what is left has to fit into the words.
+        below = digits.rlike("^[89A-F]")
+        filled = F.lpad(digits, F.lit(16), F.when(below, "F").otherwise("0"))
+        return (
+            F.when(F.length(digits).between(1, 16), _named(F.conv(filled, 16, -10), short))
+            .when(below, _named(F.regexp_replace(digits, "^(FF)+(?=[89A-F])", ""), negative))
+            .when(digits != "", _named(F.regexp_replace(digits, "^(00)+(?=[0-7])", ""), positive))
+        )
+
+    return _named(F.hex(F.try_to_binary(col, F.lit("base64"))), signed)
+
+
+def binary_decimal(col: Column, to: T.DecimalType) -> Column:
+    """Base64 of a big-endian two's complement number, unscaled, to a decimal; NULL for anything else.
 
-    return _named(F.hex(F.try_to_binary(col, F.lit("base64"))), signed).try_cast(to)
+    Any number of bytes, as long as the number has no more digits than ``to``. Built-ins alone: the
+    magnitude is put together from two halves of 64 bits, which a decimal of 38 digits holds.
+    """
+    whole = "decimal(38,0)"
+
+    def magnitude(hexes: Column, more: Column) -> Column:
+        upper, lower = [F.conv(F.substring(hexes, at, 16), 16, 10).cast("decimal(20,0)").cast(whole) for at in (1, 17)]
+        total = F.try_multiply(upper, F.lit(str(2**64)).cast(whole)).cast(whole)
+        return F.try_add(F.try_add(total, lower).cast(whole), more.cast(whole)).cast(whole).cast("string")
+
+    return _binary_text(col, to.scale, 4, magnitude).try_cast(to)
+
+
+def binary_decimal_text(col: Column, precision: int, scale: int) -> Column:
+    """The same as text, for decimals of any number of digits; NULL for a number with more than ``precision``.
+
+    Built-ins alone: each power of 2^32 is known in groups of decimal digits. Groups are summed over the
+    words, in 64 bits, and what exceeds a group is carried on.
+    """
+    words = ((10**precision).bit_length() + 32) // 32
+    group = len(str(2**31 // (words + 1))) - 1
+    groups = -(-len(str(2 ** (32 * words))) // group)
+    weights = [
+        [2 ** (32 * (words - 1 - i)) // 10 ** (group * j) % 10**group for i in range(words)] for j in range(groups)
+    ]
+
+    def carried(acc: Column, x: Column) -> Column:
+        total = acc.getField("carry") + x
+        digits = F.lpad((total % 10**group).cast("string"), group, "0")
+        return F.struct(
+            F.call_function("div", total, F.lit(10**group)).alias("carry"),
+            F.concat(digits, acc.getField("digits")).alias("digits"),
+        )
+
+    def magnitude(hexes: Column, more: Column) -> Column:
+        numbers = F.array(*[F.conv(F.substring(hexes, 1 + 8 * i, 8), 16, 10).cast("bigint") for i in range(words)])
+        zero = F.lit(0).cast("bigint")
+        sums = _named(numbers, lambda ns: F.array(*[
+            reduce(lambda a, b: a + b, [ns[i] * F.lit(w) for i, w in enumerate(ws) if w], zero) for ws in weights
+        ]))
+        start = F.struct(more.cast("bigint").alias("carry"), F.lit("").alias("digits"))
+        whole = F.aggregate(sums, start, carried, lambda acc: F.regexp_replace(acc.getField("digits"), "^0+(?=.)", ""))
+        return _named(whole, lambda x: F.when(F.length(x) <= precision, x))
+
+    return _binary_text(col, scale, words, magnitude)
 
 
 def apply_schema(df: DataFrame, columns: dict, timestamp_standard: str = "SQL") -> DataFrame:

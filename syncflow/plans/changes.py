@@ -109,25 +109,40 @@ def cdc_snapshot_concurrent(spark, sf_dir):
 
 
 def cdc_binary_decimals(spark, sf_dir):
-    """Decimals as Base64 of their binary form: 1 to 16 bytes, negative ones and 38 digits included."""
+    """Decimals as Base64 of their binary form: 1 to 24 bytes, negative ones and 38 digits and more included."""
     orders = table(spark, sf_dir, "orders")
     cents = F.round(F.col("o_totalprice") * 100).cast("bigint") * F.when(F.col("o_orderkey") % 2 == 0, -1).otherwise(1)
-    high = F.col("o_orderkey") * F.when(F.col("o_orderkey") % 3 == 0, -1).otherwise(1) * 8_000_000_000_000
+    signed = F.col("o_orderkey") * F.when(F.col("o_orderkey") % 3 == 0, -1).otherwise(1)
 
     def bytes_of(number, width=16):
         return F.when(number < 0, F.hex(number)).otherwise(F.lpad(F.hex(number), width, F.lit("0")))
 
+    def wide_bytes_of(number):
+        # 8,000,000,000,000 is 5^12 * 2^15: the first factor times either half of 64 bits fits into 64 bits.
+        lower = number.bitwiseAND(2**32 - 1) * 5**12
+        upper = F.shiftright(number, 32) * 5**12 + F.shiftright(lower, 32)
+        last = F.shiftleft(upper, 47).bitwiseOR(F.shiftleft(lower.bitwiseAND(2**32 - 1), 15))
+        return F.concat(bytes_of(F.shiftright(upper, 17)), bytes_of(last))
+
     small = F.substring(bytes_of(F.col("o_orderkey") % 256 - 128), 15, 2)
+    # 64 bits hold the upper part for keys up to 1,152,921; for others it takes twice as many.
+    high = F.try_multiply(signed, F.lit(8_000_000_000_000))
+    high_bytes = F.when(high.isNotNull(), bytes_of(high)).otherwise(wide_bytes_of(signed))
+    big = F.base64(F.unhex(F.concat(high_bytes, bytes_of(F.col("o_custkey")))))
     row = F.struct(
         F.col("o_orderkey").alias("id"), F.base64(F.unhex(bytes_of(cents))).alias("price"),
-        F.base64(F.unhex(F.concat(bytes_of(high), bytes_of(F.col("o_custkey"))))).alias("big"),
+        big.alias("big"), big.alias("wide"),
         F.base64(F.unhex(small)).alias("small"), F.lit("no number").alias("bad"),
     )
     values = orders.select(F.to_json(F.struct(F.lit("c").alias("op"), row.alias("after"))).alias("value"))
     rows = changelog.decode_changes(values, {
-        "id": "bigint", "price": "decimal(12,2)", "big": "decimal(38,0)", "small": "decimal(3,3)", "bad": "decimal(5,0)",
+        "id": "bigint", "price": "decimal(12,2)", "big": "decimal(38,0)", "wide": "decimal(65,0)", "small": "decimal(3,3)",
+        "bad": "decimal(5,0)",
     }, decimals="precise")
-    return rows.select("id", *[F.col(c).cast("string").alias(c) for c in ("price", "big", "small", "bad")])
+    text = {c: F.col(c).cast("string") for c in ("price", "big", "small", "bad")}
+    # Numbers of more than 38 digits fit no decimal of Spark and come as text.
+    text["big"] = F.coalesce(text["big"], F.col("wide"))
+    return rows.select("id", *[value.alias(c) for c, value in text.items()])
 
 
 def cdc_replay(spark, sf_dir):

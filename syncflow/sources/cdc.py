@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from syncflow.functions.times import MAX_EPOCH_MILLIS, MIN_EPOCH_MILLIS, utc_wall
-from syncflow.functions.types import binary_decimal, cast_text, resolve_type, time_precision
+from syncflow.functions.types import (
+    binary_decimal, binary_decimal_text, cast_text, resolve_type, time_precision, wide_decimal,
+)
 
 _CORRUPT = "_corrupt_record"
 
@@ -33,9 +35,12 @@ def _cell(col: Column, to, timestamp_standard: str, decimals: str) -> Column:
     """A value of a row image. Times come as text, or as numbers: epoch days, and epoch
     milliseconds or, for columns declared with more than three digits, microseconds."""
     unit = 1000 if time_precision(to) > 3 else 1
+    wide = wide_decimal(to)
     cast, to = cast_text(col, to, timestamp_standard), resolve_type(to)
     if isinstance(to, T.DecimalType) and decimals == "precise":
         return binary_decimal(col, to)
+    if wide and decimals == "precise":
+        return binary_decimal_text(col, *wide)
     is_number = col.rlike(r"^-?\d+$")
     if isinstance(to, (T.TimestampType, T.TimestampNTZType)):
         number = col.try_cast("bigint")

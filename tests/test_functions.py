@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 from conftest import rows_of
 from syncflow.functions import times
 from syncflow.functions.classify import SINGLE_MATCH_TIERS, classify, tier
-from syncflow.functions.types import apply_schema, binary_decimal, parse_type
+from syncflow.functions.types import apply_schema, binary_decimal, binary_decimal_text, parse_type, wide_decimal
 
 
 @pytest.mark.parametrize("text, kind", [
@@ -164,3 +164,39 @@ def test_binary_decimals(spark):
             assert [r.d for r in got] == [want(int(r.n)) for r in got]
     bad = spark.createDataFrame([("",), (None,), ("not base64!",), ("AA=A",)], "t string")
     assert {r[0] for r in bad.select(binary_decimal(F.col("t"), T.DecimalType(10, 2))).collect()} == {None}
+
+
+@pytest.mark.parametrize("precision, scale", [(39, 0), (65, 0), (65, 30), (65, 65), (130, 2)])
+def test_binary_decimals_beyond_38_digits(spark, precision, scale):
+    import base64
+    import random
+    from decimal import Decimal
+
+    rng = random.Random(5)
+    numbers = [0, 1, -1, -128, 2**63 - 1, 2**63, -(2**63), -(2**63) - 1, 2**64, 10**38, -(10**38), 2**127, -(2**127)]
+    numbers += [10**precision - 1, 1 - 10**precision, 10**precision, -(10**precision), 2 ** (8 * precision)]
+    numbers += [rng.randrange(-(10**k), 10**k) for k in range(1, precision + 3) for _ in range(2)]
+    rows = []
+    for n in numbers:
+        size = max(1, (n.bit_length() + 8) // 8)
+        rows += [(base64.b64encode(n.to_bytes(size + more, "big", signed=True)).decode(), str(n)) for more in (0, 5)]
+
+    def want(n):
+        if abs(n) >= 10**precision:
+            return None
+        digits = str(abs(n)).rjust(scale + 1, "0")
+        whole = digits[:-scale] + "." + digits[-scale:] if scale else digits
+        return "-" + whole if n < 0 else whole
+
+    df = spark.createDataFrame(rows, "t string, n string")
+    got = df.select("n", binary_decimal_text(F.col("t"), precision, scale).alias("d")).collect()
+    assert [r.d for r in got] == [want(int(r.n)) for r in got]
+    assert all(Decimal(r.d).scaleb(scale) == int(r.n) for r in got if r.d and len(r.d) < 28)
+    bad = spark.createDataFrame([("",), (None,), ("not base64!",), ("AA=A",)], "t string")
+    assert {r[0] for r in bad.select(binary_decimal_text(F.col("t"), precision, scale)).collect()} == {None}
+
+
+def test_which_decimals_are_kept_as_text():
+    assert wide_decimal("decimal(65,30)") == (65, 30) and wide_decimal("NUMERIC(39) unsigned") == (39, 0)
+    for spec in ("decimal(38,0)", "decimal", "bigint", "varchar(255)", "string", "number", T.StringType(), T.DecimalType(38, 2)):
+        assert wide_decimal(spec) is None

@@ -95,6 +95,42 @@ def test_envelope_times_as_text_and_as_numbers(spark):
     assert [tuple(r) for r in rows.collect()] == [want, want, (None, None, None)]
 
 
+def test_decimals_of_more_than_38_digits_in_images(spark):
+    import base64
+
+    n = -(10**40) - 7
+    text = base64.b64encode(n.to_bytes(18, "big", signed=True)).decode()
+    rows = [('{"op":"c","after":{"a":"%s","b":"%s"}}' % (text, text),)]
+    fields = {"a": "decimal(65,2)", "b": "decimal(38,2)"}
+    for mode, want in (("precise", ("-1" + "0" * 38 + ".07", None)), ("string", (text, None))):
+        got = decode_changes(spark.createDataFrame(rows, "value string"), fields, decimals=mode)
+        assert rows_of(got, "a", "b") == [want]
+
+
+def test_binary_decimals_of_large_keys(spark, tmp_path):
+    """Keys for which 64 bits do not hold the upper part of the number."""
+    import duckdb
+
+    from syncflow.plans import changes
+
+    def query(keys, name):
+        rows = [(k, None if k is None else k % 1_000_003, 100.25 + (k or 0) % 977) for k in keys]
+        made = spark.createDataFrame(rows, "o_orderkey bigint, o_custkey bigint, o_totalprice double")
+        made.coalesce(1).write.parquet(f"{tmp_path}/{name}/orders.parquet")
+        return rows_of(changes.cdc_binary_decimals(spark, f"{tmp_path}/{name}"))
+
+    # The SQL has 128 bits.
+    small = query([0, 1, 2, 3, 677_626, 677_627, 677_629, 1_152_920, 1_152_921, None, 3], "small")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW orders AS SELECT * FROM '{tmp_path}/small/orders.parquet/*.parquet'")
+    assert small == sorted(con.execute(changes.SQL["cdc_binary_decimals"]).fetchall(), key=repr)
+    keys = [*range(1_152_919, 1_152_931), 9_000_000, 53_999_999, 54_000_000, 2**31, 2**32, 2**32 + 1, 2**47, 2**63 - 1, 2**63 - 2]
+    big = {r[0]: r[2] for r in query(keys, "large")}
+    assert big == {
+        k: str(k * (-1 if k % 3 == 0 else 1) * 8_000_000_000_000 * 2**64 + k % 1_000_003) for k in keys
+    }
+
+
 def test_startup_modes_are_checked(spark):
     with pytest.raises(ValueError):
         cdc.start_changes(spark.range(1), "now")
